@@ -33,3 +33,15 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
 def scalar_row(df: DataFrame) -> dict:
     """Collect a global (ungrouped) aggregate; it has exactly one row by construction."""
     return df.first().asDict()
+
+
+def merge_rows(*frames: DataFrame) -> DataFrame:
+    """Put several one-row aggregates side by side without a join: stack them with the
+    missing columns NULL, then take each column's single non-NULL value."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    cols = []
+    for f in frames:
+        cols += [c for c in f.columns if c not in cols]
+    return out.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

@@ -78,7 +78,7 @@ def fanout_evidence(raw: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFrame
         F.min("sales_value").alias("min_sales"),
         F.count("*").alias("distinct_values"))
     return (pairs.join(per_date, "activity_date")
-                 .withColumn("multiplier", F.round(F.col("sales_value") / F.col("min_sales"), 1)))
+                 .withColumn("multiplier", F.bround(F.col("sales_value") / F.col("min_sales"), 1)))
 
 
 def fanout_histogram(evidence: DataFrame) -> DataFrame:

@@ -119,3 +119,208 @@ def breakdown_media_type(spark, sf_dir):
 def reconciliation(spark, sf_dir):
     r = context(spark, sf_dir).rows()
     return present(measure.reconciliation(r), {"max_abs_diff": 2})
+
+
+# ---------------------------------------------------------------------------------
+# Step 3: weekly table, row ratios, filters
+# ---------------------------------------------------------------------------------
+_WEEKLY_OUT = ("week, CAST(spend AS DOUBLE) AS spend, impressions, clicks, video_starts, video_completes, "
+               "hh_grps_tv, engagements, CAST(total_sales AS DOUBLE) AS total_sales")
+
+
+@register("weekly_features_base", O.q(
+    f"SELECT {O.d('week')} AS week, CAST(spend AS DOUBLE) AS spend, impressions, clicks, video_starts, "
+    "video_completes, hh_grps_tv, engagements, CAST(total_sales AS DOUBLE) AS total_sales, year, quarter, "
+    "month, month_name, week_number, ctr, engagement_rate, video_completion_rate, cost_per_engagement, "
+    "cost_per_sale FROM weekly_f"))
+def weekly_features_base(spark, sf_dir):
+    return present(context(spark, sf_dir).weekly())
+
+
+@register("row_ratios", O.q(
+    f"SELECT {O.d('week')} AS week, channel, media_type, CAST(spend AS DOUBLE) AS spend, "
+    f"{O.div('clicks', 'impressions')} AS ctr, {O.div('engagements', 'impressions')} AS engagement_rate, "
+    f"{O.div('video_completes', 'video_starts')} AS video_completion_rate, "
+    f"{O.div('spend', 'engagements')} AS cost_per_engagement, {O.div('spend', 'clicks')} AS cpc, "
+    f"{O.div('spend', 'impressions')} * 1000 AS cpm, "
+    f"ROUND({O.div('spend', 'estimated_sales')}, 6) AS cost_per_sale FROM rows"))
+def row_ratios_q(spark, sf_dir):
+    from ..operators.efficiency import row_ratios
+    r = row_ratios(context(spark, sf_dir).rows())
+    return present(r.select("week", "channel", "media_type", "spend", "ctr", "engagement_rate",
+                            "video_completion_rate", "cost_per_engagement", "cpc", "cpm", "cost_per_sale"),
+                   {"cost_per_sale": 6})
+
+
+FILTER_EXAMPLE = {"media_type": ["ECONOMY", "PROMO", "STANDARD"], "device": ["O", "Not Tracked"]}
+_FILTER_SQL = "media_type IN ('ECONOMY', 'PROMO', 'STANDARD') AND device IN ('O', 'Not Tracked')"
+
+
+@register("filtered_weekly", O.q(
+    f"SELECT {O.d('f.week')} AS week, CAST(f.spend AS DOUBLE) AS spend, f.impressions, f.clicks, "
+    "f.video_starts, f.video_completes, f.hh_grps_tv, f.engagements, "
+    "CAST(ws.total_sales AS DOUBLE) AS total_sales FROM "
+    f"(SELECT week, {O._weekly_sums()} FROM rows WHERE {_FILTER_SQL} GROUP BY week) f "
+    "LEFT JOIN weekly_sales ws ON f.week = ws.week"))
+def filtered_weekly_q(spark, sf_dir):
+    from ..operators.eda import filtered_weekly
+    ctx = context(spark, sf_dir)
+    return present(filtered_weekly(ctx.rows(), ctx.weekly_sales(), FILTER_EXAMPLE, ctx.spec.additive))
+
+
+@register("rows_in_view", O.q(
+    f"SELECT CAST(SUM(CASE WHEN {_FILTER_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS rows_in_view, "
+    "COUNT(*) AS rows_total FROM rows"))
+def rows_in_view_q(spark, sf_dir):
+    from ..operators.eda import rows_in_view
+    return rows_in_view(context(spark, sf_dir).rows(), FILTER_EXAMPLE)
+
+
+# ---------------------------------------------------------------------------------
+# Step 4: executive views
+# ---------------------------------------------------------------------------------
+@register("kpi_summary", O.q(
+    "SELECT CAST((SELECT SUM(total_sales) FROM weekly_sales) AS DOUBLE) AS total_sales, "
+    "CAST(SUM(spend) AS DOUBLE) AS total_spend, CAST(SUM(impressions) AS BIGINT) AS total_impressions, "
+    "CAST(SUM(clicks) AS BIGINT) AS total_clicks, CAST(SUM(engagements) AS BIGINT) AS total_engagements, "
+    "CAST((SELECT SUM(total_sales) FROM weekly_sales) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0) "
+    "AS romi FROM clean"))
+def kpi_summary_q(spark, sf_dir):
+    from ..operators.eda import kpi_summary
+    return present(kpi_summary(context(spark, sf_dir).rows()))
+
+
+def _union_dims(dims, body):
+    return " UNION ALL ".join(body(d) for d in dims)
+
+
+SNAP = ["media_type", "channel", "site", "device", "platform_type"]
+FILTER_DIMS = ["media_type", "channel", "sub_channel", "site", "device", "platform_type"]
+
+
+@register("breakdown_all_dims", O.q(_union_dims(SNAP, lambda d: (
+    f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, ROUND(SUM(estimated_sales), 2) "
+    f"AS estimated_sales FROM rows GROUP BY {d}"))))
+def breakdown_all_dims_q(spark, sf_dir):
+    from ..operators.efficiency import breakdown_all_dims
+    return present(breakdown_all_dims(context(spark, sf_dir).rows(), SNAP), {"estimated_sales": 2})
+
+
+@register("top_creatives", O.q(
+    "SELECT creative, ROUND(SUM(estimated_sales), 2) AS estimated_sales, CAST(SUM(spend) AS DOUBLE) AS spend, "
+    "CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(engagements) AS BIGINT) AS engagements "
+    "FROM rows GROUP BY creative ORDER BY SUM(estimated_sales) DESC, creative LIMIT 20"))
+def top_creatives_q(spark, sf_dir):
+    from ..operators.eda import top_creatives
+    return present(top_creatives(context(spark, sf_dir).rows(), 20), {"estimated_sales": 2})
+
+
+def _eff_sql(d, extra=""):
+    return (f"CAST(SUM(spend) AS DOUBLE) AS spend, CAST(SUM(impressions) AS BIGINT) AS impressions, "
+            f"CAST(SUM(clicks) AS BIGINT) AS clicks, CAST(SUM(engagements) AS BIGINT) AS engagements, "
+            f"{O.div('SUM(clicks)', 'SUM(impressions)')} AS ctr, {O.div('SUM(spend)', 'SUM(clicks)')} AS cpc, "
+            f"{O.div('SUM(spend)', 'SUM(impressions)')} * 1000 AS cpm, "
+            f"{O.div('SUM(spend)', 'SUM(engagements)')} AS cost_per_engagement{extra} FROM rows GROUP BY {d}")
+
+
+@register("efficiency_by_channel", O.q(f"SELECT channel, {_eff_sql('channel')}"))
+def efficiency_by_channel(spark, sf_dir):
+    from ..operators.efficiency import efficiency_by
+    return present(efficiency_by(context(spark, sf_dir).rows(), "channel"))
+
+
+@register("efficiency_all_dims", O.q(_union_dims(FILTER_DIMS, lambda d: (
+    f"SELECT '{d}' AS dimension, {O.label(f'CAST({d} AS VARCHAR)')} AS value, "
+    + _eff_sql(d, ", ROUND(SUM(estimated_sales), 2) AS estimated_sales")))))
+def efficiency_all_dims_q(spark, sf_dir):
+    from ..operators.efficiency import efficiency_all_dims
+    return present(efficiency_all_dims(context(spark, sf_dir).rows(), FILTER_DIMS), {"estimated_sales": 2})
+
+
+CORR_COLS = ["spend", "impressions", "clicks", "engagements", "total_sales"]
+SALES_CORR = ["spend", "impressions", "clicks", "engagements", "reach", "video_starts", "video_completes",
+              "hh_grps_tv", "likes", "comments"]
+_PRESENT_SALES_CORR = ["spend", "impressions", "clicks", "engagements", "video_starts", "video_completes",
+                       "hh_grps_tv"]
+
+
+@register("correlation_matrix", O.q(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_x, '{b}' AS col_y, ROUND({O.corr(a, b)}, 6) AS r FROM weekly"
+    for a in CORR_COLS for b in CORR_COLS)))
+def correlation_matrix(spark, sf_dir):
+    from ..operators.eda import correlation_long
+    return present(correlation_long(context(spark, sf_dir).weekly(), CORR_COLS), {"r": 6})
+
+
+@register("corr_with_sales", O.q(" UNION ALL ".join(
+    f"SELECT '{a}' AS feature, ROUND({O.corr(a, 'total_sales')}, 6) AS r FROM weekly"
+    for a in _PRESENT_SALES_CORR)))
+def corr_with_sales(spark, sf_dir):
+    from ..operators.eda import corr_with_target
+    return present(corr_with_target(context(spark, sf_dir).weekly(), SALES_CORR), {"r": 6})
+
+
+@register("spend_sales_trend", O.q(
+    f"SELECT ROUND({O.corr('spend', 'total_sales')}, 6) AS r, "
+    "regr_count(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) AS n_pairs, "
+    "ROUND(CASE WHEN regr_count(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) > 2 THEN "
+    "regr_slope(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) END, 9) AS slope, "
+    "ROUND(CASE WHEN regr_count(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) > 2 THEN "
+    "regr_intercept(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) END, 2) AS intercept, "
+    "ROUND(COALESCE(AVG(CAST(spend AS DOUBLE)), 0), 4) AS mean_x, "
+    "COALESCE(MAX(CAST(spend AS DOUBLE)), 1000000.0) AS max_x, "
+    "ROUND(CASE WHEN regr_count(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) > 2 THEN "
+    "regr_slope(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) * COALESCE(AVG(CAST(spend AS DOUBLE)), 0) "
+    "+ regr_intercept(CAST(total_sales AS DOUBLE), CAST(spend AS DOUBLE)) END, 2) AS estimate_at_mean "
+    "FROM weekly"))
+def spend_sales_trend_q(spark, sf_dir):
+    from ..operators.eda import spend_sales_trend
+    out = spend_sales_trend(context(spark, sf_dir).weekly())
+    return present(out.withColumn("n_pairs", F.col("n_pairs").cast("bigint")),
+                   {"r": 6, "slope": 9, "intercept": 2, "mean_x": 4, "estimate_at_mean": 2})
+
+
+DESCRIBE = ["spend", "impressions", "clicks", "engagements", "base_amount"]
+
+
+@register("describe_metrics", O.q(" UNION ALL ".join(
+    f"SELECT '{m}' AS metric, COUNT(x) AS count, ROUND(AVG(x), 6) AS mean, ROUND(STDDEV_SAMP(x), 6) AS std, "
+    f"MIN(x) AS min, ROUND(quantile_cont(x, 0.25), 6) AS p25, ROUND(quantile_cont(x, 0.5), 6) AS p50, "
+    f"ROUND(quantile_cont(x, 0.75), 6) AS p75, MAX(x) AS max FROM (SELECT CAST({m} AS DOUBLE) AS x FROM clean) t"
+    for m in DESCRIBE)))
+def describe_metrics(spark, sf_dir):
+    from ..operators.eda import describe
+    return present(describe(context(spark, sf_dir).rows(), DESCRIBE),
+                   {"mean": 6, "std": 6, "p25": 6, "p50": 6, "p75": 6})
+
+
+@register("series_peak", O.q(
+    f"SELECT {O.d('week')} AS peak_week, CAST(total_sales AS DOUBLE) AS peak_value, "
+    "CASE WHEN total_sales > 1000000 THEN printf('$%.1fM', CAST(total_sales AS DOUBLE) / 1000000) "
+    "WHEN total_sales > 1000 THEN printf('$%.1fk', CAST(total_sales AS DOUBLE) / 1000) "
+    "ELSE '$' || format('{:,.0f}', CAST(total_sales AS DOUBLE)) END AS peak_label "
+    "FROM weekly_sales WHERE total_sales IS NOT NULL ORDER BY total_sales DESC, week LIMIT 1"))
+def series_peak_q(spark, sf_dir):
+    from ..operators.eda import series_peak
+    return present(series_peak(context(spark, sf_dir).weekly_sales()))
+
+
+@register("category_share", O.q(
+    "SELECT media_type, ROUND(SUM(estimated_sales), 2) AS estimated_sales, "
+    "ROUND(SUM(estimated_sales) / (SELECT SUM(estimated_sales) FROM rows), 6) AS share "
+    "FROM rows GROUP BY media_type"))
+def category_share_q(spark, sf_dir):
+    from ..operators.eda import category_share
+    return present(category_share(context(spark, sf_dir).rows(), "media_type"),
+                   {"estimated_sales": 2, "share": 6})
+
+
+@register("top1_per_dim", O.q(
+    "SELECT dimension, value, ROUND(estimated_sales, 2) AS estimated_sales FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY estimated_sales DESC, value ASC NULLS LAST) "
+    "AS rk FROM (" + _union_dims(SNAP, lambda d: (
+        f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, SUM(estimated_sales) AS estimated_sales "
+        f"FROM rows GROUP BY {d}")) + ") u) t WHERE rk = 1"))
+def top1_per_dim_q(spark, sf_dir):
+    from ..operators.efficiency import top1_per_dim
+    return present(top1_per_dim(context(spark, sf_dir).rows(), SNAP), {"estimated_sales": 2})

@@ -56,6 +56,17 @@ class MediaContext:
         return self._rows
 
 
+    def weekly(self) -> DataFrame:
+        """Weekly feature table (D3) from the materialised rows; small (one row per week)."""
+        from ..operators.measure import weekly_feature_table
+        if self._weekly is None:
+            self._weekly = weekly_feature_table(self.rows(), self.spec).checkpoint(eager=True)
+        return self._weekly
+
+    def weekly_sales(self) -> DataFrame:
+        return self.weekly().select(self.spec.week_col, "total_sales")
+
+
 def context(spark: SparkSession, sf_dir: str, spec: MediaSpec = DEFAULT_SPEC) -> MediaContext:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(spec))
     if key not in _CONTEXTS:

@@ -114,12 +114,48 @@ alloc AS (
   SELECT w.*, COALESCE(w.activity_weight / NULLIF(k.ww, 0) * CAST(k.ts AS DOUBLE), 0.0) AS estimated_sales
   FROM weighted w LEFT JOIN week_weight k ON w.week = k.week),
 rows AS (
-  SELECT *, year(week) AS year, quarter(week) AS quarter, month(week) AS month,
+  SELECT *, CAST(year(week) AS INTEGER) AS year, CAST(quarter(week) AS INTEGER) AS quarter,
+         CAST(month(week) AS INTEGER) AS month,
          strftime(week, '%b') AS month_name, CAST(weekofyear(week) AS INTEGER) AS week_number
-  FROM alloc)
+  FROM alloc),
+weekly AS (
+  SELECT week, {_weekly_sums()},
+         MIN(CASE WHEN base_amount > 0 THEN base_amount END) AS total_sales
+  FROM clean WHERE week IS NOT NULL GROUP BY week),
+weekly_f AS (
+  SELECT *, CAST(year(week) AS INTEGER) AS year, CAST(quarter(week) AS INTEGER) AS quarter,
+         CAST(month(week) AS INTEGER) AS month, strftime(week, '%b') AS month_name,
+         CAST(weekofyear(week) AS INTEGER) AS week_number,
+         {div('clicks', 'impressions')} AS ctr,
+         {div('engagements', 'impressions')} AS engagement_rate,
+         {div('video_completes', 'video_starts')} AS video_completion_rate,
+         {div('spend', 'engagements')} AS cost_per_engagement,
+         {div('spend', 'total_sales')} AS cost_per_sale
+  FROM weekly)
 """
 
 
+def div(a: str, b: str) -> str:
+    """Double division, NULL on a zero denominator."""
+    return f"CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0)"
+
+
+def _weekly_sums() -> str:
+    return ", ".join(f"SUM({m}) AS {m}" if m == "spend" else f"CAST(SUM({m}) AS BIGINT) AS {m}"
+                     for m in ADDITIVE)
+
+
+def corr(x: str, y: str, src: str | None = None) -> str:
+    """Pairwise-complete Pearson r, NULL for a constant column (mirrors ``safe_corr``)."""
+    both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+    xm, ym = f"CASE WHEN {both} THEN CAST({x} AS DOUBLE) END", f"CASE WHEN {both} THEN CAST({y} AS DOUBLE) END"
+    return f"covar_samp({xm}, {ym}) / NULLIF(stddev_samp({xm}) * stddev_samp({ym}), 0)"
+
+
+def label(v: str) -> str:
+    return f"CASE WHEN {v} IS NULL OR {v} IN ('None', 'nan', 'NaN') THEN 'Unknown' ELSE {v} END"
+
+
 def d(c: str) -> str:
     """Date column as ISO text (the registered queries' presentation)."""
     return f"strftime({c}, '%Y-%m-%d')"
