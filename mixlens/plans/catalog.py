@@ -324,3 +324,134 @@ def category_share_q(spark, sf_dir):
 def top1_per_dim_q(spark, sf_dir):
     from ..operators.efficiency import top1_per_dim
     return present(top1_per_dim(context(spark, sf_dir).rows(), SNAP), {"estimated_sales": 2})
+
+
+# ---------------------------------------------------------------------------------
+# Step 5: data quality and fan-out evidence
+# ---------------------------------------------------------------------------------
+_RAW_COLS = [c.strip() for c in O.RAW_COLS.split(",")]
+_ACTIONS_SQL = ("CASE \"column\" " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in {
+        "site": "Filled → 'Unknown' (structural)", "device": "Filled → 'Not Tracked' (structural)",
+        "platform_type": "Filled → 'Unknown' (structural)",
+        "partner_type": "Filled → 'Not Applicable' (structural)",
+        "audience": "Filled → 'Not Applicable' (structural)",
+        "creative": "Filled → 'Unspecified Creative' (structural)"}.items()).replace("'Unknown'", "''Unknown''")
+    .replace("'Not Tracked'", "''Not Tracked''").replace("'Not Applicable'", "''Not Applicable''")
+    .replace("'Unspecified Creative'", "''Unspecified Creative''")
+    + " ELSE 'Left as NaN (metric — zero-fill)' END")
+
+_MISSING_SQL = ("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS missing_count, "
+    f"round_even(CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / COUNT(*) * 100, 2) AS missing_pct FROM media_raw"
+    for c in _RAW_COLS) + ") m WHERE missing_count > 0")
+
+
+@register("missing_report", O.q(_MISSING_SQL))
+def missing_report_q(spark, sf_dir):
+    from ..operators.quality import missing_report
+    return missing_report(context(spark, sf_dir).raw())
+
+
+@register("missing_detailed", O.q(
+    "SELECT *, CASE WHEN missing_pct > 50 THEN 'High' WHEN missing_pct > 10 THEN 'Moderate' ELSE 'Low' END "
+    f"AS severity, {_ACTIONS_SQL} AS action_taken, CASE WHEN \"column\" IN ('site', 'device', "
+    "'platform_type', 'partner_type', 'audience', 'creative') THEN 'Structural' ELSE 'Metric' END AS category "
+    f"FROM ({_MISSING_SQL}) md"))
+def missing_detailed_q(spark, sf_dir):
+    from ..operators.quality import missing_detailed
+    return missing_detailed(context(spark, sf_dir).raw())
+
+
+_FILL_NULLS = " + ".join(f"COUNT(*) - COUNT({c})" for c in
+                         ["site", "device", "platform_type", "partner_type", "audience", "creative"])
+_ALL_NULLS = " + ".join(f"COUNT(*) - COUNT({c})" for c in _RAW_COLS)
+_SUMMARY_CTE = (
+    ", qs AS (SELECT COUNT(*) AS total_rows, 19 AS total_columns, "
+    f"CAST({_ALL_NULLS} AS BIGINT) AS total_missing_cells, "
+    f"round_even(CAST({_ALL_NULLS} AS DOUBLE) / (COUNT(*) * 19) * 100, 2) AS missing_pct, "
+    "COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM media_raw) dd) AS duplicates_dropped, "
+    "CAST(SUM(CASE WHEN regexp_replace(sub_channel, '^\\s+|\\s+$', '', 'g') = 'VIdeo' THEN 1 ELSE 0 END) AS BIGINT)"
+    " AS typos_fixed, "
+    f"CAST({_FILL_NULLS} AS BIGINT) AS structural_nas_filled, "
+    "CAST(SUM(CASE WHEN spend < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_spend_rows, "
+    "COUNT(DISTINCT activity_date) AS distinct_weeks, (SELECT COUNT(*) FROM clean) AS clean_rows, "
+    "20 AS clean_columns FROM media_raw) ")
+
+
+def _quality_frames(spark, sf_dir):
+    from ..operators.clean import clean
+    from ..operators.quality import quality_summary
+    ctx = context(spark, sf_dir)
+    raw = ctx.raw_with_copies()
+    return quality_summary(raw, clean(raw, ctx.spec), ctx.spec)
+
+
+@register("quality_summary", O.q(_SUMMARY_CTE + "SELECT * FROM qs", copies=True))
+def quality_summary_q(spark, sf_dir):
+    return _quality_frames(spark, sf_dir)
+
+
+_WATERFALL = [
+    ("Raw Data Issues", "total_missing_cells", "absolute", "true"),
+    ("Structural NAs Filled", "-structural_nas_filled", "relative", "structural_nas_filled > 0"),
+    ("Typos Corrected", "-typos_fixed", "relative", "typos_fixed > 0"),
+    ("Duplicates Removed", "-duplicates_dropped", "relative", "duplicates_dropped > 0"),
+    ("Negative Spend Flagged", "-negative_spend_rows", "relative", "negative_spend_rows > 0"),
+    ("Metric NAs (zero-filled)", "-(total_missing_cells - structural_nas_filled - typos_fixed - "
+     "duplicates_dropped - negative_spend_rows)", "relative",
+     "total_missing_cells - structural_nas_filled - typos_fixed - duplicates_dropped - negative_spend_rows > 0"),
+    ("Remaining Issues", "0", "total", "true"),
+]
+
+
+@register("cleaning_waterfall", O.q(_SUMMARY_CTE + " UNION ALL ".join(
+    f"SELECT {i} AS seq, '{n}' AS step, CAST({v} AS BIGINT) AS value, '{m}' AS measure FROM qs WHERE {k}"
+    for i, (n, v, m, k) in enumerate(_WATERFALL)), copies=True))
+def cleaning_waterfall_q(spark, sf_dir):
+    from ..operators.quality import cleaning_waterfall
+    return cleaning_waterfall(_quality_frames(spark, sf_dir))
+
+
+_NODES = ["Raw Data", "Missing Cells", "Text Cleaning", "Structural NA Fill", "Duplicate Check",
+          "Spend Flagging", "Clean Data"]
+_EDGES = [(0, 1, "total_missing_cells"), (0, 2, "GREATEST(typos_fixed, 1)"),
+          (0, 3, "GREATEST(structural_nas_filled, 1)"), (0, 4, "GREATEST(duplicates_dropped, 1)"),
+          (0, 5, "GREATEST(negative_spend_rows, 1)"),
+          (1, 6, "GREATEST(total_missing_cells - structural_nas_filled, 1)"), (2, 6, "GREATEST(typos_fixed, 1)"),
+          (3, 6, "GREATEST(structural_nas_filled, 1)"), (4, 6, "GREATEST(duplicates_dropped, 1)"),
+          (5, 6, "GREATEST(negative_spend_rows, 1)")]
+
+
+@register("pipeline_edges", O.q(_SUMMARY_CTE + " UNION ALL ".join(
+    f"SELECT '{_NODES[a]}' AS source, '{_NODES[b]}' AS target, CAST({v} AS BIGINT) AS value FROM qs"
+    for a, b, v in _EDGES), copies=True))
+def pipeline_edges_q(spark, sf_dir):
+    from ..operators.quality import pipeline_edges
+    return pipeline_edges(_quality_frames(spark, sf_dir))
+
+
+_EVIDENCE_CTE = (
+    ", pairs AS (SELECT DISTINCT activity_date, CAST(base_amount AS DOUBLE) AS sales_value FROM media_raw "
+    "WHERE base_amount > 0), per_date AS (SELECT activity_date, MIN(sales_value) AS min_sales, "
+    "COUNT(*) AS distinct_values FROM pairs GROUP BY activity_date), ev AS (SELECT p.activity_date, "
+    "p.sales_value, d.min_sales, round_even(p.sales_value / d.min_sales, 1) AS multiplier, d.distinct_values "
+    "FROM pairs p JOIN per_date d ON p.activity_date = d.activity_date) ")
+
+
+@register("fanout_evidence", O.q(
+    _EVIDENCE_CTE + f"SELECT {O.d('activity_date')} AS activity_date, sales_value, min_sales, multiplier, "
+    "distinct_values, CASE WHEN multiplier = 1.0 THEN 'base' WHEN multiplier > 1.0 THEN 'inflated' END "
+    "AS evidence_class, CASE WHEN multiplier > 1.0 THEN LEAST(multiplier, 30.0) * 3 + 4 ELSE 10.0 END "
+    "AS marker_size FROM ev"))
+def fanout_evidence_q(spark, sf_dir):
+    from ..operators.measure import evidence_classes, fanout_evidence
+    return present(fanout_evidence(context(spark, sf_dir).raw()).transform(evidence_classes))
+
+
+@register("fanout_histogram", O.q(
+    _EVIDENCE_CTE + "SELECT distinct_values, COUNT(*) AS n_weeks FROM (SELECT DISTINCT activity_date, "
+    "distinct_values FROM ev) h GROUP BY distinct_values"))
+def fanout_histogram_q(spark, sf_dir):
+    from ..operators.measure import fanout_evidence, fanout_histogram
+    return fanout_histogram(fanout_evidence(context(spark, sf_dir).raw()))
