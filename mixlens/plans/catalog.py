@@ -455,3 +455,94 @@ def fanout_evidence_q(spark, sf_dir):
 def fanout_histogram_q(spark, sf_dir):
     from ..operators.measure import fanout_evidence, fanout_histogram
     return fanout_histogram(fanout_evidence(context(spark, sf_dir).raw()))
+
+
+# ---------------------------------------------------------------------------------
+# Step 6: time-series features, caps, model dataset, split, lookback, future weeks
+# ---------------------------------------------------------------------------------
+def _features(spark, sf_dir):
+    from ..operators.features import engineer_features
+    return engineer_features(context(spark, sf_dir).weekly())
+
+
+def _fdig(cols):
+    return {c: O.feat_digits(c) for c in cols if O.feat_digits(c) is not None}
+
+
+def _fpresent(df, cols):
+    out = df.select("week", *[F.col(c).cast("double").alias(c) for c in cols])
+    return present(out, _fdig(cols))
+
+
+_LAGS = ["total_sales"] + O.SALES_FEATS
+_ROLLS = O.ROLL
+_EWM = ["sales_ewm_4", "sales_diff_1", "sales_ratio_to_mean_8"]
+_MEDIA = ["spend_lag_1", "impressions_lag_1", "clicks_lag_1"]
+_SEASON = ["week_number", "week_of_year_sin", "week_of_year_cos"]
+
+
+def _feat_view(name, cols, src="feat2"):
+    sql = O.fq(f"SELECT {O.d('week')} AS week, {O.feat_select(cols)} FROM {src}")
+
+    @register(name, sql)
+    def view(spark, sf_dir):
+        return _fpresent(_features(spark, sf_dir), cols)
+    view.__name__ = name
+    return view
+
+
+_feat_view("sales_lags", _LAGS)
+_feat_view("rolling_stats", _ROLLS)
+_feat_view("ewm_momentum", _EWM)
+_feat_view("media_lags", _MEDIA)
+_feat_view("seasonality", _SEASON)
+
+
+def _model(spark, sf_dir):
+    from ..operators.features import model_dataset
+    return model_dataset(context(spark, sf_dir).weekly())
+
+
+@register("ratio_caps", O.fq("SELECT ROUND(cap_ctr, 10) AS ctr_cap, ROUND(cap_er, 10) AS engagement_rate_cap, "
+                             "ROUND(cap_vcr, 10) AS video_completion_rate_cap FROM caps"))
+def ratio_caps_q(spark, sf_dir):
+    from ..operators.features import LAG_FEATURES, ROLLING_FEATURES, RATIO_CAP_COLS, engineer_features
+    eng = engineer_features(context(spark, sf_dir).weekly())
+    kept = eng.dropna(subset=[c for c in LAG_FEATURES + ROLLING_FEATURES if c in eng.columns])
+    out = kept.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.99)).alias(f"{c}_cap")
+                     for c in RATIO_CAP_COLS])
+    return present(out, {c: 10 for c in out.columns})
+
+
+@register("model_dataset", O.fq(f"SELECT {O.d('week')} AS week, {O.feat_select(['total_sales'] + O.FEATURES)} "
+                                "FROM model"))
+def model_dataset_q(spark, sf_dir):
+    df, feats, _ = _model(spark, sf_dir)
+    return _fpresent(df, ["total_sales"] + feats)
+
+
+@register("time_split", O.fq(f"SELECT {O.d('week')} AS week, split FROM split"))
+def time_split_q(spark, sf_dir):
+    from ..operators.features import time_split
+    df, _, _ = _model(spark, sf_dir)
+    return present(time_split(df).select("week", "split"))
+
+
+@register("lookback", O.q(f"SELECT {O.d('week')} AS week, CAST(total_sales AS DOUBLE) AS total_sales "
+                          "FROM weekly_sales WHERE total_sales IS NOT NULL ORDER BY week DESC LIMIT 52"))
+def lookback_q(spark, sf_dir):
+    from ..operators.eda import lookback
+    return present(lookback(context(spark, sf_dir).weekly_sales(), 52, require="total_sales"))
+
+
+@register("future_weeks", O.q(
+    ", anchor AS (SELECT MAX(CASE WHEN total_sales IS NOT NULL THEN week END) AS a, MAX(week) AS l "
+    "FROM weekly_sales), ex AS (SELECT week FROM weekly_sales, anchor WHERE week > a ORDER BY week LIMIT 20), "
+    "pad AS (SELECT CAST(l + INTERVAL (7 * i) DAY AS DATE) AS week FROM anchor, "
+    "range(1, 1 + 20 - LEAST((SELECT COUNT(*) FROM ex), 20)) t(i)) "
+    f"SELECT {O.d('week')} AS week, false AS is_padded FROM ex UNION ALL "
+    f"SELECT {O.d('week')} AS week, true AS is_padded FROM pad"))
+def future_weeks_q(spark, sf_dir):
+    from ..operators.features import future_weeks
+    ws = context(spark, sf_dir).weekly_sales()
+    return present(future_weeks(ws, 20).select("week", "is_padded"))

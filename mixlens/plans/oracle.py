@@ -163,3 +163,97 @@ def d(c: str) -> str:
 
 def q(body: str, copies: bool = False) -> str:
     return ctes(copies) + body
+
+
+SALES_FEATS = ["sales_lag_%d" % i for i in range(1, 9)]
+ROLL = ["sales_rolling_mean_4", "sales_rolling_mean_8", "sales_rolling_std_8", "sales_rolling_min_8",
+        "sales_rolling_max_8"]
+PRESENT_BASE = ["spend", "impressions", "clicks", "video_starts", "video_completes", "hh_grps_tv",
+                "engagements", "ctr", "engagement_rate", "video_completion_rate", "month", "quarter",
+                "week_of_year_sin", "week_of_year_cos"]
+PRESENT_ROLL = ROLL + ["sales_ewm_4", "sales_diff_1", "sales_ratio_to_mean_8", "spend_lag_1",
+                       "impressions_lag_1", "clicks_lag_1"]
+FEATURES = PRESENT_BASE + SALES_FEATS + PRESENT_ROLL
+
+
+def feature_ctes() -> str:
+    """Feature CTEs over ``weekly_f`` (one series named 'all'); EWM by a bounded self-join."""
+    lags = ", ".join(f"LAG(total_sales, {i}) OVER w AS sales_lag_{i}" for i in range(1, 9))
+    roll = []
+    for name, fn, n in [("sales_rolling_mean_4", "AVG", 4), ("sales_rolling_mean_8", "AVG", 8),
+                        ("sales_rolling_std_8", "STDDEV_SAMP", 8), ("sales_rolling_min_8", "MIN", 8),
+                        ("sales_rolling_max_8", "MAX", 8)]:
+        roll.append(f"CASE WHEN COUNT(total_sales) OVER w{n} >= 2 THEN {fn}(total_sales) OVER w{n} END AS {name}")
+    media = ", ".join(f"LAG({c}, 1) OVER w AS {c}_lag_1" for c in ["spend", "impressions", "clicks"])
+    return f""", ts AS (
+  SELECT 'all' AS series, week, CAST(total_sales AS DOUBLE) AS total_sales, CAST(spend AS DOUBLE) AS spend,
+         impressions, clicks, video_starts, video_completes, hh_grps_tv, engagements, ctr, engagement_rate,
+         video_completion_rate, month, quarter, week_number
+  FROM weekly_f),
+feat AS (
+  SELECT *, {lags}, {", ".join(roll)}, {media}, row_number() OVER w AS _i
+  FROM ts
+  WINDOW w AS (PARTITION BY series ORDER BY week),
+         w4 AS (PARTITION BY series ORDER BY week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING),
+         w8 AS (PARTITION BY series ORDER BY week ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)),
+ewm AS (
+  SELECT a.series, a.week,
+         SUM(b.total_sales * pow(0.6, a._i - 1 - b._i)) / SUM(pow(0.6, a._i - 1 - b._i)) AS sales_ewm_4
+  FROM feat a JOIN feat b ON a.series = b.series AND b._i < a._i AND b._i >= a._i - 64
+       AND b.total_sales IS NOT NULL
+  GROUP BY a.series, a.week),
+feat2 AS (
+  SELECT f.* EXCLUDE (_i), e.sales_ewm_4, f.sales_lag_1 - f.sales_lag_2 AS sales_diff_1,
+         CASE WHEN f.sales_rolling_mean_8 IS NOT NULL
+              THEN f.sales_lag_1 / GREATEST(f.sales_rolling_mean_8, 1.0) END AS sales_ratio_to_mean_8,
+         sin(2 * pi() * CAST(f.week_number AS DOUBLE) / 52.0) AS week_of_year_sin,
+         cos(2 * pi() * CAST(f.week_number AS DOUBLE) / 52.0) AS week_of_year_cos
+  FROM feat f LEFT JOIN ewm e ON f.series = e.series AND f.week = e.week),
+kept AS (
+  SELECT * FROM feat2 WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SALES_FEATS + PRESENT_ROLL)}),
+caps AS (
+  SELECT quantile_cont(ctr, 0.99) AS cap_ctr, quantile_cont(engagement_rate, 0.99) AS cap_er,
+         quantile_cont(video_completion_rate, 0.99) AS cap_vcr FROM kept),
+model AS (
+  SELECT k.* REPLACE (
+      COALESCE(CASE WHEN k.ctr IS NOT NULL THEN LEAST(k.ctr, c.cap_ctr) END, 0.0) AS ctr,
+      COALESCE(CASE WHEN k.engagement_rate IS NOT NULL THEN LEAST(k.engagement_rate, c.cap_er) END, 0.0)
+        AS engagement_rate,
+      COALESCE(CASE WHEN k.video_completion_rate IS NOT NULL THEN LEAST(k.video_completion_rate, c.cap_vcr) END,
+               0.0) AS video_completion_rate)
+  FROM kept k CROSS JOIN caps c),
+split AS (
+  SELECT *, CASE WHEN total_sales IS NULL THEN 'forecast'
+                 WHEN row_number() OVER (PARTITION BY series, total_sales IS NOT NULL ORDER BY week DESC)
+                      <= LEAST(12, GREATEST(1, FLOOR(COUNT(*) OVER (PARTITION BY series, total_sales IS NOT NULL) / 4)))
+                 THEN 'test' ELSE 'train' END AS split
+  FROM model)
+"""
+
+
+# rounding of the feature columns in the registered outputs
+SALES_SCALE = set(SALES_FEATS + ROLL + ["sales_ewm_4", "sales_diff_1", "total_sales"])
+UNIT_SCALE = {"sales_ratio_to_mean_8", "week_of_year_sin", "week_of_year_cos", "ctr", "engagement_rate",
+              "video_completion_rate"}
+
+
+def feat_digits(c: str):
+    if c in SALES_SCALE:
+        return 4
+    if c in UNIT_SCALE:
+        return 9
+    return None
+
+
+def feat_select(cols, src: str = "") -> str:
+    out = []
+    for c in cols:
+        e = f"CAST({src}{c} AS DOUBLE)"
+        dg = feat_digits(c)
+        # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's rounding does
+        out.append(f"ROUND({e}, {dg}) + 0.0 AS {c}" if dg is not None else f"{e} AS {c}")
+    return ", ".join(out)
+
+
+def fq(body: str) -> str:
+    return ctes() + feature_ctes() + body
