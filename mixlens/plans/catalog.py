@@ -546,3 +546,178 @@ def future_weeks_q(spark, sf_dir):
     from ..operators.features import future_weeks
     ws = context(spark, sf_dir).weekly_sales()
     return present(future_weeks(ws, 20).select("week", "is_padded"))
+
+
+# ---------------------------------------------------------------------------------
+# Steps 7-9: model tournament, leaderboard, recursive forecast
+# ---------------------------------------------------------------------------------
+# Boosting rounds of the registered views. The estimators default to the analysed
+# workflow's 500 rounds; MLlib runs one job per round, so the views use fewer.
+VIEW_ROUNDS = {"gbt": 100, "huber": 30, "stack": 20}
+
+
+class ModelSuite:
+    """Trains the six models once per context on the 'train' split and keeps them."""
+
+    def __init__(self, ctx):
+        from ..operators.features import BASE_FEATURES, model_dataset, time_split
+        self.ctx = ctx
+        df, self.feats, self.caps = model_dataset(ctx.weekly())
+        self.base = [c for c in BASE_FEATURES if c in self.feats]
+        self.data = time_split(df).withColumn("label", F.log1p("total_sales")).checkpoint(eager=True)
+        self.train = self.data.where(F.col("split") == "train")
+        self.fits = {}
+
+    def fit(self, key):
+        from ..operators import models as M
+        from ..operators.forecast import NaiveFit
+        if key in self.fits:
+            return self.fits[key]
+        f, tr = self.feats, self.train
+        if key == "naive":
+            fit = NaiveFit()
+        elif key == "ridge":
+            fit = M.fit_ridge(tr, f)
+        elif key == "arx":
+            fit = M.fit_arx(tr, f, self.base)
+        elif key == "forest":
+            fit = M.fit_forest(tr, f)
+        elif key == "gbt":
+            fit = M.fit_gbt(tr, f, rounds=VIEW_ROUNDS["gbt"])
+        elif key == "huber":
+            fit = M.fit_huber(tr, f, rounds=VIEW_ROUNDS["huber"])
+        elif key == "stack":
+            r = VIEW_ROUNDS["stack"]
+            fit = M.fit_stack(tr, f, {"huber": lambda d: M.fit_huber(d, f, rounds=r),
+                                      "gbt": lambda d: M.fit_gbt(d, f, rounds=r),
+                                      "ridge": lambda d: M.fit_ridge(d, f)})
+        else:
+            raise KeyError(key)
+        self.fits[key] = fit
+        return fit
+
+    def predictions(self, key, name=None):
+        from ..operators.models import MODEL_NAMES, predictions
+        return predictions(self.fit(key), self.data.where(F.col("split") != "forecast"),
+                           name or MODEL_NAMES.get(key, key))
+
+
+def suite(spark, sf_dir) -> ModelSuite:
+    ctx = context(spark, sf_dir)
+    if getattr(ctx, "_suite", None) is None:
+        ctx._suite = ModelSuite(ctx)
+    return ctx._suite
+
+
+_NAIVE_PRED = ("SELECT split, total_sales AS y, sales_lag_1 AS yhat FROM split WHERE split <> 'forecast'")
+_METRIC_SQL = (
+    "SELECT 'Naive (lag 1)' AS model, split, ROUND(sqrt(AVG((y - yhat) * (y - yhat))), 4) AS rmse, "
+    "ROUND(AVG(ABS(y - yhat)), 4) AS mae, "
+    "ROUND(AVG(ABS(y - yhat) / GREATEST(ABS(y), 2.220446049250313e-16)) * 100, 6) AS mape_pct, "
+    "ROUND(1 - SUM((y - yhat) * (y - yhat)) / (VAR_POP(y) * COUNT(*)), 9) AS r2 "
+    f"FROM ({_NAIVE_PRED}) p GROUP BY split")
+
+
+@register("naive_metrics", O.fq(_METRIC_SQL))
+def naive_metrics(spark, sf_dir):
+    from ..operators.models import metrics
+    s = suite(spark, sf_dir)
+    m = metrics(s.predictions("naive", "Naive (lag 1)").withColumn("yhat", F.round("yhat", 6)))
+    return present(m, {"rmse": 4, "mae": 4, "mape_pct": 6, "r2": 9})
+
+
+def _holdout_view(name, key):
+    @register(name)
+    def view(spark, sf_dir):
+        p = suite(spark, sf_dir).predictions(key)
+        return present(p.where(F.col("split") == "test").drop("split"))
+    view.__name__ = name
+    return view
+
+
+_holdout_view("ridge_holdout", "ridge")
+_holdout_view("ar_x_holdout", "arx")
+_holdout_view("forest_holdout", "forest")
+_holdout_view("gbt_holdout", "gbt")
+_holdout_view("huber_boost_holdout", "huber")
+_holdout_view("stacked_holdout", "stack")
+
+
+@register("leaderboard")
+def leaderboard_q(spark, sf_dir):
+    from ..operators.models import leaderboard
+    s = suite(spark, sf_dir)
+    preds = None
+    for key in ["ridge", "arx", "forest", "gbt", "huber", "stack"]:
+        p = s.predictions(key)
+        preds = p if preds is None else preds.unionByName(p)
+    return leaderboard(preds)
+
+
+def _naive_forecast(spark, sf_dir, horizon=12):
+    from ..operators.forecast import recursive_forecast
+    s = suite(spark, sf_dir)
+    return recursive_forecast(s.ctx.weekly(), s.fit("naive"), s.feats, s.caps, horizon)
+
+
+_FC_SQL = (
+    ", anchor AS (SELECT MAX(week) AS a FROM weekly_sales WHERE total_sales IS NOT NULL), "
+    "last_val AS (SELECT CAST(total_sales AS DOUBLE) AS v FROM weekly_sales, anchor WHERE week = a), "
+    "fc AS (SELECT w.week, (SELECT v FROM last_val) AS forecasted_sales FROM weekly_sales w, anchor "
+    "WHERE w.week > a ORDER BY w.week LIMIT 12) ")
+
+
+@register("recursive_forecast", O.fq(_FC_SQL + f"SELECT 'all' AS series, {O.d('week')} AS week, "
+                                     "ROUND(forecasted_sales, 2) AS forecasted_sales FROM fc"))
+def recursive_forecast_q(spark, sf_dir):
+    return present(_naive_forecast(spark, sf_dir), {"forecasted_sales": 2})
+
+
+_NAIVE_RMSE = (f"(SELECT sqrt(AVG((y - yhat) * (y - yhat))) FROM ({_NAIVE_PRED}) p WHERE split = 'test')")
+
+
+@register("forecast_interval", O.fq(
+    _FC_SQL + f"SELECT 'all' AS series, {O.d('week')} AS week, ROUND(forecasted_sales, 2) AS forecasted_sales, "
+    f"ROUND(GREATEST(forecasted_sales - {_NAIVE_RMSE}, 0), 2) AS lower_bound, "
+    f"ROUND(forecasted_sales + {_NAIVE_RMSE}, 2) AS upper_bound FROM fc"))
+def forecast_interval_q(spark, sf_dir):
+    from ..operators.forecast import attach_interval
+    from ..operators.models import metrics
+    s = suite(spark, sf_dir)
+    rmse = metrics(s.predictions("naive")).where("split = 'test'").first()["rmse"]
+    out = attach_interval(_naive_forecast(spark, sf_dir), rmse)
+    return present(out, {"forecasted_sales": 2, "lower_bound": 2, "upper_bound": 2})
+
+
+@register("forecast_summary", O.fq(
+    _FC_SQL + "SELECT 'all' AS series, ROUND(AVG(forecasted_sales), 2) AS mean_forecast, "
+    "ROUND(SUM(forecasted_sales), 2) AS total_forecast, COUNT(*) AS horizon, "
+    "(SELECT v FROM last_val) AS last_actual, "
+    "ROUND(CASE WHEN (SELECT v FROM last_val) <> 0 THEN (AVG(forecasted_sales) - (SELECT v FROM last_val)) / "
+    "(SELECT v FROM last_val) * 100 ELSE 0 END, 6) + 0.0 AS trend_pct, "
+    "CASE WHEN ROUND(CASE WHEN (SELECT v FROM last_val) <> 0 THEN (AVG(forecasted_sales) - (SELECT v FROM last_val))"
+    " / (SELECT v FROM last_val) * 100 ELSE 0 END, 6) > 0 THEN 'up' ELSE 'down' END AS direction FROM fc"))
+def forecast_summary_q(spark, sf_dir):
+    from ..operators.forecast import forecast_summary
+    fc = _naive_forecast(spark, sf_dir).withColumn("forecasted_sales", F.round("forecasted_sales", 6))
+    out = forecast_summary(fc, context(spark, sf_dir).weekly())
+    out = out.withColumn("trend_pct", F.round("trend_pct", 6)).withColumn(
+        "direction", F.when(F.col("trend_pct") > 0, "up").otherwise("down"))
+    return present(out, {"mean_forecast": 2, "total_forecast": 2})
+
+
+@register("champion_forecast")
+def champion_forecast(spark, sf_dir):
+    """Forecast with the leaderboard's best model and its holdout RMSE band."""
+    from ..operators.forecast import attach_interval, recursive_forecast
+    from ..operators.models import MODEL_NAMES, leaderboard
+    s = suite(spark, sf_dir)
+    keys = ["ridge", "arx", "forest"]
+    preds = None
+    for key in keys:
+        p = s.predictions(key)
+        preds = p if preds is None else preds.unionByName(p)
+    best = leaderboard(preds).first()
+    key = {v: k for k, v in MODEL_NAMES.items()}[best["model"]]
+    fc = recursive_forecast(s.ctx.weekly(), s.fit(key), s.feats, s.caps, 12)
+    return attach_interval(fc, best["rmse"]).withColumn("model", F.lit(best["model"]))
