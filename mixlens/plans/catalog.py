@@ -721,3 +721,99 @@ def champion_forecast(spark, sf_dir):
     key = {v: k for k, v in MODEL_NAMES.items()}[best["model"]]
     fc = recursive_forecast(s.ctx.weekly(), s.fit(key), s.feats, s.caps, 12)
     return attach_interval(fc, best["rmse"]).withColumn("model", F.lit(best["model"]))
+
+
+# ---------------------------------------------------------------------------------
+# Step 10: explainability and insights
+# ---------------------------------------------------------------------------------
+def _pairs_frame(spark, pairs, names):
+    return spark.createDataFrame([tuple(p) for p in pairs], names)
+
+
+@register("std_coefficients")
+def std_coefficients_q(spark, sf_dir):
+    from ..operators.explain import std_coefficients
+    return _pairs_frame(spark, std_coefficients(suite(spark, sf_dir).fit("ridge")), "feature string, coefficient double")
+
+
+@register("tree_importance")
+def tree_importance_q(spark, sf_dir):
+    from ..operators.explain import tree_importance
+    return _pairs_frame(spark, tree_importance(suite(spark, sf_dir).fit("forest")), "feature string, importance double")
+
+
+def _shap(spark, sf_dir):
+    from ..operators.explain import shap_values
+    s = suite(spark, sf_dir)
+    if getattr(s, "_shap", None) is None:
+        s._shap = shap_values(s.train, s.fit("gbt"), ["series", "week"]).checkpoint(eager=True)
+    return s._shap
+
+
+@register("shap_values")
+def shap_values_q(spark, sf_dir):
+    return present(_shap(spark, sf_dir))
+
+
+@register("shap_global")
+def shap_global_q(spark, sf_dir):
+    from ..operators.explain import shap_global
+    return shap_global(_shap(spark, sf_dir))
+
+
+@register("shap_beeswarm")
+def shap_beeswarm_q(spark, sf_dir):
+    from ..operators.explain import beeswarm
+    s = suite(spark, sf_dir)
+    return present(beeswarm(_shap(spark, sf_dir), s.train, ["series", "week"], 10))
+
+
+@register("linear_shap")
+def linear_shap_q(spark, sf_dir):
+    from ..operators.explain import linear_shap
+    s = suite(spark, sf_dir)
+    return present(linear_shap(s.train, s.fit("ridge"), ["series", "week"]))
+
+
+def _facts(spark, sf_dir):
+    from ..operators.insights import facts
+    ctx = context(spark, sf_dir)
+    return facts(ctx.rows(), ctx.weekly())
+
+
+_FACT_ROUND = "CASE WHEN rule_id LIKE 'K1%' THEN ROUND(value, 2) ELSE ROUND(value, 6) END"
+
+
+@register("insight_facts", O.q(
+    ", share AS (SELECT media_type AS d, SUM(estimated_sales) AS v FROM rows GROUP BY media_type), "
+    "tot AS (SELECT SUM(v) AS t, COUNT(*) AS n FROM share), "
+    "cw AS (" + " UNION ALL ".join(f"SELECT '{a}' AS feature, {O.corr(a, 'total_sales')} AS r FROM weekly"
+                                  for a in _PRESENT_SALES_CORR) + "), "
+    "eff AS (SELECT channel, SUM(spend) AS spend, SUM(impressions) AS impressions, "
+    f"{O.div('SUM(spend)', 'SUM(clicks)')} AS cpc FROM rows GROUP BY channel), "
+    "f AS ("
+    "(SELECT 'K1_top' AS rule_id, d AS subject, v AS value, v / t AS share FROM share, tot "
+    " ORDER BY v DESC, d DESC LIMIT 1) UNION ALL "
+    "(SELECT 'K1_bottom', d, v, v / t FROM share, tot ORDER BY v ASC, d ASC LIMIT 1) UNION ALL "
+    "SELECT 'K5_categories', 'media_type', CAST(n AS DOUBLE), NULL FROM tot UNION ALL "
+    "(SELECT 'K2_strongest_corr', feature, r, NULL FROM cw WHERE r IS NOT NULL ORDER BY abs(r) DESC LIMIT 1) "
+    "UNION ALL (SELECT 'K4_best_cpc', channel, cpc, NULL FROM eff WHERE cpc IS NOT NULL AND spend > 0 "
+    " ORDER BY cpc, channel LIMIT 1) UNION ALL "
+    "SELECT 'K6_spend_gap', channel, CAST(impressions AS DOUBLE), NULL FROM eff WHERE spend = 0 AND impressions > 0) "
+    f"SELECT rule_id, subject, {_FACT_ROUND} AS value, ROUND(share, 6) AS share FROM f"))
+def insight_facts(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    v = F.when(F.col("rule_id").startswith("K1"), F.round("value", 2)).otherwise(F.round("value", 6))
+    return f.withColumn("value", v).withColumn("share", F.round("share", 6))
+
+
+@register("insights")
+def insights_q(spark, sf_dir):
+    from ..operators.explain import shap_global
+    from ..operators.insights import generate
+    from ..operators.models import leaderboard
+    s = suite(spark, sf_dir)
+    preds = s.predictions("ridge").unionByName(s.predictions("forest")).unionByName(s.predictions("arx"))
+    best = leaderboard(preds).first().asDict()
+    top = shap_global(_shap(spark, sf_dir)).first()["feature"]
+    return generate(spark, _facts(spark, sf_dir), best, top)
