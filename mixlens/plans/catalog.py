@@ -817,3 +817,47 @@ def insights_q(spark, sf_dir):
     best = leaderboard(preds).first().asDict()
     top = shap_global(_shap(spark, sf_dir)).first()["feature"]
     return generate(spark, _facts(spark, sf_dir), best, top)
+
+
+# ---------------------------------------------------------------------------------
+# Step 11: sinks and re-reads, row sample, streaming
+# ---------------------------------------------------------------------------------
+@register("weekly_roundtrip", ORACLE["weekly_features_base"])
+def weekly_roundtrip(spark, sf_dir):
+    """A3 + A2: write the weekly table as CSV (header, ISO dates) and read it back with
+    its schema; the values must survive the text hop."""
+    from ..sources.io import load_table, save_table
+    ctx = context(spark, sf_dir)
+    wk = ctx.weekly()
+    path = ctx._path("weekly_csv")
+    save_table(wk, path, fmt="csv")
+    return present(load_table(spark, path, fmt="csv", schema=wk.schema))
+
+
+_SAMPLE_ORDER = ["week", "tab", "media_type", "channel", "sub_channel", "site", "device", "platform_type",
+                 "partner_type", "audience", "creative", "spend", "impressions", "clicks", "video_starts",
+                 "video_completes", "hh_grps_tv", "engagements", "base_amount", "spend_is_credit"]
+
+
+@register("sample_rows", O.q(
+    f"SELECT * EXCLUDE (week, spend, base_amount), {O.d('week')} AS week, CAST(spend AS DOUBLE) AS spend, "
+    "CAST(base_amount AS DOUBLE) AS base_amount FROM clean ORDER BY " + ", ".join(
+        f"{c} ASC NULLS FIRST" for c in _SAMPLE_ORDER) + " LIMIT 10"))
+def sample_rows_q(spark, sf_dir):
+    from ..operators.eda import sample_rows
+    c = context(spark, sf_dir).rows().select(*_SAMPLE_ORDER)
+    return present(sample_rows(c, 10, _SAMPLE_ORDER))
+
+
+@register("streaming_weekly_kpi", O.q(
+    f"SELECT {O.d('week')} AS week, CAST(spend AS DOUBLE) AS spend, impressions, clicks, video_starts, "
+    "video_completes, hh_grps_tv, engagements, CAST(total_sales AS DOUBLE) AS total_sales FROM weekly"))
+def streaming_weekly_kpi(spark, sf_dir):
+    """The weekly repair as a streaming job over the materialised row files."""
+    from ..streaming.weekly_kpi import run_weekly_kpi
+    ctx = context(spark, sf_dir)
+    rows = ctx.rows()
+    src = ctx._path("row_fact")
+    out = run_weekly_kpi(spark, src, ctx._path("stream_weekly"), rows.schema, ctx.spec, files_per_trigger=4)
+    keep = ["week", *ctx.spec.present(out, ctx.spec.additive), "total_sales"]
+    return present(out.select(*keep))

@@ -1,0 +1 @@
+from .weekly_kpi import run_weekly_kpi, weekly_kpi_stream  # noqa: F401
