@@ -15,6 +15,8 @@ def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[Data
     Returns the checkpointed frame (lineage cut, survives executor loss) and whether it is
     within ``max_rows``. The count is taken on the written table, so it is cheap.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     small = df.checkpoint(eager=True)
     return small, small.count() <= max_rows
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import join_small, scalar_row
+from ..functions.joins import scalar_row
 from ..spec import DEFAULT_SPEC, MediaSpec
 from .measure import true_kpi_expr
 
@@ -36,21 +36,50 @@ def activity_weight(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
     return clean.withColumn("activity_weight", F.coalesce(*opts, F.lit(float(spec.fallback_weight))))
 
 
+def weight_class(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC):
+    """Index (in priority order) of the first candidate with a positive value, -1 when
+    none is active. Independent of the maxima: a positive value implies a positive max."""
+    cands = spec.present(clean, spec.weight_priority)
+    cls = F.lit(-1)
+    for i in reversed(range(len(cands))):
+        cls = F.when(F.col(cands[i]).cast("double") > 0, F.lit(i)).otherwise(cls)
+    return cands, cls
+
+
 def allocate_sales(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
                    maxima: dict | None = None) -> DataFrame:
     """estimated_sales = weight / week weight total * true weekly sales (0 when the
     week's sales are unknown). The share is taken within ``spec.kpi_keys`` (the week).
 
-    Week totals and the true weekly sales come from one grouped aggregate (D1 fused with
-    D5), joined back through a size-checked broadcast: the rows never shuffle by week, so
-    a week holding a third of all rows is not a single reducer's load.
+    One grouped pass yields, per week, the sum of each candidate's values over the rows
+    that candidate weighs, the number of fallback rows, each candidate's max and the true
+    weekly sales; the global maxima are the max of the weekly maxima (a small table).
+    The week weight total is then sum_c S_c / max_c + n_fallback * fallback, so the rows
+    are read once for the statistics and once for the allocation, and they never shuffle
+    by week: the per-week table is joined back through a size-checked broadcast, so a week
+    holding a third of all rows is not a single reducer's load.
     """
-    weighted = activity_weight(clean, spec, maxima)
+    from ..functions.joins import bounded
     keys = list(spec.kpi_keys)
-    per_key = (weighted.groupBy(*keys)
-                       .agg(F.sum("activity_weight").alias("_key_weight"),
-                            true_kpi_expr(spec.target_col).alias("_true_sales")))
-    joined = join_small(weighted, per_key, on=keys, how="left")
+    cands, cls = weight_class(clean, spec)
+    val = {c: F.greatest(F.col(c).cast("double"), F.lit(0.0)) for c in cands}
+    stats = clean.groupBy(*keys).agg(
+        *[F.sum(F.when(cls == i, val[c])).alias(f"_s{i}") for i, c in enumerate(cands)],
+        *[F.max(val[c]).alias(f"_m{i}") for i, c in enumerate(cands)],
+        F.count_if(cls == -1).alias("_nfb"),
+        true_kpi_expr(spec.target_col).alias("_true_sales"))
+    stats, fits = bounded(stats)
+    if maxima is None:
+        mrow = scalar_row(stats.agg(*[F.max(f"_m{i}").alias(c) for i, c in enumerate(cands)])) if cands else {}
+        maxima = {c: mrow[c] for c in cands}
+    total = F.col("_nfb").cast("double") * F.lit(float(spec.fallback_weight))
+    for i, c in enumerate(cands):
+        m = maxima.get(c)
+        if m is not None and m > 0:
+            total = total + F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) / F.lit(float(m))
+    per_key = stats.select(*keys, total.alias("_key_weight"), "_true_sales")
+    weighted = activity_weight(clean, spec, maxima)
+    joined = weighted.join(F.broadcast(per_key) if fits else per_key, on=keys, how="left")
     share = F.try_divide(F.col("activity_weight"), F.col("_key_weight"))
     est = F.coalesce(share * F.col("_true_sales").cast("double"), F.lit(0.0))
     return joined.withColumn("estimated_sales", est).drop("_key_weight", "_true_sales")

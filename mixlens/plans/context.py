@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,14 +29,23 @@ class MediaContext:
     def __init__(self, spark: SparkSession, sf_dir: str, spec: MediaSpec = DEFAULT_SPEC):
         self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
         self._rows = None
+        self._raw = None
         self._weekly = None
 
-    # -- raw inputs (recomputed from the source tables on demand) -------------------
+    # -- raw fact, written once (the source join runs one time) ----------------------
+    def _raw_table(self) -> DataFrame:
+        if self._raw is None:
+            path = self._path("raw_fact")
+            media_from_tpch(self.spark, self.sf_dir, keep_line=True).write.mode("overwrite").parquet(path)
+            self._raw = self.spark.read.parquet(path)
+        return self._raw
+
     def raw(self) -> DataFrame:
-        return media_from_tpch(self.spark, self.sf_dir)
+        return self._raw_table().drop("_lnum")
 
     def raw_with_copies(self) -> DataFrame:
-        return media_from_tpch(self.spark, self.sf_dir, with_copies=True)
+        from ..sources.media_fact import add_copies
+        return add_copies(self._raw_table())
 
     def clean(self) -> DataFrame:
         return clean(self.raw(), self.spec)
@@ -50,8 +60,12 @@ class MediaContext:
         """Cleaned rows with calendar parts and ``estimated_sales`` (read from Parquet)."""
         if self._rows is None:
             path = self._path("row_fact")
-            fact = allocate_sales(self.clean(), self.spec).transform(date_parts, self.spec.week_col)
+            # the cleaned rows feed two passes (weekly statistics, allocation); keep them
+            # for the duration of this write only (spills to disk, recomputable on loss)
+            cleaned = self.clean().persist(StorageLevel.MEMORY_AND_DISK)
+            fact = allocate_sales(cleaned, self.spec).transform(date_parts, self.spec.week_col)
             fact.write.mode("overwrite").partitionBy("year").parquet(path)
+            cleaned.unpersist()
             self._rows = self.spark.read.parquet(path)
         return self._rows
 
@@ -70,6 +84,7 @@ class MediaContext:
 def context(spark: SparkSession, sf_dir: str, spec: MediaSpec = DEFAULT_SPEC) -> MediaContext:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(spec))
     if key not in _CONTEXTS:
+        ensure_checkpoint_dir(spark)
         _CONTEXTS[key] = MediaContext(spark, sf_dir.rstrip("/"), spec)
     return _CONTEXTS[key]
 

@@ -36,7 +36,8 @@ def _week_index(ship_date: Column) -> Column:
     return F.ceil(F.datediff(ship_date, F.lit(EPOCH).cast("date")) / F.lit(7.0)).cast("int")
 
 
-def media_from_tpch(spark: SparkSession, sf_dir: str, with_copies: bool = False) -> DataFrame:
+def media_from_tpch(spark: SparkSession, sf_dir: str, with_copies: bool = False,
+                    keep_line: bool = False) -> DataFrame:
     """Build the media fact from lineitem and its dimensions.
 
     Only the columns used are read (ReadSchema pruning). nation/region are fixed-size
@@ -97,7 +98,11 @@ def media_from_tpch(spark: SparkSession, sf_dir: str, with_copies: bool = False)
         lnum.alias("_lnum"),
     )
     if with_copies:
-        # one extra copy of each line-number-2 row, generated in the same pass
-        n = F.when(F.col("_lnum") == 2, 2).otherwise(1)
-        fact = fact.withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).drop("_copy")
-    return fact.drop("_lnum")
+        fact = add_copies(fact)
+    return fact if keep_line else fact.drop("_lnum")
+
+
+def add_copies(fact: DataFrame) -> DataFrame:
+    """One extra exact copy of each line-number-2 row, generated in the same pass."""
+    n = F.when(F.col("_lnum") == 2, 2).otherwise(1)
+    return fact.withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).drop("_copy", "_lnum")
