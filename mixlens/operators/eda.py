@@ -177,3 +177,16 @@ def lookback(weekly: DataFrame, n: int, week_col: str = "week", series=None,
         return df.orderBy(F.col(week_col).desc()).limit(n)
     w = Window.partitionBy(*series).orderBy(F.col(week_col).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def weekly_trend(weekly: DataFrame, metric: str, week_col: str = "week") -> DataFrame:
+    """(week, metric) without NULLs, in week order."""
+    return weekly.select(week_col, metric).dropna().orderBy(week_col)
+
+
+def dataset_summary(rows: DataFrame, weekly: DataFrame, week_col: str = "week") -> DataFrame:
+    """Row and column counts of the row table, weeks and weeks with known sales."""
+    from ..functions.joins import merge_rows
+    r = rows.agg(F.count("*").alias("row_count"))
+    w = weekly.agg(F.count(week_col).alias("weeks"), F.count("total_sales").alias("known_weeks"))
+    return merge_rows(r, w).withColumn("column_count", F.lit(len(rows.columns)))

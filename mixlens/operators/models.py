@@ -339,3 +339,10 @@ def leaderboard(preds: DataFrame) -> DataFrame:
                                                    F.col("r2").alias("r2_holdout"))
     train = m.where(F.col("split") == "train").select("model", F.col("r2").alias("r2_train"))
     return test.join(train, "model", "left").orderBy("rmse", "model")
+
+
+def model_comparison(board: DataFrame) -> DataFrame:
+    """The leaderboard stacked long, (model, metric, value), for per-metric charts."""
+    metrics_ = ["rmse", "mae", "mape_pct", "r2_train", "r2_holdout"]
+    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics_])
+    return board.select("model", F.inline(arr))

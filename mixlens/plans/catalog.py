@@ -861,3 +861,104 @@ def streaming_weekly_kpi(spark, sf_dir):
     out = run_weekly_kpi(spark, src, ctx._path("stream_weekly"), rows.schema, ctx.spec, files_per_trigger=4)
     keep = ["week", *ctx.spec.present(out, ctx.spec.additive), "total_sales"]
     return present(out.select(*keep))
+
+
+# ---------------------------------------------------------------------------------
+# Inventory completions: trend projection, dataset summary, model comparison
+# ---------------------------------------------------------------------------------
+@register("weekly_trend", O.q(f"SELECT {O.d('week')} AS week, CAST(total_sales AS DOUBLE) AS total_sales "
+                              "FROM weekly WHERE total_sales IS NOT NULL"))
+def weekly_trend_q(spark, sf_dir):
+    from ..operators.eda import weekly_trend
+    return present(weekly_trend(context(spark, sf_dir).weekly(), "total_sales"))
+
+
+@register("dataset_summary", O.q("SELECT (SELECT COUNT(*) FROM rows) AS row_count, "
+                                 "(SELECT COUNT(week) FROM weekly) AS weeks, "
+                                 "(SELECT COUNT(total_sales) FROM weekly) AS known_weeks, 27 AS column_count"))
+def dataset_summary_q(spark, sf_dir):
+    from ..operators.eda import dataset_summary
+    ctx = context(spark, sf_dir)
+    return dataset_summary(ctx.rows(), ctx.weekly())
+
+
+@register("model_comparison")
+def model_comparison_q(spark, sf_dir):
+    from ..operators.models import leaderboard, model_comparison
+    s = suite(spark, sf_dir)
+    preds = s.predictions("ridge").unionByName(s.predictions("arx")).unionByName(s.predictions("forest"))
+    return model_comparison(leaderboard(preds))
+
+
+# ---------------------------------------------------------------------------------
+# Panel of many series (series = channel): dense weekly panel, features, forecast
+# ---------------------------------------------------------------------------------
+PANEL_KEYS = ["channel"]
+
+
+def _panel(spark, sf_dir):
+    from ..operators.panel import panel_weekly
+    ctx = context(spark, sf_dir)
+    if getattr(ctx, "_panel", None) is None:
+        ctx._panel = panel_weekly(ctx.rows(), ctx.weekly_sales(), PANEL_KEYS, ctx.spec).checkpoint(eager=True)
+    return ctx._panel
+
+
+@register("panel_weekly", O.pq(
+    f"SELECT series, {O.d('week')} AS week, CAST(spend AS DOUBLE) AS spend, impressions, clicks, engagements, "
+    "ROUND(total_sales, 2) AS total_sales, ctr, ROUND(cost_per_sale, 9) AS cost_per_sale FROM pdf"))
+def panel_weekly_q(spark, sf_dir):
+    p = _panel(spark, sf_dir).select("series", "week", "spend", "impressions", "clicks", "engagements",
+                                     "total_sales", "ctr", "cost_per_sale")
+    return present(p, {"total_sales": 2, "cost_per_sale": 9})
+
+
+_PANEL_FEATS = ["sales_lag_1", "sales_lag_8", "sales_rolling_mean_4", "sales_rolling_mean_8",
+                "sales_rolling_std_8", "sales_rolling_min_8", "sales_ewm_4", "sales_diff_1",
+                "sales_ratio_to_mean_8", "spend_lag_1"]
+
+
+@register("panel_features", O.pfq(f"SELECT series, {O.d('week')} AS week, {O.feat_select(_PANEL_FEATS)} "
+                                  "FROM feat2"))
+def panel_features_q(spark, sf_dir):
+    from ..operators.features import engineer_features
+    f = engineer_features(_panel(spark, sf_dir))
+    out = f.select("series", "week", *[F.col(c).cast("double").alias(c) for c in _PANEL_FEATS])
+    return present(out, _fdig(_PANEL_FEATS))
+
+
+@register("panel_time_split", O.pfq(f"SELECT series, {O.d('week')} AS week, split FROM split"))
+def panel_time_split_q(spark, sf_dir):
+    from ..operators.features import model_dataset, time_split
+    df, _, _ = model_dataset(_panel(spark, sf_dir))
+    return present(time_split(df).select("series", "week", "split"))
+
+
+@register("panel_forecast", O.pq(
+    ", anchor AS (SELECT series, MAX(CASE WHEN total_sales IS NOT NULL THEN week END) AS a FROM pdf "
+    "GROUP BY series), lastv AS (SELECT p.series, p.total_sales AS v FROM pdf p JOIN anchor a "
+    "ON p.series = a.series AND p.week = a.a), cand AS (SELECT p.series, p.week, row_number() OVER "
+    "(PARTITION BY p.series ORDER BY p.week) AS k FROM pdf p JOIN anchor a ON p.series = a.series "
+    "AND p.week > a.a) "
+    f"SELECT c.series, {O.d('c.week')} AS week, ROUND(l.v, 2) AS forecasted_sales FROM cand c "
+    "JOIN lastv l ON c.series = l.series WHERE c.k <= 12"))
+def panel_forecast_q(spark, sf_dir):
+    """Naive (lag-1) recursive forecast for every channel at once."""
+    from ..operators.features import model_dataset
+    from ..operators.forecast import NaiveFit, recursive_forecast
+    panel = _panel(spark, sf_dir)
+    _, feats, caps = model_dataset(panel)
+    fc = recursive_forecast(panel, NaiveFit(), feats, caps, 12)
+    return present(fc, {"forecasted_sales": 2})
+
+
+@register("panel_ridge_holdout")
+def panel_ridge_holdout(spark, sf_dir):
+    """Pooled ridge over all channels, holdout rows of every series."""
+    from ..operators.features import model_dataset, time_split
+    from ..operators.models import fit_ridge, predictions
+    df, feats, _ = model_dataset(_panel(spark, sf_dir))
+    data = time_split(df).withColumn("label", F.log1p("total_sales"))
+    fit = fit_ridge(data.where(F.col("split") == "train"), feats)
+    p = predictions(fit, data.where(F.col("split") == "test"), "Linear Regression (RidgeCV)")
+    return present(p.drop("split"))

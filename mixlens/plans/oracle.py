@@ -176,8 +176,9 @@ PRESENT_ROLL = ROLL + ["sales_ewm_4", "sales_diff_1", "sales_ratio_to_mean_8", "
 FEATURES = PRESENT_BASE + SALES_FEATS + PRESENT_ROLL
 
 
-def feature_ctes() -> str:
-    """Feature CTEs over ``weekly_f`` (one series named 'all'); EWM by a bounded self-join."""
+def feature_ctes(ts_sql: str | None = None) -> str:
+    """Feature CTEs over ``weekly_f`` (one series named 'all') or over ``ts_sql`` (a panel);
+    EWM by a bounded self-join."""
     lags = ", ".join(f"LAG(total_sales, {i}) OVER w AS sales_lag_{i}" for i in range(1, 9))
     roll = []
     for name, fn, n in [("sales_rolling_mean_4", "AVG", 4), ("sales_rolling_mean_8", "AVG", 8),
@@ -185,11 +186,12 @@ def feature_ctes() -> str:
                         ("sales_rolling_max_8", "MAX", 8)]:
         roll.append(f"CASE WHEN COUNT(total_sales) OVER w{n} >= 2 THEN {fn}(total_sales) OVER w{n} END AS {name}")
     media = ", ".join(f"LAG({c}, 1) OVER w AS {c}_lag_1" for c in ["spend", "impressions", "clicks"])
-    return f""", ts AS (
+    ts = ts_sql or """
   SELECT 'all' AS series, week, CAST(total_sales AS DOUBLE) AS total_sales, CAST(spend AS DOUBLE) AS spend,
          impressions, clicks, video_starts, video_completes, hh_grps_tv, engagements, ctr, engagement_rate,
          video_completion_rate, month, quarter, week_number
-  FROM weekly_f),
+  FROM weekly_f"""
+    return f""", ts AS ({ts}),
 feat AS (
   SELECT *, {lags}, {", ".join(roll)}, {media}, row_number() OVER w AS _i
   FROM ts
@@ -257,3 +259,42 @@ def feat_select(cols, src: str = "") -> str:
 
 def fq(body: str) -> str:
     return ctes() + feature_ctes() + body
+
+
+PANEL = """, pw AS (
+  SELECT channel AS series, week, SUM(spend) AS spend, CAST(SUM(impressions) AS BIGINT) AS impressions,
+         CAST(SUM(clicks) AS BIGINT) AS clicks, CAST(SUM(video_starts) AS BIGINT) AS video_starts,
+         CAST(SUM(video_completes) AS BIGINT) AS video_completes, CAST(SUM(hh_grps_tv) AS BIGINT) AS hh_grps_tv,
+         CAST(SUM(engagements) AS BIGINT) AS engagements, SUM(estimated_sales) AS est
+  FROM rows WHERE week IS NOT NULL GROUP BY channel, week),
+sp AS (SELECT DISTINCT channel AS series FROM rows),
+pd AS (
+  SELECT sp.series, ws.week, COALESCE(pw.spend, 0) AS spend, COALESCE(pw.impressions, 0) AS impressions,
+         COALESCE(pw.clicks, 0) AS clicks, COALESCE(pw.video_starts, 0) AS video_starts,
+         COALESCE(pw.video_completes, 0) AS video_completes, COALESCE(pw.hh_grps_tv, 0) AS hh_grps_tv,
+         COALESCE(pw.engagements, 0) AS engagements,
+         CASE WHEN ws.total_sales IS NOT NULL THEN COALESCE(pw.est, 0.0) END AS total_sales
+  FROM sp CROSS JOIN weekly_sales ws LEFT JOIN pw ON pw.series = sp.series AND pw.week = ws.week),
+pdf AS (
+  SELECT *, CAST(month(week) AS INTEGER) AS month, CAST(quarter(week) AS INTEGER) AS quarter,
+         CAST(weekofyear(week) AS INTEGER) AS week_number,
+         CAST(clicks AS DOUBLE) / NULLIF(CAST(impressions AS DOUBLE), 0) AS ctr,
+         CAST(engagements AS DOUBLE) / NULLIF(CAST(impressions AS DOUBLE), 0) AS engagement_rate,
+         CAST(video_completes AS DOUBLE) / NULLIF(CAST(video_starts AS DOUBLE), 0) AS video_completion_rate,
+         CAST(spend AS DOUBLE) / NULLIF(CAST(total_sales AS DOUBLE), 0) AS cost_per_sale
+  FROM pd)
+"""
+
+PANEL_TS = """
+  SELECT series, week, total_sales, CAST(spend AS DOUBLE) AS spend, impressions, clicks, video_starts,
+         video_completes, hh_grps_tv, engagements, ctr, engagement_rate, video_completion_rate, month, quarter,
+         week_number
+  FROM pdf"""
+
+
+def pq(body: str) -> str:
+    return ctes() + PANEL + body
+
+
+def pfq(body: str) -> str:
+    return ctes() + PANEL + feature_ctes(PANEL_TS) + body
