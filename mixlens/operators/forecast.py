@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import join_small
+from ..functions.joins import bounded
 from .features import MEDIA_LAGS, N_LAGS, TARGET, engineer_features, finalize_features, future_weeks
 
 
@@ -120,11 +120,12 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
                        checkpoint_every: int = 4) -> DataFrame:
     """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series."""
     cand = candidates(weekly, horizon, series_keys, pad_calendar).checkpoint(eager=True)
-    state = history_state(weekly, horizon, series_keys).checkpoint(eager=True)
+    state, fits = bounded(history_state(weekly, horizon, series_keys))
     outs = []
     for k in range(1, horizon + 1):
         rows = cand.where(F.col("step") == k)
-        cur = join_small(rows, state, on="series", how="inner")
+        # the state has one row per series at every step: its size was checked once
+        cur = rows.join(F.broadcast(state) if fits else state, on="series", how="inner")
         cur = cur.withColumns(step_features(F.col("hist"), ewm_mode))
         cur = finalize_features(cur, feats, caps)
         pred = fit.transform(cur, "log_pred").withColumn("forecasted_sales", F.expm1("log_pred"))

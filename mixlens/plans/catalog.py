@@ -858,7 +858,7 @@ def streaming_weekly_kpi(spark, sf_dir):
     ctx = context(spark, sf_dir)
     rows = ctx.rows()
     src = ctx._path("row_fact")
-    out = run_weekly_kpi(spark, src, ctx._path("stream_weekly"), rows.schema, ctx.spec, files_per_trigger=4)
+    out = run_weekly_kpi(spark, src, ctx._path("stream_weekly"), rows.schema, ctx.spec, files_per_trigger=16)
     keep = ["week", *ctx.spec.present(out, ctx.spec.additive), "total_sales"]
     return present(out.select(*keep))
 
