@@ -97,12 +97,14 @@ def feature_columns(df: DataFrame | None = None) -> list:
 
 
 def ratio_caps(model_rows: DataFrame, cols=RATIO_CAP_COLS, q: float = 0.99) -> dict:
-    """Per-column p99 (linear interpolation) over the model rows; the table is one
-    row per (series, week), so the exact percentile is bounded by the number of weeks."""
+    """Per-column p99 (linear interpolation) over the model rows (one row per series
+    and week); exact while the row count is within the checked bound, a sketch beyond."""
     cols = [c for c in cols if c in model_rows.columns]
     if not cols:
         return {}
-    row = model_rows.agg(*[F.percentile(F.col(c).cast("double"), F.lit(q)).alias(c) for c in cols]).first()
+    from ..functions.exprs import quantile
+    n = model_rows.count()
+    row = model_rows.agg(*[quantile(c, q, n).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 

@@ -121,6 +121,8 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
     """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series."""
     cand = candidates(weekly, horizon, series_keys, pad_calendar).checkpoint(eager=True)
     state, fits = bounded(history_state(weekly, horizon, series_keys))
+    if state.isEmpty():
+        raise ValueError("No weeks with known sales -- cannot anchor a forecast.")
     outs = []
     for k in range(1, horizon + 1):
         rows = cand.where(F.col("step") == k)

@@ -212,13 +212,15 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
     checkpoint() every few rounds (reliable storage, survives executor loss)."""
     p = {**HUBER, **params}
     rounds, alpha, step = p["rounds"], p["alpha"], p["stepSize"]
-    init = df.agg(F.percentile(F.col(label), F.lit(0.5)).alias("m")).first()["m"]
-    cur = _assembled(df, feats).select("_features", F.col(label).alias("_y")).withColumn("_f", F.lit(float(init)))
-    cur = cur.checkpoint(eager=True)
+    from ..functions.exprs import quantile
+    cur = _assembled(df, feats).select("_features", F.col(label).alias("_y")).checkpoint(eager=True)
+    n = cur.count()     # exact medians/quantiles only while bounded; sketches beyond
+    init = cur.agg(quantile("_y", 0.5, n).alias("m")).first()["m"]
+    cur = cur.withColumn("_f", F.lit(float(init)))
     trees = []
     for i in range(rounds):
         r = F.col("_y") - F.col("_f")
-        delta = cur.agg(F.percentile(F.abs(r), F.lit(alpha)).alias("d")).first()["d"] or 0.0
+        delta = cur.agg(quantile(F.abs(r), alpha, n).alias("d")).first()["d"] or 0.0
         grad = F.when(F.abs(r) <= delta, r).otherwise(F.signum(r) * F.lit(delta))
         work = cur.withColumn("_g", grad).withColumn("_r", r)
         sample = work.sample(fraction=p["subsamplingRate"], seed=SEED + i) if p["subsamplingRate"] < 1 else work
@@ -226,7 +228,7 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
                                    leafCol="_leaf", maxDepth=p["maxDepth"],
                                    minInstancesPerNode=p["minInstancesPerNode"], seed=SEED + i).fit(sample)
         leafed = dt.transform(sample)
-        med = leafed.groupBy("_leaf").agg(F.percentile("_r", F.lit(0.5)).alias("_med"))
+        med = leafed.groupBy("_leaf").agg(quantile("_r", 0.5, n).alias("_med"))
         dev = (leafed.join(F.broadcast(med), "_leaf")
                      .withColumn("_d", F.col("_r") - F.col("_med"))
                      .groupBy("_leaf")

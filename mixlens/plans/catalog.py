@@ -962,3 +962,36 @@ def panel_ridge_holdout(spark, sf_dir):
     fit = fit_ridge(data.where(F.col("split") == "train"), feats)
     p = predictions(fit, data.where(F.col("split") == "test"), "Linear Regression (RidgeCV)")
     return present(p.drop("split"))
+
+
+@register("forecast_roundtrip", ORACLE["forecast_interval"])
+def forecast_roundtrip(spark, sf_dir):
+    """A5: the forecast with its band written as CSV (header, ISO dates) and read back."""
+    from pyspark.sql import types as T
+
+    from ..sources.io import load_table, save_table
+    ctx = context(spark, sf_dir)
+    fc = forecast_interval_q(spark, sf_dir)
+    path = ctx._path("forecast_csv")
+    save_table(fc, path, fmt="csv")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fc.schema.fields])
+    return load_table(spark, path, fmt="csv", schema=schema)
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """Save the ridge and forest fits with features and caps, load them back and
+    score the holdout rows with the loaded models."""
+    from ..operators.models import predictions
+    from ..sources.io import load_fit, save_fit
+    s = suite(spark, sf_dir)
+    test = s.data.where(F.col("split") == "test")
+    out = None
+    for key, name in [("ridge", "Linear Regression (RidgeCV)"), ("forest", "Random Forest")]:
+        path = s.ctx._path(f"model_{key}")
+        save_fit(spark, s.fit(key), path, s.feats, s.caps)
+        fit, feats, caps = load_fit(spark, path)
+        assert feats == s.feats and set(caps) == set(s.caps)
+        p = predictions(fit, test, name)
+        out = p if out is None else out.unionByName(p)
+    return present(out.drop("split"))

@@ -44,3 +44,12 @@ def test_horizon_beyond_table_pads(spark):
     fw = future_weeks(_weekly(spark, vals), 4).orderBy("week").collect()
     assert [r.is_padded for r in fw] == [False, False, True, True]
     assert (fw[2].week - fw[1].week).days == 7 and (fw[3].week - fw[2].week).days == 7
+
+
+def test_no_known_sales_is_a_clear_error(spark):
+    import pytest
+
+    from mixlens.operators.forecast import NaiveFit, recursive_forecast
+    weekly = _weekly(spark, [None, None, None])
+    with pytest.raises(ValueError, match="No weeks with known sales"):
+        recursive_forecast(weekly, NaiveFit(), [], {}, 2)
