@@ -643,15 +643,22 @@ _holdout_view("huber_boost_holdout", "huber")
 _holdout_view("stacked_holdout", "stack")
 
 
-@register("leaderboard")
-def leaderboard_q(spark, sf_dir):
+def _board(spark, sf_dir):
+    """Leaderboard of all six models (fits cached per context, the table checkpointed)."""
     from ..operators.models import leaderboard
     s = suite(spark, sf_dir)
-    preds = None
-    for key in ["ridge", "arx", "forest", "gbt", "huber", "stack"]:
-        p = s.predictions(key)
-        preds = p if preds is None else preds.unionByName(p)
-    return leaderboard(preds)
+    if getattr(s, "_board", None) is None:
+        preds = None
+        for key in ["ridge", "arx", "forest", "gbt", "huber", "stack"]:
+            p = s.predictions(key)
+            preds = p if preds is None else preds.unionByName(p)
+        s._board = leaderboard(preds).checkpoint(eager=True)
+    return s._board
+
+
+@register("leaderboard")
+def leaderboard_q(spark, sf_dir):
+    return _board(spark, sf_dir).orderBy("rmse", "model")
 
 
 def _naive_forecast(spark, sf_dir, horizon=12):
@@ -710,14 +717,9 @@ def forecast_summary_q(spark, sf_dir):
 def champion_forecast(spark, sf_dir):
     """Forecast with the leaderboard's best model and its holdout RMSE band."""
     from ..operators.forecast import attach_interval, recursive_forecast
-    from ..operators.models import MODEL_NAMES, leaderboard
+    from ..operators.models import MODEL_NAMES
     s = suite(spark, sf_dir)
-    keys = ["ridge", "arx", "forest"]
-    preds = None
-    for key in keys:
-        p = s.predictions(key)
-        preds = p if preds is None else preds.unionByName(p)
-    best = leaderboard(preds).first()
+    best = _board(spark, sf_dir).orderBy("rmse", "model").first()
     key = {v: k for k, v in MODEL_NAMES.items()}[best["model"]]
     fc = recursive_forecast(s.ctx.weekly(), s.fit(key), s.feats, s.caps, 12)
     return attach_interval(fc, best["rmse"]).withColumn("model", F.lit(best["model"]))
@@ -811,10 +813,7 @@ def insight_facts(spark, sf_dir):
 def insights_q(spark, sf_dir):
     from ..operators.explain import shap_global
     from ..operators.insights import generate
-    from ..operators.models import leaderboard
-    s = suite(spark, sf_dir)
-    preds = s.predictions("ridge").unionByName(s.predictions("forest")).unionByName(s.predictions("arx"))
-    best = leaderboard(preds).first().asDict()
+    best = _board(spark, sf_dir).orderBy("rmse", "model").first().asDict()
     top = shap_global(_shap(spark, sf_dir)).first()["feature"]
     return generate(spark, _facts(spark, sf_dir), best, top)
 
@@ -884,10 +883,8 @@ def dataset_summary_q(spark, sf_dir):
 
 @register("model_comparison")
 def model_comparison_q(spark, sf_dir):
-    from ..operators.models import leaderboard, model_comparison
-    s = suite(spark, sf_dir)
-    preds = s.predictions("ridge").unionByName(s.predictions("arx")).unionByName(s.predictions("forest"))
-    return model_comparison(leaderboard(preds))
+    from ..operators.models import model_comparison
+    return model_comparison(_board(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------------
