@@ -9,6 +9,7 @@ is a loop of MLlib trees whose leaf values come from a grouped aggregate.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -298,19 +299,25 @@ def fit_stack(df: DataFrame, feats, base_fitters: dict, folds: int = 5, label: s
         fold = F.when(F.col("week") >= F.lit(weeks[int(starts[k])]), F.lit(k)).otherwise(fold)
     idx = df.withColumn("_fold", fold)
     idx = idx.checkpoint(eager=True)
-    oof_parts = []
-    for k in range(folds):
+    names = list(base_fitters)
+
+    def fold_part(k):
+        """Out-of-fold scores of every base model for fold k (fit on the other folds)."""
         train, hold = idx.where(F.col("_fold") != k), idx.where(F.col("_fold") == k)
         part = hold
-        for name, fitter in base_fitters.items():
-            part = fitter(train).transform(part, f"_b_{name}")
-        oof_parts.append(part.select(LABEL, *[f"_b_{nm}" for nm in base_fitters]))
+        for name in names:
+            part = base_fitters[name](train).transform(part, f"_b_{name}")
+        return part.select(LABEL, *[f"_b_{nm}" for nm in names]).checkpoint(eager=True)
+
+    # the folds are independent Spark jobs: submit them concurrently from driver threads
+    with ThreadPoolExecutor(max_workers=min(folds, 8)) as pool:
+        oof_parts = list(pool.map(fold_part, range(folds)))
+        finals = dict(zip(names, pool.map(lambda nm: base_fitters[nm](df), names)))
     oof = oof_parts[0]
     for p_ in oof_parts[1:]:
         oof = oof.unionByName(p_)
-    meta = fit_ridge(oof.checkpoint(eager=True), [f"_b_{nm}" for nm in base_fitters], META_ALPHAS, label)
-    bases = {name: fitter(df) for name, fitter in base_fitters.items()}
-    return StackFit(bases, meta)
+    meta = fit_ridge(oof.checkpoint(eager=True), [f"_b_{nm}" for nm in names], META_ALPHAS, label)
+    return StackFit(finals, meta)
 
 
 # ----------------------------------------------------------------------------------

@@ -648,8 +648,12 @@ def _board(spark, sf_dir):
     from ..operators.models import leaderboard
     s = suite(spark, sf_dir)
     if getattr(s, "_board", None) is None:
+        from concurrent.futures import ThreadPoolExecutor
+        keys = ["ridge", "arx", "forest", "gbt", "huber", "stack"]
+        with ThreadPoolExecutor(max_workers=len(keys)) as pool:   # independent fits, concurrent jobs
+            list(pool.map(s.fit, keys))
         preds = None
-        for key in ["ridge", "arx", "forest", "gbt", "huber", "stack"]:
+        for key in keys:
             p = s.predictions(key)
             preds = p if preds is None else preds.unionByName(p)
         s._board = leaderboard(preds).checkpoint(eager=True)
