@@ -19,10 +19,15 @@ def safe_div(num, den) -> Column:
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))
 
 
+# Every character Python's str.strip() removes (derived by rule, not listed by hand).
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def trim_ws(c) -> Column:
-    """Strip leading/trailing whitespace (tab, newline, unicode spaces); ``trim`` only
-    strips the space character."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Strip leading/trailing whitespace exactly as ``str.strip()`` does (tab, newline,
+    unicode spaces); plain ``trim`` only strips the space character. ``btrim`` with a
+    character set is a plain scan, cheaper than a regular expression."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def align_sunday(d) -> Column:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -237,9 +238,14 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
                           F.avg(F.signum("_d") * F.least(F.abs("_d"), F.lit(float(delta)))).alias("_adj")))
         leaf_vals = {float(row["_leaf"]): float(row["_med"] + row["_adj"]) for row in dev.collect()}
         trees.append((dt, leaf_vals))
+        prev = cur
         cur = _apply_tree(cur, dt, leaf_vals, "_f", step, i)
         if (i + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+            cur = cur.checkpoint(eager=True)      # reliable storage: cuts the lineage
+        else:
+            cur = cur.persist(StorageLevel.MEMORY_AND_DISK)   # reused by this round's jobs
+        if prev.is_cached:
+            prev.unpersist()
     return HuberFit(float(init), trees, step, list(feats))
 
 
