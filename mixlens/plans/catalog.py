@@ -7,6 +7,9 @@ summation order.
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -567,12 +570,17 @@ class ModelSuite:
         self.data = time_split(df).withColumn("label", F.log1p("total_sales")).checkpoint(eager=True)
         self.train = self.data.where(F.col("split") == "train")
         self.fits = {}
+        self._locks = defaultdict(threading.Lock)
 
     def fit(self, key):
+        with self._locks[key]:            # each model is fitted once, even from threads
+            if key not in self.fits:
+                self.fits[key] = self._fit(key)
+            return self.fits[key]
+
+    def _fit(self, key):
         from ..operators import models as M
         from ..operators.forecast import NaiveFit
-        if key in self.fits:
-            return self.fits[key]
         f, tr = self.feats, self.train
         if key == "naive":
             fit = NaiveFit()
@@ -593,7 +601,6 @@ class ModelSuite:
                                       "ridge": lambda d: M.fit_ridge(d, f)})
         else:
             raise KeyError(key)
-        self.fits[key] = fit
         return fit
 
     def predictions(self, key, name=None):
@@ -604,9 +611,10 @@ class ModelSuite:
 
 def suite(spark, sf_dir) -> ModelSuite:
     ctx = context(spark, sf_dir)
-    if getattr(ctx, "_suite", None) is None:
-        ctx._suite = ModelSuite(ctx)
-    return ctx._suite
+    with ctx._lock:
+        if getattr(ctx, "_suite", None) is None:
+            ctx._suite = ModelSuite(ctx)
+        return ctx._suite
 
 
 _NAIVE_PRED = ("SELECT split, total_sales AS y, sales_lag_1 AS yhat FROM split WHERE split <> 'forecast'")

@@ -11,6 +11,7 @@ and partition pruning on ``year``.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from ..sources.media_fact import media_from_tpch
 from ..spec import DEFAULT_SPEC, MediaSpec
 
 _CONTEXTS: dict = {}
+_LOCK = threading.Lock()
 
 
 class MediaContext:
@@ -31,9 +33,14 @@ class MediaContext:
         self._rows = None
         self._raw = None
         self._weekly = None
+        self._lock = threading.RLock()   # one materialisation per table, even from threads
 
     # -- raw fact, written once (the source join runs one time) ----------------------
     def _raw_table(self) -> DataFrame:
+        with self._lock:
+            return self._raw_table_locked()
+
+    def _raw_table_locked(self) -> DataFrame:
         if self._raw is None:
             path = self._path("raw_fact")
             media_from_tpch(self.spark, self.sf_dir, keep_line=True).write.mode("overwrite").parquet(path)
@@ -58,6 +65,10 @@ class MediaContext:
 
     def rows(self) -> DataFrame:
         """Cleaned rows with calendar parts and ``estimated_sales`` (read from Parquet)."""
+        with self._lock:
+            return self._rows_locked()
+
+    def _rows_locked(self) -> DataFrame:
         if self._rows is None:
             path = self._path("row_fact")
             # the cleaned rows feed two passes (weekly statistics, allocation); keep them
@@ -73,9 +84,10 @@ class MediaContext:
     def weekly(self) -> DataFrame:
         """Weekly feature table (D3) from the materialised rows; small (one row per week)."""
         from ..operators.measure import weekly_feature_table
-        if self._weekly is None:
-            self._weekly = weekly_feature_table(self.rows(), self.spec).checkpoint(eager=True)
-        return self._weekly
+        with self._lock:
+            if self._weekly is None:
+                self._weekly = weekly_feature_table(self.rows(), self.spec).checkpoint(eager=True)
+            return self._weekly
 
     def weekly_sales(self) -> DataFrame:
         return self.weekly().select(self.spec.week_col, "total_sales")
@@ -83,10 +95,11 @@ class MediaContext:
 
 def context(spark: SparkSession, sf_dir: str, spec: MediaSpec = DEFAULT_SPEC) -> MediaContext:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(spec))
-    if key not in _CONTEXTS:
-        ensure_checkpoint_dir(spark)
-        _CONTEXTS[key] = MediaContext(spark, sf_dir.rstrip("/"), spec)
-    return _CONTEXTS[key]
+    with _LOCK:
+        if key not in _CONTEXTS:
+            ensure_checkpoint_dir(spark)
+            _CONTEXTS[key] = MediaContext(spark, sf_dir.rstrip("/"), spec)
+        return _CONTEXTS[key]
 
 
 def col_order(df: DataFrame, first) -> DataFrame:
