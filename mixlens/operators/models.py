@@ -89,21 +89,25 @@ class RidgeFit:
         return df.withColumn(out, self.predict_expr())
 
 
-def _centered(st: dict):
+def _centered(st: dict, standardize: bool = True):
     n = st["n"]
     mean = st["s"] / n
     cov = st["g"] - n * np.outer(mean, mean)                 # centred X'X
-    var = np.clip(np.diag(cov) / n, 0.0, None)               # ddof=0, like StandardScaler
-    scale = np.sqrt(var)
-    scale[scale == 0.0] = 1.0
+    if standardize:
+        var = np.clip(np.diag(cov) / n, 0.0, None)           # ddof=0, like StandardScaler
+        scale = np.sqrt(var)
+        scale[scale == 0.0] = 1.0
+    else:
+        scale = np.ones_like(mean)                           # plain ridge: centre only
     zz = cov / np.outer(scale, scale)                        # Z'Z of standardised columns
     ybar = st["sy"] / n
     zy = (st["sxy"] - n * mean * ybar) / scale               # Z'y_c
     return mean, scale, zz, zy, ybar
 
 
-def fit_ridge(df: DataFrame, feats, alphas=RIDGE_ALPHAS, label: str = LABEL) -> RidgeFit:
-    """Standardise, choose alpha by exact leave-one-out error, fit.
+def fit_ridge(df: DataFrame, feats, alphas=RIDGE_ALPHAS, label: str = LABEL,
+              standardize: bool = True) -> RidgeFit:
+    """Standardise (or only centre), choose alpha by exact leave-one-out error, fit.
 
     LOO residual of row i: e_i / (1 - h_i), h_i = 1/n + z_i'(Z'Z + a I)^-1 z_i. With
     Z'Z = V diag(s) V' both terms are sums over the p eigen-directions, so one pass over
@@ -111,7 +115,7 @@ def fit_ridge(df: DataFrame, feats, alphas=RIDGE_ALPHAS, label: str = LABEL) ->
     for every alpha; only len(alphas) numbers per task come back.
     """
     st = gram_stats(df, feats, label)
-    mean, scale, zz, zy, ybar = _centered(st)
+    mean, scale, zz, zy, ybar = _centered(st, standardize)
     s, v = np.linalg.eigh(zz)
     s = np.clip(s, 0.0, None)
     c = v.T @ zy
@@ -322,7 +326,9 @@ def fit_stack(df: DataFrame, feats, base_fitters: dict, folds: int = 5, label: s
     oof = oof_parts[0]
     for p_ in oof_parts[1:]:
         oof = oof.unionByName(p_)
-    meta = fit_ridge(oof.checkpoint(eager=True), [f"_b_{nm}" for nm in names], META_ALPHAS, label)
+    # the meta-learner is a plain ridge on the out-of-fold columns (no scaler)
+    meta = fit_ridge(oof.checkpoint(eager=True), [f"_b_{nm}" for nm in names], META_ALPHAS, label,
+                     standardize=False)
     return StackFit(finals, meta)
 
 

@@ -59,3 +59,11 @@ def test_interval_lower_bound_floor(spark):
     df = spark.createDataFrame([("all", 5.0)], "series string, forecasted_sales double")
     r = attach_interval(df, 9.0).first()
     assert r.lower_bound == 0.0 and r.upper_bound == 14.0
+
+
+def test_plain_ridge_matches_closed_form(spark):
+    df, x, y, cols = _frame(spark, seed=3)
+    fit = fit_ridge(df, cols, [2.0], standardize=False)
+    xc, yc = x - x.mean(0), y - y.mean()
+    w = np.linalg.solve(xc.T @ xc + 2.0 * np.eye(len(cols)), xc.T @ yc)
+    assert np.allclose(fit.coef, w, atol=1e-9)
