@@ -62,16 +62,21 @@ def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEF
         for bad in spec.typos[c]:
             typo = typo | (trim_ws(F.col(c).cast("string")) == bad)
     neg = F.expr(f"try_cast(`{spec.spend_col}` as double)") < 0 if spec.spend_col in cols else F.lit(False)
-    raw_stats = raw.agg(
-        F.count("*").alias("total_rows"),
-        F.sum(missing).alias("total_missing_cells"),
-        F.count_if(typo).alias("typos_fixed"),
-        F.sum(filled).alias("structural_nas_filled"),
-        F.count_if(neg).alias("negative_spend_rows"),
+    # One shuffle serves both the duplicate count and the cell counts: rows are grouped by
+    # all their columns (copies collapse map-side), and every per-row statistic is
+    # re-weighted by the group's size.
+    grouped = raw.groupBy(*cols).agg(F.count("*").alias("_n"))
+    n = F.col("_n")
+    raw_stats = grouped.agg(
+        F.sum(n).alias("total_rows"),
+        F.count("*").alias("distinct_raw_rows"),
+        F.sum(missing * n).alias("total_missing_cells"),
+        F.sum(F.when(typo, n).otherwise(0)).alias("typos_fixed"),
+        F.sum(filled * n).alias("structural_nas_filled"),
+        F.sum(F.when(neg, n).otherwise(0)).alias("negative_spend_rows"),
         F.count_distinct(F.col(spec.date_col)).alias("distinct_weeks"))
-    distinct_rows = raw.distinct().agg(F.count("*").alias("distinct_raw_rows"))
     clean_stats = clean_rows.agg(F.count("*").alias("clean_rows"))
-    m = merge_rows(raw_stats, distinct_rows, clean_stats)
+    m = merge_rows(raw_stats, clean_stats)
     total_cells = F.col("total_rows") * F.lit(n_cols)
     return m.select(
         "total_rows",
