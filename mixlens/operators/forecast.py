@@ -95,11 +95,10 @@ def candidates(weekly: DataFrame, horizon: int, series_keys=None, pad_calendar:
         wk = F.col("week")
         wn = F.weekofyear(wk).cast("double")
         import math
-        out = out.withColumns({
-            "month": F.coalesce("month", F.month(wk)), "quarter": F.coalesce("quarter", F.quarter(wk)),
-            "week_of_year_sin": F.coalesce("week_of_year_sin", F.sin(F.lit(2 * math.pi) * wn / 52.0)),
-            "week_of_year_cos": F.coalesce("week_of_year_cos", F.cos(F.lit(2 * math.pi) * wn / 52.0)),
-        })
+        cal = {"month": F.month(wk), "quarter": F.quarter(wk),
+               "week_of_year_sin": F.sin(F.lit(2 * math.pi) * wn / 52.0),
+               "week_of_year_cos": F.cos(F.lit(2 * math.pi) * wn / 52.0)}
+        out = out.withColumns({c: F.coalesce(F.col(c), e) if c in out.columns else e for c, e in cal.items()})
     return out
 
 

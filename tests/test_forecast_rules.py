@@ -73,3 +73,25 @@ def test_recursive_forecast_rules(spark):
     assert [r.week for r in got][:2] == weeks[10:12]
     assert (got[2].week - got[1].week).days == 7
     assert np.allclose([r.forecasted_sales for r in got], expect, rtol=1e-9)
+
+
+def test_exact_ewm_and_calendar_padding(spark):
+    import pandas as pd
+
+    from mixlens.operators.forecast import candidates, step_features
+    hist = [3.0, None, 5.0, 8.0]
+    row = spark.createDataFrame([(hist,)], "hist array<double>").select(
+        step_features(F.col("hist"), "exact")["sales_ewm_4"].alias("e")).first()
+    expect = pd.Series([np.nan if v is None else v for v in hist]).ewm(span=4).mean().iloc[-1]
+    assert abs(row.e - expect) < 1e-9
+
+    start = dt.date(2024, 1, 7)
+    rows = [(start + dt.timedelta(days=7 * i), 1.0 if i < 3 else None, 1.0, 1, 1, (start + dt.timedelta(days=7 * i)).month)
+            for i in range(4)]
+    df = spark.createDataFrame(rows, "week date, total_sales double, spend double, impressions bigint, "
+                                     "clicks bigint, month int")
+    plain = {r.week: r.month for r in candidates(df, 3).collect()}
+    fixed = {r.week: r.month for r in candidates(df, 3, pad_calendar=True).collect()}
+    padded = sorted(plain)[1:]
+    assert all(plain[w] is None for w in padded)             # reference: padded weeks lose calendar
+    assert all(fixed[w] == w.month for w in padded)          # option: calendar filled in
