@@ -45,23 +45,34 @@ MODEL_NAMES = {
 # Ridge with leave-one-out alpha choice (standardised features, free intercept)
 # ----------------------------------------------------------------------------------
 def gram_stats(df: DataFrame, feats, label: str = LABEL) -> dict:
-    """n, column sums, X'X, X'y and y'y in one aggregate (partial sums per task)."""
+    """n, column sums, X'X, X'y and y'y. Each task multiplies its own Arrow batches with
+    BLAS and returns only its p x p partial sums (bounded by the feature count, not the
+    rows); the partials are added up by a grouped sum. A single SQL aggregate with p^2
+    sum expressions would exceed whole-stage codegen's field limit and run interpreted."""
     p = len(feats)
-    x = [F.col(c).cast("double") for c in feats]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
-    aggs += [F.sum(x[i] * y).alias(f"sy{i}") for i in range(p)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)]
-    r = df.agg(*aggs).first().asDict()
-    n = float(r["n"])
-    s = np.array([r[f"s{i}"] for i in range(p)], dtype=float)
-    sxy = np.array([r[f"sy{i}"] for i in range(p)], dtype=float)
-    g = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            g[i, j] = g[j, i] = r[f"g{i}_{j}"]
-    return {"n": n, "sy": r["sy"], "syy": r["syy"], "s": s, "sxy": sxy, "g": g}
+    cols = list(feats) + [label]
+
+    def partial(batches):
+        acc = np.zeros((p + 2, p + 2))
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            m = pdf[cols].to_numpy(dtype=float)
+            a = np.hstack([m, np.ones((len(m), 1))])     # [x..., y, 1]
+            acc += a.T @ a
+        iu = np.triu_indices(p + 2)
+        yield pd.DataFrame({"i": iu[0], "j": iu[1], "v": acc[iu]})
+
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("j", T.LongType()),
+                           T.StructField("v", T.DoubleType())])
+    parts = (df.select(*[F.col(c).cast("double") for c in cols]).mapInPandas(partial, schema)
+               .groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas())
+    full = np.zeros((p + 2, p + 2))
+    full[parts["i"].to_numpy(), parts["j"].to_numpy()] = parts["v"].to_numpy()
+    full = np.triu(full) + np.triu(full, 1).T
+    yi, oi = p, p + 1
+    return {"n": float(full[oi, oi]), "sy": float(full[yi, oi]), "syy": float(full[yi, yi]),
+            "s": full[:p, oi].copy(), "sxy": full[:p, yi].copy(), "g": full[:p, :p].copy()}
 
 
 @dataclass
