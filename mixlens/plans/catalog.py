@@ -674,9 +674,14 @@ def leaderboard_q(spark, sf_dir):
 
 
 def _naive_forecast(spark, sf_dir, horizon=12):
+    """The lag-1 recursive forecast, computed once per context (checkpointed)."""
     from ..operators.forecast import recursive_forecast
     s = suite(spark, sf_dir)
-    return recursive_forecast(s.ctx.weekly(), s.fit("naive"), s.feats, s.caps, horizon)
+    with s.ctx._lock:
+        if getattr(s, "_naive_fc", None) is None:
+            s._naive_fc = recursive_forecast(s.ctx.weekly(), s.fit("naive"), s.feats, s.caps,
+                                             horizon).checkpoint(eager=True)
+        return s._naive_fc
 
 
 _FC_SQL = (
