@@ -55,11 +55,6 @@ def non_negative_number(c, dtype: T.DataType) -> Column:
     return F.greatest(v, F.lit(0).cast(dtype)).cast(dtype)
 
 
-def null_safe_greatest_floor(c, floor: float) -> Column:
-    """max(c, floor) but NULL stays NULL (``greatest`` would skip the NULL)."""
-    return F.when(col(c).isNull(), F.lit(None)).otherwise(F.greatest(col(c), F.lit(floor)))
-
-
 def pair_masked(x, y):
     """Pairwise-complete inputs: keep x only where y is present and vice versa."""
     x, y = col(x), col(y)

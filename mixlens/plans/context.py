@@ -15,7 +15,6 @@ import threading
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.allocate import allocate_sales
 from ..operators.clean import clean, date_parts
@@ -102,9 +101,4 @@ def context(spark: SparkSession, sf_dir: str, spec: MediaSpec = DEFAULT_SPEC) ->
         return _CONTEXTS[key]
 
 
-def col_order(df: DataFrame, first) -> DataFrame:
-    first = [c for c in first if c in df.columns]
-    return df.select(*first, *[c for c in df.columns if c not in first])
-
-
-__all__ = ["MediaContext", "context", "col_order", "F"]
+__all__ = ["MediaContext", "context"]

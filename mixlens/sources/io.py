@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import json
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -65,4 +64,4 @@ def load_fit(spark: SparkSession, path: str):
     return fit, meta["feats"], meta["caps"]
 
 
-__all__ = ["save_table", "load_table", "save_fit", "load_fit", "np"]
+__all__ = ["save_table", "load_table", "save_fit", "load_fit"]
