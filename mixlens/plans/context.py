@@ -23,6 +23,8 @@ from ..sources.media_fact import media_from_tpch
 from ..spec import DEFAULT_SPEC, MediaSpec
 
 _CONTEXTS: dict = {}
+# keeps written files near a few hundred MB however many rows one task holds
+MAX_RECORDS_PER_FILE = 5_000_000
 _LOCK = threading.Lock()
 
 
@@ -42,7 +44,8 @@ class MediaContext:
     def _raw_table_locked(self) -> DataFrame:
         if self._raw is None:
             path = self._path("raw_fact")
-            media_from_tpch(self.spark, self.sf_dir, keep_line=True).write.mode("overwrite").parquet(path)
+            (media_from_tpch(self.spark, self.sf_dir, keep_line=True)
+                .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
             self._raw = self.spark.read.parquet(path)
         return self._raw
 
@@ -74,7 +77,8 @@ class MediaContext:
             # for the duration of this write only (spills to disk, recomputable on loss)
             cleaned = self.clean().persist(StorageLevel.MEMORY_AND_DISK)
             fact = allocate_sales(cleaned, self.spec).transform(date_parts, self.spec.week_col)
-            fact.write.mode("overwrite").partitionBy("year").parquet(path)
+            (fact.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+                 .partitionBy("year").parquet(path))
             cleaned.unpersist()
             self._rows = self.spark.read.parquet(path)
         return self._rows
