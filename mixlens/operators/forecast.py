@@ -117,29 +117,36 @@ def history_state(weekly: DataFrame, horizon: int, series_keys=None) -> DataFram
 def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int = 12, series_keys=None,
                        ewm_mode: str = "reference", pad_calendar: bool = False,
                        checkpoint_every: int = 4) -> DataFrame:
-    """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series."""
+    """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series.
+
+    The state row of a series carries its last 8 values and the forecasts made so far;
+    each step joins that step's candidate row, scores it and appends the prediction.
+    The result is exploded from the final state once, so the plan stays one chain."""
     cand = candidates(weekly, horizon, series_keys, pad_calendar).checkpoint(eager=True)
     state, fits = bounded(history_state(weekly, horizon, series_keys))
     if state.isEmpty():
         raise ValueError("No weeks with known sales -- cannot anchor a forecast.")
-    outs = []
+    empty = F.array().cast("array<struct<week:date,forecasted_sales:double>>")
+    state = state.withColumn("out", empty)
     for k in range(1, horizon + 1):
         rows = cand.where(F.col("step") == k)
-        # the state has one row per series at every step: its size was checked once
-        cur = rows.join(F.broadcast(state) if fits else state, on="series", how="inner")
+        # state and step rows both hold at most one row per series, a count checked once;
+        # the (preserved) state streams, the step's candidates are broadcast. A series
+        # without a k-th candidate keeps its state unchanged.
+        cur = state.join(F.broadcast(rows) if fits else rows, on="series", how="left")
         cur = cur.withColumns(step_features(F.col("hist"), ewm_mode))
         cur = finalize_features(cur, feats, caps)
-        pred = fit.transform(cur, "log_pred").withColumn("forecasted_sales", F.expm1("log_pred"))
-        pred = pred.select("series", "week", "hist", "forecasted_sales")
+        pred = fit.transform(cur, "log_pred").withColumn("_y", F.expm1("log_pred"))
+        has = F.col("step").isNotNull()
+        state = pred.select(
+            "series",
+            F.when(has, F.slice(F.concat("hist", F.array("_y")), -N_LAGS, N_LAGS)).otherwise(F.col("hist"))
+             .alias("hist"),
+            F.when(has, F.concat("out", F.array(F.struct(F.col("week"), F.col("_y").alias("forecasted_sales")))))
+             .otherwise(F.col("out")).alias("out"))
         if k % checkpoint_every == 0 or k == horizon:
-            pred = pred.checkpoint(eager=True)
-        outs.append(pred.select("series", "week", "forecasted_sales"))
-        state = pred.select("series", F.slice(F.concat("hist", F.array("forecasted_sales")),
-                                              -N_LAGS, N_LAGS).alias("hist"))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+            state = state.checkpoint(eager=True)
+    return state.select("series", F.inline("out"))
 
 
 def attach_interval(forecast: DataFrame, rmse: float) -> DataFrame:

@@ -1009,3 +1009,19 @@ def model_roundtrip(spark, sf_dir):
         p = predictions(fit, test, name)
         out = p if out is None else out.unionByName(p)
     return present(out.drop("split"))
+
+
+@register("panel_ridge_forecast")
+def panel_ridge_forecast(spark, sf_dir):
+    """Pooled ridge fitted on every channel's training weeks, rolled forward 12 weeks for
+    all channels at once, with each channel's band from the pooled holdout RMSE."""
+    from ..operators.features import model_dataset, time_split
+    from ..operators.forecast import attach_interval, recursive_forecast
+    from ..operators.models import fit_ridge, metrics, predictions
+    panel = _panel(spark, sf_dir)
+    df, feats, caps = model_dataset(panel)
+    data = time_split(df).withColumn("label", F.log1p("total_sales")).checkpoint(eager=True)
+    fit = fit_ridge(data.where(F.col("split") == "train"), feats)
+    rmse = metrics(predictions(fit, data.where(F.col("split") == "test"), "ridge")).first()["rmse"]
+    fc = recursive_forecast(panel, fit, feats, caps, 12)
+    return present(attach_interval(fc, rmse))
