@@ -31,7 +31,7 @@ def _money(c):
     return F.concat(F.lit("$"), F.format_number(c, 0))
 
 
-def facts(rows: DataFrame, weekly: DataFrame, dim: str = "media_type", eff_dim: str = "channel",
+def facts(rows: DataFrame, weekly: DataFrame, dim: str = "channel", eff_dim: str = "channel",
           corr_cols=None) -> DataFrame:
     """Numeric facts behind K1, K2, K4, K5 and K6 as (rule_id, subject, value)."""
     from .eda import corr_with_target

@@ -804,7 +804,7 @@ _FACT_ROUND = "CASE WHEN rule_id LIKE 'K1%' THEN ROUND(value, 2) ELSE ROUND(valu
 
 
 @register("insight_facts", O.q(
-    ", share AS (SELECT media_type AS d, SUM(estimated_sales) AS v FROM rows GROUP BY media_type), "
+    ", share AS (SELECT channel AS d, SUM(estimated_sales) AS v FROM rows GROUP BY channel), "
     "tot AS (SELECT SUM(v) AS t, COUNT(*) AS n FROM share), "
     "cw AS (" + " UNION ALL ".join(f"SELECT '{a}' AS feature, {O.corr(a, 'total_sales')} AS r FROM weekly"
                                   for a in _PRESENT_SALES_CORR) + "), "
@@ -814,7 +814,7 @@ _FACT_ROUND = "CASE WHEN rule_id LIKE 'K1%' THEN ROUND(value, 2) ELSE ROUND(valu
     "(SELECT 'K1_top' AS rule_id, d AS subject, v AS value, v / t AS share FROM share, tot "
     " ORDER BY v DESC, d DESC LIMIT 1) UNION ALL "
     "(SELECT 'K1_bottom', d, v, v / t FROM share, tot ORDER BY v ASC, d ASC LIMIT 1) UNION ALL "
-    "SELECT 'K5_categories', 'media_type', CAST(n AS DOUBLE), NULL FROM tot UNION ALL "
+    "SELECT 'K5_categories', 'channel', CAST(n AS DOUBLE), NULL FROM tot UNION ALL "
     "(SELECT 'K2_strongest_corr', feature, r, NULL FROM cw WHERE r IS NOT NULL ORDER BY abs(r) DESC LIMIT 1) "
     "UNION ALL (SELECT 'K4_best_cpc', channel, cpc, NULL FROM eff WHERE cpc IS NOT NULL AND spend > 0 "
     " ORDER BY cpc, channel LIMIT 1) UNION ALL "
