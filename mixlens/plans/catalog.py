@@ -1025,3 +1025,24 @@ def panel_ridge_forecast(spark, sf_dir):
     rmse = metrics(predictions(fit, data.where(F.col("split") == "test"), "ridge")).first()["rmse"]
     fc = recursive_forecast(panel, fit, feats, caps, 12)
     return present(attach_interval(fc, rmse))
+
+
+@register("saved_tables", O.q(
+    "SELECT 'row_level' AS table_name, (SELECT COUNT(*) FROM rows) AS n_rows UNION ALL "
+    "SELECT 'weekly', (SELECT COUNT(*) FROM weekly) UNION ALL "
+    "SELECT 'weekly_sales', (SELECT COUNT(*) FROM weekly_sales) UNION ALL "
+    "SELECT 'raw', (SELECT COUNT(*) FROM media_raw)"))
+def saved_tables(spark, sf_dir):
+    """A3 + A2: the four pipeline tables written (row level partitioned by year) and read
+    back; one row per table with its row count."""
+    from ..sources.io import load_table, save_pipeline_tables
+    ctx = context(spark, sf_dir)
+    tables = {"row_level": ctx.rows(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
+              "raw": ctx.raw()}
+    paths = save_pipeline_tables(tables, ctx._path("saved"))
+    out = None
+    for name, path in paths.items():
+        c = load_table(spark, path).agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out

@@ -64,4 +64,16 @@ def load_fit(spark: SparkSession, path: str):
     return fit, meta["feats"], meta["caps"]
 
 
-__all__ = ["save_table", "load_table", "save_fit", "load_fit"]
+__all__ = ["save_table", "load_table", "save_fit", "load_fit", "save_pipeline_tables"]
+
+
+def save_pipeline_tables(tables: dict, root: str, fmt: str = "parquet") -> dict:
+    """A3/A4: write the pipeline's tables under ``root`` (row-level partitioned by year when
+    it has the column) and return {name: path}."""
+    paths = {}
+    for name, df in tables.items():
+        path = f"{root.rstrip('/')}/{name}"
+        part = ["year"] if ("year" in df.columns and name == "row_level") else None
+        save_table(df, path, fmt=fmt, partition_by=part)
+        paths[name] = path
+    return paths
