@@ -113,7 +113,7 @@ def cleaning_waterfall(summary: DataFrame) -> DataFrame:
     return summary.select(F.inline(arr)).where("_keep").drop("_keep")
 
 
-def pipeline_edges(summary: DataFrame) -> DataFrame:
+def cleaning_flow_edges(summary: DataFrame) -> DataFrame:
     """Flow edges raw -> checks -> clean with every value floored at 1."""
     s = {c: F.col(c) for c in summary.columns}
     one = F.lit(1)

@@ -426,12 +426,12 @@ _EDGES = [(0, 1, "total_missing_cells"), (0, 2, "GREATEST(typos_fixed, 1)"),
           (5, 6, "GREATEST(negative_spend_rows, 1)")]
 
 
-@register("pipeline_edges", O.q(_SUMMARY_CTE + " UNION ALL ".join(
+@register("cleaning_flow_edges", O.q(_SUMMARY_CTE + " UNION ALL ".join(
     f"SELECT '{_NODES[a]}' AS source, '{_NODES[b]}' AS target, CAST({v} AS BIGINT) AS value FROM qs"
     for a, b, v in _EDGES), copies=True))
-def pipeline_edges_q(spark, sf_dir):
-    from ..operators.quality import pipeline_edges
-    return pipeline_edges(_quality_frames(spark, sf_dir))
+def cleaning_flow_edges_q(spark, sf_dir):
+    from ..operators.quality import cleaning_flow_edges
+    return cleaning_flow_edges(_quality_frames(spark, sf_dir))
 
 
 _EVIDENCE_CTE = (
@@ -1033,13 +1033,13 @@ def panel_ridge_forecast(spark, sf_dir):
     "SELECT 'weekly_sales', (SELECT COUNT(*) FROM weekly_sales) UNION ALL "
     "SELECT 'raw', (SELECT COUNT(*) FROM media_raw)"))
 def saved_tables(spark, sf_dir):
-    """A3 + A2: the four pipeline tables written (row level partitioned by year) and read
+    """A3 + A2: the four output tables written (row level partitioned by year) and read
     back; one row per table with its row count."""
-    from ..sources.io import load_table, save_pipeline_tables
+    from ..sources.io import load_table, save_table_set
     ctx = context(spark, sf_dir)
     tables = {"row_level": ctx.rows(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
               "raw": ctx.raw()}
-    paths = save_pipeline_tables(tables, ctx._path("saved"))
+    paths = save_table_set(tables, ctx._path("saved"))
     out = None
     for name, path in paths.items():
         c = load_table(spark, path).agg(F.count("*").alias("n_rows")).select(

@@ -64,11 +64,11 @@ def load_fit(spark: SparkSession, path: str):
     return fit, meta["feats"], meta["caps"]
 
 
-__all__ = ["save_table", "load_table", "save_fit", "load_fit", "save_pipeline_tables"]
+__all__ = ["save_table", "load_table", "save_fit", "load_fit", "save_table_set"]
 
 
-def save_pipeline_tables(tables: dict, root: str, fmt: str = "parquet") -> dict:
-    """A3/A4: write the pipeline's tables under ``root`` (row-level partitioned by year when
+def save_table_set(tables: dict, root: str, fmt: str = "parquet") -> dict:
+    """A3/A4: write a set of tables under ``root`` (row-level partitioned by year when
     it has the column) and return {name: path}."""
     paths = {}
     for name, df in tables.items():
