@@ -41,10 +41,23 @@ class MediaContext:
         with self._lock:
             return self._raw_table_locked()
 
+    def _source(self) -> DataFrame:
+        """The raw media fact: a real export (``export:<format>:<path>``) read with the header
+        rename map, or the fact derived from a folder of TPC-H-style tables."""
+        if self.sf_dir.startswith("export:"):
+            from pyspark.sql import functions as F
+
+            from ..sources.media_fact import read_media
+            _, fmt, path = self.sf_dir.split(":", 2)
+            opts = {"header": True} if fmt == "csv" else {}
+            # an export carries no synthetic copies: line number 1 means "one copy"
+            return read_media(self.spark, path, fmt=fmt, **opts).withColumn("_lnum", F.lit(1))
+        return media_from_tpch(self.spark, self.sf_dir, keep_line=True)
+
     def _raw_table_locked(self) -> DataFrame:
         if self._raw is None:
             path = self._path("raw_fact")
-            (media_from_tpch(self.spark, self.sf_dir, keep_line=True)
+            (self._source()
                 .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
             self._raw = self.spark.read.parquet(path)
         return self._raw
