@@ -1,0 +1,2 @@
+"""DataFrame -> DataFrame operators: cleaning, KPI repair, allocation, views, features,
+models, forecast, explanations and insights."""
