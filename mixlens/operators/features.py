@@ -133,15 +133,17 @@ def model_dataset(weekly: DataFrame, series_keys=None, caps: dict | None = None)
 def time_split(model_df: DataFrame, test_weeks: int = 12) -> DataFrame:
     """I4 (E8 + B16): per series, known weeks split chronologically; the last
     ``min(test_weeks, max(1, n_known // 4))`` known weeks are 'test', unknown weeks are
-    'forecast'."""
-    known = F.col(TARGET).isNotNull()
-    df = model_df.withColumn("_k", known)
-    w_desc = Window.partitionBy("series", "_k").orderBy(F.col("week").desc())
-    w_all = Window.partitionBy("series", "_k")
-    df = df.withColumns({"_rn": F.row_number().over(w_desc), "_n": F.count("*").over(w_all)})
+    'forecast'. Both counts are windows over the series partition alone (running and total
+    count of known weeks), so the split reuses the features' partitioning: no new shuffle."""
+    known = F.col(TARGET).isNotNull().cast("int")
+    by_series = Window.partitionBy("series")
+    from_end = Window.partitionBy("series").orderBy(F.col("week").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = model_df.withColumns({"_n": F.sum(known).over(by_series), "_rn": F.sum(known).over(from_end)})
     n_test = F.least(F.lit(test_weeks), F.greatest(F.lit(1), F.floor(F.col("_n") / 4)))
-    split = F.when(~F.col("_k"), "forecast").when(F.col("_rn") <= n_test, "test").otherwise("train")
-    return df.withColumn("split", split).drop("_k", "_rn", "_n")
+    split = (F.when(F.col(TARGET).isNull(), "forecast")
+              .when(F.col("_rn") <= n_test, "test").otherwise("train"))
+    return df.withColumn("split", split).drop("_rn", "_n")
 
 
 def future_weeks(weekly: DataFrame, horizon: int, series_keys=None) -> DataFrame:
