@@ -35,7 +35,13 @@ def main(argv=None) -> int:
     ap.add_argument("--format", default="parquet", help="format of --export (parquet or csv)")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--master", default=None, help="Spark master; leave unset under spark-submit")
+    ap.add_argument("--boost-rounds", type=int, default=None,
+                    help="boosting rounds for the boosted-tree, Huber and stacking models "
+                         "(the analysed workflow uses 500)")
     args = ap.parse_args(argv)
+    if args.boost_rounds:
+        from .plans import catalog
+        catalog.VIEW_ROUNDS.update({k: args.boost_rounds for k in catalog.VIEW_ROUNDS})
 
     spark = get_session(args.master)
     source = args.tables or f"export:{args.format}:{args.export}"
