@@ -44,3 +44,27 @@ def run_weekly_kpi(spark: SparkSession, source_path: str, out_path: str, schema,
             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out_path)
+
+
+def run_weekly_kpi_final(spark: SparkSession, source_path: str, out_path: str, schema, late_weeks: int = 4,
+                         spec: MediaSpec = DEFAULT_SPEC, files_per_trigger: int = 1,
+                         checkpoint: str | None = None) -> DataFrame:
+    """Append-mode variant for unbounded streams: a week's KPI is final (and written once)
+    when the event-time watermark is ``late_weeks`` past it. Rows arriving later than that
+    are dropped by the watermark; until then, late rows still update the week. State holds
+    only the open weeks."""
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+                   .option("basePath", source_path).parquet(source_path))
+    ts = F.col(spec.week_col).cast("timestamp")
+    add = spec.present(stream, spec.additive)
+    agg = (stream.where(F.col(spec.week_col).isNotNull())
+                 .withColumn("_week_ts", ts)
+                 .withWatermark("_week_ts", f"{7 * late_weeks} days")
+                 .groupBy("_week_ts")
+                 .agg(*[F.sum(c).alias(c) for c in add], true_kpi_expr(spec.target_col).alias("total_sales"))
+                 .withColumn(spec.week_col, F.to_date("_week_ts")).drop("_week_ts"))
+    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens-stream-final/{abs(hash(out_path))}"
+    q = (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
+            .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out_path)
