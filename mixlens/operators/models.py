@@ -2,7 +2,7 @@
 
 All models fit log1p(sales) and report in dollars (expm1). Fitting reads the assembled
 training rows; nothing row-level is collected to the driver: the ridge family needs one
-aggregate of the p x p Gram matrix (p = number of features) and one distributed pass for
+pass for the p x p Gram matrix (p = number of features) and one distributed pass for
 the leave-one-out errors, the tree models are MLlib estimators, and the Huber booster
 is a loop of MLlib trees whose leaf values come from a grouped aggregate.
 """
