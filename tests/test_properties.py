@@ -32,3 +32,23 @@ def test_partition_invariance_and_reconciliation(spark):
     assert a == b
     for rec in (rec_a, rec_b):
         assert rec.reconciles and rec.max_abs_diff < 0.01 and rec.known_weeks > 0
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
+def test_chronological_split_per_series(spark):
+    from mixlens.operators.features import model_dataset, time_split
+    from mixlens.operators.panel import panel_weekly
+    from mixlens.plans.context import context
+    ctx = context(spark, SF)
+    df, _, _ = model_dataset(panel_weekly(ctx.rows(), ctx.weekly_sales(), ["channel"]))
+    s = time_split(df)
+    per = s.groupBy("series").agg(
+        F.max(F.when(F.col("split") == "train", F.col("week"))).alias("last_train"),
+        F.min(F.when(F.col("split") == "test", F.col("week"))).alias("first_test"),
+        F.count(F.when(F.col("split") == "test", 1)).alias("n_test"),
+        F.count(F.when(F.col("total_sales").isNotNull(), 1)).alias("n_known"))
+    rows = per.collect()
+    assert rows
+    for r in rows:
+        assert r.last_train < r.first_test
+        assert r.n_test == min(12, max(1, r.n_known // 4))
