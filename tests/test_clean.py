@@ -107,3 +107,20 @@ def test_no_nan_or_inf_in_ratios(spark):
     r = row_ratios(df).first().asDict()
     assert all(r[k] is None for k in ["ctr", "cpc", "cpm", "cost_per_sale", "engagement_rate"])
     assert F is not None
+
+
+def test_candidate_with_zero_max_is_skipped(spark):
+    schema = "week date, spend double, impressions bigint, hh_grps_tv bigint, engagements bigint, base_amount double"
+    w = dt.date(2024, 1, 7)
+    rows = [(w, 0.0, 0, 0, 4, 10.0), (w, 0.0, 0, 0, 2, 10.0)]       # spend/impressions/GRPs max 0
+    out = sorted(r.activity_weight for r in allocate_sales(spark.createDataFrame(rows, schema)).collect())
+    assert out == [0.5, 1.0]                                          # engagements / max(engagements)
+
+
+def test_forecast_diff_is_zero_when_lag2_is_zero(spark):
+    from mixlens.operators.forecast import step_features
+    row = spark.createDataFrame([([5.0, 0.0, 7.0],)], "hist array<double>").select(
+        *[c.alias(n) for n, c in step_features(F.col("hist")).items()]).first()
+    assert row.sales_lag_1 == 7.0 and row.sales_lag_2 == 0.0 and row.sales_diff_1 == 0.0
+    assert row.sales_lag_4 == 0.0                                     # before the start -> 0
+    assert row.sales_ratio_to_mean_8 == 7.0 / 4.0
