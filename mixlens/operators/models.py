@@ -182,6 +182,9 @@ def _assembled(df: DataFrame, feats) -> DataFrame:
 def fit_forest(df: DataFrame, feats, label: str = LABEL, **params) -> SparkFit:
     """Random forest (bootstrap rows, sqrt features per split)."""
     p = {**FOREST, **params}
+    # execution settings only (same trees): more nodes per pass over the data, and node ids
+    # cached with the rows so deep trees are not re-traversed every level
+    p = {"maxMemoryInMB": 1024, "cacheNodeIds": True, **p}
     est = RandomForestRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred", seed=SEED, **p)
     return SparkFit(est.fit(_assembled(df, feats)), list(feats))
 

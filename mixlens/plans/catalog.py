@@ -874,7 +874,10 @@ def streaming_weekly_kpi(spark, sf_dir):
     ctx = context(spark, sf_dir)
     rows = ctx.rows()
     src = ctx._path("row_fact")
-    out = run_weekly_kpi(spark, src, ctx._path("stream_weekly"), rows.schema, ctx.spec, files_per_trigger=16)
+    import uuid
+    run_id = uuid.uuid4().hex[:8]        # each call drains the stream from the start
+    out = run_weekly_kpi(spark, src, ctx._path(f"stream_weekly/{run_id}/out"), rows.schema, ctx.spec,
+                         files_per_trigger=16, checkpoint=ctx._path(f"stream_weekly/{run_id}/checkpoint"))
     keep = ["week", *ctx.spec.present(out, ctx.spec.additive), "total_sales"]
     return present(out.select(*keep))
 
