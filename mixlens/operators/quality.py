@@ -47,9 +47,11 @@ def missing_detailed(raw: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFram
     })
 
 
-def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFrame:
+def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
+                    clean_columns: int | None = None) -> DataFrame:
     """Eleven numbers. Duplicates are counted on raw rows, distinct weeks on the
-    unaligned dates, typos after trimming."""
+    unaligned dates, typos after trimming. ``clean_columns`` is the width of the published
+    row-level table (defaults to the width of ``clean_rows``)."""
     from ..functions.exprs import trim_ws
     cols = raw.columns
     n_cols = len(cols)
@@ -90,7 +92,7 @@ def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEF
         "negative_spend_rows",
         "distinct_weeks",
         "clean_rows",
-        F.lit(len(clean_rows.columns)).alias("clean_columns"))
+        F.lit(clean_columns if clean_columns is not None else len(clean_rows.columns)).alias("clean_columns"))
 
 
 def cleaning_waterfall(summary: DataFrame) -> DataFrame:

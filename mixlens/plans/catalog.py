@@ -379,15 +379,18 @@ _SUMMARY_CTE = (
     f"CAST({_FILL_NULLS} AS BIGINT) AS structural_nas_filled, "
     "CAST(SUM(CASE WHEN spend < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_spend_rows, "
     "COUNT(DISTINCT activity_date) AS distinct_weeks, (SELECT COUNT(*) FROM clean) AS clean_rows, "
-    "20 AS clean_columns FROM media_raw) ")
+    "33 AS clean_columns FROM media_raw) ")
 
 
 def _quality_frames(spark, sf_dir):
     from ..operators.clean import clean
     from ..operators.quality import quality_summary
+    from ..operators.efficiency import row_ratios
     ctx = context(spark, sf_dir)
     raw = ctx.raw_with_copies()
-    return quality_summary(raw, clean(raw, ctx.spec), ctx.spec)
+    # the published row-level table: cleaned columns, calendar parts, allocated sales, ratios
+    width = len(row_ratios(ctx.rows()).drop("activity_weight").columns)
+    return quality_summary(raw, clean(raw, ctx.spec), ctx.spec, clean_columns=width)
 
 
 @register("quality_summary", O.q(_SUMMARY_CTE + "SELECT * FROM qs", copies=True))
