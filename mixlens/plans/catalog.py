@@ -897,11 +897,13 @@ def weekly_trend_q(spark, sf_dir):
 
 @register("dataset_summary", O.q("SELECT (SELECT COUNT(*) FROM rows) AS row_count, "
                                  "(SELECT COUNT(week) FROM weekly) AS weeks, "
-                                 "(SELECT COUNT(total_sales) FROM weekly) AS known_weeks, 27 AS column_count"))
+                                 "(SELECT COUNT(total_sales) FROM weekly) AS known_weeks, 33 AS column_count"))
 def dataset_summary_q(spark, sf_dir):
     from ..operators.eda import dataset_summary
+    from ..operators.efficiency import row_ratios
     ctx = context(spark, sf_dir)
-    return dataset_summary(ctx.rows(), ctx.weekly())
+    # the published row-level table: cleaned columns, calendar parts, allocated sales, ratios
+    return dataset_summary(row_ratios(ctx.rows()).drop("activity_weight"), ctx.weekly())
 
 
 @register("model_comparison")
