@@ -47,7 +47,7 @@ def main(argv=None) -> int:
     source = args.tables or f"export:{args.format}:{args.export}"
     ctx = context(spark, source)
     out = args.out.rstrip("/")
-    save_table_set({"row_level": ctx.rows(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
+    save_table_set({"row_level": ctx.row_level(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
                     "raw": ctx.raw()}, out)
     summary = {}
     for name in OUTPUT_VIEWS:

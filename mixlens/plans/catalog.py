@@ -385,11 +385,9 @@ _SUMMARY_CTE = (
 def _quality_frames(spark, sf_dir):
     from ..operators.clean import clean
     from ..operators.quality import quality_summary
-    from ..operators.efficiency import row_ratios
     ctx = context(spark, sf_dir)
     raw = ctx.raw_with_copies()
-    # the published row-level table: cleaned columns, calendar parts, allocated sales, ratios
-    width = len(row_ratios(ctx.rows()).drop("activity_weight").columns)
+    width = len(ctx.row_level().columns)       # the published row-level table
     return quality_summary(raw, clean(raw, ctx.spec), ctx.spec, clean_columns=width)
 
 
@@ -900,10 +898,8 @@ def weekly_trend_q(spark, sf_dir):
                                  "(SELECT COUNT(total_sales) FROM weekly) AS known_weeks, 33 AS column_count"))
 def dataset_summary_q(spark, sf_dir):
     from ..operators.eda import dataset_summary
-    from ..operators.efficiency import row_ratios
     ctx = context(spark, sf_dir)
-    # the published row-level table: cleaned columns, calendar parts, allocated sales, ratios
-    return dataset_summary(row_ratios(ctx.rows()).drop("activity_weight"), ctx.weekly())
+    return dataset_summary(ctx.row_level(), ctx.weekly())
 
 
 @register("model_comparison")
@@ -1045,7 +1041,7 @@ def saved_tables(spark, sf_dir):
     back; one row per table with its row count."""
     from ..sources.io import load_table, save_table_set
     ctx = context(spark, sf_dir)
-    tables = {"row_level": ctx.rows(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
+    tables = {"row_level": ctx.row_level(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
               "raw": ctx.raw()}
     paths = save_table_set(tables, ctx._path("saved"))
     out = None

@@ -97,6 +97,12 @@ class MediaContext:
         return self._rows
 
 
+    def row_level(self) -> DataFrame:
+        """The published row-level table: cleaned columns, calendar parts, allocated sales and
+        the seven row ratios (the internal activity weight is dropped)."""
+        from ..operators.efficiency import row_ratios
+        return row_ratios(self.rows(), self.spec.target_col).drop("activity_weight")
+
     def weekly(self) -> DataFrame:
         """Weekly feature table (D3) from the materialised rows; small (one row per week)."""
         from ..operators.measure import weekly_feature_table
