@@ -46,14 +46,14 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("date_parts", O.q(f"SELECT DISTINCT {O.d('week')} AS week, year, quarter, month, month_name, "
                             "week_number FROM rows"))
 def date_parts_q(spark, sf_dir):
-    c = context(spark, sf_dir).clean()
+    c = context(spark, sf_dir).rows().drop("year", "quarter", "month", "month_name", "week_number")
     return present(c.select("week").transform(date_parts).distinct())
 
 
 @register("credit_flags", O.q("SELECT spend_is_credit, COUNT(*) AS n_rows, "
                               "CAST(SUM(spend) AS DOUBLE) AS total_spend FROM clean GROUP BY spend_is_credit"))
 def credit_flags(spark, sf_dir):
-    c = context(spark, sf_dir).clean()
+    c = context(spark, sf_dir).rows()          # the cleaned rows, as written once
     return present(c.groupBy("spend_is_credit").agg(F.count("*").alias("n_rows"),
                                                     F.sum("spend").alias("total_spend")))
 
@@ -76,7 +76,7 @@ def dedup_rows(spark, sf_dir):
 @register("weekly_true_sales", O.q(f"SELECT {O.d('week')} AS week, CAST(total_sales AS DOUBLE) AS total_sales "
                                    "FROM weekly_sales"))
 def weekly_true_sales(spark, sf_dir):
-    return present(measure.weekly_true_sales(context(spark, sf_dir).clean()))
+    return present(measure.weekly_true_sales(context(spark, sf_dir).rows()))
 
 
 # ---------------------------------------------------------------------------------
@@ -87,7 +87,7 @@ def weekly_true_sales(spark, sf_dir):
                                  "AND engagements = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_fallback, "
                                  "ROUND(SUM(activity_weight), 6) AS weight_total FROM weighted GROUP BY week"))
 def activity_weight_q(spark, sf_dir):
-    c = context(spark, sf_dir).clean()
+    c = context(spark, sf_dir).rows().drop("activity_weight")
     w = activity_weight(c)
     fallback = (F.col("spend") == 0) & (F.col("impressions") == 0) & (F.col("hh_grps_tv") == 0) & \
                (F.col("engagements") == 0)
