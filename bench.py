@@ -25,7 +25,7 @@ HEADLINE = [
     "ridge_holdout", "forest_holdout", "recursive_forecast", "insight_facts", "streaming_weekly_kpi",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-DERIVED = ["_suite", "_panel"]        # per-context caches dropped before every run
+DERIVED = ["_suite", "_panel", "_quality"]   # per-context caches dropped before every run
 
 
 def main():

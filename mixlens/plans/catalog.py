@@ -383,12 +383,18 @@ _SUMMARY_CTE = (
 
 
 def _quality_frames(spark, sf_dir):
+    """The one-row quality summary, computed once per context (waterfall and flow edges
+    are projections of it)."""
     from ..operators.clean import clean
     from ..operators.quality import quality_summary
     ctx = context(spark, sf_dir)
-    raw = ctx.raw_with_copies()
-    width = len(ctx.row_level().columns)       # the published row-level table
-    return quality_summary(raw, clean(raw, ctx.spec), ctx.spec, clean_columns=width)
+    with ctx._lock:
+        if getattr(ctx, "_quality", None) is None:
+            raw = ctx.raw_with_copies()
+            width = len(ctx.row_level().columns)       # the published row-level table
+            ctx._quality = quality_summary(raw, clean(raw, ctx.spec), ctx.spec,
+                                           clean_columns=width).checkpoint(eager=True)
+        return ctx._quality
 
 
 @register("quality_summary", O.q(_SUMMARY_CTE + "SELECT * FROM qs", copies=True))
