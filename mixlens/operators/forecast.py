@@ -103,10 +103,12 @@ def candidates(weekly: DataFrame, horizon: int, series_keys=None, pad_calendar:
 
 
 def history_state(weekly: DataFrame, horizon: int, series_keys=None) -> DataFrame:
-    """Last 8 sales (NULLs kept, week order) before each series' first candidate."""
-    eng = engineer_features(weekly, series_keys)
+    """Last 8 sales (NULLs kept, week order) before each series' first candidate. Reads
+    the target straight from the weekly table (no feature window needed)."""
+    from .features import with_series
+    base = with_series(weekly, series_keys).select("series", "week", F.col(TARGET).cast("double").alias(TARGET))
     first = future_weeks(weekly, horizon, series_keys).groupBy("series").agg(F.min("week").alias("_first"))
-    before = eng.join(first, "series").where(F.col("week") < F.col("_first"))
+    before = base.join(first, "series").where(F.col("week") < F.col("_first"))
     w = Window.partitionBy("series").orderBy(F.col("week").desc())
     last = before.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= N_LAGS)
     st = last.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("week", F.col(TARGET).alias("v"))))
