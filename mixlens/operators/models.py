@@ -249,6 +249,7 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
                                    minInstancesPerNode=p["minInstancesPerNode"], seed=SEED + i).fit(sample)
         leafed = dt.transform(sample)
         med = leafed.groupBy("_leaf").agg(quantile("_r", 0.5, n).alias("_med"))
+        # one row per leaf: at most 2**maxDepth rows, a bound fixed by the tree depth
         dev = (leafed.join(F.broadcast(med), "_leaf")
                      .withColumn("_d", F.col("_r") - F.col("_med"))
                      .groupBy("_leaf")
