@@ -67,22 +67,23 @@ def engineer_features(weekly: DataFrame, series_keys=None) -> DataFrame:
     for c in MEDIA_LAGS:
         if c in df.columns:
             cols[f"{c}_lag_1"] = F.lag(c, 1).over(base)
-    q = 1.0 - 2.0 / (EWM_SPAN + 1)
     df = df.withColumns(cols)
-    # EWM: index rows first, then gather the previous (index, value) pairs in a bounded frame
-    df = df.withColumn("_i", F.row_number().over(base))
-    df = df.withColumn("_hist", F.collect_list(F.struct(F.col("_i").alias("i"), F.col(TARGET).alias("v")))
-                       .over(_frame(-EWM_FRAME, -1)))
-    hist = F.filter(F.col("_hist"), lambda e: e["v"].isNotNull())
-    wts = F.transform(hist, lambda e: F.pow(F.lit(q), (F.col("_i") - 1 - e["i"]).cast("double")))
-    num = F.aggregate(F.zip_with(hist, wts, lambda e, w: e["v"] * w), F.lit(0.0), lambda a, b: a + b)
-    den = F.aggregate(wts, F.lit(0.0), lambda a, b: a + b)
+    # EWM of the previous values: sum_d x_{t-d} q^(d-1) / sum_d [x_{t-d} present] q^(d-1) over
+    # d = 1..EWM_FRAME. The d-th lag is an O(1) window value on the same spec as the other
+    # lags, so this is one Window operator and a weighted sum, no per-row arrays.
+    q = 1.0 - 2.0 / (EWM_SPAN + 1)
+    num = den = F.lit(0.0)
+    for d in range(1, EWM_FRAME + 1):
+        x = F.lag(F.col(TARGET), d).over(base)
+        wt = F.lit(q ** (d - 1))
+        num = num + F.coalesce(x * wt, F.lit(0.0))
+        den = den + F.when(x.isNotNull(), wt).otherwise(F.lit(0.0))
     mean8 = F.col("sales_rolling_mean_8")
     df = df.withColumns({
-        "sales_ewm_4": F.when(F.size(hist) > 0, num / den),
+        "sales_ewm_4": F.when(den > 0, num / den),
         "sales_diff_1": F.col("sales_lag_1") - F.col("sales_lag_2"),
         "sales_ratio_to_mean_8": F.when(mean8.isNotNull(), F.col("sales_lag_1") / F.greatest(mean8, F.lit(1.0))),
-    }).drop("_i", "_hist")
+    })
     wn = F.weekofyear("week").cast("double")
     return df.withColumns({
         "week_of_year_sin": F.sin(F.lit(2 * math.pi) * wn / 52.0),
