@@ -127,7 +127,10 @@ def model_dataset(weekly: DataFrame, series_keys=None, caps: dict | None = None)
     feats = feature_columns(eng)
     required = [c for c in LAG_FEATURES + ROLLING_FEATURES if c in eng.columns]
     kept = eng.dropna(subset=required)
-    caps = ratio_caps(kept) if caps is None else caps
+    if caps is None:
+        # the caps need passes over the engineered rows: evaluate the window once
+        kept = kept.checkpoint(eager=True)
+        caps = ratio_caps(kept)
     return finalize_features(kept, feats, caps), feats, caps
 
 
