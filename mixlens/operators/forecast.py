@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import bounded
-from .features import MEDIA_LAGS, N_LAGS, TARGET, engineer_features, finalize_features, future_weeks
+from .features import MEDIA_LAGS, N_LAGS, TARGET, finalize_features, future_weeks
 
 
 @dataclass
@@ -76,29 +76,36 @@ def step_features(hist, ewm_mode: str = "reference") -> dict:
 
 
 def candidates(weekly: DataFrame, horizon: int, series_keys=None, pad_calendar: bool = False) -> DataFrame:
-    """The horizon rows after each series' last known week with their static features
-    (own media and calendar; media lag = previous row's media). Padded weeks carry NULL
-    media and, unless ``pad_calendar``, NULL calendar features (they become 0)."""
-    eng = engineer_features(weekly, series_keys)
+    """The horizon rows after each series' last known week with their static features:
+    own media, ratios and calendar, and the previous row's media as the media lags. The
+    sales-based features are rebuilt from the state array in the loop, so no feature window
+    runs here. Padded weeks carry NULL media and, unless ``pad_calendar``, NULL calendar
+    features (they become 0)."""
+    import math
+
+    from .features import BASE_FEATURES, with_series
+    base = with_series(weekly, series_keys)
+    static_cols = [c for c in BASE_FEATURES if c in base.columns]
+    media = [c for c in MEDIA_LAGS if c in base.columns]
     fut = future_weeks(weekly, horizon, series_keys)
     anchor = fut.groupBy("series").agg(F.min("week").alias("_first"))
-    media = [c for c in MEDIA_LAGS if c in eng.columns]
-    prev = (eng.join(anchor, "series").where(F.col("week") < F.col("_first"))
-               .withColumn("_rn", F.row_number().over(Window.partitionBy("series").orderBy(F.col("week").desc())))
-               .where("_rn = 1").select("series", "week", *media))
-    static = fut.join(eng.drop(*[f"{c}_lag_1" for c in media]), ["series", "week"], "left")
+    prev = (base.join(anchor, "series").where(F.col("week") < F.col("_first"))
+                .withColumn("_rn", F.row_number().over(Window.partitionBy("series").orderBy(F.col("week").desc())))
+                .where("_rn = 1").select("series", "week", *media))
+    static = fut.join(base.select("series", "week", *static_cols), ["series", "week"], "left")
+    wn = F.weekofyear("week").cast("double")
+    cal = {"week_of_year_sin": F.sin(F.lit(2 * math.pi) * wn / 52.0),
+           "week_of_year_cos": F.cos(F.lit(2 * math.pi) * wn / 52.0)}
+    # calendar of real rows; padded rows get it only with pad_calendar
+    static = static.withColumns({c: F.when(~F.col("is_padded"), e) for c, e in cal.items()})
     seq = static.unionByName(prev.withColumn("is_padded", F.lit(None).cast("boolean")), allowMissingColumns=True)
     w = Window.partitionBy("series").orderBy("week")
     seq = seq.withColumns({f"{c}_lag_1": F.lag(c, 1).over(w) for c in media})
     out = seq.where(F.col("is_padded").isNotNull()).withColumn("step", F.row_number().over(w))
     if pad_calendar:
         wk = F.col("week")
-        wn = F.weekofyear(wk).cast("double")
-        import math
-        cal = {"month": F.month(wk), "quarter": F.quarter(wk),
-               "week_of_year_sin": F.sin(F.lit(2 * math.pi) * wn / 52.0),
-               "week_of_year_cos": F.cos(F.lit(2 * math.pi) * wn / 52.0)}
-        out = out.withColumns({c: F.coalesce(F.col(c), e) if c in out.columns else e for c, e in cal.items()})
+        fill = {"month": F.month(wk), "quarter": F.quarter(wk), **cal}
+        out = out.withColumns({c: F.coalesce(F.col(c), e) if c in out.columns else e for c, e in fill.items()})
     return out
 
 
