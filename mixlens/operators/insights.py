@@ -81,9 +81,10 @@ def generate(spark: SparkSession, fact_rows: DataFrame, champion: dict | None, t
             _money(F.col("value")), F.lit("), worth a deliberate test-and-learn budget increase.")))
         .when(F.col("rule_id") == "K2_strongest_corr", F.concat(
             F.lit("Of the weekly activity metrics, **"), F.col("subject"),
-            F.format_string("** has the strongest (r=%.2f) ", F.col("value")),
-            F.when(F.col("value") > 0, F.lit("a positive")).otherwise(F.lit("an inverse")),
-            F.lit(" relationship with weekly sales.")))
+            F.lit("** has the strongest "),
+            F.when(F.col("value") > 0, F.lit("positive")).otherwise(F.lit("inverse")),
+            F.format_string(" relationship with weekly sales (r=%.2f); no single weekly media metric is a "
+                            "dominant linear driver of sales on its own.", F.col("value"))))
         .when(F.col("rule_id") == "K4_best_cpc", F.concat(
             F.lit("**"), F.col("subject"), F.lit("** delivers the lowest cost-per-click ("), _money(F.col("value")),
             F.lit(") among channels with both recorded Spend and paid click activity.")))
