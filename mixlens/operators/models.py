@@ -182,9 +182,10 @@ def _assembled(df: DataFrame, feats) -> DataFrame:
 def fit_forest(df: DataFrame, feats, label: str = LABEL, **params) -> SparkFit:
     """Random forest (bootstrap rows, sqrt features per split)."""
     p = {**FOREST, **params}
-    # execution settings only (same trees): more nodes per pass over the data, and node ids
-    # cached with the rows so deep trees are not re-traversed every level
-    p = {"maxMemoryInMB": 1024, "cacheNodeIds": True, **p}
+    # execution setting only (same trees): node ids cached with the rows so deep trees are
+    # not re-traversed every level. The histogram budget stays at MLlib's default (256 MB):
+    # a larger one can exhaust a default-size driver heap on deep, wide forests.
+    p = {"cacheNodeIds": True, **p}
     est = RandomForestRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred", seed=SEED, **p)
     return SparkFit(est.fit(_assembled(df, feats)), list(feats))
 
@@ -335,7 +336,7 @@ def fit_stack(df: DataFrame, feats, base_fitters: dict, folds: int = 5, label: s
         return part.select(LABEL, *[f"_b_{nm}" for nm in names]).checkpoint(eager=True)
 
     # the folds are independent Spark jobs: submit them concurrently from driver threads
-    with ThreadPoolExecutor(max_workers=min(folds, 8)) as pool:
+    with ThreadPoolExecutor(max_workers=min(folds, 4)) as pool:
         oof_parts = list(pool.map(fold_part, range(folds)))
         finals = dict(zip(names, pool.map(lambda nm: base_fitters[nm](df), names)))
     oof = oof_parts[0]

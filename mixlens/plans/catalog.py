@@ -665,7 +665,7 @@ def _board(spark, sf_dir):
     if getattr(s, "_board", None) is None:
         from concurrent.futures import ThreadPoolExecutor
         keys = ["ridge", "arx", "forest", "gbt", "huber", "stack"]
-        with ThreadPoolExecutor(max_workers=len(keys)) as pool:   # independent fits, concurrent jobs
+        with ThreadPoolExecutor(max_workers=3) as pool:   # independent fits, a few concurrent jobs
             list(pool.map(s.fit, keys))
         preds = None
         for key in keys:
