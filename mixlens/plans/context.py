@@ -1,11 +1,12 @@
 """Shared inputs of the registered queries.
 
-One context per (application, data folder). The cleaned, allocated row fact is written
-once as Parquet, partitioned by year, into the checkpoint folder the session names
-(``spark.checkpoint.dir``); every view that reads rows reads that table, so the 7-way
-source join and the cleaning run once, lineage is cut (a lost executor re-reads files
-instead of recomputing the join) and later scans get column pruning, filter pushdown
-and partition pruning on ``year``.
+One context per (application, source), where the source is a folder of TPC-H-style
+tables or ``export:<format>:<path>``. The raw media fact and the cleaned, allocated row
+fact (partitioned by year) are each written once as Parquet into the checkpoint folder the
+session names (``spark.checkpoint.dir``). Every view reads those tables, so the source join
+and the cleaning run once, lineage is cut (a lost executor re-reads files instead of
+recomputing the join), and later scans get column pruning, filter pushdown and partition
+pruning on ``year``.
 """
 
 from __future__ import annotations
