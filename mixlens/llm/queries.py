@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, mixing, quality, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -21,6 +21,31 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def tokenizer_path() -> str:
+    """The public byte-level BPE vocabulary the contract names."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _hex(col):
+    return F.lower(F.hex(col))
+
+
+@register("op1_bpe")
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled documents; those that the classifier rejects are absent."""
+    return (quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+            .filter("kept").select("doc_id", "n_ngrams", "log_weight", "kept"))
+
+
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 
@@ -31,10 +56,17 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 FROM d JOIN g USING (t)""")
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
-            .select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")))
+            .select("doc_id", "keep_id", "group_size", "kept", _hex("digest").alias("text_sha256")))
 
 
 @register("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (simhash.near_duplicates(table(spark, sf_dir, "documents"))
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+@register("op9_mixing")
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
+                    "source", "rate", "copies"))
