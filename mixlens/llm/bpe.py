@@ -4,8 +4,9 @@ Encoding. Documents travel once, as compressed packs of about a megabyte, to blo
 bounded size. Each block's texts are split into words at places where the tokenizer's own
 pre-tokenizer always splits, so words can be encoded one by one. The blocks' distinct words
 are gathered by word, every distinct word is encoded once, and the answers go back to the
-blocks that asked, where they are joined to the words by position. A word costs one row per
-block, however often it occurs, so frequent words do not make hot tasks.
+blocks that asked, where they are joined to the words by position. A word is sent once per
+block, however often it occurs, so frequent words do not make hot tasks; the words a block
+sends to one bucket of words travel sorted and compressed together.
 
 Decoding. The vocabulary file bounds the id-to-piece table, which is broadcast; ids look
 their pieces up by position and the pieces' bytes are put together.
@@ -21,6 +22,7 @@ each; ids outside the vocabulary decode to nothing; an empty table gives an empt
 from __future__ import annotations
 
 import json
+import pickle
 import re
 import zlib
 
@@ -111,8 +113,11 @@ def _unpack(data: bytes):
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, key, n_tokens, ids (packed little-endian unsigned 32-bit integers), one row a row."""
+           block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
+    """doc_id, key, n_tokens, ids (packed little-endian unsigned 32-bit integers), one row a row.
+
+    With ``decoded`` the ids are also decoded in the same tasks, as ``decode`` does.
+    """
     spark = docs.sparkSession
     tokenizer = load(path)
     special = specials(tokenizer)
@@ -122,76 +127,95 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     parts = width(spark)
     packs = _packs(rows, max(parts, -(-total // block_bytes))).repartition(parts, "block")
 
-    def ask(batches):                                          # distinct words of each block
-        seen: dict[int, set] = {}
+    def told(bucket, block, what):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int32()), pa.array([block], pa.int32()),
+             pa.array([zlib.compress(pickle.dumps(what, 5), 1)], pa.binary())], names=["bucket", "block", "words"])
+
+    def ask(batches):                                          # distinct words of each block, by bucket of words
+        def sent(block, known):
+            lists: dict[int, list] = {}
+            for w in sorted(known):
+                lists.setdefault(zlib.crc32(w.encode()) % parts, []).append(w)
+            for bucket, some in lists.items():
+                yield told(bucket, block, some)
+
+        last, known = None, set()
         for b in batches:
             for block, data in zip(b.column("block").to_pylist(), b.column("pack").to_pylist()):
-                known = seen.setdefault(block, set())
+                if block != last:
+                    yield from sent(last, known)
+                    last, known = block, set()
                 for _, texts in _unpack(data):
-                    new = set()
                     for text in texts:
-                        new.update(words(text, special))
-                    new -= known
-                    known |= new
-                    if new:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(new), block, dtype=np.int32)), pa.array(list(new), pa.string())],
-                            names=["block", "word"])
-
-    def answer(batches):                                       # equal words come together: each is encoded once
+                        known.update(words(text, special))
+        yield from sent(last, known)
+
+    def answer(batches):                                       # a bucket's words come together: each is encoded once
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tok = Tokenizer.from_str(shared.value)
         tok.no_truncation()
         tok.no_padding()
-        last, ids = None, b""
+        coded: dict[str, bytes] = {}
+        last = None
         for b in batches:
-            col = b.column("word").to_pylist()
-            new = [w for w, before in zip(col, [last, *col[:-1]]) if w != before]
-            coded = iter([np.array(e.ids, dtype="<u4").tobytes()
-                          for e in tok.encode_batch_fast(new, add_special_tokens=False)])
-            out = []
-            for w in col:
-                if w != last:
-                    last, ids = w, next(coded)
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("word"), pa.array(out, pa.binary())],
-                                             names=["block", "word", "ids"])
-
-    table = (packs.mapInArrow(ask, "block int, word string")
-             .repartition(parts, "word").sortWithinPartitions("word")
-             .mapInArrow(answer, "block int, word string, ids binary"))
-    schema = with_fields(rows, "doc_id", "key", n_tokens=T.LongType(), ids=T.BinaryType())
+            for bucket, block, data in zip(*(c.to_pylist() for c in b.columns)):
+                if bucket != last:
+                    last, coded = bucket, {}
+                some = pickle.loads(zlib.decompress(data))
+                new = [w for w in some if w not in coded]
+                for i in range(0, len(new), 5000):
+                    part = new[i:i + 5000]
+                    coded.update(zip(part, [np.array(e.ids, dtype="<u4").tobytes()
+                                            for e in tok.encode_batch_fast(part, add_special_tokens=False)]))
+                yield told(bucket, block, (some, [coded[w] for w in some]))
+
+    kind = "bucket int, block int, words binary"
+    table = (packs.sortWithinPartitions("block").mapInArrow(ask, kind)
+             .repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, kind))
+    more = {"decoded": T.StringType()} if decoded else {}
+    schema = with_fields(rows, "doc_id", "key", n_tokens=T.LongType(), ids=T.BinaryType(), **more)
+    known_pieces = spark.sparkContext.broadcast(pieces(tokenizer)) if decoded else None
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:     # back by position, within one block
-        ids_of = dict(zip(right.column("word").to_pylist(), right.column("ids").to_pylist())).__getitem__
-        out = []
-        for data in left.column("pack").to_pylist():
-            for b, texts in _unpack(data):
+        coded = {}
+        for data in right.column("words"):
+            coded.update(zip(*pickle.loads(zlib.decompress(data.as_py()))))
+        ids_of, out = coded.__getitem__, []
+        for data in left.column("pack"):
+            for b, texts in _unpack(data.as_py()):
                 ids = [b"".join(map(ids_of, words(t, special))) for t in texts]
-                out.append(pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("key"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary())], names=["doc_id", "key", "n_tokens", "ids"]))
+                cols = [b.column("doc_id"), b.column("key"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array(ids, pa.binary())]
+                if decoded:
+                    cols.append(pa.array(_texts(ids, known_pieces.value), pa.string()))
+                out.append(pa.RecordBatch.from_arrays(cols, names=schema.names))
         return pa.Table.from_batches(out)
 
     return packs.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(join, schema)
 
 
+def _texts(packed: list[bytes], piece_of: list[bytes]) -> list[str]:
+    """The id-to-piece join of some packed id lists; ids without a piece give nothing."""
+    table = np.array([*piece_of, b""], dtype=object)
+    out = []
+    for x in packed:
+        ids = np.minimum(np.frombuffer(x or b"", dtype="<u4"), len(piece_of))
+        out.append(b"".join(table[ids].tolist()).decode("utf-8", "replace"))
+    return out
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with its ``ids`` (packed) decoded as the column ``decoded``."""
     shared = encoded.sparkSession.sparkContext.broadcast(pieces(load(path)))      # bounded by the vocabulary file
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches):
-        table = np.array([*shared.value, b""], dtype=object)
         for b in batches:
-            texts = []
-            for x in b.column("ids").to_pylist():
-                ids = np.frombuffer(x or b"", dtype="<u4")
-                texts.append(b"".join(table[np.minimum(ids, len(table) - 1)].tolist()).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
-                                             names=[*b.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(_texts(b.column("ids").to_pylist(), shared.value), pa.string())],
+                names=[*b.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
-

@@ -33,8 +33,7 @@ def _hex(col):
 
 @register("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
