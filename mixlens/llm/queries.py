@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, simhash
+from . import bpe, exact_dedup, html_text, mixing, quality, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -69,3 +69,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
                     "source", "rate", "copies"))
+
+
+@register("op7_sharding")
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = sharding.assign(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"))
+
+
+@register("op10_html")
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
