@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, mixing, quality, sharding, simhash
+from . import bpe, exact_dedup, html_text, mixing, pii, quality, secrets, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -81,3 +81,39 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_html")
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    spans = F.arrays_zip("kind", "start", "end", "base")      # by kind, then start
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1),
+                                                                       s["start"], s["end"])), ",")
+
+    base = F.filter(spans, lambda s: s["base"] == 1)
+
+    def count(i):
+        return F.size(F.filter(base, lambda s: s["kind"] == i)).cast("long").alias(f"n_{pii.KINDS[i]}")
+
+    return found.select("doc_id", *[count(i) for i in range(4)], F.sha2(told(base), 256).alias("base_sha256"),
+                        told(spans).alias("spans"))
+
+
+@register("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    kinds = F.array(*[F.lit(r.kind) for r in secrets.RULES])
+    base = F.filter("found", lambda s: s["kind"] < secrets.BASE)
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1),
+                                                                       s["start"], s["end"])), ",")
+
+    def count(i):
+        return F.size(F.filter("found", lambda s: s["kind"] == i)).cast("long").alias(f"n_{secrets.RULES[i].kind}")
+
+    return found.select("doc_id", *[count(i) for i in range(secrets.BASE)], F.sha2(told(base), 256).alias("base_sha256"),
+                        told(F.col("found")).alias("spans"))
