@@ -20,28 +20,36 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def hashed(bodies: list[bytes], buckets: int):
-    """Bucket of every unigram and bigram of the texts, and the number of its text.
+def word_hashes(bodies: list[bytes], punctuation: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of the texts, and the number of its text, in order.
 
-    Words are runs of letters, digits and non-ASCII bytes, or runs of punctuation; A-Z count
-    as a-z. No n-gram spans two texts; a text without words has none.
+    Words are runs of letters, digits and non-ASCII bytes, or (if asked) runs of punctuation;
+    A-Z count as a-z.
     """
     buf = np.frombuffer(b"\n".join(bodies).lower(), dtype=np.uint8)
     edges = np.cumsum([len(b) + 1 for b in bodies])
     kind = _kinds()[buf]
     change = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))
-    starts = change[kind[change] != 0]
+    starts = change[kind[change] != 0 if punctuation else kind[change] == 1]
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     ends = np.append(change, len(buf))[np.searchsorted(change, starts, side="right")]
     length = ends - starts
-    power = np.cumprod(np.concatenate(([1], np.full(int(length.max()), 0x100000001B3))).astype(np.uint64))
-    inside = np.repeat(starts - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(length.sum())
+    power = np.full(int(length.max()) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    before = np.concatenate(([0], np.cumsum(length)[:-1]))
+    inside = np.repeat(starts - before, length) + np.arange(length.sum())
     value = (buf[inside].astype(np.uint64) + np.uint64(1)) * power[inside - np.repeat(starts, length)]
-    one = _mix(np.add.reduceat(value, np.concatenate(([0], np.cumsum(length)[:-1]))) + length.astype(np.uint64))
-    doc = np.searchsorted(edges, starts, side="right")
+    return (_mix(np.add.reduceat(value, before) + length.astype(np.uint64)),
+            np.searchsorted(edges, starts, side="right"))
+
+
+def hashed(bodies: list[bytes], buckets: int):
+    """Bucket of every unigram and bigram of the texts, and the number of its text; none spans two texts."""
+    one, doc = word_hashes(bodies)
     same = doc[1:] == doc[:-1]
-    two = _mix(one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:])[same]
+    two = _mix(one[:-1] * np.uint64(0xD6E8FEB86659FD93) + one[1:])[same]
     return ((np.concatenate((one, two)) % np.uint64(buckets)).astype(np.int64),
             np.concatenate((doc, doc[1:][same])))
 

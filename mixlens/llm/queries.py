@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, mixing, pii, quality, secrets, sharding, simhash
+from . import bpe, exact_dedup, html_text, mixing, pii, quality, search, secrets, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -117,3 +117,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", *[count(i) for i in range(secrets.BASE)], F.sha2(told(base), 256).alias("base_sha256"),
                         told(F.col("found")).alias("spans"))
+
+
+@register("op8_search")
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for the whole text of every document whose id is divisible by 100."""
+    docs = table(spark, sf_dir, "documents")
+    return search.search(docs, docs.filter(F.col("doc_id") % 100 == 0))
