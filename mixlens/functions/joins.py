@@ -4,31 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A derived side is broadcast only when its counted rows stay under this bound.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# A derived side is broadcast only when its counted rows times their width stay under this bound.
+BROADCAST_BYTES = 64 << 20
 
 
-def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row by Spark's default size of each column type (text: 20 characters)."""
+    return 8 + sum(_bytes(f.dataType) for f in df.schema.fields)
+
+
+def _bytes(t: T.DataType) -> int:
+    if isinstance(t, T.StructType):
+        return sum(_bytes(f.dataType) for f in t.fields)
+    if isinstance(t, (T.ArrayType, T.MapType)):
+        return 512
+    return 24 if isinstance(t, (T.StringType, T.BinaryType)) else 16
+
+
+def bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Materialise a small derived table in the checkpoint folder and count it.
 
-    Returns the checkpointed frame (lineage cut, survives executor loss) and whether it is
-    within ``max_rows``. The count is taken on the written table, so it is cheap.
+    Returns the checkpointed frame (lineage cut, survives executor loss) and whether its
+    counted rows fit into ``max_bytes``. The count is taken on the written table, so it is cheap.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     small = df.checkpoint(eager=True)
-    return small, small.count() <= max_rows
+    return small, small.count() * row_bytes(small) <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``big JOIN small`` that broadcasts ``small`` only after counting it.
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``big JOIN small`` that broadcasts ``small`` only after checking its size.
 
     Beyond the bound the join falls back to Spark's own choice (sort-merge, with AQE
     able to split skewed partitions), so the plan stays correct at any size.
     """
-    small, fits = bounded(small, max_rows)
+    small, fits = bounded(small, max_bytes)
     return big.join(F.broadcast(small) if fits else small, on=on, how=how)
 
 

@@ -43,15 +43,13 @@ def efficiency_by(rows: DataFrame, dim: str) -> DataFrame:
 def efficiency_all_dims(rows: DataFrame, dims, metric: str = "estimated_sales") -> DataFrame:
     """D12 and the sales breakdown (D9) for several dimensions from one scan.
 
-    Rows are first reduced to one row per dimension combination (partial + final
-    aggregate), so the grouping-sets Expand multiplies the reduced table, not the raw
-    rows. Output is long: (dimension, value, sums..., ratios, sales), value labelled with
+    The grouping sets' partial sums are combined before the only shuffle, which carries
+    one row per dimension value and task. Output is long: (dimension, value, sums..., ratios, sales), value labelled with
     NULL/None/nan -> 'Unknown'.
     """
     dims = list(dims)
     sums = [*RATIO_SUMS, metric]
-    pre = rows.groupBy(*dims).agg(*[F.sum(c).alias(c) for c in sums])
-    gs = pre.groupingSets([[d] for d in dims], *dims).agg(
+    gs = rows.groupingSets([[d] for d in dims], *dims).agg(
         *[F.sum(c).alias(c) for c in sums], F.grouping_id().alias("_gid"))
     return _long_dimension(gs, dims).withColumns(_ratio_cols())
 
@@ -73,8 +71,7 @@ def breakdown_all_dims(rows: DataFrame, dims, metric: str = "estimated_sales") -
     """sum(metric) per value for several dimensions in one scan (grouping sets over
     a pre-aggregated table). ``value`` keeps NULL as NULL."""
     dims = list(dims)
-    pre = rows.groupBy(*dims).agg(F.sum(metric).alias(metric))
-    gs = pre.groupingSets([[d] for d in dims], *dims).agg(F.sum(metric).alias(metric),
+    gs = rows.groupingSets([[d] for d in dims], *dims).agg(F.sum(metric).alias(metric),
                                                          F.grouping_id().alias("_gid"))
     n = len(dims)
     name = F.lit(None).cast("string")
@@ -88,7 +85,11 @@ def breakdown_all_dims(rows: DataFrame, dims, metric: str = "estimated_sales") -
 
 def top1_per_dim(rows: DataFrame, dims, metric: str = "estimated_sales") -> DataFrame:
     """the leading value of each dimension (ties -> smallest value)."""
-    from pyspark.sql import Window
     b = breakdown_all_dims(rows, dims, metric)
-    w = Window.partitionBy("dimension").orderBy(F.col(metric).desc(), F.col("value").asc_nulls_last())
-    return b.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
+    # a missing metric sorts below every number; of equal ones the smallest value leads, a null value last
+    best = F.max(F.struct(F.col(metric).isNotNull().alias("known"), F.col(metric).alias("m"))).alias("best")
+    tops = b.groupBy("dimension").agg(best)
+    return (b.join(tops, "dimension").where(F.col(metric).eqNullSafe(F.col("best.m")))
+            .groupBy("dimension", metric)
+            .agg(F.min(F.struct(F.col("value").isNull().alias("none"), "value")).alias("first"))
+            .select(metric, "dimension", F.col("first.value").alias("value")))

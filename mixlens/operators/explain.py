@@ -176,7 +176,7 @@ def shap_global(shap_long: DataFrame) -> DataFrame:
                      .orderBy(F.col("mean_abs_shap").desc(), "feature"))
 
 
-def beeswarm(shap_long: DataFrame, rows: DataFrame, keys, top_n: int = 10) -> DataFrame:
+def beeswarm(shap_long: DataFrame, rows: DataFrame, keys, top_n: int = 15) -> DataFrame:
     """(feature, shap_value, feature_value) for the top-n features by J4."""
     top = [r["feature"] for r in shap_global(shap_long).limit(top_n).collect()]
     vals = rows.select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"),

@@ -30,7 +30,6 @@ ROLLING_FEATURES = [
 RATIO_CAP_COLS = ["ctr", "engagement_rate", "video_completion_rate"]
 MEDIA_LAGS = ["spend", "impressions", "clicks"]
 EWM_SPAN = 4
-EWM_FRAME = 64          # 0.6**64 < 1e-14: older weights no longer change a double
 MIN_PERIODS = 2
 TARGET = "total_sales"
 
@@ -51,6 +50,33 @@ def _rolling(y, n: int, fn):
     return F.when(F.count(y).over(w) >= MIN_PERIODS, fn(y).over(w))
 
 
+def previous_ewm(df: DataFrame, span: int = EWM_SPAN) -> DataFrame:
+    """series, week, sales_ewm_4: the exponentially weighted mean of all earlier known targets.
+
+    One fold over each series' weeks. An unknown week only ages the weights, so the mean
+    stays as it is; the ageing is counted and applied at the next known value, however long
+    the gap. A series has as many rows as there are weeks.
+    """
+    q = 1.0 - 2.0 / (span + 1)
+    out = F.array().cast("array<struct<week:date,ewm:double>>")
+    start = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"), F.lit(1.0).alias("age"), out.alias("out"))
+
+    def step(acc, e):
+        known, age = e["y"].isNotNull(), acc["age"] * F.lit(q)
+        return F.struct(
+            F.when(known, acc["num"] * age + e["y"]).otherwise(acc["num"]).alias("num"),
+            F.when(known, acc["den"] * age + 1.0).otherwise(acc["den"]).alias("den"),
+            F.when(known, F.lit(1.0)).otherwise(age).alias("age"),
+            F.concat(acc["out"], F.array(F.struct(
+                e["week"].cast("date").alias("week"),
+                F.when(acc["den"] > 0, acc["num"] / acc["den"]).alias("ewm")))).alias("out"))
+
+    weeks = F.sort_array(F.collect_list(F.struct("week", F.col(TARGET).cast("double").alias("y"))))
+    return (df.groupBy("series").agg(weeks.alias("h"))
+            .select("series", F.inline(F.aggregate("h", start, step, lambda acc: acc["out"])))
+            .select("series", F.col("week").cast(df.schema["week"].dataType).alias("week"), F.col("ewm").alias("sales_ewm_4")))
+
+
 def engineer_features(weekly: DataFrame, series_keys=None) -> DataFrame:
     """E1-E11 on the weekly table (target ``total_sales``; unknown weeks NULL)."""
     df = with_series(weekly, series_keys)
@@ -69,19 +95,9 @@ def engineer_features(weekly: DataFrame, series_keys=None) -> DataFrame:
         if c in df.columns:
             cols[f"{c}_lag_1"] = F.lag(c, 1).over(base)
     df = df.withColumns(cols)
-    # EWM of the previous values: sum_d x_{t-d} q^(d-1) / sum_d [x_{t-d} present] q^(d-1) over
-    # d = 1..EWM_FRAME. The d-th lag is an O(1) window value on the same spec as the other
-    # lags, so this is one Window operator and a weighted sum, no per-row arrays.
-    q = 1.0 - 2.0 / (EWM_SPAN + 1)
-    num = den = F.lit(0.0)
-    for d in range(1, EWM_FRAME + 1):
-        x = F.lag(F.col(TARGET), d).over(base)
-        wt = F.lit(q ** (d - 1))
-        num = num + F.coalesce(x * wt, F.lit(0.0))
-        den = den + F.when(x.isNotNull(), wt).otherwise(F.lit(0.0))
+    df = df.join(previous_ewm(df), ["series", "week"], "left")
     mean8 = F.col("sales_rolling_mean_8")
     df = df.withColumns({
-        "sales_ewm_4": F.when(den > 0, num / den),
         "sales_diff_1": F.col("sales_lag_1") - F.col("sales_lag_2"),
         "sales_ratio_to_mean_8": F.when(mean8.isNotNull(), F.col("sales_lag_1") / F.greatest(mean8, F.lit(1.0))),
     })

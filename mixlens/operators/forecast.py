@@ -131,16 +131,16 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
     The state row of a series carries its last 8 values and the forecasts made so far;
     each step joins that step's candidate row, scores it and appends the prediction.
     The result is exploded from the final state once, so the plan stays one chain."""
-    cand = candidates(weekly, horizon, series_keys, pad_calendar).checkpoint(eager=True)
-    state, fits = bounded(history_state(weekly, horizon, series_keys))
+    cand, fits = bounded(candidates(weekly, horizon, series_keys, pad_calendar))
+    state, _ = bounded(history_state(weekly, horizon, series_keys))
     if state.isEmpty():
         raise ValueError("No weeks with known sales -- cannot anchor a forecast.")
     empty = F.array().cast("array<struct<week:date,forecasted_sales:double>>")
     state = state.withColumn("out", empty)
     for k in range(1, horizon + 1):
         rows = cand.where(F.col("step") == k)
-        # state and step rows both hold at most one row per series, a count checked once;
-        # the (preserved) state streams, the step's candidates are broadcast. A series
+        # all steps' candidates are checked against the broadcast bound once, so one step's are
+        # within it; the (preserved) state streams. A series
         # without a k-th candidate keeps its state unchanged.
         cur = state.join(F.broadcast(rows) if fits else rows, on="series", how="left")
         cur = cur.withColumns(step_features(F.col("hist"), ewm_mode))

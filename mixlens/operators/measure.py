@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import safe_div
+from ..functions.exprs import parse_mixed_date, safe_div
 from ..spec import DEFAULT_SPEC, MediaSpec
 from .clean import date_parts
 
@@ -69,7 +69,7 @@ def fanout_evidence(raw: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFrame
     Distinct (date, value) pairs first (partial aggregation collapses the copies), then a
     grouped aggregate joined back on the date key.
     """
-    date = F.col(spec.date_col).cast("date").alias("activity_date")
+    date = parse_mixed_date(spec.date_col, raw.schema[spec.date_col].dataType).cast("date").alias("activity_date")
     v = F.expr(f"try_cast(`{spec.target_col}` as double)")
     pairs = (raw.select(date, v.alias("sales_value"))
                 .where(F.col("sales_value") > 0)

@@ -33,10 +33,10 @@ BOOST = dict(rounds=500, maxDepth=4, stepSize=0.08, subsamplingRate=0.8, feature
 HUBER = dict(rounds=500, maxDepth=4, stepSize=0.08, subsamplingRate=0.9, minInstancesPerNode=2, alpha=0.9)
 MODEL_NAMES = {
     "ridge": "Linear Regression (RidgeCV)",
-    "arx": "ARIMAX (Time Series)",
+    "arx": "AR-X (least squares, one lag)",
     "forest": "Random Forest",
-    "gbt": "XGBoost",
-    "huber": "GradientBoosting (Huber)",
+    "gbt": "Boosted trees (squared error)",
+    "huber": "Boosted trees (Huber)",
     "stack": "Stacking Ensemble",
 }
 

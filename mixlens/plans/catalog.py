@@ -791,7 +791,7 @@ def shap_global_q(spark, sf_dir):
 def shap_beeswarm_q(spark, sf_dir):
     from ..operators.explain import beeswarm
     s = suite(spark, sf_dir)
-    return present(beeswarm(_shap(spark, sf_dir), s.train, ["series", "week"], 10))
+    return present(beeswarm(_shap(spark, sf_dir), s.train, ["series", "week"]))
 
 
 @register("linear_shap")

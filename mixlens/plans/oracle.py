@@ -201,7 +201,7 @@ feat AS (
 ewm AS (
   SELECT a.series, a.week,
          SUM(b.total_sales * pow(0.6, a._i - 1 - b._i)) / SUM(pow(0.6, a._i - 1 - b._i)) AS sales_ewm_4
-  FROM feat a JOIN feat b ON a.series = b.series AND b._i < a._i AND b._i >= a._i - 64
+  FROM feat a JOIN feat b ON a.series = b.series AND b._i < a._i
        AND b.total_sales IS NOT NULL
   GROUP BY a.series, a.week),
 feat2 AS (

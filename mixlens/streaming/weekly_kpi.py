@@ -10,6 +10,8 @@ replaces a Parquet table through ``foreachBatch``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ def weekly_kpi_stream(rows: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFr
                 .agg(*[F.sum(c).alias(c) for c in add], true_kpi_expr(spec.target_col).alias("total_sales")))
 
 
+def _digest(path: str) -> str:
+    """The same folder name for a path in every process, so a restart finds its checkpoint."""
+    return hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
 def run_weekly_kpi(spark: SparkSession, source_path: str, out_path: str, schema,
                    spec: MediaSpec = DEFAULT_SPEC, files_per_trigger: int = 1,
                    checkpoint: str | None = None) -> DataFrame:
@@ -39,7 +46,7 @@ def run_weekly_kpi(spark: SparkSession, source_path: str, out_path: str, schema,
     def write(batch: DataFrame, epoch: int):
         batch.write.mode("overwrite").parquet(out_path)
 
-    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens-stream/{abs(hash(out_path))}"
+    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens-stream/{_digest(out_path)}"
     q = (agg.writeStream.outputMode("complete").foreachBatch(write)
             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -63,7 +70,7 @@ def run_weekly_kpi_final(spark: SparkSession, source_path: str, out_path: str, s
                  .groupBy("_week_ts")
                  .agg(*[F.sum(c).alias(c) for c in add], true_kpi_expr(spec.target_col).alias("total_sales"))
                  .withColumn(spec.week_col, F.to_date("_week_ts")).drop("_week_ts"))
-    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens-stream-final/{abs(hash(out_path))}"
+    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens-stream-final/{_digest(out_path)}"
     q = (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -38,3 +38,19 @@ def test_rolling_and_ewm_match_pandas(spark, vals):
         assert np.array_equal(np.isnan(g), np.isnan(e)), col
         m = ~np.isnan(e)
         assert np.allclose(g[m], e[m], rtol=1e-9, atol=1e-6), col
+
+
+def test_ewm_keeps_every_earlier_week_across_long_gaps(spark):
+    import datetime as dt
+
+    import pandas as pd
+
+    from mixlens.operators.features import engineer_features
+    week = [dt.date(2020, 1, 5) + dt.timedelta(weeks=i) for i in range(140)]
+    y = [100.0 + (i * 37) % 50 if i < 57 or i >= 119 else None for i in range(140)]
+    df = spark.createDataFrame([(w, v, 1.0, 2.0, 3.0) for w, v in zip(week, y)],
+                               "week date, total_sales double, spend double, impressions double, clicks double")
+    got = [r["sales_ewm_4"] for r in engineer_features(df).orderBy("week").collect()]
+    want = pd.Series(y, dtype=float).ewm(span=4, min_periods=1).mean().shift(1)
+    assert got[0] is None
+    assert all(abs(g - w) < 1e-9 for g, w in zip(got[1:], want[1:]))
