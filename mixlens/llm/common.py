@@ -37,9 +37,13 @@ def only(df: DataFrame, stays: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``df`` whose id and key are in ``stays`` (doc_id, key); identical rows once."""
     tagged = df.withColumn("__key", row_key(df)).withColumn("__id", F.col(id_col))
     right = stays.select(F.col("key").alias("__skey"), F.col("doc_id").alias("__sid"))
-    return (tagged.join(right, (F.col("__key") == F.col("__skey")) & F.col("__id").eqNullSafe(F.col("__sid")),
-                        "left_semi")
-            .dropDuplicates(["__key", "__id"]).select(*df.columns))
+    return (tagged.join(right, same_row(), "left_semi").dropDuplicates(["__key", "__id"]).select(*df.columns))
+
+
+def same_row():
+    """Equal key, and equal ids as a check beside it: the join and what follows deal rows by the key alone."""
+    a, b = F.col("__id"), F.col("__sid")
+    return (F.col("__key") == F.col("__skey")) & (((a <= b) & (a >= b)) | (a.isNull() & b.isNull()))
 
 
 def with_fields(df: DataFrame, *names: str, **new: T.DataType) -> T.StructType:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, width
+from .common import cut, row_key, same_row, width
 
 WEIGHTS = (3.0, 1.0, 2.0)        # by source in code-point order, null last, repeating
 SHARE = 1.5                      # of all sizes
@@ -174,7 +174,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
              .select(F.col("doc_id").alias("__sid"), F.col("key").alias("__skey"), "__copies"))
     tagged = docs.withColumn("__key", row_key(docs)).withColumn("__id", F.col(id_col))
     # identical rows share their key: one of them stands for all their copies
-    return (tagged.join(taken, (F.col("__key") == F.col("__skey")) & F.col("__id").eqNullSafe(F.col("__sid")))
+    return (tagged.join(taken, same_row())
             .dropDuplicates(["__key", "__id"])
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
             .select(*docs.columns))
