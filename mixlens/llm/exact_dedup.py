@@ -107,10 +107,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                      F.lit(True).alias("kept"), "digest", "key"))
 
-    many = group.filter("n > 1").select("digest", "top")
-    members = full.join(many, "digest")
-    # one text a bucket: map-side combine keeps a single text per bucket and task
-    chosen = members.filter(F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("digest").agg(F.min("body").alias("own"))
+    # the row with the largest id gives a bucket's text; the id is part of the join, so a hot digest is spread
+    many = group.filter("n > 1").select(F.col("digest").alias("mark"), "top")
+    chosen = cut(full.join(many, (F.col("digest") == F.col("mark")) & F.col("doc_id").eqNullSafe(F.col("top")))
+                 .groupBy("digest").agg(F.min("body").alias("own")))
     checked = cut(full.join(chosen, "digest")
                   .select("doc_id", "key", "row", "digest",
                           F.when(F.col("body") != F.col("own"), F.col("body")).alias("other")))
