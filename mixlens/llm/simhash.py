@@ -130,7 +130,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, bits: int = BITS, gro
     group = cut(components(cut(near_links(least.select("fp"), bits, groups)), "a", "b"))
     linked = least.join(group, least["fp"] == group["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    label = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = cut(linked.groupBy("root").agg(F.min("least").alias("component_id")))
     by_print = cut(linked.select("fp", "root").join(label, "root").select("fp", "root", "component_id"))
     return prints.join(by_print, "fp").select("doc_id", "key", "fp", "root", "component_id")
 
