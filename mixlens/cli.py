@@ -15,10 +15,10 @@ import argparse
 import json
 import sys
 
-from .plans.catalog import QUERIES
+from .plans.catalog import QUERIES, suite
 from .plans.context import context
 from .session import get_session
-from .sources.io import save_table, save_table_set
+from .sources.io import save_fit, save_table, save_table_set
 
 OUTPUT_VIEWS = [
     "kpi_summary", "breakdown_media_type", "breakdown_all_dims", "top_creatives", "efficiency_all_dims",
@@ -58,6 +58,11 @@ def main(argv=None) -> int:
     save_table(fc, f"{out}/forecast")
     save_table(fc, f"{out}/forecast_csv", fmt="csv")
     summary["forecast"] = f"{out}/forecast"
+    # the leaderboard has fitted all six models once; they are saved with their feature list and caps
+    models = suite(spark, source)
+    for key in ("ridge", "arx", "forest", "gbt", "huber", "stack"):
+        save_fit(spark, models.fit(key), f"{out}/models/{key}", models.feats, models.caps)
+        summary[f"models/{key}"] = f"{out}/models/{key}"
     print(json.dumps(summary, indent=1))
     return 0
 

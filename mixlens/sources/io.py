@@ -33,35 +33,80 @@ def load_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 
 
 def save_fit(spark: SparkSession, fit, path: str, feats, caps: dict):
-    """Persist a fitted model with its feature list and caps (one-row table beside it)."""
-    meta = {"kind": type(fit).__name__, "feats": list(feats), "caps": {k: float(v) for k, v in caps.items()}}
-    if type(fit).__name__ == "RidgeFit":
+    """Persist a fitted model of any of the six kinds, with its feature list and caps."""
+    _write_row(spark, f"{path}/fit", {"feats": list(feats), "caps": {k: float(v) for k, v in caps.items()}})
+    _save_part(spark, fit, f"{path}/model")
+
+
+def load_fit(spark: SparkSession, path: str):
+    """Load a model saved by :func:`save_fit`; returns (fit, feats, caps)."""
+    top = _read_row(spark, f"{path}/fit")
+    return _load_part(spark, f"{path}/model"), top["feats"], top["caps"]
+
+
+def _write_row(spark: SparkSession, path: str, values: dict) -> None:
+    spark.createDataFrame([(json.dumps(values),)], "meta string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _read_row(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.parquet(path).first()["meta"])
+
+
+def _save_part(spark: SparkSession, fit, path: str) -> None:
+    """One model and, below it, the models it is made of. An unknown kind raises."""
+    kind = type(fit).__name__
+    meta = {"kind": kind}
+    if kind == "RidgeFit":
         rows = [(f, float(m), float(s), float(c)) for f, m, s, c in zip(fit.feats, fit.mean, fit.scale, fit.coef)]
         spark.createDataFrame(rows, "feature string, mean double, scale double, coef double") \
              .coalesce(1).write.mode("overwrite").parquet(f"{path}/coefficients")
-        meta.update({"intercept": fit.intercept, "alpha": fit.alpha})
-    elif hasattr(fit, "model"):
-        fit.model.write().overwrite().save(f"{path}/model")
-        meta["model_class"] = type(fit.model).__module__ + "." + type(fit.model).__name__
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-         .write.mode("overwrite").parquet(f"{path}/meta")
+        meta.update(feats=list(fit.feats), intercept=float(fit.intercept), alpha=float(fit.alpha))
+    elif kind == "SparkFit":
+        fit.model.write().overwrite().save(f"{path}/spark")
+        meta.update(feats=list(fit.feats), model_class=f"{type(fit.model).__module__}.{type(fit.model).__name__}")
+    elif kind == "HuberFit":
+        for i, (tree, _) in enumerate(fit.trees):
+            tree.write().overwrite().save(f"{path}/trees/{i}")
+        meta.update(feats=list(fit.feats), init=fit.init, step=fit.step,
+                    leaves=[sorted(values.items()) for _, values in fit.trees])
+    elif kind == "ARXFit":
+        _save_part(spark, fit.ridge, f"{path}/ridge")
+        meta.update(base=list(fit.base), lo=fit.lo, hi=fit.hi)
+    elif kind == "StackFit":
+        for name, base in fit.bases.items():
+            _save_part(spark, base, f"{path}/bases/{name}")
+        _save_part(spark, fit.meta, f"{path}/combiner")
+        meta.update(bases=list(fit.bases))
+    else:
+        raise TypeError(f"cannot save a fit of kind {kind}")
+    _write_row(spark, f"{path}/meta", meta)
 
 
-def load_fit(spark: SparkSession, path: str):
-    """Load a model saved by :func:`save_fit`; returns (fit, feats, caps)."""
+def _load_part(spark: SparkSession, path: str):
     import importlib
 
-    from ..operators.models import RidgeFit, SparkFit
-    meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
-    if meta["kind"] == "RidgeFit":
+    from pyspark.ml.regression import DecisionTreeRegressionModel
+
+    from ..operators.models import ARXFit, HuberFit, RidgeFit, SparkFit, StackFit
+    meta = _read_row(spark, f"{path}/meta")
+    kind = meta["kind"]
+    if kind == "RidgeFit":
         c = spark.read.parquet(f"{path}/coefficients").toPandas().set_index("feature").loc[meta["feats"]]
-        fit = RidgeFit(meta["feats"], c["mean"].to_numpy(), c["scale"].to_numpy(), c["coef"].to_numpy(),
-                       meta["intercept"], meta["alpha"])
-    else:
+        return RidgeFit(meta["feats"], c["mean"].to_numpy(), c["scale"].to_numpy(), c["coef"].to_numpy(),
+                        meta["intercept"], meta["alpha"])
+    if kind == "SparkFit":
         mod, cls = meta["model_class"].rsplit(".", 1)
-        model = getattr(importlib.import_module(mod), cls).load(f"{path}/model")
-        fit = SparkFit(model, meta["feats"])
-    return fit, meta["feats"], meta["caps"]
+        return SparkFit(getattr(importlib.import_module(mod), cls).load(f"{path}/spark"), meta["feats"])
+    if kind == "HuberFit":
+        trees = [(DecisionTreeRegressionModel.load(f"{path}/trees/{i}"), {float(k): v for k, v in leaves})
+                 for i, leaves in enumerate(meta["leaves"])]
+        return HuberFit(meta["init"], trees, meta["step"], meta["feats"])
+    if kind == "ARXFit":
+        return ARXFit(_load_part(spark, f"{path}/ridge"), meta["base"], meta["lo"], meta["hi"])
+    if kind == "StackFit":
+        return StackFit({n: _load_part(spark, f"{path}/bases/{n}") for n in meta["bases"]},
+                        _load_part(spark, f"{path}/combiner"))
+    raise TypeError(f"unknown fit kind {kind}")
 
 
 __all__ = ["save_table", "load_table", "save_fit", "load_fit", "save_table_set"]

@@ -26,3 +26,6 @@ def test_cli_writes_all_outputs(spark, capsys):
     for table in ["row_level", "weekly", "weekly_sales", "raw"]:
         assert spark.read.parquet(f"{out}/{table}").count() > 0
     assert len(spark.read.option("header", True).csv(f"{out}/forecast_csv").collect()) == 12
+    from mixlens.sources.io import load_fit
+    for key in ["ridge", "arx", "forest", "gbt", "huber", "stack"]:
+        assert load_fit(spark, written[f"models/{key}"])[1]
