@@ -43,13 +43,15 @@ def efficiency_by(rows: DataFrame, dim: str) -> DataFrame:
 def efficiency_all_dims(rows: DataFrame, dims, metric: str = "estimated_sales") -> DataFrame:
     """D12 and the sales breakdown (D9) for several dimensions from one scan.
 
-    The grouping sets' partial sums are combined before the only shuffle, which carries
-    one row per dimension value and task. Output is long: (dimension, value, sums..., ratios, sales), value labelled with
+    Rows are first reduced to one row per dimension combination (partial + final
+    aggregate), so the grouping-sets Expand multiplies the reduced table, not the raw
+    rows. Output is long: (dimension, value, sums..., ratios, sales), value labelled with
     NULL/None/nan -> 'Unknown'.
     """
     dims = list(dims)
     sums = [*RATIO_SUMS, metric]
-    gs = rows.groupingSets([[d] for d in dims], *dims).agg(
+    pre = rows.groupBy(*dims).agg(*[F.sum(c).alias(c) for c in sums])
+    gs = pre.groupingSets([[d] for d in dims], *dims).agg(
         *[F.sum(c).alias(c) for c in sums], F.grouping_id().alias("_gid"))
     return _long_dimension(gs, dims).withColumns(_ratio_cols())
 
@@ -69,7 +71,7 @@ def _long_dimension(gs: DataFrame, dims) -> DataFrame:
 
 def breakdown_all_dims(rows: DataFrame, dims, metric: str = "estimated_sales") -> DataFrame:
     """sum(metric) per value for several dimensions in one scan (grouping sets over
-    a pre-aggregated table). ``value`` keeps NULL as NULL."""
+    the rows, combined before the shuffle). ``value`` keeps NULL as NULL."""
     dims = list(dims)
     gs = rows.groupingSets([[d] for d in dims], *dims).agg(F.sum(metric).alias(metric),
                                                          F.grouping_id().alias("_gid"))
