@@ -103,17 +103,3 @@ def present(df: DataFrame, digits: dict | None = None) -> DataFrame:
             c = F.round(c.cast("double"), digits[f.name])
         out.append(c.alias(f.name))
     return df.select(*out)
-
-
-# Exact quantiles keep one counter per distinct value; beyond this many input rows a
-# bounded sketch (percentile_approx) is used instead.
-EXACT_QUANTILE_ROWS = 5_000_000
-
-
-def quantile(c, q, n_rows: int | None, limit: int = EXACT_QUANTILE_ROWS, accuracy: int = 100_000) -> Column:
-    """Linear-interpolation quantile (exact) when the input is known to be within
-    ``limit`` rows, otherwise ``percentile_approx`` (bounded memory, rank error 1/accuracy)."""
-    v = col(c).cast("double")
-    if n_rows is not None and n_rows <= limit:
-        return F.percentile(v, F.lit(q))
-    return F.percentile_approx(v, F.lit(q), F.lit(accuracy))

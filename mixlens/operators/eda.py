@@ -86,26 +86,21 @@ def spend_sales_trend(weekly: DataFrame, x: str = "spend", y: str = "total_sales
          .alias("estimate_at_mean"))
 
 
-def describe(df: DataFrame, cols, exact_limit: int = 5_000_000) -> DataFrame:
+def describe(df: DataFrame, cols) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max per column.
 
-    ``percentile`` keeps one counter per distinct value (partial-aggregated map-side), so
-    it is exact with memory bounded by the number of distinct values. A first cheap pass
-    (HyperLogLog) checks that bound; a column beyond it uses ``percentile_approx`` with a
-    bounded sketch instead.
+    The quartiles are exact at any size (functions.quantiles).
     """
+    from ..functions.quantiles import exact_quantiles
     cols = [c for c in cols if c in df.columns]
-    nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
+    quarts = exact_quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.5, 0.75])
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
-        if nd[c] <= exact_limit:
-            q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = F.percentile_approx(v, [0.25, 0.5, 0.75], 100000)
+        p25, p50, p75 = (F.lit(x).cast("double") for x in quarts[c])
         aggs.append(F.struct(F.lit(c).alias("metric"), F.count(v).alias("count"), F.avg(v).alias("mean"),
                              F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-                             q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
+                             p25.alias("p25"), p50.alias("p50"), p75.alias("p75"),
                              F.max(v).alias("max")).alias(c))
     row = df.agg(*aggs)
     return row.select(F.inline(F.array(*[F.col(c) for c in cols])))

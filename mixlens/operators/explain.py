@@ -8,6 +8,8 @@ explains its own rows inside ``mapInPandas`` with NumPy. Output is long:
 
 from __future__ import annotations
 
+from math import factorial
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +38,14 @@ def linear_shap(df: DataFrame, ridge_fit, keys) -> DataFrame:
     return df.select(*keys, F.inline(F.array(*cols)))
 
 
-def ensemble_nodes(spark_fit) -> tuple[list, list]:
+def ensemble_nodes(spark_fit, spark=None) -> tuple[list, list]:
     """Read a fitted tree ensemble's nodes from its saved form.
 
     Returns per tree a dict of arrays (feature, threshold, left, right, value, cover)
     indexed by node id, and the tree weights."""
     model = spark_fit.model
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens-models/{model.uid}"
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
@@ -69,69 +71,46 @@ def ensemble_nodes(spark_fit) -> tuple[list, list]:
     return trees, weights
 
 
-def tree_shap_row(x: np.ndarray, tree: dict, phi: np.ndarray, scale: float) -> None:
-    """Path-dependent TreeSHAP (Lundberg et al., 2018, Algorithm 2) for one row, adding
-    scale * phi_i into ``phi``. Split rule: x[f] <= threshold goes left."""
-    feat, thr, left, right = tree["feature"], tree["threshold"], tree["left"], tree["right"]
-    val, cov = tree["value"], tree["cover"]
-
-    def extend(path, pz, po, pi):
-        path = [list(e) for e in path]
-        n = len(path)
-        path.append([pi, pz, po, 1.0 if n == 0 else 0.0])
-        for i in range(n - 1, -1, -1):
-            path[i + 1][3] += po * path[i][3] * (i + 1) / (n + 1)
-            path[i][3] = pz * path[i][3] * (n - i) / (n + 1)
-        return path
-
-    def unwind(path, i):
-        path = [list(e) for e in path]
-        n = len(path) - 1
-        nxt = path[n][3]
-        po, pz = path[i][2], path[i][1]
-        for j in range(n - 1, -1, -1):
-            if po != 0:
-                tmp = path[j][3]
-                path[j][3] = nxt * (n + 1) / ((j + 1) * po)
-                nxt = tmp - path[j][3] * pz * (n - j) / (n + 1)
-            else:
-                path[j][3] = path[j][3] * (n + 1) / (pz * (n - j))
-        for j in range(i, n):
-            path[j][0], path[j][1], path[j][2] = path[j + 1][0], path[j + 1][1], path[j + 1][2]
-        return path[:n]
-
-    def unwound_sum(path, i):
-        n = len(path) - 1
-        total = 0.0
-        po, pz = path[i][2], path[i][1]
-        nxt = path[n][3]
-        for j in range(n - 1, -1, -1):
-            if po != 0:
-                tmp = nxt * (n + 1) / ((j + 1) * po)
-                total += tmp
-                nxt = path[j][3] - tmp * pz * (n - j) / (n + 1)
-            else:
-                total += (path[j][3] / pz) / ((n - j) / (n + 1))
-        return total
-
-    def recurse(j, path, pz, po, pi):
-        path = extend(path, pz, po, pi)
-        if left[j] < 0:
-            for i in range(1, len(path)):
-                w = unwound_sum(path, i)
-                phi[path[i][0]] += scale * w * (path[i][2] - path[i][1]) * val[j]
-            return
-        f = feat[j]
-        hot, cold = (left[j], right[j]) if x[f] <= thr[j] else (right[j], left[j])
-        iz, io = 1.0, 1.0
-        k = next((i for i in range(1, len(path)) if path[i][0] == f), None)
-        if k is not None:
-            iz, io = path[k][1], path[k][2]
-            path = unwind(path, k)
-        recurse(hot, path, iz * cov[hot] / cov[j], io, f)
-        recurse(cold, path, iz * cov[cold] / cov[j], 0.0, f)
-
-    recurse(0, [], 1.0, 1.0, -1)
+def leaf_paths(tree: dict) -> list[tuple[int, dict]]:
+    """(leaf, {feature: (low, high, share)}) of every leaf: the splits on a feature joined into
+    the interval low < x <= high that leads there, with the part of the rows that took those turns."""
+    out, todo = [], [(0, {})]
+    while todo:
+        node, path = todo.pop()
+        if tree["left"][node] < 0:
+            out.append((node, path))
+            continue
+        f, cut = int(tree["feature"][node]), tree["threshold"][node]
+        low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, span in ((tree["left"][node], (low, min(high, cut))), (tree["right"][node], (max(low, cut), high))):
+            todo.append((child, {**path, f: (*span, share * tree["cover"][child] / tree["cover"][node])}))
+    return out
+
+
+def tree_shap(x: np.ndarray, tree: dict) -> np.ndarray:
+    """Path-dependent SHAP values of one tree for all rows of ``x`` at once (rows x features).
+
+    At a leaf, a coalition of the path's features contributes the product, over its members, of
+    whether the row follows the path and, over the others, of the share of rows that do. The
+    coefficients of prod(share + follows * t) sum those products by coalition size, so each
+    feature's Shapley weights apply to one short polynomial a row.
+    """
+    phi = np.zeros(x.shape)
+    for leaf, path in leaf_paths(tree):
+        names = list(path)
+        m = len(names)
+        follows = {f: ((x[:, f] > low) & (x[:, f] <= high)).astype(float) for f, (low, high, _) in path.items()}
+        for f in names:
+            poly = np.zeros((m, len(x)))
+            poly[0] = 1.0
+            for k, g in enumerate(n for n in names if n != f):
+                share = path[g][2]
+                for size in range(k + 1, 0, -1):
+                    poly[size] = poly[size] * share + poly[size - 1] * follows[g]
+                poly[0] *= share
+            weight = np.array([factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)])
+            phi[:, f] += (weight @ poly) * (follows[f] - path[f][2]) * tree["value"][leaf]
+    return phi
 
 
 def expected_value(trees, weights) -> float:
@@ -145,7 +124,7 @@ def expected_value(trees, weights) -> float:
 
 def shap_values(df: DataFrame, spark_fit, keys) -> DataFrame:
     """Long (keys..., feature, shap_value) for every row of ``df``."""
-    trees, weights = ensemble_nodes(spark_fit)
+    trees, weights = ensemble_nodes(spark_fit, df.sparkSession)
     feats = list(spark_fit.feats)
     bc = df.sparkSession.sparkContext.broadcast((trees, weights, feats))
     key_fields = [df.schema[k] for k in keys]
@@ -159,9 +138,8 @@ def shap_values(df: DataFrame, spark_fit, keys) -> DataFrame:
                 continue
             x = pdf[feats_].to_numpy(dtype=float)
             out = np.zeros_like(x)
-            for r in range(len(x)):
-                for t, w in zip(trees_, weights_):
-                    tree_shap_row(x[r], t, out[r], w)
+            for t, w in zip(trees_, weights_):
+                out += w * tree_shap(x, t)
             rep = pdf[keys].loc[pdf.index.repeat(len(feats_))].reset_index(drop=True)
             rep["feature"] = np.tile(feats_, len(pdf))
             rep["shap_value"] = out.reshape(-1)

@@ -50,6 +50,20 @@ def _rolling(y, n: int, fn):
     return F.when(F.count(y).over(w) >= MIN_PERIODS, fn(y).over(w))
 
 
+def ewm_start() -> list:
+    """num, den, age of an exponentially weighted mean before any value."""
+    return [F.lit(0.0).alias("num"), F.lit(0.0).alias("den"), F.lit(1.0).alias("age")]
+
+
+def ewm_step(num, den, age, y, span: int = EWM_SPAN) -> list:
+    """num, den, age after one more week: an unknown one only ages the weights."""
+    age = age * F.lit(1.0 - 2.0 / (span + 1))
+    known = y.isNotNull()
+    return [F.when(known, num * age + y).otherwise(num).alias("num"),
+            F.when(known, den * age + 1.0).otherwise(den).alias("den"),
+            F.when(known, F.lit(1.0)).otherwise(age).alias("age")]
+
+
 def previous_ewm(df: DataFrame, span: int = EWM_SPAN) -> DataFrame:
     """series, week, sales_ewm_4: the exponentially weighted mean of all earlier known targets.
 
@@ -57,19 +71,14 @@ def previous_ewm(df: DataFrame, span: int = EWM_SPAN) -> DataFrame:
     stays as it is; the ageing is counted and applied at the next known value, however long
     the gap. A series has as many rows as there are weeks.
     """
-    q = 1.0 - 2.0 / (span + 1)
     out = F.array().cast("array<struct<week:date,ewm:double>>")
-    start = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"), F.lit(1.0).alias("age"), out.alias("out"))
+    start = F.struct(*ewm_start(), out.alias("out"))
 
     def step(acc, e):
-        known, age = e["y"].isNotNull(), acc["age"] * F.lit(q)
-        return F.struct(
-            F.when(known, acc["num"] * age + e["y"]).otherwise(acc["num"]).alias("num"),
-            F.when(known, acc["den"] * age + 1.0).otherwise(acc["den"]).alias("den"),
-            F.when(known, F.lit(1.0)).otherwise(age).alias("age"),
-            F.concat(acc["out"], F.array(F.struct(
-                e["week"].cast("date").alias("week"),
-                F.when(acc["den"] > 0, acc["num"] / acc["den"]).alias("ewm")))).alias("out"))
+        return F.struct(*ewm_step(acc["num"], acc["den"], acc["age"], e["y"], span),
+                        F.concat(acc["out"], F.array(F.struct(
+                            e["week"].cast("date").alias("week"),
+                            F.when(acc["den"] > 0, acc["num"] / acc["den"]).alias("ewm")))).alias("out"))
 
     weeks = F.sort_array(F.collect_list(F.struct("week", F.col(TARGET).cast("double").alias("y"))))
     return (df.groupBy("series").agg(weeks.alias("h"))
@@ -115,15 +124,10 @@ def feature_columns(df: DataFrame | None = None) -> list:
 
 
 def ratio_caps(model_rows: DataFrame, cols=RATIO_CAP_COLS, q: float = 0.99) -> dict:
-    """Per-column p99 (linear interpolation) over the model rows (one row per series
-    and week); exact while the row count is within the checked bound, a sketch beyond."""
-    cols = [c for c in cols if c in model_rows.columns]
-    if not cols:
-        return {}
-    from ..functions.exprs import quantile
-    n = model_rows.count()
-    row = model_rows.agg(*[quantile(c, q, n).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    """Per-column p99 (linear interpolation, exact) over the model rows."""
+    from ..functions.quantiles import exact_quantiles
+    found = exact_quantiles(model_rows, {c: F.col(c) for c in cols if c in model_rows.columns}, [q])
+    return {c: v[0] for c, v in found.items()}
 
 
 def finalize_features(df: DataFrame, feature_cols, caps: dict) -> DataFrame:

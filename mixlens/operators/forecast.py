@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import bounded
-from .features import MEDIA_LAGS, N_LAGS, TARGET, finalize_features, future_weeks
+from .features import MEDIA_LAGS, N_LAGS, TARGET, ewm_start, ewm_step, finalize_features, future_weeks
 
 
 @dataclass
@@ -42,10 +42,10 @@ def _std(arr):
     return F.when(F.size(arr) <= 1, F.lit(0.0)).when(F.size(nn) >= 2, F.sqrt(ss / (F.size(nn) - 1)))
 
 
-def step_features(hist, ewm_mode: str = "reference") -> dict:
+def step_features(hist, ewm=None) -> dict:
     """Lag/rolling features of the next row from the previous (up to 8) values, with the
     forecast-time rules: lags before the start are 0, no min_periods, std 0 under two
-    rows, EWM set to the 8-row mean (``ewm_mode='reference'``) or computed exactly."""
+    rows, EWM set to the 8-row mean unless ``ewm`` gives it."""
     size = F.size(hist)
     lag = {i: F.when(size >= i, F.element_at(hist, -i)).otherwise(F.lit(0.0)) for i in range(1, N_LAGS + 1)}
     last4 = F.slice(hist, F.greatest(size - 3, F.lit(1)), 4)
@@ -61,17 +61,7 @@ def step_features(hist, ewm_mode: str = "reference") -> dict:
         "sales_diff_1": F.when(lag[2] != 0, lag[1] - lag[2]).otherwise(F.lit(0.0)),
         "sales_ratio_to_mean_8": F.when(mean8.isNotNull(), lag[1] / F.greatest(mean8, F.lit(1.0))),
     })
-    if ewm_mode == "reference":
-        out["sales_ewm_4"] = mean8
-    else:
-        q = 0.6
-        n = F.size(hist)
-        idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-        pairs = F.filter(F.arrays_zip(hist.alias("v"), idx.alias("i")), lambda e: e["v"].isNotNull())
-        w = F.transform(pairs, lambda e: F.pow(F.lit(q), (n - e["i"]).cast("double")))
-        num = F.aggregate(F.zip_with(pairs, w, lambda e, x: e["v"] * x), F.lit(0.0), lambda a, b: a + b)
-        den = F.aggregate(w, F.lit(0.0), lambda a, b: a + b)
-        out["sales_ewm_4"] = F.when(F.size(pairs) > 0, num / den)
+    out["sales_ewm_4"] = mean8 if ewm is None else ewm
     return out
 
 
@@ -110,17 +100,18 @@ def candidates(weekly: DataFrame, horizon: int, series_keys=None, pad_calendar:
 
 
 def history_state(weekly: DataFrame, horizon: int, series_keys=None) -> DataFrame:
-    """Last 8 sales (NULLs kept, week order) before each series' first candidate. Reads
-    the target straight from the weekly table (no feature window needed)."""
+    """Last 8 sales (NULLs kept, week order) before each series' first candidate, and the
+    weighted mean's numerator, denominator and age over all its sales. Reads the target
+    straight from the weekly table (no feature window needed)."""
     from .features import with_series
     base = with_series(weekly, series_keys).select("series", "week", F.col(TARGET).cast("double").alias(TARGET))
     first = future_weeks(weekly, horizon, series_keys).groupBy("series").agg(F.min("week").alias("_first"))
     before = base.join(first, "series").where(F.col("week") < F.col("_first"))
-    w = Window.partitionBy("series").orderBy(F.col("week").desc())
-    last = before.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= N_LAGS)
-    st = last.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("week", F.col(TARGET).alias("v"))))
-                                    .alias("_h"))
-    return st.select("series", F.transform("_h", lambda e: e["v"]).alias("hist"))
+    st = before.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("week", F.col(TARGET).alias("v"))))
+                                      .alias("_h"))        # as many as there are weeks
+    ewm = F.aggregate("_h", F.struct(*ewm_start()), lambda a, e: F.struct(*ewm_step(a["num"], a["den"], a["age"], e["v"])))
+    hist = F.transform(F.slice("_h", F.greatest(F.size("_h") - N_LAGS + 1, F.lit(1)), N_LAGS), lambda e: e["v"])
+    return st.select("series", hist.alias("hist"), ewm.alias("ewm"))
 
 
 def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int = 12, series_keys=None,
@@ -128,6 +119,7 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
                        checkpoint_every: int = 4) -> DataFrame:
     """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series.
 
+    ``ewm_mode='exact'`` weights all earlier sales and forecasts; 'reference' takes the 8-row mean.
     The state row of a series carries its last 8 values and the forecasts made so far;
     each step joins that step's candidate row, scores it and appends the prediction.
     The result is exploded from the final state once, so the plan stays one chain."""
@@ -143,7 +135,8 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
         # within it; the (preserved) state streams. A series
         # without a k-th candidate keeps its state unchanged.
         cur = state.join(F.broadcast(rows) if fits else rows, on="series", how="left")
-        cur = cur.withColumns(step_features(F.col("hist"), ewm_mode))
+        known = F.when(F.col("ewm.den") > 0, F.col("ewm.num") / F.col("ewm.den"))
+        cur = cur.withColumns(step_features(F.col("hist"), known if ewm_mode == "exact" else None))
         cur = finalize_features(cur, feats, caps)
         pred = fit.transform(cur, "log_pred").withColumn("_y", F.expm1("log_pred"))
         has = F.col("step").isNotNull()
@@ -151,6 +144,8 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
             "series",
             F.when(has, F.slice(F.concat("hist", F.array("_y")), -N_LAGS, N_LAGS)).otherwise(F.col("hist"))
              .alias("hist"),
+            F.when(has, F.struct(*ewm_step(F.col("ewm.num"), F.col("ewm.den"), F.col("ewm.age"), F.col("_y"))))
+             .otherwise(F.col("ewm")).alias("ewm"),
             F.when(has, F.concat("out", F.array(F.struct(F.col("week"), F.col("_y").alias("forecasted_sales")))))
              .otherwise(F.col("out")).alias("out"))
         if k % checkpoint_every == 0 or k == horizon:

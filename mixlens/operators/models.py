@@ -233,30 +233,30 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
     checkpoint() every few rounds (reliable storage, survives executor loss)."""
     p = {**HUBER, **params}
     rounds, alpha, step = p["rounds"], p["alpha"], p["stepSize"]
-    from ..functions.exprs import quantile
+    from ..functions.quantiles import exact_quantile, exact_quantiles
     cur = _assembled(df, feats).select("_features", F.col(label).alias("_y")).checkpoint(eager=True)
-    n = cur.count()     # exact medians/quantiles only while bounded; sketches beyond
-    init = cur.agg(quantile("_y", 0.5, n).alias("m")).first()["m"]
+    init = exact_quantile(cur, F.col("_y"), 0.5)
     cur = cur.withColumn("_f", F.lit(float(init)))
     trees = []
     for i in range(rounds):
         r = F.col("_y") - F.col("_f")
-        delta = cur.agg(quantile(F.abs(r), alpha, n).alias("d")).first()["d"] or 0.0
+        delta = exact_quantile(cur, F.abs(r), alpha) or 0.0
         grad = F.when(F.abs(r) <= delta, r).otherwise(F.signum(r) * F.lit(delta))
         work = cur.withColumn("_g", grad).withColumn("_r", r)
         sample = work.sample(fraction=p["subsamplingRate"], seed=SEED + i) if p["subsamplingRate"] < 1 else work
         dt = DecisionTreeRegressor(featuresCol="_features", labelCol="_g", predictionCol="_tp",
                                    leafCol="_leaf", maxDepth=p["maxDepth"],
                                    minInstancesPerNode=p["minInstancesPerNode"], seed=SEED + i).fit(sample)
-        leafed = dt.transform(sample)
-        med = leafed.groupBy("_leaf").agg(quantile("_r", 0.5, n).alias("_med"))
-        # one row per leaf: at most 2**maxDepth rows, a bound fixed by the tree depth
-        dev = (leafed.join(F.broadcast(med), "_leaf")
-                     .withColumn("_d", F.col("_r") - F.col("_med"))
-                     .groupBy("_leaf")
-                     .agg(F.first("_med").alias("_med"),
-                          F.avg(F.signum("_d") * F.least(F.abs("_d"), F.lit(float(delta)))).alias("_adj")))
-        leaf_vals = {float(row["_leaf"]): float(row["_med"] + row["_adj"]) for row in dev.collect()}
+        leafed = dt.transform(sample).select("_leaf", "_r").persist(StorageLevel.MEMORY_AND_DISK)
+        # at most 2**maxDepth leaves, a bound fixed by the tree depth
+        leaves = [x["_leaf"] for x in leafed.select("_leaf").distinct().collect()]
+        med = {k: v[0] for k, v in exact_quantiles(
+            leafed, {k: F.when(F.col("_leaf") == k, F.col("_r")) for k in leaves}, [0.5]).items()}
+        off = F.col("_r") - F.element_at(F.create_map(*[F.lit(x) for kv in med.items() for x in kv]), F.col("_leaf"))
+        adj = leafed.withColumn("_d", off).groupBy("_leaf").agg(
+            F.avg(F.signum("_d") * F.least(F.abs("_d"), F.lit(float(delta)))).alias("_adj")).collect()
+        leaf_vals = {float(x["_leaf"]): float(med[x["_leaf"]] + x["_adj"]) for x in adj}
+        leafed.unpersist()
         trees.append((dt, leaf_vals))
         prev = cur
         cur = _apply_tree(cur, dt, leaf_vals, "_f", step, i)

@@ -75,15 +75,8 @@ def test_recursive_forecast_rules(spark):
     assert np.allclose([r.forecasted_sales for r in got], expect, rtol=1e-9)
 
 
-def test_exact_ewm_and_calendar_padding(spark):
-    import pandas as pd
-
-    from mixlens.operators.forecast import candidates, step_features
-    hist = [3.0, None, 5.0, 8.0]
-    row = spark.createDataFrame([(hist,)], "hist array<double>").select(
-        step_features(F.col("hist"), "exact")["sales_ewm_4"].alias("e")).first()
-    expect = pd.Series([np.nan if v is None else v for v in hist]).ewm(span=4).mean().iloc[-1]
-    assert abs(row.e - expect) < 1e-9
+def test_calendar_padding(spark):
+    from mixlens.operators.forecast import candidates
 
     start = dt.date(2024, 1, 7)
     rows = [(start + dt.timedelta(days=7 * i), 1.0 if i < 3 else None, 1.0, 1, 1, (start + dt.timedelta(days=7 * i)).month)
@@ -95,3 +88,27 @@ def test_exact_ewm_and_calendar_padding(spark):
     padded = sorted(plain)[1:]
     assert all(plain[w] is None for w in padded)             # reference: padded weeks lose calendar
     assert all(fixed[w] == w.month for w in padded)          # option: calendar filled in
+
+
+def test_exact_ewm_weights_all_earlier_sales(spark):
+    import pandas as pd
+
+    class EwmFit:
+        def transform(self, df, out="log_pred"):
+            return df.withColumn(out, F.log1p(F.col("sales_ewm_4") * 1.1))
+
+    start = dt.date(2020, 1, 5)
+    rng = np.random.default_rng(1)
+    sales = [float(v) for v in rng.uniform(50, 150, 140)]
+    sales[20:82] = [None] * 62                                   # a gap far longer than the lags
+    rows = [(start + dt.timedelta(days=7 * i), v, 1.0, 1, 1, 1) for i, v in enumerate(sales)]
+    df = spark.createDataFrame(rows, "week date, total_sales double, spend double, impressions bigint, "
+                                     "clicks bigint, month int")
+    feats = ["sales_ewm_4", "sales_lag_1"]
+    got = [r.forecasted_sales for r in recursive_forecast(df, EwmFit(), feats, {}, horizon=6, ewm_mode="exact")
+           .orderBy("week").collect()]
+    work = pd.Series([np.nan if v is None else v for v in sales])
+    for v in got:
+        expect = work.ewm(span=4).mean().iloc[-1] * 1.1
+        assert abs(v - expect) < 1e-8
+        work = pd.concat([work, pd.Series([v])], ignore_index=True)

@@ -67,3 +67,33 @@ def test_plain_ridge_matches_closed_form(spark):
     xc, yc = x - x.mean(0), y - y.mean()
     w = np.linalg.solve(xc.T @ xc + 2.0 * np.eye(len(cols)), xc.T @ yc)
     assert np.allclose(fit.coef, w, atol=1e-9)
+
+
+def test_tree_shap_matches_shapley_definition():
+    """Against the definition: every coalition of features, absent ones averaged by cover."""
+    from itertools import combinations
+    from math import factorial
+
+    from mixlens.operators.explain import tree_shap
+    # depth 3, feature 0 split twice on one path; children of i listed explicitly
+    tree = {"feature": np.array([0, 1, 0, -1, -1, 2, -1, -1, -1]), "threshold": np.array([0.0, 0.5, 1.0, 0, 0, -0.2, 0, 0, 0]),
+            "left": np.array([1, 3, 5, -1, -1, 7, -1, -1, -1]), "right": np.array([2, 4, 6, -1, -1, 8, -1, -1, -1]),
+            "value": np.array([0, 0, 0, 1.0, -2.0, 0, 5.0, 3.0, 0.5]), "cover": np.array([20.0, 9, 11, 4, 5, 7, 4, 3, 4])}
+
+    def mean(x, known, node=0):
+        if tree["left"][node] < 0:
+            return tree["value"][node]
+        a, b, f = tree["left"][node], tree["right"][node], tree["feature"][node]
+        if f in known:
+            return mean(x, known, a if x[f] <= tree["threshold"][node] else b)
+        return (tree["cover"][a] * mean(x, known, a) + tree["cover"][b] * mean(x, known, b)) / tree["cover"][node]
+
+    xs = np.random.default_rng(5).normal(size=(30, 4))
+    xs[0] = [0.0, 0.5, -0.2, 0.0]                                # on the thresholds
+    got = tree_shap(xs, tree)
+    for x, phi in zip(xs, got):
+        for i in range(4):
+            rest = [j for j in range(4) if j != i]
+            want = sum(factorial(k) * factorial(3 - k) / 24 * (mean(x, {*s, i}) - mean(x, set(s)))
+                       for k in range(4) for s in combinations(rest, k))
+            assert abs(phi[i] - want) < 1e-12
