@@ -10,6 +10,7 @@ pass, whatever the number of input rows, and the method is the same at every siz
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +18,18 @@ from pyspark.sql import functions as F
 BINS = 1024
 
 
+LARGEST = sys.float_info.max
+
+
 def _finite(c):
     v = c.cast("double")
-    return F.when(~F.isnan(v), v)
+    return F.when(~F.isnan(v), F.greatest(F.least(v, F.lit(LARGEST)), F.lit(-LARGEST)))
 
 
 def exact_quantiles(df: DataFrame, columns: dict, qs) -> dict:
     """{name: [value for each q]} of the expressions in ``columns`` ({name: Column}).
 
-    NULL and NaN are left out; a column without values has quantiles None. Callers should
+    NULL and NaN are left out, infinities count as the largest double; a column without values has quantiles None. Callers should
     hand in a frame that is cheap to read again (a stored or persisted one).
     """
     names = list(columns)

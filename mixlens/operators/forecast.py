@@ -1,8 +1,8 @@
 """Recursive multi-week forecast for every series at once.
 
-State is one row per series carrying an array of its last 8 sales. Each horizon step is
-a narrow update: join that step's candidate row (real media where logged, padded weeks
-otherwise) to the state, derive the lag/rolling features from the array, score, and push
+State is one row per series carrying an array of its last 8 sales and its candidate rows
+(real media where logged, padded weeks otherwise), joined to it once. Each horizon step is
+a narrow projection: take that step's candidate row, derive the lag/rolling features from the array, score, and push
 the prediction into the array. The loop runs over weeks (12 by default), never over
 series; lineage is cut with checkpoint() every few steps.
 """
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import bounded
+from ..session import ensure_checkpoint_dir
 from .features import MEDIA_LAGS, N_LAGS, TARGET, ewm_start, ewm_step, finalize_features, future_weeks
 
 
@@ -26,6 +26,19 @@ class NaiveFit:
         return df.withColumn(out, F.log1p(F.col("sales_lag_1")))
 
 
+@dataclass
+class LinearFit:
+    """Fixed weights over feature columns, in dollars, floored at 0."""
+
+    weights: dict
+
+    def transform(self, df: DataFrame, out: str = "log_pred") -> DataFrame:
+        total = F.lit(0.0)
+        for c, w in self.weights.items():
+            total = total + F.col(c).cast("double") * F.lit(float(w))
+        return df.withColumn(out, F.log1p(F.greatest(total, F.lit(0.0))))
+
+
 def _nonnull(arr):
     return F.filter(arr, lambda x: x.isNotNull())
 
@@ -120,28 +133,29 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
     """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series.
 
     ``ewm_mode='exact'`` weights all earlier sales and forecasts; 'reference' takes the 8-row mean.
-    The state row of a series carries its last 8 values and the forecasts made so far;
-    each step joins that step's candidate row, scores it and appends the prediction.
+    The state row of a series carries its last 8 values, its candidate rows and the forecasts
+    made so far; each step scores its candidate row and appends the prediction.
     The result is exploded from the final state once, so the plan stays one chain."""
-    cand, fits = bounded(candidates(weekly, horizon, series_keys, pad_calendar))
-    state, _ = bounded(history_state(weekly, horizon, series_keys))
+    ensure_checkpoint_dir(weekly.sparkSession)
+    cand = candidates(weekly, horizon, series_keys, pad_calendar)
+    rest = [c for c in cand.columns if c not in ("series", "step")]
+    rows = cand.groupBy("series").agg(                           # ``horizon`` rows a series
+        F.sort_array(F.collect_list(F.struct("step", *rest))).alias("rows"))
+    empty = F.array().cast("array<struct<week:date,forecasted_sales:double>>")
+    state = (history_state(weekly, horizon, series_keys).join(rows, "series", "left")
+             .withColumn("out", empty).checkpoint(eager=True))
     if state.isEmpty():
         raise ValueError("No weeks with known sales -- cannot anchor a forecast.")
-    empty = F.array().cast("array<struct<week:date,forecasted_sales:double>>")
-    state = state.withColumn("out", empty)
     for k in range(1, horizon + 1):
-        rows = cand.where(F.col("step") == k)
-        # all steps' candidates are checked against the broadcast bound once, so one step's are
-        # within it; the (preserved) state streams. A series
-        # without a k-th candidate keeps its state unchanged.
-        cur = state.join(F.broadcast(rows) if fits else rows, on="series", how="left")
+        # a series without a k-th candidate keeps its state unchanged
+        cur = state.withColumn("_row", F.get("rows", F.lit(k - 1))).select("*", "_row.*").drop("_row")
         known = F.when(F.col("ewm.den") > 0, F.col("ewm.num") / F.col("ewm.den"))
         cur = cur.withColumns(step_features(F.col("hist"), known if ewm_mode == "exact" else None))
         cur = finalize_features(cur, feats, caps)
         pred = fit.transform(cur, "log_pred").withColumn("_y", F.expm1("log_pred"))
         has = F.col("step").isNotNull()
         state = pred.select(
-            "series",
+            "series", "rows",
             F.when(has, F.slice(F.concat("hist", F.array("_y")), -N_LAGS, N_LAGS)).otherwise(F.col("hist"))
              .alias("hist"),
             F.when(has, F.struct(*ewm_step(F.col("ewm.num"), F.col("ewm.den"), F.col("ewm.age"), F.col("_y"))))

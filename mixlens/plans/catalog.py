@@ -737,6 +737,146 @@ def forecast_summary_q(spark, sf_dir):
     return present(out, {"mean_forecast": 2, "total_forecast": 2})
 
 
+# every kind of feature that the state or the candidate rows give, so a wrong one shows
+LINEAR = {"sales_lag_1": 0.3, "sales_lag_2": 0.05, "sales_lag_3": 0.05, "sales_lag_8": 0.05,
+          "sales_rolling_mean_4": 0.1, "sales_rolling_mean_8": 0.1, "sales_rolling_std_8": 0.1,
+          "sales_rolling_min_8": 0.05, "sales_rolling_max_8": 0.05, "sales_ewm_4": 0.1, "sales_diff_1": 0.2,
+          "sales_ratio_to_mean_8": 10.0, "spend_lag_1": 0.001, "clicks_lag_1": 0.01, "spend": 0.002, "month": 5.0,
+          "week_of_year_sin": 50.0}
+LINEAR_HORIZON = 24          # past the last logged week, so padded weeks are reached
+
+
+def _linear_forecast(weekly):
+    from ..operators.features import feature_columns
+    from ..operators.forecast import LinearFit, recursive_forecast
+    present_ = [c for c in feature_columns() if c in LINEAR or c in weekly.columns]
+    fc = recursive_forecast(weekly, LinearFit(LINEAR), present_, {}, LINEAR_HORIZON)
+    return present(fc, {"forecasted_sales": 2})
+
+
+@register("linear_forecast", O.linear_forecast(O.fq(""), LINEAR, LINEAR_HORIZON))
+def linear_forecast_q(spark, sf_dir):
+    """I13 with a model that reads every state feature."""
+    return _linear_forecast(context(spark, sf_dir).weekly())
+
+
+@register("panel_linear_forecast", O.linear_forecast(O.pfq(""), LINEAR, LINEAR_HORIZON))
+def panel_linear_forecast_q(spark, sf_dir):
+    """The same for every channel at once."""
+    return _linear_forecast(_panel(spark, sf_dir))
+
+
+@register("ar_x_forecast")
+def ar_x_forecast_q(spark, sf_dir):
+    """AR-X rolled forward on its own predictions."""
+    from ..operators.forecast import recursive_forecast
+    s = suite(spark, sf_dir)
+    return present(recursive_forecast(s.ctx.weekly(), s.fit("arx"), s.feats, s.caps, 12), {"forecasted_sales": 2})
+
+
+# Models that SQL can compute, through the same prediction, leaderboard and comparison operators
+BASELINES = {"Lag 1": {"sales_lag_1": 1.0}, "Mean of 8 weeks": {"sales_rolling_mean_8": 1.0},
+             "Fixed linear": {"sales_lag_1": 0.5, "sales_lag_2": 0.2, "sales_ewm_4": 0.2, "sales_rolling_std_8": 0.1,
+                              "spend": 0.001}}
+_BASE_PREDS = " UNION ALL ".join(
+    f"SELECT '{name}' AS model, series, week, split, total_sales AS y, GREATEST({O.linear(w)}, 0.0) AS yhat "
+    "FROM split WHERE split <> 'forecast'" for name, w in BASELINES.items())
+_BASE_BOARD = (
+    f"p AS ({_BASE_PREDS}), m AS (SELECT model, split, sqrt(AVG((y - yhat) * (y - yhat))) AS rmse, "
+    "AVG(ABS(y - yhat)) AS mae, AVG(ABS(y - yhat) / GREATEST(ABS(y), 2.220446049250313e-16)) * 100 AS mape_pct, "
+    "1 - SUM((y - yhat) * (y - yhat)) / (VAR_POP(y) * COUNT(*)) AS r2 FROM p GROUP BY model, split), "
+    "board AS (SELECT t.model, ROUND(t.rmse, 4) AS rmse, ROUND(t.mae, 4) AS mae, ROUND(t.mape_pct, 6) AS mape_pct, "
+    "ROUND(t.r2, 9) AS r2_holdout, ROUND(r.r2, 9) AS r2_train FROM m t JOIN m r ON t.model = r.model "
+    "WHERE t.split = 'test' AND r.split = 'train') ")
+
+
+def _baseline_preds(spark, sf_dir):
+    from ..operators.forecast import LinearFit
+    from ..operators.models import predictions
+    data = suite(spark, sf_dir).data.where(F.col("split") != "forecast")
+    out = None
+    for name, w in BASELINES.items():
+        p = predictions(LinearFit(w), data, name)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _baseline_board(spark, sf_dir):
+    from ..operators.models import leaderboard
+    return present(leaderboard(_baseline_preds(spark, sf_dir)),
+                   {"rmse": 4, "mae": 4, "mape_pct": 6, "r2_holdout": 9, "r2_train": 9})
+
+
+@register("baseline_holdout", O.fq(
+    f", p AS ({_BASE_PREDS}) SELECT model, series, {O.d('week')} AS week, ROUND(y, 2) AS y, ROUND(yhat, 2) AS yhat "
+    "FROM p WHERE split = 'test'"))
+def baseline_holdout(spark, sf_dir):
+    p = _baseline_preds(spark, sf_dir).where(F.col("split") == "test").drop("split")
+    return present(p, {"y": 2, "yhat": 2})
+
+
+@register("baseline_leaderboard", O.fq(", " + _BASE_BOARD + "SELECT * FROM board"))
+def baseline_leaderboard(spark, sf_dir):
+    return _baseline_board(spark, sf_dir)
+
+
+@register("baseline_comparison", O.fq(", " + _BASE_BOARD + " UNION ALL ".join(
+    f"SELECT model, '{m}' AS metric, {m} AS value FROM board"
+    for m in ["rmse", "mae", "mape_pct", "r2_train", "r2_holdout"])))
+def baseline_comparison(spark, sf_dir):
+    from ..operators.models import model_comparison
+    return model_comparison(_baseline_board(spark, sf_dir))
+
+
+# Ridge of two features at one penalty: the normal equations in closed form
+PAIR, PENALTY = ("spend", "sales_rolling_mean_8"), 3.0
+_PAIR_SQL = (
+    ", tr AS (SELECT series, week, CAST({0} AS DOUBLE) AS a, CAST({1} AS DOUBLE) AS b, ln(1 + total_sales) AS y "
+    "FROM split WHERE split = 'train'), st AS (SELECT COUNT(*) AS n, AVG(a) AS ma, AVG(b) AS mb, "
+    "stddev_pop(a) AS sa, stddev_pop(b) AS sb, corr(a, b) AS r, covar_pop(a, y) AS ca, covar_pop(b, y) AS cb FROM tr), "
+    "eq AS (SELECT *, n + {2} AS d, n * r AS e, n * ca / sa AS u, n * cb / sb AS v FROM st), "
+    "w AS (SELECT *, (u * d - e * v) / (d * d - e * e) AS wa, (d * v - e * u) / (d * d - e * e) AS wb FROM eq) "
+).format(*PAIR, PENALTY)
+
+
+def _pair_fit(spark, sf_dir):
+    from ..operators.models import fit_ridge
+    s = suite(spark, sf_dir)
+    return s, fit_ridge(s.train, list(PAIR), [PENALTY])
+
+
+@register("pair_coefficients", O.fq(
+    _PAIR_SQL + f"SELECT '{PAIR[0]}' AS feature, ROUND(wa, 9) AS coefficient FROM w UNION ALL "
+    f"SELECT '{PAIR[1]}', ROUND(wb, 9) FROM w"))
+def pair_coefficients(spark, sf_dir):
+    """I6 + J1 on two features, where SQL can solve the equations."""
+    from ..operators.explain import std_coefficients
+    _, fit = _pair_fit(spark, sf_dir)
+    return present(_pairs_frame(spark, std_coefficients(fit), "feature string, coefficient double"), {"coefficient": 9})
+
+
+_PAIR_SHAP = (f"SELECT series, week, '{PAIR[0]}' AS feature, (a - ma) / sa * wa AS v FROM tr, w UNION ALL "
+              f"SELECT series, week, '{PAIR[1]}', (b - mb) / sb * wb FROM tr, w")
+
+
+@register("pair_shap", O.fq(
+    _PAIR_SQL + f"SELECT series, {O.d('week')} AS week, feature, ROUND(v, 8) + 0.0 AS shap_value FROM ({_PAIR_SHAP}) x"))
+def pair_shap(spark, sf_dir):
+    """J5 for the two-feature ridge."""
+    from ..operators.explain import linear_shap
+    s, fit = _pair_fit(spark, sf_dir)
+    return present(linear_shap(s.train, fit, ["series", "week"]), {"shap_value": 8})
+
+
+@register("pair_shap_global", O.fq(
+    _PAIR_SQL + f"SELECT feature, ROUND(AVG(ABS(v)), 8) AS mean_abs_shap FROM ({_PAIR_SHAP}) x GROUP BY feature"))
+def pair_shap_global(spark, sf_dir):
+    """J4 over J5's values."""
+    from ..operators.explain import linear_shap, shap_global
+    s, fit = _pair_fit(spark, sf_dir)
+    return present(shap_global(linear_shap(s.train, fit, ["series", "week"])), {"mean_abs_shap": 8})
+
+
 @register("champion_forecast")
 def champion_forecast(spark, sf_dir):
     """Forecast with the leaderboard's best model and its holdout RMSE band."""
@@ -937,9 +1077,7 @@ def panel_weekly_q(spark, sf_dir):
     return present(p, {"total_sales": 2, "cost_per_sale": 9})
 
 
-_PANEL_FEATS = ["sales_lag_1", "sales_lag_8", "sales_rolling_mean_4", "sales_rolling_mean_8",
-                "sales_rolling_std_8", "sales_rolling_min_8", "sales_ewm_4", "sales_diff_1",
-                "sales_ratio_to_mean_8", "spend_lag_1"]
+_PANEL_FEATS = O.FEATURES
 
 
 @register("panel_features", O.pfq(f"SELECT series, {O.d('week')} AS week, {O.feat_select(_PANEL_FEATS)} "

@@ -298,3 +298,61 @@ def pq(body: str) -> str:
 
 def pfq(body: str) -> str:
     return ctes() + PANEL + feature_ctes(PANEL_TS) + body
+
+
+def linear(weights: dict) -> str:
+    """Weighted sum of feature columns."""
+    return " + ".join(f"CAST({c} AS DOUBLE) * {w!r}" for c, w in weights.items())
+
+
+def linear_forecast(start: str, weights: dict, horizon: int) -> str:
+    """Recursive forecast by fixed weights, as a recursive query carrying a list of the last 8
+    values; ``start`` holds the feature CTEs (``ts`` among them)."""
+    def lag(i):
+        return f"CASE WHEN len(hist) >= {i} THEN hist[len(hist) - {i} + 1] ELSE 0.0 END"
+
+    mean8 = "list_aggregate(hist, 'avg')"
+    state = {f"sales_lag_{i}": lag(i) for i in range(1, 9)}
+    state.update({
+        "sales_rolling_mean_4": "list_aggregate(hist[greatest(len(hist) - 3, 1):], 'avg')",
+        "sales_rolling_mean_8": mean8,
+        "sales_rolling_std_8": "list_aggregate(hist, 'stddev_samp')",
+        "sales_rolling_min_8": "list_aggregate(hist, 'min')",
+        "sales_rolling_max_8": "list_aggregate(hist, 'max')",
+        "sales_ewm_4": mean8,
+        "sales_diff_1": f"CASE WHEN ({lag(2)}) <> 0 THEN ({lag(1)}) - ({lag(2)}) ELSE 0.0 END",
+        "sales_ratio_to_mean_8": f"({lag(1)}) / greatest({mean8}, 1.0)",
+    })
+    total = " + ".join(f"COALESCE(CAST({state.get(c, 'c.' + c)} AS DOUBLE), 0.0) * {w!r}" for c, w in weights.items())
+    return start.replace("WITH", "WITH RECURSIVE", 1) + f""", anchor AS (
+  SELECT series, MAX(CASE WHEN total_sales IS NOT NULL THEN week END) AS a, MAX(week) AS l FROM ts GROUP BY series),
+after AS (
+  SELECT t.series, t.week, row_number() OVER (PARTITION BY t.series ORDER BY t.week) AS k
+  FROM ts t JOIN anchor n ON t.series = n.series AND t.week > n.a),
+fut AS (
+  SELECT series, week FROM after WHERE k <= {horizon}
+  UNION ALL
+  SELECT n.series, CAST(n.l + INTERVAL (7 * p.i) DAY AS DATE)
+  FROM (SELECT n.series, n.l, COUNT(f.week) AS have FROM anchor n LEFT JOIN after f ON n.series = f.series
+        WHERE n.a IS NOT NULL GROUP BY n.series, n.l) n, range(1, {horizon} + 1) p(i)
+  WHERE p.i <= {horizon} - least(n.have, {horizon})),
+seq AS (
+  SELECT f.series, f.week, true AS ahead FROM fut f
+  UNION ALL SELECT series, a, false FROM anchor WHERE a IS NOT NULL),
+cand AS (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY week) AS step FROM (
+    SELECT s.series, s.week, s.ahead, t.spend, t.clicks, t.month,
+           sin(2 * pi() * CAST(t.week_number AS DOUBLE) / 52.0) AS week_of_year_sin,
+           LAG(t.spend) OVER w AS spend_lag_1, LAG(t.clicks) OVER w AS clicks_lag_1
+    FROM seq s LEFT JOIN ts t ON s.series = t.series AND s.week = t.week
+    WINDOW w AS (PARTITION BY s.series ORDER BY s.week)) x WHERE ahead),
+past AS (
+  SELECT t.series, list(t.total_sales ORDER BY t.week) AS h FROM ts t JOIN anchor n ON t.series = n.series
+  AND t.week <= n.a GROUP BY t.series),
+walk(series, step, week, hist, y) AS (
+  SELECT series, CAST(0 AS BIGINT), CAST(NULL AS DATE), h[greatest(len(h) - 7, 1):], CAST(NULL AS DOUBLE) FROM past
+  UNION ALL
+  SELECT series, step, week, list_append(hist, y)[greatest(len(hist) - 6, 1):], y FROM (
+    SELECT r.series, c.step, c.week, r.hist, greatest({total}, 0.0) AS y
+    FROM walk r JOIN cand c ON c.series = r.series AND c.step = r.step + 1) z)
+SELECT series, strftime(week, '%Y-%m-%d') AS week, ROUND(y, 2) AS forecasted_sales FROM walk WHERE step > 0"""

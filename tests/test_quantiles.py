@@ -31,3 +31,5 @@ def test_empty_null_and_nan(spark):
     got = quantiles.exact_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, [0.5])
     assert got == {"a": [None], "b": [3.0]}
     assert quantiles.exact_quantile(df.limit(0), F.col("b"), 0.5) is None
+    far = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),)], "a double")
+    assert quantiles.exact_quantiles(far, {"a": F.col("a")}, [0.5])["a"] == [1.0]
