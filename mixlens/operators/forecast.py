@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .features import MEDIA_LAGS, N_LAGS, TARGET, ewm_start, ewm_step, finalize_features, future_weeks
+from .features import MEDIA_LAGS, N_LAGS, TARGET, ewm_start, ewm_step, final_columns, future_weeks
 
 
 @dataclass
@@ -146,22 +146,24 @@ def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int =
              .withColumn("out", empty).checkpoint(eager=True))
     if state.isEmpty():
         raise ValueError("No weeks with known sales -- cannot anchor a forecast.")
+    # the columns of a step are the same for every step, so they are built once
+    known = F.when(F.col("ewm.den") > 0, F.col("ewm.num") / F.col("ewm.den"))
+    own = step_features(F.col("hist"), known if ewm_mode == "exact" else None)
+    stages = [own, *final_columns({*cand.columns, *own}, feats, caps)]
+    has, y = F.col("step").isNotNull(), F.expm1("log_pred")
+    pushed = [
+        F.col("series"), F.col("rows"),
+        F.when(has, F.slice(F.concat("hist", F.array(y)), -N_LAGS, N_LAGS)).otherwise(F.col("hist")).alias("hist"),
+        F.when(has, F.struct(*ewm_step(F.col("ewm.num"), F.col("ewm.den"), F.col("ewm.age"), y)))
+         .otherwise(F.col("ewm")).alias("ewm"),
+        F.when(has, F.concat("out", F.array(F.struct(F.col("week"), y.alias("forecasted_sales")))))
+         .otherwise(F.col("out")).alias("out")]
     for k in range(1, horizon + 1):
         # a series without a k-th candidate keeps its state unchanged
         cur = state.withColumn("_row", F.get("rows", F.lit(k - 1))).select("*", "_row.*").drop("_row")
-        known = F.when(F.col("ewm.den") > 0, F.col("ewm.num") / F.col("ewm.den"))
-        cur = cur.withColumns(step_features(F.col("hist"), known if ewm_mode == "exact" else None))
-        cur = finalize_features(cur, feats, caps)
-        pred = fit.transform(cur, "log_pred").withColumn("_y", F.expm1("log_pred"))
-        has = F.col("step").isNotNull()
-        state = pred.select(
-            "series", "rows",
-            F.when(has, F.slice(F.concat("hist", F.array("_y")), -N_LAGS, N_LAGS)).otherwise(F.col("hist"))
-             .alias("hist"),
-            F.when(has, F.struct(*ewm_step(F.col("ewm.num"), F.col("ewm.den"), F.col("ewm.age"), F.col("_y"))))
-             .otherwise(F.col("ewm")).alias("ewm"),
-            F.when(has, F.concat("out", F.array(F.struct(F.col("week"), F.col("_y").alias("forecasted_sales")))))
-             .otherwise(F.col("out")).alias("out"))
+        for cols in stages:
+            cur = cur.withColumns(cols)
+        state = fit.transform(cur, "log_pred").select(*pushed)
         if k % checkpoint_every == 0 or k == horizon:
             state = state.checkpoint(eager=True)
     return state.select("series", F.inline("out"))
