@@ -23,55 +23,73 @@ LARGEST = sys.float_info.max
 
 def _finite(c):
     v = c.cast("double")
-    return F.when(~F.isnan(v), F.greatest(F.least(v, F.lit(LARGEST)), F.lit(-LARGEST)))
+    return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.least(v, F.lit(LARGEST)), F.lit(-LARGEST)))
 
 
 def exact_quantiles(df: DataFrame, columns: dict, qs) -> dict:
     """{name: [value for each q]} of the expressions in ``columns`` ({name: Column}).
 
-    NULL and NaN are left out, infinities count as the largest double; a column without values has quantiles None. Callers should
-    hand in a frame that is cheap to read again (a stored or persisted one).
+    NULL and NaN are left out, infinities count as the largest double; a column without
+    values has quantiles None. Callers should hand in a frame that is cheap to read again
+    (a stored or persisted one).
     """
     names = list(columns)
     if not names:
         return {}
-    vals = df.select(*[_finite(columns[n]).alias(f"v{i}") for i, n in enumerate(names)])
-    ends = vals.agg(*[f(f"v{i}").alias(f"{k}{i}") for i in range(len(names))
-                      for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
-    # target: column, rank (from 0) -> bracket (least, largest, rows below it)
-    wanted = {n: [(q * (ends[f"n{i}"] - 1)) for q in qs] for i, n in enumerate(names) if ends[f"n{i}"]}
-    bracket = {(i, r): (ends[f"lo{i}"], ends[f"hi{i}"], 0) for i, n in enumerate(names)
-               for pos in wanted.get(n, ()) for r in {math.floor(pos), math.ceil(pos)}}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("key"), _finite(columns[n]).alias("x"))
+                                         for i, n in enumerate(names)])).alias("e")).select("e.key", "e.x")
+    found = _search(long, qs)
+    return {n: found.get(i, [None] * len(qs)) for i, n in enumerate(names)}
+
+
+def exact_quantiles_by(df: DataFrame, key, column, qs) -> dict:
+    """{key value: [value for each q]}; the caller bounds the number of keys (integers)."""
+    return _search(df.select(key.cast("int").alias("key"), _finite(column).alias("x")), qs)
+
+
+def exact_quantile(df: DataFrame, column, q: float):
+    return exact_quantiles(df, {"x": column}, [q])["x"][0]
+
+
+def _search(long: DataFrame, qs) -> dict:
+    """Quantiles of ``x`` for each ``key``."""
+    long = long.filter("x is not null")
+    ends = long.groupBy("key").agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    wanted = {r["key"]: [q * (r["n"] - 1) for q in qs] for r in ends}
+    # key and rank (from 0) -> bracket: least and largest value, rows below it
+    bracket = {(r["key"], rank): (r["lo"], r["hi"], 0) for r in ends
+               for pos in wanted[r["key"]] for rank in {math.floor(pos), math.ceil(pos)}}
     while True:
-        open_ = sorted({(i, lo, hi, below) for (i, _), (lo, hi, below) in bracket.items() if lo < hi})
+        open_ = sorted({(key, *b) for (key, _), b in bracket.items() if b[0] < b[1]})
         if not open_:
             break
-        cells = []
-        for k, (i, lo, hi, _) in enumerate(open_):
-            x = F.col(f"v{i}")
-            # halves, so that the width of the bracket cannot overflow; rising in x
-            part = (x / 2 - lo / 2) / (hi / 2 - lo / 2) if hi / 2 > lo / 2 else F.when(x > lo, 1.0).otherwise(0.0)
-            cells.append(F.when(x.between(lo, hi), F.struct(
-                F.lit(k).alias("k"), F.least(F.floor(part * BINS), F.lit(BINS - 1)).cast("int").alias("bin"), x.alias("x"))))
-        found = (vals.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
-                 .groupBy("c.k", "c.bin").agg(F.count("*").alias("n"), F.min("c.x").alias("lo"), F.max("c.x").alias("hi"))
-                 .collect())                       # at most BINS rows a bracket
-        bins: dict = {}
-        for r in sorted(found, key=lambda r: (r["k"], r["bin"])):
-            bins.setdefault(open_[r["k"]], []).append(r)
-        for (i, rank), (lo, hi, below) in bracket.items():
-            for r in bins.get((i, lo, hi, below), ()):
+        found = _bins(long, open_)
+        for (key, rank), (lo, hi, below) in bracket.items():
+            for r in found.get((key, lo, hi, below), ()):
                 if rank < below + r["n"]:
-                    bracket[(i, rank)] = (r["lo"], r["hi"], below)
+                    bracket[(key, rank)] = (r["lo"], r["hi"], below)
                     break
                 below += r["n"]
 
-    def value(i: int, pos: float) -> float:
-        a, b = bracket[(i, math.floor(pos))][0], bracket[(i, math.ceil(pos))][0]
+    def value(key: int, pos: float) -> float:
+        a, b = bracket[(key, math.floor(pos))][0], bracket[(key, math.ceil(pos))][0]
         return a if a == b else a + (b - a) * (pos - math.floor(pos))
 
-    return {n: [value(i, pos) for pos in wanted[n]] if n in wanted else [None] * len(qs) for i, n in enumerate(names)}
-
-
-def exact_quantile(df: DataFrame, column, q: float):
-    return exact_quantiles(df, {"x": column}, [q])["x"][0]
+    return {key: [value(key, pos) for pos in places] for key, places in wanted.items()}
+
+
+def _bins(long: DataFrame, open_: list) -> dict:
+    """Rows, least and largest value of every bin of the open brackets, at most BINS rows a bracket."""
+    # a table of the brackets, not constants in the expressions: later passes reuse the compiled code
+    rows = ", ".join(f"({i}, {key}, {lo!r}D, {hi!r}D)" for i, (key, lo, hi, _) in enumerate(open_))
+    spans = long.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(b, bkey, lo, hi)")
+    # halves, so that the width of a bracket cannot overflow; rising in x
+    part = F.expr("try_divide(x / 2 - lo / 2, hi / 2 - lo / 2)")
+    place = F.least(F.floor(F.coalesce(part, F.expr("if(x > lo, 1D, 0D)")) * BINS), F.lit(BINS - 1)).cast("int")
+    tally = (long.join(F.broadcast(spans), (F.col("key") == F.col("bkey")) & F.col("x").between(F.col("lo"), F.col("hi")))
+             .select("b", place.alias("bin"), "x").groupBy("b", "bin")
+             .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+    out: dict = {}
+    for r in sorted(tally, key=lambda r: (r["b"], r["bin"])):
+        out.setdefault(open_[r["b"]], []).append(r)
+    return out

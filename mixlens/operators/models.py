@@ -233,7 +233,7 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
     checkpoint() every few rounds (reliable storage, survives executor loss)."""
     p = {**HUBER, **params}
     rounds, alpha, step = p["rounds"], p["alpha"], p["stepSize"]
-    from ..functions.quantiles import exact_quantile, exact_quantiles
+    from ..functions.quantiles import exact_quantile, exact_quantiles_by
     cur = _assembled(df, feats).select("_features", F.col(label).alias("_y")).checkpoint(eager=True)
     init = exact_quantile(cur, F.col("_y"), 0.5)
     cur = cur.withColumn("_f", F.lit(float(init)))
@@ -249,9 +249,7 @@ def fit_huber(df: DataFrame, feats, label: str = LABEL, checkpoint_every: int =
                                    minInstancesPerNode=p["minInstancesPerNode"], seed=SEED + i).fit(sample)
         leafed = dt.transform(sample).select("_leaf", "_r").persist(StorageLevel.MEMORY_AND_DISK)
         # at most 2**maxDepth leaves, a bound fixed by the tree depth
-        leaves = [x["_leaf"] for x in leafed.select("_leaf").distinct().collect()]
-        med = {k: v[0] for k, v in exact_quantiles(
-            leafed, {k: F.when(F.col("_leaf") == k, F.col("_r")) for k in leaves}, [0.5]).items()}
+        med = {float(k): v[0] for k, v in exact_quantiles_by(leafed, F.col("_leaf"), F.col("_r"), [0.5]).items()}
         off = F.col("_r") - F.element_at(F.create_map(*[F.lit(x) for kv in med.items() for x in kv]), F.col("_leaf"))
         adj = leafed.withColumn("_d", off).groupBy("_leaf").agg(
             F.avg(F.signum("_d") * F.least(F.abs("_d"), F.lit(float(delta)))).alias("_adj")).collect()
