@@ -4,8 +4,10 @@ Markup is stripped into lines, one per block element. A line weighs the characte
 text outside links; lines of page furniture (by element, role or class) weigh nothing. The
 weights are summed over windows of ``WINDOW`` lines: the text begins where the sum surges above
 zero and ends where it dives to zero again. Of several such runs those with a peak of at
-least ``PEAK`` of the highest are kept, without furniture lines. Where a page marks its article,
-lines outside the mark count as furniture.
+least ``PEAK`` of the highest are kept, without furniture lines. Sums run over all lines of every
+page. An article mark is a weight and a check: its lines weigh their links too, and kept lines
+outside all marks go, but only where the heaviest mark outweighs all text outside marks (teaser
+cards marked as articles do not drive out a body that is not).
 
 Defined cases: null or empty html gives an empty text; unclosed or stray tags, comments and
 quotes end at the next possible place; a page whose text is all furniture by its forms is
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -64,11 +67,11 @@ def _furniture(tag: str, attrs: str, in_article: bool, forms: bool) -> bool:
     return False
 
 
-def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, bool]]:
-    """(text, weight, furniture, inside an article mark) of each non-empty line."""
+def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
+    """(text, weight, furniture, number of the outermost article mark or 0) of each non-empty line."""
     out, buf, linked = [], [], 0
     stack: list[tuple[str, bool, bool]] = []                   # containers: tag, furniture, article mark
-    bad = art = 0
+    bad = art = marks = 0
     in_link = False
     at, end = 0, len(page)
 
@@ -83,7 +86,7 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, bool]]:
         nonlocal linked
         text = " ".join("".join(buf).split())
         if text:
-            out.append((text, max(0, len(text.replace(" ", "")) - linked), bad > 0, art > 0))
+            out.append((text, max(0, len(text.replace(" ", "")) - linked), bad > 0, marks if art else 0))
         buf.clear()
         linked = 0
 
@@ -124,6 +127,7 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, bool]]:
             if is_bad and tag not in _BLOCK:
                 flush()
             stack.append((tag, is_bad, mark))
+            marks += mark and not art
             bad, art = bad + is_bad, art + mark
         elif any(s[0] == tag for s in stack):
             if bad and tag not in _BLOCK:
@@ -137,16 +141,21 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
+def _trusted(found: list[tuple[str, int, bool, int]]) -> bool:
+    """Whether the heaviest article mark has at least the weight of all text outside marks."""
+    total = Counter()
+    for _, w, f, a in found:
+        total[a] += 0 if f else w
+    outside = total.pop(0, 0)
+    return max(total.values(), default=0) >= max(outside, 1)
+
+
 def main_text(page: str | None) -> str:
     """The kept lines, joined by an empty line."""
     for forms in (False, True):
         found = lines(page or "", forms)
-        if any(w and a and not f for _, w, f, a in found):
-            found = [(t, w, f or not a, a) for t, w, f, a in found]
-            found = [x for x in found if not x[2]]             # furniture inside the article does not part it
-            weight = [len(t) for t, *_ in found]
-        else:
-            weight = [0 if f or 2 * w < len(t) else w for t, w, f, _ in found]
+        marked = _trusted(found)
+        weight = [0 if f or not (marked and a or 2 * w >= len(t)) else len(t) if marked and a else w for t, w, f, a in found]
         if any(weight):
             break
     else:
@@ -165,7 +174,7 @@ def main_text(page: str | None) -> str:
         runs.append((i, j))
         i = j
     kept = [k for i, j in runs if sums[i:j].max() >= PEAK * peak for k in range(i, j)
-            if not found[k][2] and (weight[k] or found[k][1])]
+            if not found[k][2] and (weight[k] or found[k][1]) and (found[k][3] or not marked)]
     return "\n\n".join(found[k][0] for k in kept)
 
 

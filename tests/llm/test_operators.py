@@ -335,6 +335,15 @@ def test_main_text():
         assert html_text.main_text(page) == ""
 
 
+def test_marked_teasers_do_not_replace_the_body():
+    body = [f"Paragraph {i} of the body tells a part of the story at some length." for i in range(6)]
+    cards = "".join(f"<article><h3>Card {i}</h3><p>A teaser of another story.</p></article>" for i in range(4))
+    got = html_text.main_text("<div>" + "".join(f"<p>{b}</p>" for b in body) + f"</div>{cards}").split("\n\n")
+    assert got[:6] == body
+    got = html_text.main_text("<p>Stray line.</p><article>" + "".join(f"<p>{b}</p>" for b in body) + "</article><p>Another.</p>")
+    assert got.split("\n\n") == body
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE), (None, None, None), (1, "u", PAGE), (4, "v", "<p>é" + "x" * 100_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS text")
