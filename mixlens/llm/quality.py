@@ -2,17 +2,19 @@
 
 Two generative bag-of-n-grams models are counted: one over all documents (raw), one over the
 documents labelled good (target). A document's log weight is the sum of its n-grams' log
-probability ratios. Sampling k documents without replacement in proportion to their weights
-is a top-k by log weight plus Gumbel noise; the noise comes from a hash of the row, so reruns
-agree, and k is found exactly by a radix search over the perturbed weights, without sorting.
+probability ratios. Sampling k documents of a length without replacement in proportion to their
+weights is a top-k by log weight plus Gumbel noise; for documents of all lengths to compare, the
+perturbed weight is taken per n-gram. The noise comes from a hash of the row, so reruns agree,
+and the k-th largest is found exactly by a radix search, without sorting.
 
 ``LABELLED`` bounds the labelled documents used (the least by hash); raw counts, weights and
-the choice of k cover all documents. k is the number of documents whose log weight exceeds
-the cut that best separates the labelled good from the labelled bad (half the documents have
-no label, so k is counted, not given); callers may pass their own k.
+the choice of k cover all documents. k is the number of documents whose perturbed weight per
+n-gram, the statistic that ranks, exceeds the cut that best separates the labelled good from the
+labelled bad by that statistic (half the documents have no label, so k is counted, not given);
+callers may pass their own k.
 
-Defined cases: null text counts as empty; a text without words has log weight 0 and stays
-subject to the cut; a document labelled more than once takes its worst label, null labels
+Defined cases: null text counts as empty; a text without words has log weight 0, counts as one
+n-gram and stays subject to the cut; a document labelled more than once takes its worst label, null labels
 are ignored; without good labels or without bad ones every document is kept; documents that
 tie with the k-th stay; an empty table gives an empty result.
 """
@@ -63,8 +65,19 @@ def _counts(rows: DataFrame, buckets: int) -> np.ndarray:
     return out
 
 
+def _ordered(x: np.ndarray) -> np.ndarray:
+    """Doubles as longs of the same order."""
+    bits = (np.asarray(x, dtype=float) + 0.0).view(np.int64)                      # -0.0 becomes 0.0
+    return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+
+
+def _doubles(place: np.ndarray) -> np.ndarray:
+    """The doubles of ``_ordered`` longs."""
+    return np.where(place < 0, place ^ np.int64(0x7FFFFFFFFFFFFFFF), place).view(float)
+
+
 def _weights(rows: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
-    """doc_id, key, good, n_ngrams, log_weight, place (the perturbed weight as an ordered long)."""
+    """doc_id, key, good, n_ngrams, log_weight, place (the perturbed weight per n-gram as an ordered long)."""
     shared = rows.sparkSession.sparkContext.broadcast(ratio)                      # ``buckets`` doubles
     salted = rows.withColumn("noise", F.xxhash64(F.lit(seed), "doc_id", "key"))
 
@@ -77,8 +90,7 @@ def _weights(rows: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
                 weight[i:j] = np.bincount(doc, weights=table[bucket], minlength=j - i)
                 n[i:j] = np.bincount(doc, minlength=j - i)
             u = ((np.array(b.column("noise")).astype(np.int64).view(np.uint64) >> np.uint64(11)).astype(float) + 0.5) / 2**53
-            bits = (weight - np.log(-np.log(u))).view(np.int64)
-            place = np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+            place = _ordered((weight - np.log(-np.log(u))) / np.maximum(n, 1))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("key"), b.column("good"), pa.array(n), pa.array(weight), pa.array(place)],
                 names=["doc_id", "key", "good", "n_ngrams", "log_weight", "place"])
@@ -125,12 +137,12 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, buckets:
     ratio = (np.log((good + 1) / (good.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets)))
     weights = cut(_weights(rows, ratio, seed))
     if k is None:
-        known = np.array(weights.filter("good >= 0").select("good", F.expr("log_weight / greatest(n_ngrams, 1)")).limit(most)
-                         .collect(), dtype=float).reshape(-1, 2)                  # at most ``most`` rows
-        bad, fine = known[known[:, 0] != 1, 1], known[known[:, 0] == 1, 1]
+        known = np.array(weights.filter("good >= 0").select("good", "place").limit(most).collect(),
+                         dtype=np.int64).reshape(-1, 2)                           # at most ``most`` rows
+        bad, fine = (_doubles(known[mine, 1]) for mine in (known[:, 0] != 1, known[:, 0] == 1))
         if not len(bad) or not len(fine):
             return weights.select("doc_id", "key", "n_ngrams", "log_weight", F.lit(True).alias("kept"))
-        k = weights.filter(F.expr("log_weight / greatest(n_ngrams, 1)") > best_cut(fine, bad)).count()
+        k = weights.filter(F.col("place") > F.lit(int(_ordered(np.array([best_cut(fine, bad)]))[0]))).count()
     last = kth_largest(weights, "place", k)
     kept = F.lit(False) if last is None else F.col("place") >= F.lit(last)
     return weights.select("doc_id", "key", "n_ngrams", "log_weight", kept.alias("kept"))

@@ -161,6 +161,47 @@ def test_quality_drops_junk_and_keeps_clean(spark):
     assert quality.resample(docs.limit(0), lab).count() == 0
 
 
+def _slow_quality(docs, labels):
+    """(row, per n-gram perturbed weight) of each document and the cut, with one dictionary per count."""
+    rows = docs.selectExpr("doc_id", "text", f"xxhash64({quality.SEED}, doc_id, xxhash64({','.join(docs.columns)})) AS noise").collect()
+    raw, good, bags = Counter(), Counter(), []
+    for r in rows:
+        bags.append(ngrams.hashed([(r["text"] or "").encode()], quality.BUCKETS)[0].tolist())
+        raw.update(bags[-1])
+        good.update(bags[-1] if labels.get(r["doc_id"]) == 1 else [])
+    n_raw, n_good = sum(raw.values()) + quality.BUCKETS, sum(good.values()) + quality.BUCKETS
+    stat = {}
+    for r, bag in zip(rows, bags):
+        weight = sum(np.log((good[b] + 1) / n_good) - np.log((raw[b] + 1) / n_raw) for b in bag)
+        u = (((r["noise"] % 2**64) >> 11) + 0.5) / 2**53
+        stat[r["doc_id"]] = (weight - np.log(-np.log(u))) / max(len(bag), 1)
+    values = sorted({stat[d] for d in labels})
+    cuts = [values[0] - 1] + [(a + b) / 2 for a, b in zip(values, values[1:])]
+    n = Counter(labels.values())
+    return stat, min(cuts, key=lambda c: sum(stat[d] <= c for d in labels if labels[d]) / n[1]
+                     + sum(stat[d] > c for d in labels if not labels[d]) / n[0])
+
+
+def test_quality_keeps_long_clean_documents(spark):
+    rng = np.random.default_rng(12)
+    good, rare = ([f"{c}{i}" for i in range(40)] for c in ("stone", "fluss"))
+    bad = [f"zz{i}" for i in range(40)]
+    rows, labels = [], {}
+    for i in range(300):
+        kind = i % 4                                       # clean, clean of a second language, junk, short
+        size = (60, 3000 if i % 40 == 1 else 80, 30, 1 + i % 3)[kind]
+        words = (good, good + rare, bad, good if i % 8 == 3 else bad)[kind]
+        rows.append((i, " ".join(rng.choice(words, size))))
+        if kind != 1 and i % 3 == 0 or i % 40 == 5 or i in (1, 41):
+            labels[i] = int(words is not bad)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stat, cut = _slow_quality(docs, labels)
+    lab = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    got = {r["doc_id"] for r in quality.resample(docs, lab).filter("kept").collect()}
+    assert got == {d for d, s in stat.items() if s > cut}
+    assert cut < 0 and all(i in got for i in range(1, 300, 40))
+
+
 def test_quality_on_odd_rows(odd, spark):
     lab = spark.createDataFrame([(1, 1), (10, 0)], "doc_id long, quality int")
     assert quality.resample(odd, lab).count() == odd.count()
