@@ -37,7 +37,7 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None, help="Spark master; leave unset under spark-submit")
     ap.add_argument("--boost-rounds", type=int, default=None,
                     help="boosting rounds for the boosted-tree, Huber and stacking models "
-                         "(the analysed workflow uses 500)")
+                         "(default: the analysed workflow's 500)")
     args = ap.parse_args(argv)
     if args.boost_rounds:
         from .plans import catalog

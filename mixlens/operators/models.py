@@ -9,6 +9,8 @@ is a loop of MLlib trees whose leaf values come from a grouped aggregate.
 
 from __future__ import annotations
 
+import json
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -16,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -211,10 +214,47 @@ class HuberFit:
     feats: list
 
     def transform(self, df: DataFrame, out: str = "log_pred") -> DataFrame:
-        cur = _assembled(df, self.feats).withColumn(out, F.lit(self.init))
-        for i, (tree, leaf_vals) in enumerate(self.trees):
-            cur = _apply_tree(cur, tree, leaf_vals, out, self.step, i)
-        return cur.drop("_features")
+        """All trees in one expression whose size does not grow with their number: a fold over the
+        trees, each a complete binary tree in arrays, walked by halving (node i's children: 2i, 2i + 1)."""
+        deep = max((t.depth for t, _ in self.trees), default=0)
+        table = [_complete(t.toDebugString, vals, deep) for t, vals in self.trees]
+        trees = F.from_json(F.lit(json.dumps([{"f": f, "c": c, "v": v} for f, c, v in table])),
+                            "array<struct<f:array<int>,c:array<double>,v:array<double>>>")
+
+        def score(x, tree):
+            node = F.lit(1)
+            if deep:
+                node = F.aggregate(F.sequence(F.lit(1), F.lit(deep)), F.lit(1), lambda n, _: 2 * n + F.when(
+                    F.element_at(x, F.element_at(tree["f"], n)) <= F.element_at(tree["c"], n), 0).otherwise(1))
+            return F.element_at(tree["v"], node - (2**deep - 1))
+
+        cur = _assembled(df, self.feats).withColumn("_x", vector_to_array("_features"))
+        return cur.withColumn(out, F.aggregate(trees, F.lit(float(self.init)), lambda acc, tree:
+                                               acc + F.lit(float(self.step)) * score(F.col("_x"), tree))).drop("_features", "_x")
+
+
+_SPLIT = re.compile(r"(If|Else) \(feature (\d+) (?:<=|>) (\S+)\)|Predict: (\S+)")
+
+
+def _complete(told: str, leaf_vals: dict, deep: int) -> tuple[list, list, list]:
+    """A tree's printed form as a complete tree: (feature from 1, threshold) of nodes 1 to 2**deep - 1
+    and the values of the 2**deep places below. A shallow leaf's value fills all places under it;
+    leaves count in printed order, which is MLlib's leaf index."""
+    f, c, v = [1] * (2**deep - 1), [0.0] * (2**deep - 1), [0.0] * 2**deep
+    todo, leaf = [1], 0                                       # nodes still to read, the next one last
+    for kind, feature, cut, _ in _SPLIT.findall(told):
+        if kind == "Else":
+            continue
+        node = todo.pop()
+        if kind:
+            f[node - 1], c[node - 1] = int(feature) + 1, float(cut)
+            todo += [2 * node + 1, 2 * node]
+        else:
+            wide = 2 ** (deep + 1 - node.bit_length())
+            first = node * wide - 2**deep
+            v[first:first + wide] = [float(leaf_vals.get(float(leaf), 0.0))] * wide
+            leaf += 1
+    return f, c, v
 
 
 def _apply_tree(df, tree, leaf_vals: dict, out: str, step: float, i: int) -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions.exprs import present
 from ..operators import measure
 from ..operators.allocate import activity_weight
 from ..operators.clean import date_parts
+from ..operators.models import BOOST, HUBER
 from . import oracle as O
 from .context import context
 
@@ -561,9 +562,9 @@ def future_weeks_q(spark, sf_dir):
 # ---------------------------------------------------------------------------------
 # Steps 7-9: model tournament, leaderboard, recursive forecast
 # ---------------------------------------------------------------------------------
-# Boosting rounds of the registered views. The estimators default to the analysed
-# workflow's 500 rounds; MLlib runs one job per round, so the views use fewer.
-VIEW_ROUNDS = {"gbt": 100, "huber": 30, "stack": 20}
+# Boosting rounds of the registered views: the estimators' own. Only a caller's explicit
+# choice (`--boost-rounds`) replaces them.
+VIEW_ROUNDS = {"gbt": BOOST["rounds"], "huber": HUBER["rounds"], "stack": HUBER["rounds"]}
 
 
 class ModelSuite:

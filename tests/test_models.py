@@ -97,3 +97,27 @@ def test_tree_shap_matches_shapley_definition():
             want = sum(factorial(k) * factorial(3 - k) / 24 * (mean(x, {*s, i}) - mean(x, set(s)))
                        for k in range(4) for s in combinations(rest, k))
             assert abs(phi[i] - want) < 1e-12
+
+
+def test_views_fit_all_rounds():
+    from mixlens.operators import models as M
+    from mixlens.plans import catalog
+    assert M.BOOST["rounds"] == M.HUBER["rounds"] == 500
+    assert set(catalog.VIEW_ROUNDS.values()) == {500}
+
+
+def test_huber_scores_500_trees(spark):
+    from mixlens.operators import models as M
+    rng = np.random.default_rng(3)
+    rows = [(*map(float, r), float(3 * r[0] + r[1] ** 2 + rng.normal())) for r in rng.normal(size=(200, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label double").checkpoint()
+    fit = M.fit_huber(df, ["a", "b", "c"], rounds=4)
+    plain = M._assembled(df, fit.feats).withColumn("p", F.lit(fit.init))
+    for i, (tree, vals) in enumerate(fit.trees):
+        plain = M._apply_tree(plain, tree, vals, "p", fit.step, i)
+    want = {r["a"]: r["p"] for r in plain.collect()}
+    got = {r["a"]: r["p"] for r in fit.transform(df, "p").collect()}
+    assert got == want
+    many = M.HuberFit(fit.init, fit.trees * 125, fit.step, fit.feats)
+    for r in many.transform(df, "p").collect():
+        assert abs(r["p"] - (fit.init + 125 * (want[r["a"]] - fit.init))) < 1e-6
