@@ -10,7 +10,8 @@ outside all marks go, but only where the heaviest mark outweighs all text outsid
 cards marked as articles do not drive out a body that is not).
 
 Defined cases: null or empty html gives an empty text; unclosed or stray tags, comments and
-quotes end at the next possible place; a page whose text is all furniture by its forms is
+quotes end at the next possible place; a furniture class does not count on an element that holds
+an article mark or most of the text, nor any where they would take most of it; a page whose text is all furniture by its forms is
 read again with forms allowed; a page without weight keeps nothing.
 """
 
@@ -44,11 +45,16 @@ _WORDS = ("ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|bre
           "|cookies|disclaimer|disqus|dropdown|footer|gdpr|login|masthead|menu|modal|nav|navbar|navigation|newsletter"
           "|notice|notification|overlay|pager|pagination|popup|promo|promotion|recommended|related|replies|share"
           "|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget")
-_CLASS = re.compile(rf"(?!(?:has|with|no|without|is|not)[-_])(?:[\w]+[-_])*(?:{_WORDS})(?:[-_][\w]+)*\Z", re.I)
+_PLACE = ("area|bar|block|body|bottom|box|button|buttons|form|icon|icons|item|items|left|link|links|list|message|posts|primary|right"
+          "|secondary|section|slot|stories|text|top|unit|[0-9]+")
+# A furniture word ends the token or is followed by places only; wrapping words count right after it at the token's start.
+_CLASS = re.compile(rf"(?!(?:.*[-_])?(?:has|with|no|without|is|not)[-_])"
+                    rf"(?:(?:\w+?[-_])*?(?:{_WORDS})(?:[-_](?:{_WORDS}|{_PLACE}))*|(?:{_WORDS})[-_](?:container|inner|wrap|wrapper))\Z", re.I)
 _HEADER = re.compile(r"(?:site|page|top|main)?[-_]?header\Z", re.I)
 
 
 def _furniture(tag: str, attrs: str, in_article: bool, forms: bool) -> bool:
+    """Whether an element is furniture by its tag or role."""
     if tag == "form":
         return not forms
     if tag in _FURNITURE:
@@ -57,21 +63,31 @@ def _furniture(tag: str, attrs: str, in_article: bool, forms: bool) -> bool:
         return not in_article
     if tag in ("article", "main", "body", "html") and "comment" not in attrs:
         return False
-    for name, *value in _NAMED.findall(attrs) if "=" in attrs else ():
-        for token in "".join(value).split():
-            if name.lower() == "role":
-                if token.lower() in _ROLES:
-                    return True
-            elif _CLASS.match(token) or (not in_article and _HEADER.match(token)):
-                return True
-    return False
+    return any(token.lower() in _ROLES for name, *value in (_NAMED.findall(attrs) if "=" in attrs else ())
+               if name.lower() == "role" for token in "".join(value).split())
+
+
+def _classed(tag: str, attrs: str, in_article: bool) -> bool:
+    """Whether an element's class or id names furniture."""
+    if "=" not in attrs or tag in ("article", "main", "body", "html") and "comment" not in attrs:
+        return False
+    return any(_CLASS.match(token) or (not in_article and _HEADER.match(token)) for name, *value in _NAMED.findall(attrs)
+               if name.lower() != "role" for token in "".join(value).split())
 
 
 def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
-    """(text, weight, furniture, number of the outermost article mark or 0) of each non-empty line."""
+    """(text, weight, furniture, number of the outermost article mark or 0) of each non-empty line.
+
+    Furniture by class is decided at the end: an element that holds an article mark or most of the
+    weight of the page is none, and where classes would take most of the weight, none counts. Beside
+    a marked article these two need ``WINDOW`` lines: an advert may outweigh a short article.
+    """
     out, buf, linked = [], [], 0
-    stack: list[tuple[str, bool, bool]] = []                   # containers: tag, furniture, article mark
+    stack: list[tuple[str, bool, bool, int]] = []              # containers: tag, furniture, article mark, number if classed
     bad = art = marks = 0
+    over: list[int] = []                                       # open elements with a furniture class, by number
+    holds: set[int] = set()                                    # those of them with an article mark inside
+    classes, leaf_end = 0, 0                                   # the end of an open paragraph, item, cell or row of them
     in_link = False
     at, end = 0, len(page)
 
@@ -86,7 +102,7 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
         nonlocal linked
         text = " ".join("".join(buf).split())
         if text:
-            out.append((text, max(0, len(text.replace(" ", "")) - linked), bad > 0, marks if art else 0))
+            out.append((text, max(0, len(text.replace(" ", "")) - linked), bad > 0, marks if art else 0, tuple(over)))
         buf.clear()
         linked = 0
 
@@ -115,30 +131,56 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
         if tag in _BLOCK:
             flush()
             in_link = False
+        if leaf_end and at >= leaf_end:
+            over.remove(leaf)
+            leaf_end = 0
         if tag not in _HOLDS or m[0].endswith("/>"):
-            if not closing and tag in ("p", "li", "td", "tr") and "=" in (m[3] or "") and _furniture(tag, m[3], art > 0, forms):
-                stop = re.compile(rf"</{tag}\s*>|<{tag}\b", re.I).search(page, at)
-                if stop and stop[0][1] == "/":
-                    at = stop.end()
+            if not closing and tag in ("p", "li", "td", "tr") and "=" in (m[3] or "") and not leaf_end:
+                hard = _furniture(tag, m[3], art > 0, forms)
+                if hard or _classed(tag, m[3], art > 0):
+                    stop = re.compile(rf"</{tag}\s*>|<{tag}\b", re.I).search(page, at)
+                    if stop and stop[0][1] == "/" and hard:
+                        at = stop.end()
+                    elif stop and stop[0][1] == "/":
+                        classes += 1
+                        leaf, leaf_end = classes, stop.end()
+                        over.append(leaf)
             continue
         if not closing:
-            mark = tag in ("article", "main")
-            is_bad = _furniture(tag, m[3] or "", art > 0, forms)
-            if is_bad and tag not in _BLOCK:
+            is_bad, by_class = _furniture(tag, m[3] or "", art > 0, forms), _classed(tag, m[3] or "", art > 0)
+            mark = tag in ("article", "main") and not by_class
+            if (is_bad or by_class) and tag not in _BLOCK:
                 flush()
-            stack.append((tag, is_bad, mark))
+            if mark and not bad:
+                holds.update(over)
+            if by_class:
+                classes += 1
+                over.append(classes)
+            stack.append((tag, is_bad, mark, classes if by_class else 0))
             marks += mark and not art
             bad, art = bad + is_bad, art + mark
         elif any(s[0] == tag for s in stack):
-            if bad and tag not in _BLOCK:
+            if (bad or over) and tag not in _BLOCK:
                 flush()
             while stack:
-                name, is_bad, mark = stack.pop()
+                name, is_bad, mark, number = stack.pop()
                 bad, art = bad - is_bad, art - mark
+                if number:
+                    over.remove(number)
                 if name == tag:
                     break
     flush()
-    return out
+    total, inside, size = 0, Counter(), Counter()
+    for _, w, f, _, numbers in out:
+        if not f:
+            total += w
+            inside.update(dict.fromkeys(numbers, w))
+            size.update(dict.fromkeys(numbers, w > 0))
+    marked = any(w and a and not f and holds.issuperset(numbers) for _, w, f, a, numbers in out)
+    large = {c for c in inside if size[c] >= WINDOW or not marked}
+    free = holds | {c for c in large if 2 * inside[c] > total}
+    lost = sum(w for _, w, f, a, numbers in out if not f and not free.issuperset(numbers) and (a or not large.isdisjoint(numbers)))
+    return [(t, w, f or 2 * lost <= total and not free.issuperset(numbers), a) for t, w, f, a, numbers in out]
 
 
 def _trusted(found: list[tuple[str, int, bool, int]]) -> bool:

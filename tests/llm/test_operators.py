@@ -385,6 +385,24 @@ def test_marked_teasers_do_not_replace_the_body():
     assert got.split("\n\n") == body
 
 
+def test_class_words_do_not_take_the_article():
+    text = "The article tells its story in a paragraph of some length, and goes on."
+    for name in ("content-sidebar-wrap", "page-with-sidebar", "layout-no-sidebar", "elementor-widget-container", "social-history",
+                 "related-work", "sidebar", "comments"):
+        for body in (f"<article><p>{text}</p></article>", f"<p>{text}</p>"):
+            page = f'<p>Stray line.</p><div class="{name}">{body}<div class="site-sidebar">Other</div></div>'
+            assert text in html_text.main_text(page) and "Other" not in html_text.main_text(page), name
+    assert html_text.main_text(f'<div class="ad">{text}</div><article><p>Short.</p></article>') == "Short."
+    many = [f"{text} {i}" for i in range(8)]
+    page = "<article><h1>Title</h1>" + "".join(f'<div class="widget">{m}</div>' for m in many) + "</article>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", *many]
+    page = "<p>Stray line.</p>" + "".join(f'<div class="widget">{m}</div>' for m in many)
+    assert html_text.main_text(page).split("\n\n") == ["Stray line.", *many]
+    page = "".join(f"<p>{m}</p>" for m in many)
+    for name in ("sidebar", "ad-slot", "share-buttons", "cookie-container", "related_posts", "my-widget", "comments-area"):
+        assert html_text.main_text(f'{page}<div id="{name}">Furniture.</div><p class="{name}">More.</p>').split("\n\n") == many, name
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE), (None, None, None), (1, "u", PAGE), (4, "v", "<p>é" + "x" * 100_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS text")
