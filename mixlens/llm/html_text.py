@@ -3,9 +3,12 @@
 Markup is stripped into lines, one per block element. A line weighs the characters of its
 text outside links; lines of page furniture (by element, role or class) weigh nothing. The
 weights are summed over windows of ``WINDOW`` lines: the text begins where the sum surges above
-zero and ends where it dives to zero again. Of several such runs those with a peak of at
-least ``PEAK`` of the highest are kept, without furniture lines. Sums run over all lines of every
-page. An article mark is a weight and a check: its lines weigh their links too, and kept lines
+zero and ends where it dives to zero again. Headings weigh their whole text, linked or not. Each
+such run is judged by itself: it stays, without furniture lines, if it has a paragraph, a quotation
+or the page's title (``_PROSE``), a line of a trusted article mark (below), or at least the weight of the links
+and furniture in it and in the ``WINDOW - 1`` lines on either side (bare labels between link lists
+go); the heaviest run always stays. Sums run over all lines of
+every page. An article mark is a weight and a check: its lines weigh their links too, and kept lines
 outside all marks go, but only where the heaviest mark outweighs all text outside marks (teaser
 cards marked as articles do not drive out a body that is not).
 
@@ -28,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 3
-PEAK = 0.3
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))", re.S)
 _NAMED = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -40,6 +42,8 @@ _BLOCK = frozenset("""address article aside blockquote body caption center dd de
 _HOLDS = frozenset("""article aside blockquote button center dialog details div dl fieldset figure footer form head header
     li main menu nav ol p section select span table td tr ul""".split()) - {"p", "li", "td", "tr"}
 _FURNITURE = frozenset("head nav footer aside form menu button select dialog".split())
+_PROSE = frozenset("p blockquote pre h1".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _WORDS = ("ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|consent|cookie"
           "|cookies|disclaimer|disqus|dropdown|footer|gdpr|login|masthead|menu|modal|nav|navbar|navigation|newsletter"
@@ -75,8 +79,8 @@ def _classed(tag: str, attrs: str, in_article: bool) -> bool:
                if name.lower() != "role" for token in "".join(value).split())
 
 
-def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
-    """(text, weight, furniture, number of the outermost article mark or 0) of each non-empty line.
+def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int, bool]]:
+    """(text, weight, furniture, number of the outermost article mark or 0, prose) of each non-empty line.
 
     Furniture by class is decided at the end: an element that holds an article mark or most of the
     weight of the page is none, and where classes would take most of the weight, none counts. Beside
@@ -88,7 +92,7 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
     over: list[int] = []                                       # open elements with a furniture class, by number
     holds: set[int] = set()                                    # those of them with an article mark inside
     classes, leaf_end = 0, 0                                   # the end of an open paragraph, item, cell or row of them
-    in_link = False
+    in_link, block = False, ""                                 # the block element that the text is in
     at, end = 0, len(page)
 
     def put(raw: str):
@@ -102,7 +106,9 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
         nonlocal linked
         text = " ".join("".join(buf).split())
         if text:
-            out.append((text, max(0, len(text.replace(" ", "")) - linked), bad > 0, marks if art else 0, tuple(over)))
+            full = len(text.replace(" ", ""))
+            out.append((text, full if block in _HEADINGS else max(0, full - linked), bad > 0, marks if art else 0,
+                        block in _PROSE and (block == "h1" or 2 * linked <= full), tuple(over)))
         buf.clear()
         linked = 0
 
@@ -130,7 +136,7 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
             continue
         if tag in _BLOCK:
             flush()
-            in_link = False
+            in_link, block = False, "" if closing else tag
         if leaf_end and at >= leaf_end:
             over.remove(leaf)
             leaf_end = 0
@@ -171,22 +177,22 @@ def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool, int]]:
                     break
     flush()
     total, inside, size = 0, Counter(), Counter()
-    for _, w, f, _, numbers in out:
+    for _, w, f, _, _, numbers in out:
         if not f:
             total += w
             inside.update(dict.fromkeys(numbers, w))
             size.update(dict.fromkeys(numbers, w > 0))
-    marked = any(w and a and not f and holds.issuperset(numbers) for _, w, f, a, numbers in out)
+    marked = any(w and a and not f and holds.issuperset(numbers) for _, w, f, a, _, numbers in out)
     large = {c for c in inside if size[c] >= WINDOW or not marked}
     free = holds | {c for c in large if 2 * inside[c] > total}
-    lost = sum(w for _, w, f, a, numbers in out if not f and not free.issuperset(numbers) and (a or not large.isdisjoint(numbers)))
-    return [(t, w, f or 2 * lost <= total and not free.issuperset(numbers), a) for t, w, f, a, numbers in out]
+    lost = sum(w for _, w, f, a, _, numbers in out if not f and not free.issuperset(numbers) and (a or not large.isdisjoint(numbers)))
+    return [(t, w, f or 2 * lost <= total and not free.issuperset(numbers), a, prose) for t, w, f, a, prose, numbers in out]
 
 
-def _trusted(found: list[tuple[str, int, bool, int]]) -> bool:
+def _trusted(found: list[tuple[str, int, bool, int, bool]]) -> bool:
     """Whether the heaviest article mark has at least the weight of all text outside marks."""
     total = Counter()
-    for _, w, f, a in found:
+    for _, w, f, a, _ in found:
         total[a] += 0 if f else w
     outside = total.pop(0, 0)
     return max(total.values(), default=0) >= max(outside, 1)
@@ -197,14 +203,14 @@ def main_text(page: str | None) -> str:
     for forms in (False, True):
         found = lines(page or "", forms)
         marked = _trusted(found)
-        weight = [0 if f or not (marked and a or 2 * w >= len(t)) else len(t) if marked and a else w for t, w, f, a in found]
+        weight = [0 if f or not (marked and a or 2 * w >= len(t)) else len(t) if marked and a else w for t, w, f, a, _ in found]
         if any(weight):
             break
     else:
         return ""
     w = np.array([*weight, *[0] * (WINDOW - 1)])
     sums = np.convolve(w, np.ones(WINDOW, dtype=int), "valid")             # of each line and those after it
-    runs, peak = [], sums.max()
+    runs = []
     i = 0
     while i < len(weight):
         if not weight[i]:                                      # surge: the first line with weight
@@ -215,7 +221,14 @@ def main_text(page: str | None) -> str:
             j += 1
         runs.append((i, j))
         i = j
-    kept = [k for i, j in runs if sums[i:j].max() >= PEAK * peak for k in range(i, j)
+
+    def stays(i: int, j: int) -> bool:
+        around = range(max(0, i - WINDOW + 1), min(len(weight), j + WINDOW - 1))
+        return (any(weight[k] and (found[k][4] or marked and found[k][3]) for k in range(i, j))
+                or sum(weight[i:j]) >= min(most, sum(len(found[k][0]) for k in around if not weight[k])))
+
+    most = max(sum(weight[i:j]) for i, j in runs)              # the heaviest run stays
+    kept = [k for i, j in runs if stays(i, j) for k in range(i, j)
             if not found[k][2] and (weight[k] or found[k][1]) and (found[k][3] or not marked)]
     return "\n\n".join(found[k][0] for k in kept)
 

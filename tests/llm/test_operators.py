@@ -403,6 +403,21 @@ def test_class_words_do_not_take_the_article():
         assert html_text.main_text(f'{page}<div id="{name}">Furniture.</div><p class="{name}">More.</p>').split("\n\n") == many, name
 
 
+def test_runs_are_judged_by_themselves():
+    body = ["A linked headline", "x" * 4000 + " long paragraph.", "Short rest.", "The end."]
+    links = "<ul>" + "".join(f"<li><a href={i}>Link number {i}</a></li>" for i in range(6)) + "</ul>"
+    adverts = '<div class="ad">Buy now!</div>' * 4
+    for between in (links, adverts):
+        for open_, close in (("<div>", "</div>"), ("<article>", "</article>")):
+            page = (f"{open_}<h1><a href=x>{body[0]}</a></h1>{between}<p>{body[1]}</p>{between}"
+                    f"<p>{body[2]}</p>{between}<p>{body[3]}</p>{close}")
+            got = html_text.main_text(page).split("\n\n")
+            assert [g for g in got if g in body] == body and "Buy now!" not in got
+    got = html_text.main_text(f"<p>{body[1]}</p>{links}<div>Related</div>{links}")
+    assert got == body[1]
+    assert html_text.main_text(f"{links}<div>Tiny.</div>{links}") == "Tiny."
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE), (None, None, None), (1, "u", PAGE), (4, "v", "<p>é" + "x" * 100_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS text")
