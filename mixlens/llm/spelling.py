@@ -133,9 +133,9 @@ class Index:
         return int.from_bytes(out, "little")
 
     def near(self, word: str, apart: int | None = None) -> int:
-        """Bits of the strings that are exactly one error away and at least as long, or shorter by one.
+        """Bits of the strings that are exactly one error away.
 
-        A longer word asks for shorter ones, a shorter word for its own length and longer ones. With
+        A longer word asks for shorter ones only, a shorter word for its own length and longer ones. With
         ``apart``, strings that agree with the word in their first ``apart`` letters are left out.
         """
         at, same, agree = self.at, self.all, 0
