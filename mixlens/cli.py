@@ -39,9 +39,6 @@ def main(argv=None) -> int:
                     help="boosting rounds for the boosted-tree, Huber and stacking models "
                          "(default: the analysed workflow's 500)")
     args = ap.parse_args(argv)
-    if args.boost_rounds:
-        from .plans import catalog
-        catalog.VIEW_ROUNDS.update({k: args.boost_rounds for k in catalog.VIEW_ROUNDS})
 
     spark = get_session(args.master)
     source = args.tables or f"export:{args.format}:{args.export}"
@@ -50,6 +47,7 @@ def main(argv=None) -> int:
     save_table_set({"row_level": ctx.row_level(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
                     "raw": ctx.raw()}, out)
     summary = {}
+    models = suite(spark, source, rounds=args.boost_rounds)      # the views below use these fits
     for name in OUTPUT_VIEWS:
         df = QUERIES[name](spark, source)
         save_table(df, f"{out}/{name}")
@@ -59,7 +57,6 @@ def main(argv=None) -> int:
     save_table(fc, f"{out}/forecast_csv", fmt="csv")
     summary["forecast"] = f"{out}/forecast"
     # the leaderboard has fitted all six models once; they are saved with their feature list and caps
-    models = suite(spark, source)
     for key in ("ridge", "arx", "forest", "gbt", "huber", "stack"):
         save_fit(spark, models.fit(key), f"{out}/models/{key}", models.feats, models.caps)
         summary[f"models/{key}"] = f"{out}/models/{key}"

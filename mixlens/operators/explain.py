@@ -1,9 +1,9 @@
 """What drives the forecast.
 
-TreeSHAP is scored where the rows live: the fitted ensemble's nodes are read from its
-saved Parquet form (bounded by the model size, not the data), broadcast, and each task
-explains its own rows inside ``mapInPandas`` with NumPy. Output is long:
-(row keys, feature, shap_value), in log1p(sales) space like the model.
+TreeSHAP is scored where the rows live: the fitted ensemble's nodes (bounded by the model size,
+not the data; a forest's are read from its saved form) are broadcast, and each task explains
+its own rows inside ``mapInPandas`` with NumPy. Sums of models, such as the stack, add their
+parts' values. Output is long: (row keys, feature, shap_value), in log1p(sales) space like the model.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ def std_coefficients(ridge_fit) -> list:
     return sorted(pairs, key=lambda t: (-abs(t[1]), t[0]))
 
 
-def tree_importance(spark_fit) -> list:
-    """(feature, importance) sorted desc."""
-    imp = spark_fit.model.featureImportances.toArray()
-    return sorted(zip(spark_fit.feats, [float(v) for v in imp]), key=lambda t: (-t[1], t[0]))
+def tree_importance(fit) -> list:
+    """(feature, importance) sorted desc, of the forest or a boosted fit."""
+    imp = fit.importance() if hasattr(fit, "importance") else fit.model.featureImportances.toArray()
+    return sorted(zip(fit.feats, [float(v) for v in imp]), key=lambda t: (-t[1], t[0]))
 
 
 def linear_shap(df: DataFrame, ridge_fit, keys) -> DataFrame:
@@ -52,7 +52,9 @@ def ensemble_nodes(spark_fit, spark=None) -> tuple[list, list]:
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount", "nodeData.leftChild",
         "nodeData.rightChild", "nodeData.split.featureIndex",
         F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("threshold")).toPandas()
-    weights = list(getattr(model, "treeWeights", [1.0] * model.getNumTrees))
+    weights = [float(w) for w in model.treeWeights]
+    if "RandomForest" in type(model).__name__:                  # a mean of its trees, not a sum
+        weights = [w / sum(weights) for w in weights]
     trees = []
     for t in sorted(nodes["treeID"].unique()):
         g = nodes[nodes["treeID"] == t].sort_values("id")
@@ -87,7 +89,7 @@ def leaf_paths(tree: dict) -> list[tuple[int, dict]]:
     return out
 
 
-def tree_shap(x: np.ndarray, tree: dict) -> np.ndarray:
+def tree_shap(x: np.ndarray, tree: dict, paths: list | None = None) -> np.ndarray:
     """Path-dependent SHAP values of one tree for all rows of ``x`` at once (rows x features).
 
     At a leaf, a coalition of the path's features contributes the product, over its members, of
@@ -96,7 +98,7 @@ def tree_shap(x: np.ndarray, tree: dict) -> np.ndarray:
     feature's Shapley weights apply to one short polynomial a row.
     """
     phi = np.zeros(x.shape)
-    for leaf, path in leaf_paths(tree):
+    for leaf, path in paths if paths is not None else leaf_paths(tree):
         names = list(path)
         m = len(names)
         follows = {f: ((x[:, f] > low) & (x[:, f] <= high)).astype(float) for f, (low, high, _) in path.items()}
@@ -122,24 +124,60 @@ def expected_value(trees, weights) -> float:
     return total
 
 
-def shap_values(df: DataFrame, spark_fit, keys) -> DataFrame:
-    """Long (keys..., feature, shap_value) for every row of ``df``."""
-    trees, weights = ensemble_nodes(spark_fit, df.sparkSession)
-    feats = list(spark_fit.feats)
-    bc = df.sparkSession.sparkContext.broadcast((trees, weights, feats))
+def parts_of(fit, weight: float = 1.0) -> list[tuple]:
+    """A fit as weighted parts that can be explained one by one: ('trees', feats, trees, weights) and
+    ('linear', feats, means, slopes). A stack's parts are its bases', times the combiner's slopes."""
+    if hasattr(fit, "bases"):
+        slope = {f: float(c / s) for f, c, s in zip(fit.meta.feats, fit.meta.coef, fit.meta.scale)}
+        return [part for name, base in fit.bases.items() for part in parts_of(base, weight * slope[f"_b_{name}"])]
+    if hasattr(fit, "nodes"):
+        trees, weights = fit.nodes()
+        return [("trees", list(fit.feats), trees, [w * weight for w in weights])]
+    if hasattr(fit, "coef"):
+        return [("linear", list(fit.feats), np.asarray(fit.mean, float), np.asarray(fit.coef / fit.scale, float) * weight)]
+    raise TypeError(f"no SHAP values for a fit of kind {type(fit).__name__}")
+
+
+def base_value(fit) -> float:
+    """What the SHAP values of a row add up from: the fit's output less their sum, the same for all rows."""
+    if hasattr(fit, "bases"):
+        slope = {f: float(c / s) for f, c, s in zip(fit.meta.feats, fit.meta.coef, fit.meta.scale)}
+        centre = sum(slope[f] * float(m) for f, m in zip(fit.meta.feats, fit.meta.mean))
+        return float(fit.meta.intercept) - centre + sum(slope[f"_b_{n}"] * base_value(b) for n, b in fit.bases.items())
+    if hasattr(fit, "nodes"):
+        return float(getattr(fit, "init", 0.0)) + expected_value(*fit.nodes())
+    return float(fit.intercept)
+
+
+def shap_values(df: DataFrame, fit, keys) -> DataFrame:
+    """Long (keys..., feature, shap_value) for every row of ``df``: trees, linear fits and stacks of them.
+
+    The paths of every tree are worked out once on the driver and go out with the model, so a
+    batch of rows costs a few operations on whole columns for each leaf.
+    """
+    feats = list(next(iter(fit.bases.values())).feats if hasattr(fit, "bases") else fit.feats)
+    parts = []
+    for kind, names, a, b in parts_of(fit):
+        at = [feats.index(f) for f in names]
+        parts.append((kind, at, [(t, leaf_paths(t)) for t in a] if kind == "trees" else a, b))
+    bc = df.sparkSession.sparkContext.broadcast((parts, feats))        # the model
     key_fields = [df.schema[k] for k in keys]
     schema = T.StructType(key_fields + [T.StructField("feature", T.StringType()),
                                         T.StructField("shap_value", T.DoubleType())])
 
     def explain(batches):
-        trees_, weights_, feats_ = bc.value
+        parts_, feats_ = bc.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             x = pdf[feats_].to_numpy(dtype=float)
             out = np.zeros_like(x)
-            for t, w in zip(trees_, weights_):
-                out += w * tree_shap(x, t)
+            for kind, at, a, b in parts_:
+                if kind == "trees":
+                    for (t, paths), w in zip(a, b):
+                        out[:, at] += w * tree_shap(x[:, at], t, paths)
+                else:
+                    out[:, at] += (x[:, at] - a) * b
             rep = pdf[keys].loc[pdf.index.repeat(len(feats_))].reset_index(drop=True)
             rep["feature"] = np.tile(feats_, len(pdf))
             rep["shap_value"] = out.reshape(-1)

@@ -130,20 +130,20 @@ def ratio_caps(model_rows: DataFrame, cols=RATIO_CAP_COLS, q: float = 0.99) -> d
     return {c: v[0] for c, v in found.items()}
 
 
-def final_columns(present, feature_cols, caps: dict) -> list:
-    """I2 as two sets of columns, one after the other: ratio columns winsorised at the caps
-    (NULL stays NULL), then NULL -> 0."""
-    capped = {c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), F.lit(float(cap))))
-              for c, cap in caps.items() if c in present and cap is not None}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in feature_cols if c in present}
-    return [cols for cols in (capped, filled) if cols]
+def final_values(x: dict, feature_cols, caps: dict) -> dict:
+    """I2 on named columns: ratio columns winsorised at the caps (NULL stays NULL), then NULL -> 0."""
+    out = dict(x)
+    for c, cap in caps.items():
+        if c in out and cap is not None:
+            out[c] = F.when(out[c].isNotNull(), F.least(out[c].cast("double"), F.lit(float(cap))))
+    out.update({c: F.coalesce(out[c].cast("double"), F.lit(0.0)) for c in feature_cols if c in out})
+    return out
 
 
 def finalize_features(df: DataFrame, feature_cols, caps: dict) -> DataFrame:
     """I2 on a frame."""
-    for cols in final_columns(df.columns, feature_cols, caps):
-        df = df.withColumns(cols)
-    return df
+    done = final_values({c: F.col(c) for c in df.columns}, feature_cols, caps)
+    return df.withColumns({c: done[c] for c in df.columns if c in caps or c in feature_cols})
 
 
 def model_dataset(weekly: DataFrame, series_keys=None, caps: dict | None = None):

@@ -1,10 +1,10 @@
 """Recursive multi-week forecast for every series at once.
 
 State is one row per series carrying an array of its last 8 sales and its candidate rows
-(real media where logged, padded weeks otherwise), joined to it once. Each horizon step is
-a narrow projection: take that step's candidate row, derive the lag/rolling features from the array, score, and push
-the prediction into the array. The loop runs over weeks (12 by default), never over
-series; lineage is cut with checkpoint() every few steps.
+(real media where logged, padded weeks otherwise), joined to it once. The whole horizon is one
+fold over the candidate array: each step derives the lag and rolling features from the state,
+scores them with the fit's own expression and pushes the prediction into the state. The plan
+does not grow with the horizon, and all series run in parallel.
 """
 
 from __future__ import annotations
@@ -14,16 +14,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .features import MEDIA_LAGS, N_LAGS, TARGET, ewm_start, ewm_step, final_columns, future_weeks
+from .features import MEDIA_LAGS, N_LAGS, TARGET, ewm_start, ewm_step, final_values, future_weeks
 
 
 @dataclass
 class NaiveFit:
     """Lag-1 persistence: next week's sales = last week's sales."""
 
+    def score(self, x: dict):
+        return F.log1p(x["sales_lag_1"])
+
     def transform(self, df: DataFrame, out: str = "log_pred") -> DataFrame:
-        return df.withColumn(out, F.log1p(F.col("sales_lag_1")))
+        return df.withColumn(out, self.score({"sales_lag_1": F.col("sales_lag_1")}))
 
 
 @dataclass
@@ -32,11 +34,14 @@ class LinearFit:
 
     weights: dict
 
-    def transform(self, df: DataFrame, out: str = "log_pred") -> DataFrame:
+    def score(self, x: dict):
         total = F.lit(0.0)
         for c, w in self.weights.items():
-            total = total + F.col(c).cast("double") * F.lit(float(w))
-        return df.withColumn(out, F.log1p(F.greatest(total, F.lit(0.0))))
+            total = total + x[c].cast("double") * F.lit(float(w))
+        return F.log1p(F.greatest(total, F.lit(0.0)))
+
+    def transform(self, df: DataFrame, out: str = "log_pred") -> DataFrame:
+        return df.withColumn(out, self.score({c: F.col(c) for c in self.weights}))
 
 
 def _nonnull(arr):
@@ -112,13 +117,12 @@ def candidates(weekly: DataFrame, horizon: int, series_keys=None, pad_calendar:
     return out
 
 
-def history_state(weekly: DataFrame, horizon: int, series_keys=None) -> DataFrame:
-    """Last 8 sales (NULLs kept, week order) before each series' first candidate, and the
-    weighted mean's numerator, denominator and age over all its sales. Reads the target
-    straight from the weekly table (no feature window needed)."""
+def history_state(weekly: DataFrame, first: DataFrame, series_keys=None) -> DataFrame:
+    """Last 8 sales (NULLs kept, week order) before each series' first candidate (``first``: series,
+    _first), and the weighted mean's numerator, denominator and age over all its sales. Reads the
+    target straight from the weekly table (no feature window needed)."""
     from .features import with_series
     base = with_series(weekly, series_keys).select("series", "week", F.col(TARGET).cast("double").alias(TARGET))
-    first = future_weeks(weekly, horizon, series_keys).groupBy("series").agg(F.min("week").alias("_first"))
     before = base.join(first, "series").where(F.col("week") < F.col("_first"))
     st = before.groupBy("series").agg(F.sort_array(F.collect_list(F.struct("week", F.col(TARGET).alias("v"))))
                                       .alias("_h"))        # as many as there are weeks
@@ -128,45 +132,45 @@ def history_state(weekly: DataFrame, horizon: int, series_keys=None) -> DataFram
 
 
 def recursive_forecast(weekly: DataFrame, fit, feats, caps: dict, horizon: int = 12, series_keys=None,
-                       ewm_mode: str = "reference", pad_calendar: bool = False,
-                       checkpoint_every: int = 4) -> DataFrame:
+                       ewm_mode: str = "reference", pad_calendar: bool = False) -> DataFrame:
     """(series, week, forecasted_sales) for the next ``horizon`` weeks of every series.
 
     ``ewm_mode='exact'`` weights all earlier sales and forecasts; 'reference' takes the 8-row mean.
-    The state row of a series carries its last 8 values, its candidate rows and the forecasts
-    made so far; each step scores its candidate row and appends the prediction.
-    The result is exploded from the final state once, so the plan stays one chain."""
-    ensure_checkpoint_dir(weekly.sparkSession)
+    A fit gives its prediction as an expression of named features (``score``); one that has
+    parameters a series joins them first (``prepare``). Series without known sales have no rows;
+    if there are none at all, ValueError."""
+    from .models import let
     cand = candidates(weekly, horizon, series_keys, pad_calendar)
     rest = [c for c in cand.columns if c not in ("series", "step")]
     rows = cand.groupBy("series").agg(                           # ``horizon`` rows a series
-        F.sort_array(F.collect_list(F.struct("step", *rest))).alias("rows"))
-    empty = F.array().cast("array<struct<week:date,forecasted_sales:double>>")
-    state = (history_state(weekly, horizon, series_keys).join(rows, "series", "left")
-             .withColumn("out", empty).checkpoint(eager=True))
-    if state.isEmpty():
+        F.sort_array(F.collect_list(F.struct("step", *rest))).alias("rows"), F.min("week").alias("_first"))
+    rows = rows.checkpoint(eager=True)
+    state = history_state(weekly, rows.select("series", "_first"), series_keys).join(rows, "series")
+    if hasattr(fit, "prepare"):
+        state = fit.prepare(state)
+    if rows.isEmpty():
         raise ValueError("No weeks with known sales -- cannot anchor a forecast.")
-    # the columns of a step are the same for every step, so they are built once
-    known = F.when(F.col("ewm.den") > 0, F.col("ewm.num") / F.col("ewm.den"))
-    own = step_features(F.col("hist"), known if ewm_mode == "exact" else None)
-    stages = [own, *final_columns({*cand.columns, *own}, feats, caps)]
-    has, y = F.col("step").isNotNull(), F.expm1("log_pred")
-    pushed = [
-        F.col("series"), F.col("rows"),
-        F.when(has, F.slice(F.concat("hist", F.array(y)), -N_LAGS, N_LAGS)).otherwise(F.col("hist")).alias("hist"),
-        F.when(has, F.struct(*ewm_step(F.col("ewm.num"), F.col("ewm.den"), F.col("ewm.age"), y)))
-         .otherwise(F.col("ewm")).alias("ewm"),
-        F.when(has, F.concat("out", F.array(F.struct(F.col("week"), y.alias("forecasted_sales")))))
-         .otherwise(F.col("out")).alias("out")]
-    for k in range(1, horizon + 1):
-        # a series without a k-th candidate keeps its state unchanged
-        cur = state.withColumn("_row", F.get("rows", F.lit(k - 1))).select("*", "_row.*").drop("_row")
-        for cols in stages:
-            cur = cur.withColumns(cols)
-        state = fit.transform(cur, "log_pred").select(*pushed)
-        if k % checkpoint_every == 0 or k == horizon:
-            state = state.checkpoint(eager=True)
-    return state.select("series", F.inline("out"))
+    out = F.array().cast("array<struct<week:date,forecasted_sales:double>>")
+
+    def step(acc, row):
+        ewm = acc["ewm"]
+        known = F.when(ewm["den"] > 0, ewm["num"] / ewm["den"])
+        own = {**{c: row[c] for c in rest},
+               **step_features(acc["hist"], known if ewm_mode == "exact" else None)}
+        x = final_values(own, feats, caps)
+        return let(F.expm1(fit.score(x)), lambda y: F.struct(
+            _pushed(acc["hist"], y).alias("hist"),
+            F.struct(*ewm_step(ewm["num"], ewm["den"], ewm["age"], y)).alias("ewm"),
+            F.concat(acc["out"], F.array(F.struct(row["week"].alias("week"), y.alias("forecasted_sales")))).alias("out")))
+
+    start = F.struct(F.col("hist"), F.col("ewm"), out.alias("out"))
+    return state.select("series", F.inline(F.aggregate("rows", start, step, lambda acc: acc["out"])))
+
+
+def _pushed(hist, y):
+    """The last values with one more at the end, ``N_LAGS`` at most."""
+    longer = F.concat(hist, F.array(y))
+    return F.slice(longer, F.greatest(F.size(longer) - N_LAGS + 1, F.lit(1)), N_LAGS)
 
 
 def attach_interval(forecast: DataFrame, rmse: float) -> DataFrame:

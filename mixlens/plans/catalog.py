@@ -8,7 +8,6 @@ summation order.
 from __future__ import annotations
 
 import threading
-from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,6 @@ from ..functions.exprs import present
 from ..operators import measure
 from ..operators.allocate import activity_weight
 from ..operators.clean import date_parts
-from ..operators.models import BOOST, HUBER
 from . import oracle as O
 from .context import context
 
@@ -562,69 +560,94 @@ def future_weeks_q(spark, sf_dir):
 # ---------------------------------------------------------------------------------
 # Steps 7-9: model tournament, leaderboard, recursive forecast
 # ---------------------------------------------------------------------------------
-# Boosting rounds of the registered views: the estimators' own. Only a caller's explicit
-# choice (`--boost-rounds`) replaces them.
-VIEW_ROUNDS = {"gbt": BOOST["rounds"], "huber": HUBER["rounds"], "stack": HUBER["rounds"]}
+TOURNAMENT = ["ridge", "arx", "forest", "gbt", "huber", "stack"]
 
 
 class ModelSuite:
-    """Trains the six models once per context on the 'train' split and keeps them."""
+    """Trains the six models once per context on the 'train' split of a weekly table and keeps them.
 
-    def __init__(self, ctx):
+    ``rounds`` replaces the boosted models' own number of rounds where a caller asks for it.
+    """
+
+    def __init__(self, ctx, weekly=None, rounds=None):
         from ..operators.features import BASE_FEATURES, model_dataset, time_split
-        self.ctx = ctx
-        df, self.feats, self.caps = model_dataset(ctx.weekly())
+        self.ctx, self.rounds = ctx, rounds
+        self.weekly = ctx.weekly() if weekly is None else weekly
+        df, self.feats, self.caps = model_dataset(self.weekly)
         self.base = [c for c in BASE_FEATURES if c in self.feats]
         self.data = time_split(df).withColumn("label", F.log1p("total_sales")).checkpoint(eager=True)
         self.train = self.data.where(F.col("split") == "train")
         self.fits = {}
-        self._locks = defaultdict(threading.Lock)
+        self._lock = threading.RLock()
 
     def fit(self, key):
-        with self._locks[key]:            # each model is fitted once, even from threads
+        with self._lock:                  # each model is fitted once, even from threads
             if key not in self.fits:
-                self.fits[key] = self._fit(key)
+                self.fits.update(self._fit(key))
             return self.fits[key]
 
-    def _fit(self, key):
+    def _fit(self, key) -> dict:
+        """The fit asked for; the stack brings its base models, fitted on all training rows, with it."""
         from ..operators import models as M
         from ..operators.forecast import NaiveFit
         f, tr = self.feats, self.train
-        if key == "naive":
-            fit = NaiveFit()
-        elif key == "ridge":
-            fit = M.fit_ridge(tr, f)
-        elif key == "arx":
-            fit = M.fit_arx(tr, f, self.base)
-        elif key == "forest":
-            fit = M.fit_forest(tr, f)
-        elif key == "gbt":
-            fit = M.fit_gbt(tr, f, rounds=VIEW_ROUNDS["gbt"])
-        elif key == "huber":
-            fit = M.fit_huber(tr, f, rounds=VIEW_ROUNDS["huber"])
-        elif key == "stack":
-            r = VIEW_ROUNDS["stack"]
-            fit = M.fit_stack(tr, f, {"huber": lambda d: M.fit_huber(d, f, rounds=r),
-                                      "gbt": lambda d: M.fit_gbt(d, f, rounds=r),
-                                      "ridge": lambda d: M.fit_ridge(d, f)})
-        else:
-            raise KeyError(key)
-        return fit
+        changes = {"rounds": self.rounds} if self.rounds else {}
+        if key == "stack":
+            fit = M.fit_stack(tr, f, **changes)
+            return {key: fit, **fit.bases}
+        made = {"naive": lambda: NaiveFit(), "ridge": lambda: M.fit_ridge(tr, f), "arx": lambda: M.fit_arx(tr, f, self.base),
+                "forest": lambda: M.fit_forest(tr, f), "gbt": lambda: M.fit_gbt(tr, f, **changes),
+                "huber": lambda: M.fit_huber(tr, f, **changes)}
+        return {key: made[key]()}
 
     def predictions(self, key, name=None):
         from ..operators.models import MODEL_NAMES, predictions
         return predictions(self.fit(key), self.data.where(F.col("split") != "forecast"),
                            name or MODEL_NAMES.get(key, key))
 
-
-def suite(spark, sf_dir) -> ModelSuite:
+    def board(self):
+        """Leaderboard of all six models, worked out once."""
+        from ..operators.models import leaderboard
+        with self._lock:
+            if getattr(self, "_board", None) is None:
+                self.fit("stack")                             # three of the six in one go
+                preds = None
+                for key in TOURNAMENT:
+                    p = self.predictions(key)
+                    preds = p if preds is None else preds.unionByName(p)
+                self._board = leaderboard(preds).checkpoint(eager=True)
+            return self._board
+
+    def champion(self):
+        """(key, row of the leaderboard) of the model with the least holdout RMSE."""
+        from ..operators.models import MODEL_NAMES
+        best = self.board().orderBy("rmse", "model").first()
+        return {v: k for k, v in MODEL_NAMES.items()}[best["model"]], best
+
+    def champion_forecast(self, horizon=12):
+        from ..operators.forecast import attach_interval, recursive_forecast
+        key, best = self.champion()
+        fc = recursive_forecast(self.weekly, self.fit(key), self.feats, self.caps, horizon)
+        return attach_interval(fc, best["rmse"]).withColumn("model", F.lit(best["model"]))
+
+
+def suite(spark, sf_dir, rounds=None) -> ModelSuite:
     ctx = context(spark, sf_dir)
     with ctx._lock:
         if getattr(ctx, "_suite", None) is None:
-            ctx._suite = ModelSuite(ctx)
+            ctx._suite = ModelSuite(ctx, rounds=rounds)
         return ctx._suite
 
 
+def panel_suite(spark, sf_dir) -> ModelSuite:
+    """The same models pooled over every channel's weeks (AR-X: one a channel)."""
+    ctx = context(spark, sf_dir)
+    with ctx._lock:
+        if getattr(ctx, "_panel_suite", None) is None:
+            ctx._panel_suite = ModelSuite(ctx, _panel(spark, sf_dir))
+        return ctx._panel_suite
+
+
 _NAIVE_PRED = ("SELECT split, total_sales AS y, sales_lag_1 AS yhat FROM split WHERE split <> 'forecast'")
 _METRIC_SQL = (
     "SELECT 'Naive (lag 1)' AS model, split, ROUND(sqrt(AVG((y - yhat) * (y - yhat))), 4) AS rmse, "
@@ -659,26 +682,9 @@ _holdout_view("huber_boost_holdout", "huber")
 _holdout_view("stacked_holdout", "stack")
 
 
-def _board(spark, sf_dir):
-    """Leaderboard of all six models (fits cached per context, the table checkpointed)."""
-    from ..operators.models import leaderboard
-    s = suite(spark, sf_dir)
-    if getattr(s, "_board", None) is None:
-        from concurrent.futures import ThreadPoolExecutor
-        keys = ["ridge", "arx", "forest", "gbt", "huber", "stack"]
-        with ThreadPoolExecutor(max_workers=3) as pool:   # independent fits, a few concurrent jobs
-            list(pool.map(s.fit, keys))
-        preds = None
-        for key in keys:
-            p = s.predictions(key)
-            preds = p if preds is None else preds.unionByName(p)
-        s._board = leaderboard(preds).checkpoint(eager=True)
-    return s._board
-
-
 @register("leaderboard")
 def leaderboard_q(spark, sf_dir):
-    return _board(spark, sf_dir).orderBy("rmse", "model")
+    return suite(spark, sf_dir).board().orderBy("rmse", "model")
 
 
 def _naive_forecast(spark, sf_dir, horizon=12):
@@ -881,13 +887,7 @@ def pair_shap_global(spark, sf_dir):
 @register("champion_forecast")
 def champion_forecast(spark, sf_dir):
     """Forecast with the leaderboard's best model and its holdout RMSE band."""
-    from ..operators.forecast import attach_interval, recursive_forecast
-    from ..operators.models import MODEL_NAMES
-    s = suite(spark, sf_dir)
-    best = _board(spark, sf_dir).orderBy("rmse", "model").first()
-    key = {v: k for k, v in MODEL_NAMES.items()}[best["model"]]
-    fc = recursive_forecast(s.ctx.weekly(), s.fit(key), s.feats, s.caps, 12)
-    return attach_interval(fc, best["rmse"]).withColumn("model", F.lit(best["model"]))
+    return suite(spark, sf_dir).champion_forecast()
 
 
 # ---------------------------------------------------------------------------------
@@ -978,7 +978,7 @@ def insight_facts(spark, sf_dir):
 def insights_q(spark, sf_dir):
     from ..operators.explain import shap_global
     from ..operators.insights import generate
-    best = _board(spark, sf_dir).orderBy("rmse", "model").first().asDict()
+    best = suite(spark, sf_dir).champion()[1].asDict()
     top = shap_global(_shap(spark, sf_dir)).first()["feature"]
     return generate(spark, _facts(spark, sf_dir), best, top)
 
@@ -1052,7 +1052,7 @@ def dataset_summary_q(spark, sf_dir):
 @register("model_comparison")
 def model_comparison_q(spark, sf_dir):
     from ..operators.models import model_comparison
-    return model_comparison(_board(spark, sf_dir))
+    return model_comparison(suite(spark, sf_dir).board())
 
 
 # ---------------------------------------------------------------------------------
@@ -1118,15 +1118,42 @@ def panel_forecast_q(spark, sf_dir):
 @register("panel_ridge_holdout")
 def panel_ridge_holdout(spark, sf_dir):
     """Pooled ridge over all channels, holdout rows of every series."""
-    from ..operators.features import model_dataset, time_split
-    from ..operators.models import fit_ridge, predictions
-    df, feats, _ = model_dataset(_panel(spark, sf_dir))
-    data = time_split(df).withColumn("label", F.log1p("total_sales"))
-    fit = fit_ridge(data.where(F.col("split") == "train"), feats)
-    p = predictions(fit, data.where(F.col("split") == "test"), "Linear Regression (RidgeCV)")
+    p = panel_suite(spark, sf_dir).predictions("ridge")
+    return present(p.where(F.col("split") == "test").drop("split"))
+
+
+@register("panel_leaderboard")
+def panel_leaderboard(spark, sf_dir):
+    """The whole tournament on every channel's weeks."""
+    return panel_suite(spark, sf_dir).board().orderBy("rmse", "model")
+
+
+@register("panel_champion_forecast")
+def panel_champion_forecast(spark, sf_dir):
+    """The panel's best model rolled forward for all channels at once."""
+    return present(panel_suite(spark, sf_dir).champion_forecast())
+
+
+@register("panel_boosted_blocks")
+def panel_boosted_blocks(spark, sf_dir):
+    """Both boosters on the panel cut into blocks of 2,000 rows, a job a tree level: 5 rounds, holdout rows."""
+    from ..operators.boost import fit_boosters
+    from ..operators.models import gbt_spec, huber_spec, predictions
+    s = panel_suite(spark, sf_dir)
+    fits = fit_boosters(s.train, s.feats, [gbt_spec(rounds=5), huber_spec(rounds=5)], block_rows=2000)
+    test = s.data.where(F.col("split") == "test")
+    p = predictions(fits[0], test, "squared").unionByName(predictions(fits[1], test, "huber"))
     return present(p.drop("split"))
 
 
+@register("panel_shap_global")
+def panel_shap_global(spark, sf_dir):
+    """J3 + J4 of the panel's stack: boosted trees and ridge, weighted by the combiner."""
+    from ..operators.explain import shap_global, shap_values
+    s = panel_suite(spark, sf_dir)
+    return shap_global(shap_values(s.data.where(F.col("split") == "test"), s.fit("stack"), ["series", "week"]))
+
+
 @register("forecast_roundtrip", ORACLE["forecast_interval"])
 def forecast_roundtrip(spark, sf_dir):
     """A5: the forecast with its band written as CSV (header, ISO dates) and read back."""
@@ -1164,16 +1191,11 @@ def model_roundtrip(spark, sf_dir):
 def panel_ridge_forecast(spark, sf_dir):
     """Pooled ridge fitted on every channel's training weeks, rolled forward 12 weeks for
     all channels at once, with each channel's band from the pooled holdout RMSE."""
-    from ..operators.features import model_dataset, time_split
     from ..operators.forecast import attach_interval, recursive_forecast
-    from ..operators.models import fit_ridge, metrics, predictions
-    panel = _panel(spark, sf_dir)
-    df, feats, caps = model_dataset(panel)
-    data = time_split(df).withColumn("label", F.log1p("total_sales")).checkpoint(eager=True)
-    fit = fit_ridge(data.where(F.col("split") == "train"), feats)
-    rmse = metrics(predictions(fit, data.where(F.col("split") == "test"), "ridge")).first()["rmse"]
-    fc = recursive_forecast(panel, fit, feats, caps, 12)
-    return present(attach_interval(fc, rmse))
+    from ..operators.models import metrics
+    s = panel_suite(spark, sf_dir)
+    rmse = metrics(s.predictions("ridge")).where("split = 'test'").first()["rmse"]
+    return present(attach_interval(recursive_forecast(s.weekly, s.fit("ridge"), s.feats, s.caps, 12), rmse))
 
 
 @register("saved_tables", O.q(

@@ -4,10 +4,13 @@ and their feature list / caps beside them."""
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+_TREE = ("feature", "bin", "cut", "value", "cover", "gain")
+
 
 def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None, mode: str = "overwrite"):
     """A3/A4/A5: write a table; Parquet by default (partitioned when asked), CSV with a
@@ -64,13 +67,14 @@ def _save_part(spark: SparkSession, fit, path: str) -> None:
     elif kind == "SparkFit":
         fit.model.write().overwrite().save(f"{path}/spark")
         meta.update(feats=list(fit.feats), model_class=f"{type(fit.model).__module__}.{type(fit.model).__name__}")
-    elif kind == "HuberFit":
-        for i, (tree, _) in enumerate(fit.trees):
-            tree.write().overwrite().save(f"{path}/trees/{i}")
-        meta.update(feats=list(fit.feats), init=fit.init, step=fit.step,
-                    leaves=[sorted(values.items()) for _, values in fit.trees])
+    elif kind == "BoostFit":
+        rows = [(i, *[getattr(t, k).tolist() for k in _TREE]) for i, t in enumerate(fit.trees)]
+        (spark.createDataFrame(rows, "tree int, feature array<int>, bin array<int>, cut array<double>, "
+                                     "value array<double>, cover array<double>, gain array<double>")
+              .coalesce(1).write.mode("overwrite").parquet(f"{path}/trees"))
+        meta.update(feats=list(fit.feats), init=fit.init, spec=asdict(fit.spec))
     elif kind == "ARXFit":
-        _save_part(spark, fit.ridge, f"{path}/ridge")
+        fit.table.write.mode("overwrite").parquet(f"{path}/series")
         meta.update(base=list(fit.base), lo=fit.lo, hi=fit.hi)
     elif kind == "StackFit":
         for name, base in fit.bases.items():
@@ -85,9 +89,10 @@ def _save_part(spark: SparkSession, fit, path: str) -> None:
 def _load_part(spark: SparkSession, path: str):
     import importlib
 
-    from pyspark.ml.regression import DecisionTreeRegressionModel
+    import numpy as np
 
-    from ..operators.models import ARXFit, HuberFit, RidgeFit, SparkFit, StackFit
+    from ..operators.boost import BoostFit, BoostSpec, Tree
+    from ..operators.models import ARXFit, RidgeFit, SparkFit, StackFit
     meta = _read_row(spark, f"{path}/meta")
     kind = meta["kind"]
     if kind == "RidgeFit":
@@ -97,12 +102,12 @@ def _load_part(spark: SparkSession, path: str):
     if kind == "SparkFit":
         mod, cls = meta["model_class"].rsplit(".", 1)
         return SparkFit(getattr(importlib.import_module(mod), cls).load(f"{path}/spark"), meta["feats"])
-    if kind == "HuberFit":
-        trees = [(DecisionTreeRegressionModel.load(f"{path}/trees/{i}"), {float(k): v for k, v in leaves})
-                 for i, leaves in enumerate(meta["leaves"])]
-        return HuberFit(meta["init"], trees, meta["step"], meta["feats"])
+    if kind == "BoostFit":
+        rows = spark.read.parquet(f"{path}/trees").orderBy("tree").collect()          # the model
+        trees = [Tree(*[np.array(r[k]) for k in _TREE]) for r in rows]
+        return BoostFit(BoostSpec(**meta["spec"]), meta["init"], trees, meta["feats"])
     if kind == "ARXFit":
-        return ARXFit(_load_part(spark, f"{path}/ridge"), meta["base"], meta["lo"], meta["hi"])
+        return ARXFit(spark.read.parquet(f"{path}/series"), meta["base"], meta["lo"], meta["hi"])
     if kind == "StackFit":
         return StackFit({n: _load_part(spark, f"{path}/bases/{n}") for n in meta["bases"]},
                         _load_part(spark, f"{path}/combiner"))

@@ -13,13 +13,15 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
 def test_cli_writes_all_outputs(spark, capsys):
     from mixlens import cli
-    from mixlens.plans import catalog
-    rounds = dict(catalog.VIEW_ROUNDS)
+    from mixlens.plans.context import context
     out = tempfile.mkdtemp(dir=ensure_checkpoint_dir(spark).replace("file:", ""))
+    ctx = context(spark, SF)
+    kept, ctx._suite = getattr(ctx, "_suite", None), None
     try:
         assert cli.main(["--tables", SF, "--out", out, "--boost-rounds", "3"]) == 0
+        assert ctx._suite.rounds == 3 and len(ctx._suite.fit("huber").trees) == 3
     finally:
-        catalog.VIEW_ROUNDS.update(rounds)
+        ctx._suite = kept
     written = json.loads(capsys.readouterr().out)
     for name in [*cli.OUTPUT_VIEWS, "forecast"]:
         assert spark.read.parquet(written[name]).count() > 0, name

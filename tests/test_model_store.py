@@ -44,10 +44,32 @@ def test_autoregressive_holdout_follows_its_own_predictions(rows):
     fit = M.fit_arx(rows.where("split = 'train'"), ["x", "sales_lag_1"], ["x"])
     got = M.predictions(fit, rows, "arx").where("split = 'test'").orderBy("week").collect()
     test = rows.where("split = 'test'").orderBy("week").collect()
-    coef = dict(zip(fit.ridge.feats, fit.ridge.coef / fit.ridge.scale))
-    mean = dict(zip(fit.ridge.feats, fit.ridge.mean))
+    own = fit.table.first()
     last = np.log1p(test[0]["sales_lag_1"])
     for g, r in zip(got, test):
-        last = np.clip(fit.ridge.intercept + coef["_ylag"] * (last - mean["_ylag"]) + coef["x"] * (r["x"] - mean["x"]), 0, 20)
+        last = np.clip(own["intercept"] + own["coef"][0] * last + own["coef"][1] * r["x"], 0, 20)
         assert abs(g["yhat"] - np.expm1(last)) < 1e-6 * g["yhat"]
     assert M.predictions(fit, rows, "arx").where(F.col("yhat").isNull()).count() == 0
+
+
+def test_every_series_has_its_own_regression(spark):
+    rng = np.random.default_rng(8)
+    rows, data = [], {}
+    for name, slope in (("a", 0.3), ("b", 0.8), ("c", 0.0)):
+        y = 5.0
+        for i in range(40):
+            x, flat, before = float(rng.normal()), 2.0, y
+            y = 2.0 + slope * y + 0.5 * x + 0.1 * float(rng.normal())
+            data.setdefault(name, []).append((before, x, y))
+            rows.append((name, dt.date(2021, 1, 3) + dt.timedelta(weeks=i), float(np.expm1(before)), x, flat, y))
+    df = spark.createDataFrame(rows, "series string, week date, sales_lag_1 double, x double, flat double, label double")
+    fit = M.fit_arx(df, ["x", "flat", "sales_lag_1"], ["x", "flat"])
+    got = {r["series"]: r for r in fit.table.collect()}
+    assert set(got) == {"a", "b", "c"}
+    for name, points in data.items():
+        m = np.array(points)
+        want = np.linalg.lstsq(np.column_stack([np.ones(40), m[:, :2]]), m[:, 2], rcond=None)[0]
+        assert np.allclose([got[name]["intercept"], *got[name]["coef"][:2]], want, atol=1e-5)
+        assert abs(got[name]["coef"][2]) < 1e-6                     # a constant column has no part
+    other = df.limit(1).withColumn("series", F.lit("new"))
+    assert fit.transform(other, "p").first()["p"] is None

@@ -42,17 +42,23 @@ def test_ridge_loo_matches_brute_force(spark):
 
 
 def test_tree_shap_local_accuracy(spark):
-    from mixlens.operators.explain import ensemble_nodes, expected_value, shap_values
+    from mixlens.operators.explain import base_value, shap_values
     df, x, y, cols = _frame(spark, n=80)
     df = df.withColumn("rid", F.monotonically_increasing_id())
-    fit = fit_gbt(df, cols, rounds=5, maxDepth=3, subsamplingRate=1.0, featureSubsetStrategy="all")
-    trees, weights = ensemble_nodes(fit)
-    base = expected_value(trees, weights)
-    phi = shap_values(df, fit, ["rid"]).groupBy("rid").agg(F.sum("shap_value").alias("s"))
-    pred = fit.transform(df, "p").select("rid", "p")
-    rows = phi.join(pred, "rid").collect()
-    assert len(rows) == 80
-    assert max(abs(base + r.s - r.p) for r in rows) < 1e-9
+    from mixlens.operators.models import RidgeFit, StackFit, fit_forest, fit_huber
+    fits = {"gbt": fit_gbt(df, cols, rounds=5, depth=3), "huber": fit_huber(df, cols, rounds=4),
+            "forest": fit_forest(df, cols, numTrees=4, maxDepth=3), "ridge": fit_ridge(df, cols)}
+    fits["stack"] = StackFit({k: fits[k] for k in ("huber", "gbt", "ridge")},
+                             RidgeFit(["_b_huber", "_b_gbt", "_b_ridge"], np.array([0.1, -0.2, 0.3]), np.ones(3),
+                                      np.array([0.5, 0.2, 0.4]), 0.7, 1.0))
+    for fit in fits.values():
+        base = base_value(fit)
+        phi = shap_values(df, fit, ["rid"]).groupBy("rid").agg(F.sum("shap_value").alias("s"))
+        pred = fit.transform(df, "p").withColumn("q", fit.score({c: F.col(c) for c in cols})).select("rid", "p", "q")
+        rows = phi.join(pred, "rid").collect()
+        assert len(rows) == 80
+        assert max(abs(base + r.s - r.p) for r in rows) < 1e-9
+        assert max(abs(r.q - r.p) for r in rows) < 1e-9             # the expression gives what the batches give
 
 
 def test_interval_lower_bound_floor(spark):
@@ -101,23 +107,17 @@ def test_tree_shap_matches_shapley_definition():
 
 def test_views_fit_all_rounds():
     from mixlens.operators import models as M
-    from mixlens.plans import catalog
-    assert M.BOOST["rounds"] == M.HUBER["rounds"] == 500
-    assert set(catalog.VIEW_ROUNDS.values()) == {500}
-
-
-def test_huber_scores_500_trees(spark):
-    from mixlens.operators import models as M
-    rng = np.random.default_rng(3)
-    rows = [(*map(float, r), float(3 * r[0] + r[1] ** 2 + rng.normal())) for r in rng.normal(size=(200, 3))]
-    df = spark.createDataFrame(rows, "a double, b double, c double, label double").checkpoint()
-    fit = M.fit_huber(df, ["a", "b", "c"], rounds=4)
-    plain = M._assembled(df, fit.feats).withColumn("p", F.lit(fit.init))
-    for i, (tree, vals) in enumerate(fit.trees):
-        plain = M._apply_tree(plain, tree, vals, "p", fit.step, i)
-    want = {r["a"]: r["p"] for r in plain.collect()}
-    got = {r["a"]: r["p"] for r in fit.transform(df, "p").collect()}
-    assert got == want
-    many = M.HuberFit(fit.init, fit.trees * 125, fit.step, fit.feats)
-    for r in many.transform(df, "p").collect():
-        assert abs(r["p"] - (fit.init + 125 * (want[r["a"]] - fit.init))) < 1e-6
+    from mixlens.plans.catalog import ModelSuite
+    assert M.gbt_spec().rounds == M.huber_spec().rounds == 500
+    assert ModelSuite.__init__.__defaults__ == (None, None)         # no other number unless a caller gives one
+
+
+def test_ridge_folds_equal_single_fits(spark):
+    from mixlens.operators.models import fit_ridge_folds
+    df, *_, cols = _frame(spark, n=50)
+    idx = df.withColumn("_fold", F.pmod(F.xxhash64("label"), F.lit(3)).cast("int")).checkpoint()
+    every = fit_ridge_folds(idx, cols, 3)
+    for k, fit in enumerate(every):
+        one = fit_ridge(idx.where(F.col("_fold") != k) if k < 3 else idx, cols)
+        assert fit.alpha == one.alpha and np.allclose(fit.coef, one.coef, atol=1e-9)
+        assert np.allclose(list(fit.loo_mse.values()), list(one.loo_mse.values()), rtol=1e-9)
