@@ -73,7 +73,8 @@ def ranked(nodes: DataFrame, *order: str) -> DataFrame:
     """
     spark = nodes.sparkSession
     keys = ["tree", *order, "digest", "salt"]
-    dealt = cut(nodes.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+    # dealing by ranges samples its input first: from the digests written here, not from the texts again
+    dealt = cut(cut(nodes.withColumn("salt", F.xxhash64(F.monotonically_increasing_id())))
                 .repartitionByRange(width(spark), *keys).sortWithinPartitions(*keys).drop("salt"))
     dealt = dealt.withColumn("part", F.spark_partition_id())
 
