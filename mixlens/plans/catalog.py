@@ -781,6 +781,73 @@ def ar_x_forecast_q(spark, sf_dir):
     return present(recursive_forecast(s.ctx.weekly(), s.fit("arx"), s.feats, s.caps, 12), {"forecasted_sales": 2})
 
 
+# Per-series AR-X of one lag and two columns: normal equations that SQL can solve
+ARX_EXOG, ARX_PENALTY = ("spend", "clicks"), 1.0
+
+
+def _pair_arx(s):
+    from ..operators.models import fit_arx
+    return fit_arx(s.train, s.feats, list(ARX_EXOG), penalty=ARX_PENALTY)
+
+
+@register("panel_ar_x_holdout", O.arx_holdout(O.pfq(""), ARX_EXOG, ARX_PENALTY))
+def panel_ar_x_holdout(spark, sf_dir):
+    """One regression a channel; each holdout follows its own predictions."""
+    from ..operators.models import predictions
+    s = panel_suite(spark, sf_dir)
+    p = predictions(_pair_arx(s), s.data.where(F.col("split") != "forecast"), "arx").where(F.col("split") == "test")
+    return present(p.select("series", "week", "y", "yhat"), {"y": 2, "yhat": 2})
+
+
+@register("panel_ar_x_forecast", O.arx_forecast(O.pfq(""), ARX_EXOG, ARX_PENALTY, LINEAR_HORIZON))
+def panel_ar_x_forecast(spark, sf_dir):
+    """Every channel's regression rolled forward, padded weeks included."""
+    from ..operators.forecast import recursive_forecast
+    s = panel_suite(spark, sf_dir)
+    fc = recursive_forecast(s.weekly, _pair_arx(s), s.feats, {}, LINEAR_HORIZON)
+    return present(fc, {"forecasted_sales": 2})
+
+
+# One boosting round of depth 1, whose split and leaf values SQL can work out
+STUMP = ("month", "quarter")
+_STUMP_SQL = O.stump(O.fq(""), STUMP, 0.9, 0.5, 1.0, 2)
+
+
+def _stumps(spark, sf_dir):
+    from ..operators.boost import fit_boosters
+    from ..operators.models import gbt_spec, huber_spec
+    s = suite(spark, sf_dir)
+    once = {"rounds": 1, "depth": 1, "step": 1.0, "rows": 1.0, "columns": 1.0}
+    return s, dict(zip(("squared", "huber"), fit_boosters(s.train, STUMP, [gbt_spec(**once), huber_spec(**once)])))
+
+
+@register("boosted_stump", _STUMP_SQL + f"SELECT s.model, s.series, {O.d('s.week')} AS week, s.split, ROUND(total_sales, 2) AS y, "
+          "ROUND(exp(init + v) - 1, 2) AS yhat FROM side s JOIN leaf l ON s.model = l.model AND s.lo = l.lo JOIN par p ON p.model = s.model")
+def boosted_stump(spark, sf_dir):
+    """I8 (L1 and L2 on leaf values) and I9 (Huber leaves) with one tree of depth 1."""
+    from ..operators.models import predictions
+    s, fits = _stumps(spark, sf_dir)
+    data = s.data.where(F.col("split") != "forecast")
+    p = predictions(fits["squared"], data, "squared").unionByName(predictions(fits["huber"], data, "huber"))
+    return present(p, {"y": 2, "yhat": 2})
+
+
+@register("boosted_stump_shap", _STUMP_SQL + ", ev AS (SELECT model, SUM(n * v) / SUM(n) AS e FROM leaf GROUP BY model) "
+          f"SELECT s.model, s.series, {O.d('s.week')} AS week, c.name AS feature, "
+          "ROUND(CASE WHEN s.f = c.i THEN v - e ELSE 0.0 END, 8) + 0.0 AS shap_value "
+          "FROM side s JOIN leaf l ON s.model = l.model AND s.lo = l.lo JOIN ev ON ev.model = s.model, "
+          "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(STUMP)) + ") c(i, name) WHERE s.split = 'train'")
+def boosted_stump_shap(spark, sf_dir):
+    """J3 on the same trees."""
+    from ..operators.explain import shap_values
+    s, fits = _stumps(spark, sf_dir)
+    out = None
+    for name, fit in fits.items():
+        one = shap_values(s.train, fit, ["series", "week"]).withColumn("model", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return present(out, {"shap_value": 8})
+
+
 # Models that SQL can compute, through the same prediction, leaderboard and comparison operators
 BASELINES = {"Lag 1": {"sales_lag_1": 1.0}, "Mean of 8 weeks": {"sales_rolling_mean_8": 1.0},
              "Fixed linear": {"sales_lag_1": 0.5, "sales_lag_2": 0.2, "sales_ewm_4": 0.2, "sales_rolling_std_8": 0.1,

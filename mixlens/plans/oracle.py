@@ -305,25 +305,8 @@ def linear(weights: dict) -> str:
     return " + ".join(f"CAST({c} AS DOUBLE) * {w!r}" for c, w in weights.items())
 
 
-def linear_forecast(start: str, weights: dict, horizon: int) -> str:
-    """Recursive forecast by fixed weights, as a recursive query carrying a list of the last 8
-    values; ``start`` holds the feature CTEs (``ts`` among them)."""
-    def lag(i):
-        return f"CASE WHEN len(hist) >= {i} THEN hist[len(hist) - {i} + 1] ELSE 0.0 END"
-
-    mean8 = "list_aggregate(hist, 'avg')"
-    state = {f"sales_lag_{i}": lag(i) for i in range(1, 9)}
-    state.update({
-        "sales_rolling_mean_4": "list_aggregate(hist[greatest(len(hist) - 3, 1):], 'avg')",
-        "sales_rolling_mean_8": mean8,
-        "sales_rolling_std_8": "list_aggregate(hist, 'stddev_samp')",
-        "sales_rolling_min_8": "list_aggregate(hist, 'min')",
-        "sales_rolling_max_8": "list_aggregate(hist, 'max')",
-        "sales_ewm_4": mean8,
-        "sales_diff_1": f"CASE WHEN ({lag(2)}) <> 0 THEN ({lag(1)}) - ({lag(2)}) ELSE 0.0 END",
-        "sales_ratio_to_mean_8": f"({lag(1)}) / greatest({mean8}, 1.0)",
-    })
-    total = " + ".join(f"COALESCE(CAST({state.get(c, 'c.' + c)} AS DOUBLE), 0.0) * {w!r}" for c, w in weights.items())
+def _candidates(start: str, horizon: int) -> str:
+    """``start``'s CTEs and those of the candidate rows: anchor, cand (series, step, week and features)."""
     return start.replace("WITH", "WITH RECURSIVE", 1) + f""", anchor AS (
   SELECT series, MAX(CASE WHEN total_sales IS NOT NULL THEN week END) AS a, MAX(week) AS l FROM ts GROUP BY series),
 after AS (
@@ -345,7 +328,29 @@ cand AS (
            sin(2 * pi() * CAST(t.week_number AS DOUBLE) / 52.0) AS week_of_year_sin,
            LAG(t.spend) OVER w AS spend_lag_1, LAG(t.clicks) OVER w AS clicks_lag_1
     FROM seq s LEFT JOIN ts t ON s.series = t.series AND s.week = t.week
-    WINDOW w AS (PARTITION BY s.series ORDER BY s.week)) x WHERE ahead),
+    WINDOW w AS (PARTITION BY s.series ORDER BY s.week)) x WHERE ahead)"""
+
+
+def linear_forecast(start: str, weights: dict, horizon: int) -> str:
+    """Recursive forecast by fixed weights, as a recursive query carrying a list of the last 8
+    values; ``start`` holds the feature CTEs (``ts`` among them)."""
+    def lag(i):
+        return f"CASE WHEN len(hist) >= {i} THEN hist[len(hist) - {i} + 1] ELSE 0.0 END"
+
+    mean8 = "list_aggregate(hist, 'avg')"
+    state = {f"sales_lag_{i}": lag(i) for i in range(1, 9)}
+    state.update({
+        "sales_rolling_mean_4": "list_aggregate(hist[greatest(len(hist) - 3, 1):], 'avg')",
+        "sales_rolling_mean_8": mean8,
+        "sales_rolling_std_8": "list_aggregate(hist, 'stddev_samp')",
+        "sales_rolling_min_8": "list_aggregate(hist, 'min')",
+        "sales_rolling_max_8": "list_aggregate(hist, 'max')",
+        "sales_ewm_4": mean8,
+        "sales_diff_1": f"CASE WHEN ({lag(2)}) <> 0 THEN ({lag(1)}) - ({lag(2)}) ELSE 0.0 END",
+        "sales_ratio_to_mean_8": f"({lag(1)}) / greatest({mean8}, 1.0)",
+    })
+    total = " + ".join(f"COALESCE(CAST({state.get(c, 'c.' + c)} AS DOUBLE), 0.0) * {w!r}" for c, w in weights.items())
+    return _candidates(start, horizon) + f""",
 past AS (
   SELECT t.series, list(t.total_sales ORDER BY t.week) AS h FROM ts t JOIN anchor n ON t.series = n.series
   AND t.week <= n.a GROUP BY t.series),
@@ -356,3 +361,83 @@ walk(series, step, week, hist, y) AS (
     SELECT r.series, c.step, c.week, r.hist, greatest({total}, 0.0) AS y
     FROM walk r JOIN cand c ON c.series = r.series AND c.step = r.step + 1) z)
 SELECT series, strftime(week, '%Y-%m-%d') AS week, ROUND(y, 2) AS forecasted_sales FROM walk WHERE step > 0"""
+
+
+_ARX_FIT = """, tr AS (
+  SELECT series, ln(1 + sales_lag_1) AS z, CAST({0} AS DOUBLE) AS a, CAST({1} AS DOUBLE) AS b, ln(1 + total_sales) AS y
+  FROM split WHERE split = 'train'),
+st AS (
+  SELECT series, COUNT(*) AS n, AVG(z) AS mz, AVG(a) AS ma, AVG(b) AS mb, AVG(y) AS my,
+         CASE WHEN var_pop(z) > 0 THEN stddev_pop(z) ELSE 1 END AS sz, CASE WHEN var_pop(a) > 0 THEN stddev_pop(a) ELSE 1 END AS sa,
+         CASE WHEN var_pop(b) > 0 THEN stddev_pop(b) ELSE 1 END AS sb, var_pop(z) AS zz, var_pop(a) AS aa, var_pop(b) AS bb,
+         covar_pop(z, a) AS za, covar_pop(z, b) AS zb, covar_pop(a, b) AS ab, covar_pop(z, y) AS zy, covar_pop(a, y) AS ay,
+         covar_pop(b, y) AS by_ FROM tr GROUP BY series),
+eq AS (
+  SELECT *, n * zz / sz / sz + {2} AS p, n * za / sz / sa AS q, n * zb / sz / sb AS r, n * aa / sa / sa + {2} AS s,
+         n * ab / sa / sb AS t, n * bb / sb / sb + {2} AS u, n * zy / sz AS d, n * ay / sa AS e, n * by_ / sb AS f FROM st),
+w AS (
+  SELECT *, p * (s * u - t * t) - q * (q * u - t * r) + r * (q * t - s * r) AS det FROM eq),
+co AS (
+  SELECT series, (d * (s * u - t * t) - q * (e * u - t * f) + r * (e * t - s * f)) / det / sz AS cz,
+         (p * (e * u - t * f) - d * (q * u - t * r) + r * (q * f - e * r)) / det / sa AS ca,
+         (p * (s * f - e * t) - q * (q * f - e * r) + d * (q * t - s * r)) / det / sb AS cb, mz, ma, mb, my FROM w),
+fit AS (SELECT series, cz, ca, cb, my - cz * mz - ca * ma - cb * mb AS c0 FROM co)"""
+
+
+def arx_holdout(start: str, exog, penalty: float) -> str:
+    """AR-X of one lag and two columns a series by its normal equations; the holdout follows its own predictions."""
+    return start.replace("WITH", "WITH RECURSIVE", 1) + _ARX_FIT.format(*exog, penalty) + f""",
+te AS (
+  SELECT s.series, s.week, total_sales AS y, ln(1 + sales_lag_1) AS z, c0 + ca * CAST({exog[0]} AS DOUBLE) + cb * CAST({exog[1]} AS DOUBLE) AS rest,
+         cz, row_number() OVER (PARTITION BY s.series ORDER BY s.week) AS k FROM split s JOIN fit USING (series) WHERE split = 'test'),
+walk(series, k, p) AS (
+  SELECT series, k, least(greatest(rest + cz * z, 0.0), 20.0) FROM te WHERE k = 1
+  UNION ALL SELECT te.series, te.k, least(greatest(rest + cz * p, 0.0), 20.0) FROM walk JOIN te ON te.series = walk.series AND te.k = walk.k + 1)
+SELECT series, strftime(week, '%Y-%m-%d') AS week, ROUND(y, 2) AS y, ROUND(exp(p) - 1, 2) AS yhat FROM te JOIN walk USING (series, k)"""
+
+
+def arx_forecast(start: str, exog, penalty: float, horizon: int) -> str:
+    """The same regressions rolled forward over the candidate rows."""
+    return _candidates(start, horizon) + _ARX_FIT.format(*exog, penalty) + f""",
+walk(series, step, week, p) AS (
+  SELECT t.series, CAST(0 AS BIGINT), CAST(NULL AS DATE), ln(1 + t.total_sales) FROM ts t JOIN anchor n ON t.series = n.series AND t.week = n.a
+  UNION ALL
+  SELECT c.series, c.step, c.week, least(greatest(c0 + cz * p + ca * COALESCE(CAST(c.{exog[0]} AS DOUBLE), 0.0)
+         + cb * COALESCE(CAST(c.{exog[1]} AS DOUBLE), 0.0), 0.0), 20.0)
+  FROM walk r JOIN cand c ON c.series = r.series AND c.step = r.step + 1 JOIN fit f ON f.series = c.series)
+SELECT series, strftime(week, '%Y-%m-%d') AS week, ROUND(exp(p) - 1, 2) AS forecasted_sales FROM walk WHERE step > 0"""
+
+
+def stump(start: str, features, huber_alpha: float, l1: float, l2: float, least: int) -> str:
+    """One boosting round of depth 1 for both losses, up to the split's sides (side) and leaf values (leaf)."""
+    x = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features))
+    xs = ", ".join(f"x{i}" for i in range(len(features)))
+    long = " UNION ALL ".join(f"SELECT model, {i} AS f, x{i} AS x, g FROM g" for i in range(len(features)))
+    at = "CASE f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(len(features))) + " END"
+
+    def worth(g, n):
+        return f"power(greatest(abs({g}) - l1, 0), 2) / ({n} + l2)"
+
+    return start + f""", al AS (SELECT series, week, split, {x}, total_sales, ln(1 + total_sales) AS y FROM split WHERE split <> 'forecast'),
+tr AS (SELECT * FROM al WHERE split = 'train'),
+c AS (SELECT AVG(y) AS m, quantile_cont(y, 0.5) AS med FROM tr),
+dl AS (SELECT quantile_cont(ABS(y - med), {huber_alpha}) AS delta FROM tr, c),
+par AS (SELECT 'squared' AS model, m AS init, {l1} AS l1, {l2} AS l2, 1 AS least FROM c
+        UNION ALL SELECT 'huber', med, 0.0, 0.0, {least} FROM c),
+g AS (SELECT model, {xs}, y, y - init AS r, CASE WHEN model = 'squared' THEN y - init ELSE greatest(least(y - init, delta), -delta) END AS g
+      FROM tr, par, dl),
+cell AS (SELECT model, f, x, SUM(g) AS s, COUNT(*) AS n FROM ({long}) z GROUP BY model, f, x),
+cum AS (SELECT model, f, x, LEAD(x) OVER w AS nx, SUM(s) OVER w AS gl, SUM(n) OVER w AS nl,
+               SUM(s) OVER (PARTITION BY model, f) AS gs, SUM(n) OVER (PARTITION BY model, f) AS ns
+        FROM cell WINDOW w AS (PARTITION BY model, f ORDER BY x)),
+best AS (SELECT model, f, (x + nx) / 2 AS cut FROM cum JOIN par USING (model)
+         WHERE nx IS NOT NULL AND nl >= least AND ns - nl >= least
+         QUALIFY row_number() OVER (PARTITION BY model ORDER BY
+           ROUND({worth('gl', 'nl')} + {worth('gs - gl', 'ns - nl')} - {worth('gs', 'ns')}, 9) DESC, f, x) = 1),
+sd AS (SELECT model, r, g, {at} <= cut AS lo FROM g JOIN best USING (model)),
+med AS (SELECT model, lo, quantile_cont(r, 0.5) AS md, SUM(g) AS s, COUNT(*) AS n FROM sd GROUP BY model, lo),
+off AS (SELECT model, lo, AVG(sign(r - md) * least(abs(r - md), delta)) AS o FROM sd JOIN med USING (model, lo), dl GROUP BY model, lo),
+leaf AS (SELECT model, lo, n, CASE WHEN model = 'squared' THEN sign(s) * greatest(abs(s) - l1, 0) / (n + l2) ELSE md + o END AS v
+         FROM med JOIN off USING (model, lo) JOIN par USING (model)),
+side AS (SELECT model, series, week, split, total_sales, f, {at} <= cut AS lo FROM al, best)
+"""
