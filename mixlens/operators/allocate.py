@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import scalar_row
+from ..functions.joins import scalar_row, stored
 from ..spec import DEFAULT_SPEC, MediaSpec
 from .measure import true_kpi_expr
 
@@ -46,29 +46,32 @@ def weight_class(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC):
     return cands, cls
 
 
-def allocate_sales(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
-                   maxima: dict | None = None) -> DataFrame:
-    """estimated_sales = weight / week weight total * true weekly sales (0 when the
-    week's sales are unknown). The share is taken within ``spec.kpi_keys`` (the week).
+def key_statistics(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFrame:
+    """One row per KPI key (the week): what the allocation of its rows needs.
 
-    One grouped pass yields, per week, the sum of each candidate's values over the rows
-    that candidate weighs, the number of fallback rows, each candidate's max and the true
-    weekly sales; the global maxima are the max of the weekly maxima (a small table).
-    The week weight total is then sum_c S_c / max_c + n_fallback * fallback, so the rows
-    are read once for the statistics and once for the allocation, and they never shuffle
-    by week: the per-week table is joined back through a size-checked broadcast, so a week
-    holding a third of all rows is not a single reducer's load.
+    The sum of each weight candidate's values over the rows that candidate weighs (``_s``), its
+    largest value (``_m``), the rows without any (``_nfb``) and the true sales. One grouped pass,
+    combined on the map side, so a week holding a third of all rows is one row a task.
     """
-    from ..functions.joins import bounded
-    keys = list(spec.kpi_keys)
     cands, cls = weight_class(clean, spec)
     val = {c: F.greatest(F.col(c).cast("double"), F.lit(0.0)) for c in cands}
-    stats = clean.groupBy(*keys).agg(
+    return clean.groupBy(*spec.kpi_keys).agg(
         *[F.sum(F.when(cls == i, val[c])).alias(f"_s{i}") for i, c in enumerate(cands)],
         *[F.max(val[c]).alias(f"_m{i}") for i, c in enumerate(cands)],
         F.count_if(cls == -1).alias("_nfb"),
         true_kpi_expr(spec.target_col).alias("_true_sales"))
-    stats, fits = bounded(stats)
+
+
+def allocate_with(clean: DataFrame, stats: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
+                  maxima: dict | None = None) -> DataFrame:
+    """D4-D6 where the rows are read: ``stats`` (a stored ``key_statistics``) gives each row's week
+    its weight total, sum_c S_c / max_c + n_fallback * fallback, and its true sales.
+
+    The global maxima are the largest of the weekly ones. Rows do not move while the planner can
+    broadcast the stored statistics; beyond that they shuffle by week, hot weeks split.
+    """
+    keys = list(spec.kpi_keys)
+    cands = spec.present(clean, spec.weight_priority)
     if maxima is None:
         mrow = scalar_row(stats.agg(*[F.max(f"_m{i}").alias(c) for i, c in enumerate(cands)])) if cands else {}
         maxima = {c: mrow[c] for c in cands}
@@ -78,8 +81,17 @@ def allocate_sales(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
         if m is not None and m > 0:
             total = total + F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) / F.lit(float(m))
     per_key = stats.select(*keys, total.alias("_key_weight"), "_true_sales")
-    weighted = activity_weight(clean, spec, maxima)
-    joined = weighted.join(F.broadcast(per_key) if fits else per_key, on=keys, how="left")
+    joined = activity_weight(clean, spec, maxima).join(per_key, on=keys, how="left")
     share = F.try_divide(F.col("activity_weight"), F.col("_key_weight"))
     est = F.coalesce(share * F.col("_true_sales").cast("double"), F.lit(0.0))
     return joined.withColumn("estimated_sales", est).drop("_key_weight", "_true_sales")
+
+
+def allocate_sales(clean: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
+                   maxima: dict | None = None) -> DataFrame:
+    """estimated_sales = weight / week weight total * true weekly sales (0 when the
+    week's sales are unknown). The share is taken within ``spec.kpi_keys`` (the week).
+
+    ``clean`` is read twice, for the statistics and for the allocation, so it should be stored.
+    """
+    return allocate_with(clean, stored(key_statistics(clean, spec)), spec, maxima)

@@ -53,10 +53,49 @@ def flag_credits(df: DataFrame, spend_col: str, flag_col: str) -> DataFrame:
     return df.withColumn(flag_col, F.coalesce(raw < 0, F.lit(False)))
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Full-row de-duplication (NULL equals NULL). Copies collapse in the map-side
-    partial aggregate, so a hot group of copies never reaches one reducer whole."""
-    return df.dropDuplicates()
+FILTER_WORDS = 1 << 20         # 64-bit words (a power of two) of the filter over repeated digests: at most so many rows are broadcast
+
+
+def row_digest(df: DataFrame):
+    """128 bits of a row as two longs; equal rows (NULL equals NULL) have equal digests."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    nulls = F.array(*[c.isNull() for c in cols])                # hashes skip NULLs
+    return F.xxhash64(nulls, *cols), F.xxhash64(F.lit(1), *cols, nulls)
+
+
+def maybe_repeated(df: DataFrame, digest=row_digest, words: int = FILTER_WORDS) -> DataFrame:
+    """``df`` with ``_maybe``: false where no other row is equal.
+
+    Digests are grouped first, which moves 16 bytes a row and combines copies on the map side.
+    Digests seen twice or more set bits of a filter of ``words`` longs (a table of at most so many
+    rows, broadcast), and every row looks its own bit up where it is read. A false alarm, by the
+    filter or by equal digests of different rows, only marks a row that the exact step compares.
+    """
+    names = df.columns
+    one, two = digest(df)
+    tagged = df.withColumns({"_d1": one, "_d2": two})
+    # masks, not remainders: these cannot be NULL, so the planner infers no filter on the wide digests
+    place = F.col("_d1").bitwiseAND(F.lit(words - 1)).cast("int")
+    bit = F.expr("shiftleft(1L, cast(_d2 & 63L as int))")
+    twice = tagged.groupBy("_d1", "_d2").agg(F.count("*").alias("_n")).where("_n > 1")
+    held = twice.groupBy(place.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return (tagged.join(F.broadcast(held), place == F.col("_word"), "left")
+            .select(*[F.col(f"`{c}`") for c in names], (F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(bit) != 0).alias("_maybe")))
+
+
+def drop_exact_duplicates(df: DataFrame, digest=row_digest) -> DataFrame:
+    """Full-row de-duplication (NULL equals NULL). Only rows whose digest occurs twice or more are
+    moved and compared column by column; all others stay where they were read."""
+    marked = maybe_repeated(df, digest)
+    alone = marked.where(~F.col("_maybe")).drop("_maybe")
+    return alone.unionByName(marked.where("_maybe").drop("_maybe").dropDuplicates())
+
+
+def count_duplicates(df: DataFrame, digest=row_digest) -> DataFrame:
+    """One row: ``duplicates``, the rows that B7 drops."""
+    marked = maybe_repeated(df, digest).where("_maybe").drop("_maybe")
+    return (marked.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_n"))
+            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates")))
 
 
 def coerce_metrics(df: DataFrame, metrics) -> DataFrame:

@@ -29,16 +29,17 @@ def kpi_summary(clean: DataFrame, week_col: str = "week", target_col: str = "bas
         *[F.sum(c).alias(c) for c in metrics])
     out = wk.agg(F.sum("_ts").alias("total_sales"),
                  *[F.sum(c).alias(f"total_{c}") for c in metrics])
+    if "spend" not in metrics:
+        return out
     return out.withColumn("romi", F.try_divide(F.col("total_sales").cast("double"),
                                                F.col("total_spend").cast("double")))
 
 
 def top_creatives(rows: DataFrame, n: int = 20, dim: str = "creative",
                   metric: str = "estimated_sales") -> DataFrame:
-    """Top-n creatives by allocated sales with spend, impressions, engagements."""
-    agg = rows.groupBy(dim).agg(F.sum(metric).alias(metric), F.sum("spend").alias("spend"),
-                                F.sum("impressions").alias("impressions"),
-                                F.sum("engagements").alias("engagements"))
+    """Top-n creatives by allocated sales with those of spend, impressions, engagements present."""
+    beside = [c for c in ("spend", "impressions", "engagements") if c in rows.columns]
+    agg = rows.groupBy(dim).agg(F.sum(metric).alias(metric), *[F.sum(c).alias(c) for c in beside])
     return agg.orderBy(F.col(metric).desc(), F.col(dim).asc_nulls_last()).limit(n)
 
 
@@ -119,11 +120,10 @@ def series_peak(weekly: DataFrame, value: str = "total_sales", week_col: str = "
 
 
 def category_share(rows: DataFrame, dim: str, metric: str = "estimated_sales") -> DataFrame:
-    """Share of the total per category. The total is a one-row global aggregate
-    read back as a scalar, so no un-partitioned window or cross join is needed."""
+    """Share of the total per category. The total is a scalar subquery over the summed
+    categories, so nothing runs while the view is built and rows are not summed a second time."""
     agg = rows.groupBy(dim).agg(F.sum(metric).alias(metric))
-    total = rows.agg(F.sum(metric).alias("t")).first()["t"]
-    return agg.withColumn("share", F.try_divide(F.col(metric), F.lit(total)))
+    return agg.withColumn("share", F.try_divide(F.col(metric), agg.agg(F.sum(metric)).scalar()))
 
 
 def filter_rows(rows: DataFrame, selections: dict) -> DataFrame:
@@ -154,7 +154,7 @@ def sample_rows(rows: DataFrame, n: int = 10, order=None) -> DataFrame:
 def filtered_weekly(rows: DataFrame, weekly_sales: DataFrame, selections: dict, additive,
                     week_col: str = "week") -> DataFrame:
     """C4: weekly sums of the filtered rows, left-joined to the company-wide (unfiltered)
-    weekly sales through a size-checked broadcast."""
+    weekly sales, which are stored so that the planner joins them by their size."""
     from ..functions.joins import join_small
     add = [c for c in additive if c in rows.columns]
     wk = filter_rows(rows, selections).groupBy(week_col).agg(*[F.sum(c).alias(c) for c in add])

@@ -9,51 +9,62 @@ from pyspark.sql import functions as F
 from ..functions.exprs import label_unknown, safe_div
 
 RATIO_SUMS = ["spend", "impressions", "clicks", "engagements"]
+SCALE = 9            # decimal places in which doubles are added up
+
+
+def ratios_of(df: DataFrame, wanted: dict) -> dict:
+    """{name: ratio} of those whose columns ``df`` has; ``wanted``: name -> (numerator, denominator, factor)."""
+    have = set(df.columns)
+    return {name: safe_div(num, den) * factor if factor != 1 else safe_div(num, den)
+            for name, (num, den, factor) in wanted.items() if {num, den} <= have}
 
 
 def row_ratios(rows: DataFrame, target_col: str = "base_amount") -> DataFrame:
-    """Seven row-level ratios; cost per sale uses the allocated sales when present."""
+    """Seven row-level ratios; cost per sale uses the allocated sales when present. A ratio of
+    an absent column is left out."""
     sales = "estimated_sales" if "estimated_sales" in rows.columns else target_col
-    return rows.withColumns({
-        "ctr": safe_div("clicks", "impressions"),
-        "engagement_rate": safe_div("engagements", "impressions"),
-        "video_completion_rate": safe_div("video_completes", "video_starts"),
-        "cost_per_engagement": safe_div("spend", "engagements"),
-        "cpc": safe_div("spend", "clicks"),
-        "cpm": safe_div("spend", "impressions") * 1000,
-        "cost_per_sale": safe_div("spend", sales),
-    })
-
-
-def _ratio_cols() -> dict:
-    return {
-        "ctr": safe_div("clicks", "impressions"),
-        "cpc": safe_div("spend", "clicks"),
-        "cpm": safe_div("spend", "impressions") * 1000,
-        "cost_per_engagement": safe_div("spend", "engagements"),
-    }
+    return rows.withColumns(ratios_of(rows, {
+        "ctr": ("clicks", "impressions", 1),
+        "engagement_rate": ("engagements", "impressions", 1),
+        "video_completion_rate": ("video_completes", "video_starts", 1),
+        "cost_per_engagement": ("spend", "engagements", 1),
+        "cpc": ("spend", "clicks", 1),
+        "cpm": ("spend", "impressions", 1000),
+        "cost_per_sale": ("spend", sales, 1),
+    }))
+
+
+ROLLUP_RATIOS = {"ctr": ("clicks", "impressions", 1), "cpc": ("spend", "clicks", 1), "cpm": ("spend", "impressions", 1000),
+                 "cost_per_engagement": ("spend", "engagements", 1)}
 
 
 def efficiency_by(rows: DataFrame, dim: str) -> DataFrame:
-    """Four sums and CTR/CPC/CPM/CPE per value of ``dim``, largest spend first."""
-    agg = rows.groupBy(dim).agg(*[F.sum(c).alias(c) for c in RATIO_SUMS])
-    return agg.withColumns(_ratio_cols()).orderBy(F.col("spend").desc(), F.col(dim).asc_nulls_last())
+    """The sums present and CTR/CPC/CPM/CPE of them per value of ``dim``, largest spend first."""
+    sums = [c for c in RATIO_SUMS if c in rows.columns]
+    agg = rows.groupBy(dim).agg(F.count("*").alias("_n"), *[F.sum(c).alias(c) for c in sums]).drop("_n")
+    order = [F.col("spend").desc()] if "spend" in sums else []
+    return agg.withColumns(ratios_of(agg, ROLLUP_RATIOS)).orderBy(*order, F.col(dim).asc_nulls_last())
 
 
 def efficiency_all_dims(rows: DataFrame, dims, metric: str = "estimated_sales") -> DataFrame:
-    """D12 and the sales breakdown (D9) for several dimensions from one scan.
+    """D12 and the sales breakdown (D9) for several dimensions from one scan, for the
+    dimensions and metrics present.
 
-    Rows are first reduced to one row per dimension combination (partial + final
-    aggregate), so the grouping-sets Expand multiplies the reduced table, not the raw
-    rows. Output is long: (dimension, value, sums..., ratios, sales), value labelled with
+    Grouping sets straight over the rows, combined before the shuffle, so what is moved is one
+    partial sum per dimension value and task. The metric's doubles are added up exactly, as
+    decimals of ``SCALE`` places, so the sums do not depend on how rows are partitioned.
+    Output is long: (dimension, value, sums..., ratios, sales), value labelled with
     NULL/None/nan -> 'Unknown'.
     """
-    dims = list(dims)
-    sums = [*RATIO_SUMS, metric]
-    pre = rows.groupBy(*dims).agg(*[F.sum(c).alias(c) for c in sums])
-    gs = pre.groupingSets([[d] for d in dims], *dims).agg(
-        *[F.sum(c).alias(c) for c in sums], F.grouping_id().alias("_gid"))
-    return _long_dimension(gs, dims).withColumns(_ratio_cols())
+    dims = [d for d in dims if d in rows.columns]
+    sums = [c for c in [*RATIO_SUMS, metric] if c in rows.columns]
+    floats = {c for c in sums if rows.schema[c].dataType.typeName() in ("double", "float")}
+    exact = {c: F.col(c).cast(f"decimal(38,{SCALE})") if c in floats else F.col(c) for c in sums}
+    gs = rows.groupingSets([[d] for d in dims], *dims).agg(
+        *[(F.sum(x).cast("double") if c in floats else F.sum(x)).alias(c) for c, x in exact.items()],
+        F.grouping_id().alias("_gid"))
+    out = _long_dimension(gs, dims)
+    return out.withColumns(ratios_of(out, ROLLUP_RATIOS))
 
 
 def _long_dimension(gs: DataFrame, dims) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import BROADCAST_BYTES, row_bytes
+from ..functions.joins import join_small
 from ..spec import DEFAULT_SPEC, MediaSpec
 from .clean import date_parts
 from .measure import weekly_ratios
@@ -32,10 +32,7 @@ def panel_weekly(rows: DataFrame, weekly_sales: DataFrame, series_keys, spec: Me
     series = rows.select(sid).distinct()
     grid = series.select("series", F.explode(F.array(*[F.lit(w) for w in weeks])).alias(spec.week_col))
     known = weekly_sales.select(spec.week_col, F.col("total_sales").isNotNull().alias("_known"))
-    # one row per week: its size is len(weeks), already counted on the driver
-    known_side = F.broadcast(known) if len(weeks) * row_bytes(known) <= BROADCAST_BYTES else known
-    dense = (grid.join(obs, ["series", spec.week_col], "left")
-                 .join(known_side, spec.week_col, "left"))
+    dense = join_small(grid.join(obs, ["series", spec.week_col], "left"), known, spec.week_col)
     zero = {c: F.coalesce(F.col(c), F.lit(0).cast(obs.schema[c].dataType)) for c in add}
     dense = dense.withColumns(zero).withColumn(
         "total_sales", F.when(F.col("_known"), F.coalesce(F.col("_alloc"), F.lit(0.0))))

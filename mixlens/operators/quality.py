@@ -1,5 +1,6 @@
-"""Data-quality views (D19-D21, D25, D26). Each is one or two global aggregates over the
-raw rows; several one-row results are combined without a join (``merge_rows``)."""
+"""Data-quality views (D19-D21, D25, D26). Each is a few global aggregates over the raw rows;
+several one-row results are combined without a join (``merge_rows``). Duplicates are counted
+digest first, so no step moves whole rows but those whose digest repeats."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import merge_rows
 from ..spec import DEFAULT_SPEC, MediaSpec
+from .clean import count_duplicates
 
 # Severity limits (percent) and the action text per structurally filled
 # column, as shown by the analysed workflow.
@@ -64,21 +66,15 @@ def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEF
         for bad in spec.typos[c]:
             typo = typo | (trim_ws(F.col(c).cast("string")) == bad)
     neg = F.expr(f"try_cast(`{spec.spend_col}` as double)") < 0 if spec.spend_col in cols else F.lit(False)
-    # One shuffle serves both the duplicate count and the cell counts: rows are grouped by
-    # all their columns (copies collapse map-side), and every per-row statistic is
-    # re-weighted by the group's size.
-    grouped = raw.groupBy(*cols).agg(F.count("*").alias("_n"))
-    n = F.col("_n")
-    raw_stats = grouped.agg(
-        F.sum(n).alias("total_rows"),
-        F.count("*").alias("distinct_raw_rows"),
-        F.sum(missing * n).alias("total_missing_cells"),
-        F.sum(F.when(typo, n).otherwise(0)).alias("typos_fixed"),
-        F.sum(filled * n).alias("structural_nas_filled"),
-        F.sum(F.when(neg, n).otherwise(0)).alias("negative_spend_rows"),
-        F.count_distinct(F.col(spec.date_col)).alias("distinct_weeks"))
+    raw_stats = raw.agg(
+        F.count("*").alias("total_rows"),
+        F.sum(missing).alias("total_missing_cells"),
+        F.coalesce(F.sum(typo.cast("bigint")), F.lit(0)).alias("typos_fixed"),
+        F.sum(filled).alias("structural_nas_filled"),
+        F.coalesce(F.sum(neg.cast("bigint")), F.lit(0)).alias("negative_spend_rows"))
+    weeks = raw.select(spec.date_col).distinct().agg(F.count(spec.date_col).alias("distinct_weeks"))
     clean_stats = clean_rows.agg(F.count("*").alias("clean_rows"))
-    m = merge_rows(raw_stats, clean_stats)
+    m = merge_rows(raw_stats, weeks, count_duplicates(raw), clean_stats)
     total_cells = F.col("total_rows") * F.lit(n_cols)
     return m.select(
         "total_rows",
@@ -86,7 +82,7 @@ def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEF
         F.coalesce(F.col("total_missing_cells"), F.lit(0)).alias("total_missing_cells"),
         F.when(total_cells > 0, F.bround(F.col("total_missing_cells") / total_cells * 100, 2))
          .otherwise(F.lit(0.0)).alias("missing_pct"),
-        (F.col("total_rows") - F.col("distinct_raw_rows")).alias("duplicates_dropped"),
+        F.col("duplicates").alias("duplicates_dropped"),
         "typos_fixed",
         F.coalesce(F.col("structural_nas_filled"), F.lit(0)).alias("structural_nas_filled"),
         "negative_spend_rows",

@@ -45,14 +45,14 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("date_parts", O.q(f"SELECT DISTINCT {O.d('week')} AS week, year, quarter, month, month_name, "
                             "week_number FROM rows"))
 def date_parts_q(spark, sf_dir):
-    c = context(spark, sf_dir).rows().drop("year", "quarter", "month", "month_name", "week_number")
+    c = context(spark, sf_dir).clean_fact().drop("year", "quarter", "month", "month_name", "week_number")
     return present(c.select("week").transform(date_parts).distinct())
 
 
 @register("credit_flags", O.q("SELECT spend_is_credit, COUNT(*) AS n_rows, "
                               "CAST(SUM(spend) AS DOUBLE) AS total_spend FROM clean GROUP BY spend_is_credit"))
 def credit_flags(spark, sf_dir):
-    c = context(spark, sf_dir).rows()          # the cleaned rows, as written once
+    c = context(spark, sf_dir).clean_fact()          # the cleaned rows, as written once
     return present(c.groupBy("spend_is_credit").agg(F.count("*").alias("n_rows"),
                                                     F.sum("spend").alias("total_spend")))
 
@@ -75,7 +75,7 @@ def dedup_rows(spark, sf_dir):
 @register("weekly_true_sales", O.q(f"SELECT {O.d('week')} AS week, CAST(total_sales AS DOUBLE) AS total_sales "
                                    "FROM weekly_sales"))
 def weekly_true_sales(spark, sf_dir):
-    return present(measure.weekly_true_sales(context(spark, sf_dir).rows()))
+    return present(measure.weekly_true_sales(context(spark, sf_dir).clean_fact()))
 
 
 # ---------------------------------------------------------------------------------
@@ -86,7 +86,7 @@ def weekly_true_sales(spark, sf_dir):
                                  "AND engagements = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_fallback, "
                                  "ROUND(SUM(activity_weight), 6) AS weight_total FROM weighted GROUP BY week"))
 def activity_weight_q(spark, sf_dir):
-    c = context(spark, sf_dir).rows().drop("activity_weight")
+    c = context(spark, sf_dir).clean_fact().drop("activity_weight")
     w = activity_weight(c)
     fallback = (F.col("spend") == 0) & (F.col("impressions") == 0) & (F.col("hh_grps_tv") == 0) & \
                (F.col("engagements") == 0)
@@ -167,7 +167,7 @@ _FILTER_SQL = "media_type IN ('ECONOMY', 'PROMO', 'STANDARD') AND device IN ('O'
 def filtered_weekly_q(spark, sf_dir):
     from ..operators.eda import filtered_weekly
     ctx = context(spark, sf_dir)
-    return present(filtered_weekly(ctx.rows(), ctx.weekly_sales(), FILTER_EXAMPLE, ctx.spec.additive))
+    return present(filtered_weekly(ctx.clean_fact(), ctx.weekly_sales(), FILTER_EXAMPLE, ctx.spec.additive))
 
 
 @register("rows_in_view", O.q(
@@ -175,7 +175,7 @@ def filtered_weekly_q(spark, sf_dir):
     "COUNT(*) AS rows_total FROM rows"))
 def rows_in_view_q(spark, sf_dir):
     from ..operators.eda import rows_in_view
-    return rows_in_view(context(spark, sf_dir).rows(), FILTER_EXAMPLE)
+    return rows_in_view(context(spark, sf_dir).clean_fact(), FILTER_EXAMPLE)
 
 
 # ---------------------------------------------------------------------------------
@@ -189,7 +189,7 @@ def rows_in_view_q(spark, sf_dir):
     "AS romi FROM clean"))
 def kpi_summary_q(spark, sf_dir):
     from ..operators.eda import kpi_summary
-    return present(kpi_summary(context(spark, sf_dir).rows()))
+    return present(kpi_summary(context(spark, sf_dir).clean_fact()))
 
 
 def _union_dims(dims, body):
@@ -228,7 +228,7 @@ def _eff_sql(d, extra=""):
 @register("efficiency_by_channel", O.q(f"SELECT channel, {_eff_sql('channel')}"))
 def efficiency_by_channel(spark, sf_dir):
     from ..operators.efficiency import efficiency_by
-    return present(efficiency_by(context(spark, sf_dir).rows(), "channel"))
+    return present(efficiency_by(context(spark, sf_dir).clean_fact(), "channel"))
 
 
 @register("efficiency_all_dims", O.q(_union_dims(FILTER_DIMS, lambda d: (
@@ -292,7 +292,7 @@ DESCRIBE = ["spend", "impressions", "clicks", "engagements", "base_amount"]
     for m in DESCRIBE)))
 def describe_metrics(spark, sf_dir):
     from ..operators.eda import describe
-    return present(describe(context(spark, sf_dir).rows(), DESCRIBE),
+    return present(describe(context(spark, sf_dir).clean_fact(), DESCRIBE),
                    {"mean": 6, "std": 6, "p25": 6, "p50": 6, "p75": 6})
 
 
@@ -1076,7 +1076,7 @@ _SAMPLE_ORDER = ["week", "tab", "media_type", "channel", "sub_channel", "site",
         f"{c} ASC NULLS FIRST" for c in _SAMPLE_ORDER) + " LIMIT 10"))
 def sample_rows_q(spark, sf_dir):
     from ..operators.eda import sample_rows
-    c = context(spark, sf_dir).rows().select(*_SAMPLE_ORDER)
+    c = context(spark, sf_dir).clean_fact().select(*_SAMPLE_ORDER)
     return present(sample_rows(c, 10, _SAMPLE_ORDER))
 
 
@@ -1087,8 +1087,8 @@ def streaming_weekly_kpi(spark, sf_dir):
     """The weekly repair as a streaming job over the materialised row files."""
     from ..streaming.weekly_kpi import run_weekly_kpi
     ctx = context(spark, sf_dir)
-    rows = ctx.rows()
-    src = ctx._path("row_fact")
+    rows = ctx.clean_fact()
+    src = ctx._path("clean_fact")
     import uuid
     run_id = uuid.uuid4().hex[:8]        # each call drains the stream from the start
     out = run_weekly_kpi(spark, src, ctx._path(f"stream_weekly/{run_id}/out"), rows.schema, ctx.spec,

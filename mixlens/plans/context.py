@@ -1,12 +1,12 @@
 """Shared inputs of the registered queries.
 
 One context per (application, source), where the source is a folder of TPC-H-style
-tables or ``export:<format>:<path>``. The raw media fact and the cleaned, allocated row
-fact (partitioned by year) are each written once as Parquet into the checkpoint folder the
-session names (``spark.checkpoint.dir``). Every view reads those tables, so the source join
-and the cleaning run once, lineage is cut (a lost executor re-reads files instead of
-recomputing the join), and later scans get column pruning, filter pushdown and partition
-pruning on ``year``.
+tables or ``export:<format>:<path>``. The raw media fact and the cleaned rows (partitioned by
+year) are each written once as Parquet into the checkpoint folder the session names
+(``spark.checkpoint.dir``), and beside them a table of weekly statistics from which sales are
+allocated as rows are read. Every view reads those tables, so the source join and the cleaning
+run once, lineage is cut (a lost executor re-reads files instead of recomputing the join), and
+later scans get column pruning, filter pushdown and partition pruning on ``year``.
 """
 
 from __future__ import annotations
@@ -14,10 +14,9 @@ from __future__ import annotations
 import hashlib
 import threading
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.allocate import allocate_sales
+from ..operators.allocate import allocate_with, key_statistics
 from ..operators.clean import clean, date_parts
 from ..session import ensure_checkpoint_dir
 from ..sources.media_fact import media_from_tpch
@@ -33,6 +32,7 @@ class MediaContext:
     def __init__(self, spark: SparkSession, sf_dir: str, spec: MediaSpec = DEFAULT_SPEC):
         self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
         self._rows = None
+        self._clean = None
         self._raw = None
         self._weekly = None
         self._lock = threading.RLock()   # one materialisation per table, even from threads
@@ -79,24 +79,31 @@ class MediaContext:
         app = self.spark.sparkContext.applicationId
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/mixlens/{app}/{key}/{name}"
 
-    def rows(self) -> DataFrame:
-        """Cleaned rows with calendar parts and ``estimated_sales`` (read from Parquet)."""
+    def clean_fact(self) -> DataFrame:
+        """Cleaned rows with calendar parts: the one stored copy, clustered by year.
+
+        The rebalance deals rows by year into even pieces (a hot year into several), so a year has
+        few files of even size instead of one from every task.
+        """
         with self._lock:
-            return self._rows_locked()
-
-    def _rows_locked(self) -> DataFrame:
-        if self._rows is None:
-            path = self._path("row_fact")
-            # the cleaned rows feed two passes (weekly statistics, allocation); keep them
-            # for the duration of this write only (spills to disk, recomputable on loss)
-            cleaned = self.clean().persist(StorageLevel.MEMORY_AND_DISK)
-            fact = allocate_sales(cleaned, self.spec).transform(date_parts, self.spec.week_col)
-            (fact.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-                 .partitionBy("year").parquet(path))
-            cleaned.unpersist()
-            self._rows = self.spark.read.parquet(path)
-        return self._rows
+            if self._clean is None:
+                path = self._path("clean_fact")
+                fact = self.clean().transform(date_parts, self.spec.week_col).hint("rebalance", "year")
+                (fact.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+                     .partitionBy("year").parquet(path))
+                self._clean = self.spark.read.parquet(path)
+            return self._clean
 
+    def rows(self) -> DataFrame:
+        """The cleaned rows with ``activity_weight`` and ``estimated_sales``, allocated as they are read
+        from the stored rows and the stored weekly statistics."""
+        with self._lock:
+            if self._rows is None:
+                clean = self.clean_fact()
+                path = self._path("key_statistics")
+                key_statistics(clean, self.spec).write.mode("overwrite").parquet(path)
+                self._rows = allocate_with(clean, self.spark.read.parquet(path), self.spec)
+            return self._rows
 
     def row_level(self) -> DataFrame:
         """The published row-level table: cleaned columns, calendar parts, allocated sales and
@@ -109,7 +116,7 @@ class MediaContext:
         from ..operators.measure import weekly_feature_table
         with self._lock:
             if self._weekly is None:
-                self._weekly = weekly_feature_table(self.rows(), self.spec).checkpoint(eager=True)
+                self._weekly = weekly_feature_table(self.clean_fact(), self.spec).checkpoint(eager=True)
             return self._weekly
 
     def weekly_sales(self) -> DataFrame:

@@ -124,3 +124,58 @@ def test_forecast_diff_is_zero_when_lag2_is_zero(spark):
     assert row.sales_lag_1 == 7.0 and row.sales_lag_2 == 0.0 and row.sales_diff_1 == 0.0
     assert row.sales_lag_4 == 0.0                                     # before the start -> 0
     assert row.sales_ratio_to_mean_8 == 7.0 / 4.0
+
+
+def test_duplicates_with_colliding_digests_and_a_full_filter(spark):
+    from mixlens.operators.clean import count_duplicates, drop_exact_duplicates
+    rows = [(i % 7, None if i % 3 else "x", float(i % 2)) for i in range(60)] + [(99, "alone", 0.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    want = sorted(map(str, set(rows)))
+
+    def same(d):                                                      # every row has the same digest
+        return F.lit(1).cast("long"), F.lit(1).cast("long")
+
+    def halves(d):                                                    # and here one of two
+        return F.coalesce(F.col("a") % 2, F.lit(0)).cast("long"), F.lit(5).cast("long")
+
+    from mixlens.operators.clean import row_digest
+    for digest in (row_digest, same, halves):
+        assert sorted(str(tuple(r)) for r in drop_exact_duplicates(df, digest).collect()) == want
+        assert count_duplicates(df, digest).first()["duplicates"] == len(rows) - len(set(rows))
+    # NULL equals NULL, and a NULL in another column is another row
+    pair = spark.createDataFrame([("x", None), (None, "x"), (None, "x")], "a string, b string")
+    assert drop_exact_duplicates(pair).count() == 2
+    assert drop_exact_duplicates(df.limit(0)).count() == 0 and count_duplicates(df.limit(0)).first()["duplicates"] == 0
+
+
+def test_a_week_with_a_third_of_the_rows(spark):
+    rows = [(dt.date(2024, 1, 7) + dt.timedelta(weeks=0 if i % 3 == 0 else i % 50 + 1), float(i % 11), 100.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "week date, spend double, base_amount double").repartition(8)
+    for threshold in ("10m", "-1"):                                   # with and without a broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = allocate_sales(df).groupBy("week").agg(F.sum("estimated_sales").alias("s"), F.count("*").alias("n")).collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert len(got) == 51 and sum(r.n for r in got) == 3000
+        assert all(abs(r.s - 100.0) < 1e-9 for r in got)
+
+
+def test_absent_columns_are_left_out(spark):
+    """Every metric dropped in turn: no view of sums and ratios raises, and what is left agrees."""
+    from mixlens.operators.eda import kpi_summary, top_creatives
+    from mixlens.operators.efficiency import efficiency_all_dims, efficiency_by, row_ratios
+    w = dt.date(2024, 1, 7)
+    cols = "week date, channel string, creative string, spend double, impressions bigint, clicks bigint, engagements bigint, " \
+           "video_starts bigint, video_completes bigint, base_amount double, estimated_sales double"
+    df = spark.createDataFrame([(w, "a", "c1", 2.0, 10, 4, 5, 6, 3, 9.0, 3.0), (w, "b", None, 1.0, 20, 2, 1, 0, 0, 9.0, 6.0)], cols)
+    views = {"ratios": row_ratios, "by": lambda d: efficiency_by(d, "channel"), "dims": lambda d: efficiency_all_dims(d, ["channel", "creative"]),
+             "kpi": kpi_summary, "top": top_creatives}
+    full = {k: v(df) for k, v in views.items()}
+    for gone in ["spend", "impressions", "clicks", "engagements", "video_starts", "video_completes"]:
+        for k, view in views.items():
+            out = view(df.drop(gone))
+            assert gone not in out.columns and set(out.columns) < set(full[k].columns) | {"x"}
+            keep = out.columns
+            assert sorted(map(str, out.collect())) == sorted(map(str, full[k].select(*keep).collect()))
+    assert efficiency_all_dims(df.drop("creative"), ["channel", "creative"]).count() == 2

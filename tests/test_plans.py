@@ -18,6 +18,27 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_duplicates_move_no_whole_rows(spark):
+    """Rows without a twin stay where they are read; only marked ones meet by all their columns."""
+    from mixlens.operators.clean import drop_exact_duplicates, maybe_repeated
+    raw = context(spark, SF).raw()
+    marked = _plan(maybe_repeated(raw))
+    assert "Exchange hashpartitioning(_d1" in marked and "hashpartitioning(activity_date" not in marked
+    tree = drop_exact_duplicates(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.startswith("Union") and tree.count("Filter NOT") == 1   # one branch of unmarked rows, one of marked ones
+    assert "Filter ((" in tree[:tree.index("Filter NOT")]
+
+
+def test_row_fact_is_one_copy_clustered_by_year(spark):
+    import re
+    ctx = context(spark, SF)
+    files = ctx.clean_fact().inputFiles()
+    years = [re.search("year=([0-9]+)", f).group(1) for f in files]
+    assert len(files) == len(set(years))                                # one file a year at this size
+    assert set(ctx.rows().inputFiles()) > set(files)                    # the same files and the weekly statistics
+    assert len(ctx.rows().inputFiles()) - len(files) < 10
+
+
 def test_allocation_broadcasts_week_stats_and_has_no_row_window(spark):
     rows = allocate_sales(clean(media_from_tpch(spark, SF)))
     plan = _plan(rows.select("week", "estimated_sales"))
@@ -30,7 +51,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(media_type" in plan or "In(media_type" in plan
-    assert "ReadSchema: struct<week:date,media_type:string,device:string,spend" in plan
+    assert "ReadSchema: struct<media_type:string,device:string,spend" in plan
 
 
 def test_grouping_sets_combine_before_the_shuffle(spark):
@@ -54,6 +75,6 @@ def test_panel_windows_partition_by_series(spark):
 
 def test_kpi_summary_needs_no_join(spark):
     from mixlens.operators.eda import kpi_summary
-    plan = _plan(kpi_summary(context(spark, SF).rows()))
+    plan = _plan(kpi_summary(context(spark, SF).clean_fact()))
     assert "Join" not in plan and "CartesianProduct" not in plan
     assert F is not None
