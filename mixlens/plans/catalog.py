@@ -1266,13 +1266,13 @@ def panel_ridge_forecast(spark, sf_dir):
 
 
 @register("saved_tables", O.q(
-    "SELECT 'row_level' AS table_name, (SELECT COUNT(*) FROM rows) AS n_rows UNION ALL "
-    "SELECT 'weekly', (SELECT COUNT(*) FROM weekly) UNION ALL "
-    "SELECT 'weekly_sales', (SELECT COUNT(*) FROM weekly_sales) UNION ALL "
-    "SELECT 'raw', (SELECT COUNT(*) FROM media_raw)"))
+    "SELECT 'row_level' AS table_name, COUNT(*) AS n_rows, ROUND(SUM(estimated_sales), 2) AS total FROM rows UNION ALL "
+    "SELECT 'weekly', COUNT(*), ROUND(CAST(SUM(spend) AS DOUBLE), 2) FROM weekly UNION ALL "
+    "SELECT 'weekly_sales', COUNT(*), ROUND(CAST(SUM(total_sales) AS DOUBLE), 2) FROM weekly_sales UNION ALL "
+    "SELECT 'raw', COUNT(*), ROUND(CAST(SUM(base_amount) AS DOUBLE), 2) FROM media_raw"))
 def saved_tables(spark, sf_dir):
     """A3 + A2: the four output tables written (row level partitioned by year) and read
-    back; one row per table with its row count."""
+    back; one row per table with its row count and the total of its main metric."""
     from ..sources.io import load_table, save_table_set
     ctx = context(spark, sf_dir)
     tables = {"row_level": ctx.row_level(), "weekly": ctx.weekly(), "weekly_sales": ctx.weekly_sales(),
@@ -1280,7 +1280,129 @@ def saved_tables(spark, sf_dir):
     paths = save_table_set(tables, ctx._path("saved"))
     out = None
     for name, path in paths.items():
-        c = load_table(spark, path).agg(F.count("*").alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows")
+        main = {"row_level": "estimated_sales", "weekly": "spend", "weekly_sales": "total_sales", "raw": "base_amount"}[name]
+        c = load_table(spark, path).agg(F.count("*").alias("n_rows"), F.round(F.sum(main).cast("double"), 2).alias("total")).select(
+            F.lit(name).alias("table_name"), "n_rows", "total")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# ---------------------------------------------------------------------------------
+# Typed source: an export whose dates and numbers are text, and round trips of outputs
+# ---------------------------------------------------------------------------------
+def _as_text(raw):
+    """The raw fact as a text export: dates in four formats and some no dates, numbers with blanks and some words."""
+    d, day = F.col("activity_date"), F.dayofmonth("activity_date")
+    date = (F.when(day == 31, "no date").when(day % 4 == 0, F.date_format(d, "yyyy-MM-dd")).when(day % 4 == 1, F.date_format(d, "M/d/yyyy"))
+            .when(day % 4 == 2, F.date_format(d, "d-MMM-yyyy")).otherwise(F.concat(F.lit("  "), F.date_format(d, "yyyy/MM/dd"))))
+    spend = F.when(F.col("spend").isNotNull(), F.when(F.col("tab") == "ASIA", "n/a").otherwise(
+        F.concat(F.lit(" "), F.col("spend").cast("string"), F.lit("\t"))))
+    clicks = F.when(day % 7 == 0, "").otherwise(F.col("clicks").cast("string"))
+    return raw.select(date.alias("activity_date"), "tab", spend.alias("spend"), clicks.alias("clicks"), "impressions")
+
+
+_TEXT_SQL = (", tx AS (SELECT CASE WHEN day(activity_date) <> 31 THEN activity_date END AS d, day(activity_date) AS dd, tab, spend, "
+             "clicks, impressions FROM media_raw)")
+
+
+@register("typed_media", O.q(
+    _TEXT_SQL + f" SELECT {O.d('d')} AS activity_date, COUNT(*) AS n_rows, CAST(SUM(CASE WHEN tab <> 'ASIA' THEN spend END) AS DOUBLE) AS spend, "
+    "CAST(SUM(CASE WHEN dd % 7 <> 0 THEN clicks END) AS DOUBLE) AS clicks, CAST(SUM(impressions) AS BIGINT) AS impressions FROM tx GROUP BY d"))
+def typed_media(spark, sf_dir):
+    """A1, B2, H-Type: text dates and numbers read into the declared types."""
+    from ..sources.media_fact import typed
+    t = typed(_as_text(context(spark, sf_dir).raw()))
+    return present(t.groupBy("activity_date").agg(F.count("*").alias("n_rows"), F.sum("spend").alias("spend"),
+                                                  F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
+
+
+@register("typed_clean", O.q(
+    _TEXT_SQL + ", cl AS (SELECT DISTINCT CAST(d + INTERVAL ((7 - dayofweek(d)) % 7) DAY AS DATE) AS week, tab, "
+    "CASE WHEN spend IS NULL THEN NULL WHEN tab = 'ASIA' THEN 'n/a' ELSE CAST(spend AS VARCHAR) END AS sk, "
+    "CASE WHEN dd % 7 = 0 THEN '' ELSE CAST(clicks AS VARCHAR) END AS ck, impressions FROM tx), "
+    "nu AS (SELECT week, TRY_CAST(sk AS DOUBLE) AS spend, TRY_CAST(ck AS DOUBLE) AS clicks FROM cl) "
+    f"SELECT {O.d('week')} AS week, COUNT(*) AS n_rows, ROUND(SUM(GREATEST(COALESCE(spend, 0), 0)), 2) AS spend, "
+    "SUM(COALESCE(clicks, 0)) AS clicks, "
+    "CAST(SUM(CASE WHEN COALESCE(spend, 0) < 0 THEN 1 ELSE 0 END) AS BIGINT) AS credits FROM nu GROUP BY week"))
+def typed_clean(spark, sf_dir):
+    """B1-B9 on a text export, straight from text (B8 coerces what B2 and the types leave)."""
+    from ..operators.clean import clean
+    c = clean(_as_text(context(spark, sf_dir).raw()))
+    return present(c.groupBy("week").agg(F.count("*").alias("n_rows"), F.sum("spend").alias("spend"), F.sum("clicks").alias("clicks"),
+                                         F.sum(F.col("spend_is_credit").cast("bigint")).alias("credits")), {"spend": 2})
+
+
+@register("typed_rejects", O.q(
+    _TEXT_SQL + " SELECT 'activity_date' AS \"column\", COUNT(*) AS bad_values FROM tx WHERE dd = 31 HAVING COUNT(*) > 0 "
+    "UNION ALL SELECT 'spend', COUNT(*) FROM tx WHERE tab = 'ASIA' AND spend IS NOT NULL HAVING COUNT(*) > 0"))
+def typed_rejects(spark, sf_dir):
+    """A1: how many values of a column do not fit its declared type."""
+    from ..sources.media_fact import rejects
+    return rejects(_as_text(context(spark, sf_dir).raw()))
+
+
+def _saved(ctx, df, name, fmt="parquet"):
+    from ..sources.io import load_table, save_table
+    path = ctx._path(f"saved_outputs/{name}")
+    save_table(df, path, fmt=fmt)
+    return load_table(ctx.spark, path, fmt=fmt, schema=df.schema)
+
+
+@register("leaderboard_roundtrip", ORACLE["baseline_leaderboard"])
+def leaderboard_roundtrip(spark, sf_dir):
+    """A4: a leaderboard written and read back."""
+    return _saved(context(spark, sf_dir), _baseline_board(spark, sf_dir), "leaderboard")
+
+
+@register("shap_ranking_roundtrip", ORACLE["pair_shap_global"])
+def shap_ranking_roundtrip(spark, sf_dir):
+    """A4: the SHAP ranking written as CSV and read back."""
+    return _saved(context(spark, sf_dir), pair_shap_global(spark, sf_dir), "shap_ranking", "csv")
+
+
+@register("boosted_roundtrip", ORACLE["boosted_stump"])
+def boosted_roundtrip(spark, sf_dir):
+    """Boosted fits saved, loaded and scored."""
+    from ..operators.models import predictions
+    from ..sources.io import load_fit, save_fit
+    s, fits = _stumps(spark, sf_dir)
+    out = None
+    for name, fit in fits.items():
+        path = s.ctx._path(f"saved_fits/{name}")
+        save_fit(spark, fit, path, STUMP, {})
+        p = predictions(load_fit(spark, path)[0], s.data.where(F.col("split") != "forecast"), name)
+        out = p if out is None else out.unionByName(p)
+    return present(out, {"y": 2, "yhat": 2})
+
+
+@register("panel_ar_x_roundtrip", ORACLE["panel_ar_x_holdout"])
+def panel_ar_x_roundtrip(spark, sf_dir):
+    """The regressions of all channels saved, loaded and followed through the holdout."""
+    from ..operators.models import predictions
+    from ..sources.io import load_fit, save_fit
+    s = panel_suite(spark, sf_dir)
+    path = s.ctx._path("saved_fits/panel_arx")
+    save_fit(spark, _pair_arx(s), path, s.feats, s.caps)
+    fit, feats, _ = load_fit(spark, path)
+    p = predictions(fit, s.data.where(F.col("split") != "forecast"), "arx").where(F.col("split") == "test")
+    return present(p.select("series", "week", "y", "yhat"), {"y": 2, "yhat": 2})
+
+
+@register("fits_roundtrip")
+def fits_roundtrip(spark, sf_dir):
+    """All six fits of the tournament saved, loaded and scored on the holdout; ``differs`` counts rows whose score changed."""
+    from ..operators.models import predictions
+    from ..sources.io import load_fit, save_fit
+    s = suite(spark, sf_dir)
+    s.board()
+    data, out = s.data.where(F.col("split") != "forecast"), None
+    for key in TOURNAMENT:
+        path = s.ctx._path(f"saved_fits/{key}")
+        save_fit(spark, s.fit(key), path, s.feats, s.caps)
+        fit, feats, caps = load_fit(spark, path)
+        again = predictions(fit, data, key).select("series", "week", F.col("yhat").alias("again"))
+        both = predictions(s.fit(key), data, key).join(again, ["series", "week"])
+        one = both.groupBy("model").agg(F.count("*").alias("n_rows"), F.count_if(
+            F.abs(F.col("yhat") - F.col("again")) > 1e-9 * F.abs(F.col("yhat"))).alias("differs"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -1,7 +1,7 @@
 """The media fact table (A1).
 
-``read_media`` loads a real export (Parquet or CSV) and renames spreadsheet headers to
-snake_case. ``media_from_tpch`` derives the same schema from the driver's TPC-H-style
+``read_media`` loads a real export (Parquet or CSV), renames spreadsheet headers to snake_case
+and casts to the declared types; ``rejects`` counts the values that do not fit. ``media_from_tpch`` derives the same schema from the driver's TPC-H-style
 tables: one media row per line item, with structural NULLs, untrimmed text, a case typo,
 credits and a weekly KPI copied onto rows at integer multiples.
 """
@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..spec import SOURCE_RENAME
+from ..functions.exprs import parse_mixed_date, trim_ws
+from ..spec import DEFAULT_SPEC, DIMENSIONS, METRICS, SOURCE_RENAME, TARGET
 
 MONEY = "decimal(18,2)"
 EPOCH = "1995-01-01"  # a Sunday: week numbers count aligned weeks from here
@@ -21,17 +23,58 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_media(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
+# The declared types of a media fact: text dimensions, a date, exact money, other metrics as numbers.
+MEDIA_SCHEMA = T.StructType(
+    [T.StructField(DEFAULT_SPEC.date_col, T.DateType())]
+    + [T.StructField(c, T.StringType()) for c in DIMENSIONS]
+    + [T.StructField(c, T.DecimalType(18, 4) if c in (DEFAULT_SPEC.spend_col, TARGET) else T.DoubleType()) for c in METRICS])
+
+
+def read_media(spark: SparkSession, path: str, fmt: str = "parquet", schema=MEDIA_SCHEMA,
                rename: dict | None = None, **options) -> DataFrame:
-    """Read an exported media table and apply the header rename map."""
-    reader = spark.read.format(fmt).options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.load(path)
+    """Read an exported media table, apply the header rename map and the declared types.
+
+    Files are read as they are (a CSV as text) and cast afterwards, so a value that does not fit its
+    type becomes NULL and can be counted by ``rejects`` on the ``untyped`` table. ``schema=None``
+    leaves the types as read.
+    """
+    df = untyped(spark, path, fmt, rename, **options)
+    return df if schema is None else typed(df, schema)
+
+
+def untyped(spark: SparkSession, path: str, fmt: str = "parquet", rename: dict | None = None, **options) -> DataFrame:
+    """The exported table as stored, with snake_case names."""
+    df = spark.read.format(fmt).options(**options).load(path)
     rename = SOURCE_RENAME if rename is None else rename
     return df.withColumnsRenamed({k: v for k, v in rename.items() if k in df.columns})
 
 
+def _as(df: DataFrame, field: T.StructField) -> Column:
+    """A column in its declared type: dates in any known format, numbers without white space; NULL where it does not fit.
+    Numbers that are numbers already keep their type."""
+    have, c = df.schema[field.name].dataType, F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DateType):
+        return parse_mixed_date(c, have)
+    if isinstance(field.dataType, T.NumericType):
+        return trim_ws(c).try_cast(field.dataType) if isinstance(have, T.StringType) else c
+    return c.cast(field.dataType)
+
+
+def typed(df: DataFrame, schema: T.StructType = MEDIA_SCHEMA) -> DataFrame:
+    """``df`` with the declared columns it has cast; absent ones stay absent, others as they are."""
+    return df.withColumns({f.name: _as(df, f) for f in schema.fields if f.name in df.columns})
+
+
+def rejects(df: DataFrame, schema: T.StructType = MEDIA_SCHEMA) -> DataFrame:
+    """column, bad_values: values that are not blank but do not fit the declared type, in one pass."""
+    fields = [f for f in schema.fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
+    bad = [F.count_if((trim_ws(F.col(f"`{f.name}`").cast("string")) != "") & _as(df, f).isNull()).alias(f.name) for f in fields]
+    row = df.agg(F.count("*").alias("_n"), *bad)
+    entries = [F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("bad_values")) for f in fields]
+    return row.select(F.inline(F.array(*entries))).where("bad_values > 0") if entries else \
+        row.select(F.lit("").alias("column"), F.col("_n").alias("bad_values")).limit(0)
+
+
 def _week_index(ship_date: Column) -> Column:
     return F.ceil(F.datediff(ship_date, F.lit(EPOCH).cast("date")) / F.lit(7.0)).cast("int")
 
