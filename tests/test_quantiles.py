@@ -33,3 +33,23 @@ def test_empty_null_and_nan(spark):
     assert quantiles.exact_quantile(df.limit(0), F.col("b"), 0.5) is None
     far = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),)], "a double")
     assert quantiles.exact_quantiles(far, {"a": F.col("a")}, [0.5])["a"] == [1.0]
+
+
+def test_few_passes_over_any_spread(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    values = [float(v) for v in 10.0 ** rng.uniform(-150, 150, 5000)]
+    df = spark.createDataFrame([(v,) for v in values], "a double").checkpoint()
+    passes, plain = [], quantiles._bins
+    monkeypatch.setattr(quantiles, "_bins", lambda long, open_: passes.append(1) or plain(long, open_))
+    got = quantiles.exact_quantiles(df, {"a": F.col("a")}, [0.25, 0.5, 0.75, 0.99])["a"]
+    assert np.allclose(got, np.quantile(values, [0.25, 0.5, 0.75, 0.99]), rtol=1e-12)
+    assert len(passes) <= 2                                        # with the sketch: three jobs
+
+
+def test_a_sketch_that_misses_is_made_good(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    values = [float(v) for v in rng.normal(size=3000)]
+    df = spark.createDataFrame([(v,) for v in values], "a double").checkpoint()
+    monkeypatch.setattr(quantiles, "ACCURACY", 5)
+    got = quantiles.exact_quantiles(df, {"a": F.col("a")}, [0.1, 0.5, 0.9])["a"]
+    assert np.allclose(got, np.quantile(values, [0.1, 0.5, 0.9]), rtol=1e-12)
