@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import stored
+
 # The feature set of the analysed workflow.
 N_LAGS = 8
 BASE_FEATURES = [
@@ -154,9 +155,8 @@ def model_dataset(weekly: DataFrame, series_keys=None, caps: dict | None = None)
     required = [c for c in LAG_FEATURES + ROLLING_FEATURES if c in eng.columns]
     kept = eng.dropna(subset=required)
     if caps is None:
-        # the caps need passes over the engineered rows: keep them so the window runs once
-        # (memory, spilling to disk; recomputable from lineage if an executor is lost)
-        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+        # the caps need passes over the engineered rows: they are stored, so the windows run once
+        kept = stored(kept)
         caps = ratio_caps(kept)
     return finalize_features(kept, feats, caps), feats, caps
 

@@ -252,7 +252,7 @@ def fit_forest(df: DataFrame, feats, label: str = LABEL, **params) -> SparkFit:
     # not re-traversed every level. The histogram budget stays at MLlib's default (256 MB):
     # a larger one can exhaust a default-size driver heap on deep, wide forests.
     p = {"cacheNodeIds": True, **p}
-    est = RandomForestRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred", seed=SEED, **p)
+    est = RandomForestRegressor(featuresCol="_features", labelCol=label, predictionCol="_pred", **{"seed": SEED, **p})
     return SparkFit(est.fit(_assembled(df, feats)), list(feats))
 
 

@@ -575,7 +575,8 @@ class ModelSuite:
         self.weekly = ctx.weekly() if weekly is None else weekly
         df, self.feats, self.caps = model_dataset(self.weekly)
         self.base = [c for c in BASE_FEATURES if c in self.feats]
-        self.data = time_split(df).withColumn("label", F.log1p("total_sales")).checkpoint(eager=True)
+        self.data = (time_split(df, ctx.spec.test_weeks).withColumn("label", F.log1p("total_sales"))
+                     .checkpoint(eager=True))
         self.train = self.data.where(F.col("split") == "train")
         self.fits = {}
         self._lock = threading.RLock()
@@ -591,12 +592,13 @@ class ModelSuite:
         from ..operators import models as M
         from ..operators.forecast import NaiveFit
         f, tr = self.feats, self.train
-        changes = {"rounds": self.rounds} if self.rounds else {}
+        seed = {"seed": self.ctx.spec.seed}
+        changes = {**seed, **({"rounds": self.rounds} if self.rounds else {})}
         if key == "stack":
             fit = M.fit_stack(tr, f, **changes)
             return {key: fit, **fit.bases}
         made = {"naive": lambda: NaiveFit(), "ridge": lambda: M.fit_ridge(tr, f), "arx": lambda: M.fit_arx(tr, f, self.base),
-                "forest": lambda: M.fit_forest(tr, f), "gbt": lambda: M.fit_gbt(tr, f, **changes),
+                "forest": lambda: M.fit_forest(tr, f, **seed), "gbt": lambda: M.fit_gbt(tr, f, **changes),
                 "huber": lambda: M.fit_huber(tr, f, **changes)}
         return {key: made[key]()}
 
@@ -624,10 +626,10 @@ class ModelSuite:
         best = self.board().orderBy("rmse", "model").first()
         return {v: k for k, v in MODEL_NAMES.items()}[best["model"]], best
 
-    def champion_forecast(self, horizon=12):
+    def champion_forecast(self):
         from ..operators.forecast import attach_interval, recursive_forecast
         key, best = self.champion()
-        fc = recursive_forecast(self.weekly, self.fit(key), self.feats, self.caps, horizon)
+        fc = recursive_forecast(self.weekly, self.fit(key), self.feats, self.caps, self.ctx.spec.horizon)
         return attach_interval(fc, best["rmse"]).withColumn("model", F.lit(best["model"]))
 
 
@@ -1041,6 +1043,19 @@ def insight_facts(spark, sf_dir):
     return f.withColumn("value", v).withColumn("share", F.round("share", 6))
 
 
+@register("insights_core", "SELECT CASE WHEN rule_id IN ('K1_top', 'K1_bottom', 'K2_strongest_corr') THEN 1 "
+          "WHEN rule_id LIKE 'K8%' THEN 3 ELSE 2 END AS section_order, rule_id, subject, value FROM ("
+          "SELECT CASE rule_id WHEN 'K5_categories' THEN 'K5_incrementality' ELSE rule_id END AS rule_id, subject, value "
+          f"FROM ({ORACLE['insight_facts']}) x WHERE rule_id <> 'K5_categories' OR value > 1 "
+          "UNION ALL SELECT 'K8_regressors', NULL, NULL UNION ALL SELECT 'K8_rerun_dedup', NULL, NULL) y")
+def insights_core(spark, sf_dir):
+    """K1, K2, K4-K6, K8 and their sections: the insights that need no model."""
+    from ..operators.insights import generate
+    out = generate(spark, _facts(spark, sf_dir), None, None)
+    v = F.when(F.col("rule_id").startswith("K1"), F.round("value", 2)).otherwise(F.round("value", 6))
+    return out.select(F.col("section_order").cast("int").alias("section_order"), "rule_id", "subject", v.alias("value"))
+
+
 @register("insights")
 def insights_q(spark, sf_dir):
     from ..operators.explain import shap_global

@@ -131,7 +131,6 @@ class MediaSpec:
     date_col: str = "activity_date"
     week_col: str = "week"
     target_col: str = TARGET
-    dimensions: tuple = tuple(DIMENSIONS)
     metrics: tuple = tuple(METRICS)
     weight_priority: tuple = tuple(WEIGHT_PRIORITY)
     typos: dict = field(default_factory=lambda: dict(TYPO_FIX))
@@ -143,7 +142,6 @@ class MediaSpec:
     kpi_keys: tuple = ("week",)
     horizon: int = 12
     test_weeks: int = 12
-    n_lags: int = 8
     seed: int = 42
 
     @property
