@@ -24,6 +24,11 @@ ACTIONS = {
     "creative": "Filled → 'Unspecified Creative' (structural)",
 }
 DEFAULT_ACTION = "Left as NaN (metric — zero-fill)"
+# The labels of the cleaning impact's steps and of the flow's nodes, in their order.
+WATERFALL_STEPS = ["Raw Data Issues", "Structural NAs Filled", "Typos Corrected", "Duplicates Removed",
+                   "Negative Spend Flagged", "Metric NAs (zero-filled)", "Remaining Issues"]
+FLOW_NODES = ["Raw Data", "Missing Cells", "Text Cleaning", "Structural NA Fill", "Duplicate Check",
+              "Spend Flagging", "Clean Data"]
 
 
 def missing_report(raw: DataFrame) -> DataFrame:
@@ -97,17 +102,17 @@ def cleaning_waterfall(summary: DataFrame) -> DataFrame:
     remaining = (s["total_missing_cells"] - s["structural_nas_filled"] - s["typos_fixed"]
                  - s["duplicates_dropped"] - s["negative_spend_rows"])
     steps = [
-        ("Raw Data Issues", s["total_missing_cells"], "absolute", F.lit(True)),
-        ("Structural NAs Filled", -s["structural_nas_filled"], "relative", s["structural_nas_filled"] > 0),
-        ("Typos Corrected", -s["typos_fixed"], "relative", s["typos_fixed"] > 0),
-        ("Duplicates Removed", -s["duplicates_dropped"], "relative", s["duplicates_dropped"] > 0),
-        ("Negative Spend Flagged", -s["negative_spend_rows"], "relative", s["negative_spend_rows"] > 0),
-        ("Metric NAs (zero-filled)", -remaining, "relative", remaining > 0),
-        ("Remaining Issues", F.lit(0).cast("bigint"), "total", F.lit(True)),
+        (s["total_missing_cells"], "absolute", F.lit(True)),
+        (-s["structural_nas_filled"], "relative", s["structural_nas_filled"] > 0),
+        (-s["typos_fixed"], "relative", s["typos_fixed"] > 0),
+        (-s["duplicates_dropped"], "relative", s["duplicates_dropped"] > 0),
+        (-s["negative_spend_rows"], "relative", s["negative_spend_rows"] > 0),
+        (-remaining, "relative", remaining > 0),
+        (F.lit(0).cast("bigint"), "total", F.lit(True)),
     ]
     arr = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(n).alias("step"),
                              v.cast("bigint").alias("value"), F.lit(m).alias("measure"),
-                             keep.alias("_keep")) for i, (n, v, m, keep) in enumerate(steps)])
+                             keep.alias("_keep")) for i, (n, (v, m, keep)) in enumerate(zip(WATERFALL_STEPS, steps))])
     return summary.select(F.inline(arr)).where("_keep").drop("_keep")
 
 
@@ -115,8 +120,6 @@ def cleaning_flow_edges(summary: DataFrame) -> DataFrame:
     """Flow edges raw -> checks -> clean with every value floored at 1."""
     s = {c: F.col(c) for c in summary.columns}
     one = F.lit(1)
-    nodes = ["Raw Data", "Missing Cells", "Text Cleaning", "Structural NA Fill", "Duplicate Check",
-             "Spend Flagging", "Clean Data"]
     edges = [
         (0, 1, s["total_missing_cells"]),
         (0, 2, F.greatest(s["typos_fixed"], one)),
@@ -129,6 +132,6 @@ def cleaning_flow_edges(summary: DataFrame) -> DataFrame:
         (4, 6, F.greatest(s["duplicates_dropped"], one)),
         (5, 6, F.greatest(s["negative_spend_rows"], one)),
     ]
-    arr = F.array(*[F.struct(F.lit(nodes[a]).alias("source"), F.lit(nodes[b]).alias("target"),
+    arr = F.array(*[F.struct(F.lit(FLOW_NODES[a]).alias("source"), F.lit(FLOW_NODES[b]).alias("target"),
                              v.cast("bigint").alias("value")) for a, b, v in edges])
     return summary.select(F.inline(arr))

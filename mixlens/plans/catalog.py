@@ -16,6 +16,7 @@ from ..functions.exprs import present
 from ..operators import measure
 from ..operators.allocate import activity_weight
 from ..operators.clean import date_parts
+from ..operators.quality import FLOW_NODES, WATERFALL_STEPS
 from . import oracle as O
 from .context import context
 
@@ -402,28 +403,26 @@ def quality_summary_q(spark, sf_dir):
 
 
 _WATERFALL = [
-    ("Raw Data Issues", "total_missing_cells", "absolute", "true"),
-    ("Structural NAs Filled", "-structural_nas_filled", "relative", "structural_nas_filled > 0"),
-    ("Typos Corrected", "-typos_fixed", "relative", "typos_fixed > 0"),
-    ("Duplicates Removed", "-duplicates_dropped", "relative", "duplicates_dropped > 0"),
-    ("Negative Spend Flagged", "-negative_spend_rows", "relative", "negative_spend_rows > 0"),
-    ("Metric NAs (zero-filled)", "-(total_missing_cells - structural_nas_filled - typos_fixed - "
+    ("total_missing_cells", "absolute", "true"),
+    ("-structural_nas_filled", "relative", "structural_nas_filled > 0"),
+    ("-typos_fixed", "relative", "typos_fixed > 0"),
+    ("-duplicates_dropped", "relative", "duplicates_dropped > 0"),
+    ("-negative_spend_rows", "relative", "negative_spend_rows > 0"),
+    ("-(total_missing_cells - structural_nas_filled - typos_fixed - "
      "duplicates_dropped - negative_spend_rows)", "relative",
      "total_missing_cells - structural_nas_filled - typos_fixed - duplicates_dropped - negative_spend_rows > 0"),
-    ("Remaining Issues", "0", "total", "true"),
+    ("0", "total", "true"),
 ]
 
 
 @register("cleaning_waterfall", O.q(_SUMMARY_CTE + " UNION ALL ".join(
     f"SELECT {i} AS seq, '{n}' AS step, CAST({v} AS BIGINT) AS value, '{m}' AS measure FROM qs WHERE {k}"
-    for i, (n, v, m, k) in enumerate(_WATERFALL)), copies=True))
+    for i, (n, (v, m, k)) in enumerate(zip(WATERFALL_STEPS, _WATERFALL))), copies=True))
 def cleaning_waterfall_q(spark, sf_dir):
     from ..operators.quality import cleaning_waterfall
     return cleaning_waterfall(_quality_frames(spark, sf_dir))
 
 
-_NODES = ["Raw Data", "Missing Cells", "Text Cleaning", "Structural NA Fill", "Duplicate Check",
-          "Spend Flagging", "Clean Data"]
 _EDGES = [(0, 1, "total_missing_cells"), (0, 2, "GREATEST(typos_fixed, 1)"),
           (0, 3, "GREATEST(structural_nas_filled, 1)"), (0, 4, "GREATEST(duplicates_dropped, 1)"),
           (0, 5, "GREATEST(negative_spend_rows, 1)"),
@@ -433,7 +432,7 @@ _EDGES = [(0, 1, "total_missing_cells"), (0, 2, "GREATEST(typos_fixed, 1)"),
 
 
 @register("cleaning_flow_edges", O.q(_SUMMARY_CTE + " UNION ALL ".join(
-    f"SELECT '{_NODES[a]}' AS source, '{_NODES[b]}' AS target, CAST({v} AS BIGINT) AS value FROM qs"
+    f"SELECT '{FLOW_NODES[a]}' AS source, '{FLOW_NODES[b]}' AS target, CAST({v} AS BIGINT) AS value FROM qs"
     for a, b, v in _EDGES), copies=True))
 def cleaning_flow_edges_q(spark, sf_dir):
     from ..operators.quality import cleaning_flow_edges

@@ -27,3 +27,13 @@ def test_read_export_and_clean(spark):
     assert sorted(r.spend for r in out) == [0.0, 0.0, 100.5]
     assert sorted(r.spend_is_credit for r in out) == [False, False, True]
     assert {r.site for r in out} == {"Unknown", "S1", "S2"}
+
+
+def test_partitioned_tables_have_few_files(spark, tmp_path):
+    import glob
+
+    from mixlens.sources.io import load_table, save_table
+    df = spark.range(4000).selectExpr("id", "cast(2000 + id % 4 as int) as year").repartition(16)
+    save_table(df, f"{tmp_path}/t", partition_by=["year"])
+    files = glob.glob(f"{tmp_path}/t/year=*/part-*")
+    assert len(files) == 4 and load_table(spark, f"{tmp_path}/t").count() == 4000
