@@ -37,3 +37,23 @@ def test_partitioned_tables_have_few_files(spark, tmp_path):
     save_table(df, f"{tmp_path}/t", partition_by=["year"])
     files = glob.glob(f"{tmp_path}/t/year=*/part-*")
     assert len(files) == 4 and load_table(spark, f"{tmp_path}/t").count() == 4000
+
+
+def test_a_shape_never_refuses_a_date_that_parses(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from mixlens.functions.exprs import WHITESPACE, date_shape, parse_mixed_date, trim_ws
+    from mixlens.spec import DATE_FORMATS
+    assert all(date_shape(f) for f in DATE_FORMATS) and date_shape("yyyy-MM-dd'T'HH") is None
+    texts = ["2024-03-05", "2024-3-5", "2024-03-05 10:11:12", "2024-03-05 1:11:12", "3/4/2024", "03/04/2024", "003/4/2024", "3/4/24", "3/4/024",
+             "-3/4/2024", "3/-4/2024", "4-Mar-2024", "04-MAR-2024", "4-mar-2024", "4-March-2024", "2024/03/05", "2024/3/5", "+12024-03-05", "12024-03-05",
+             "-2024-03-05", "+2024-03-05", "2/30/2024", "no date", "", " ", None, "3/4/12024", "3/4/+12024", "\t3/4/2024\u3000", "0001-01-01", "24-03-05",
+             "1/1/1", "4-Sep.-2024", "2024-03-05x", "x2024-03-05", "2024-03-05\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(*[F.try_to_timestamp(F.btrim("t", F.lit(WHITESPACE)), F.lit(f)) for f in DATE_FORMATS]).cast("date")
+    for r in df.select("t", parse_mixed_date("t", T.StringType()).cast("string").alias("got"), plain.cast("string").alias("want")).collect():
+        assert r["got"] == r["want"], r
+    odd = [f"{a}{m}{b}" for a in ("", " ", "\t", "\u2003", "~", "!", "\x7f", "é") for m in ("", "a", "a b", "ü", "~") for b in ("", " ", "\u3000", "~", "!", "é", "\x7f")]
+    got = spark.createDataFrame([(t,) for t in odd], "t string").select("t", trim_ws("t").alias("g")).collect()
+    assert all(r["g"] == r["t"].strip() for r in got)
