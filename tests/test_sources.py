@@ -39,6 +39,17 @@ def test_partitioned_tables_have_few_files(spark, tmp_path):
     assert len(files) == 4 and load_table(spark, f"{tmp_path}/t").count() == 4000
 
 
+def test_a_key_with_most_rows_is_written_by_many_tasks(spark, tmp_path):
+    import glob
+
+    from mixlens.sources.io import load_table, save_table
+    df = spark.range(4000).selectExpr("id", "cast(if(id % 8 = 0, 2001, 2000) as int) as year").coalesce(1)
+    save_table(df, f"{tmp_path}/t", partition_by=["year"], task_rows=500)
+    sizes = [load_table(spark, f).count() for f in glob.glob(f"{tmp_path}/t/year=*/part-*")]
+    assert sum(sizes) == 4000 and max(sizes) < 1500 and 8 <= len(sizes) <= 10
+    assert load_table(spark, f"{tmp_path}/t").select("id").distinct().count() == 4000
+
+
 def test_a_shape_never_refuses_a_date_that_parses(spark):
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
