@@ -78,3 +78,13 @@ def test_kpi_summary_needs_no_join(spark):
     plan = _plan(kpi_summary(context(spark, SF).clean_fact()))
     assert "Join" not in plan and "CartesianProduct" not in plan
     assert F is not None
+
+
+def test_source_join_carries_no_keys_it_is_done_with(spark):
+    """Orders, suppliers and parts are reduced to their columns of the fact before line items are shuffled with them."""
+    plan = media_from_tpch(spark, SF)._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in plan.toString().splitlines() if "Join Inner" in line]
+    assert "l_partkey" in joins[0] and "l_suppkey" in joins[1] and "l_orderkey" in joins[2]      # the part's wide columns last
+    outer = plan.children().apply(0)
+    left = outer.children().apply(0).output().mkString(" ")
+    assert not any(k in left for k in ("orderkey", "custkey", "suppkey", "nationkey", "mktsegment", "orderstatus"))
