@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import merge_rows
 from ..spec import DEFAULT_SPEC, MediaSpec
-from .clean import count_duplicates
+from .clean import cleaning_counts, count_duplicates
 
 # Severity limits (percent) and the action text per structurally filled
 # column, as shown by the analysed workflow.
@@ -55,10 +55,11 @@ def missing_detailed(raw: DataFrame, spec: MediaSpec = DEFAULT_SPEC) -> DataFram
 
 
 def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEFAULT_SPEC,
-                    clean_columns: int | None = None) -> DataFrame:
+                    clean_columns: int | None = None, pieces: int | None = None) -> DataFrame:
     """Eleven numbers. Duplicates are counted on raw rows, distinct weeks on the
     unaligned dates, typos after trimming. ``clean_columns`` is the width of the published
-    row-level table (defaults to the width of ``clean_rows``)."""
+    row-level table (defaults to the width of ``clean_rows``). With ``pieces`` the duplicates and the cleaned rows
+    are counted in one dealing of the raw rows."""
     from ..functions.exprs import trim_ws
     cols = raw.columns
     n_cols = len(cols)
@@ -78,8 +79,9 @@ def quality_summary(raw: DataFrame, clean_rows: DataFrame, spec: MediaSpec = DEF
         F.sum(filled).alias("structural_nas_filled"),
         F.coalesce(F.sum(neg.cast("bigint")), F.lit(0)).alias("negative_spend_rows"))
     weeks = raw.select(spec.date_col).distinct().agg(F.count(spec.date_col).alias("distinct_weeks"))
-    clean_stats = clean_rows.agg(F.count("*").alias("clean_rows"))
-    m = merge_rows(raw_stats, weeks, count_duplicates(raw), clean_stats)
+    counts = [cleaning_counts(raw, pieces, spec)] if pieces else \
+        [count_duplicates(raw), clean_rows.agg(F.count("*").alias("clean_rows"))]
+    m = merge_rows(raw_stats, weeks, *counts)
     total_cells = F.col("total_rows") * F.lit(n_cols)
     return m.select(
         "total_rows",

@@ -179,3 +179,37 @@ def test_absent_columns_are_left_out(spark):
             keep = out.columns
             assert sorted(map(str, out.collect())) == sorted(map(str, full[k].select(*keep).collect()))
     assert efficiency_all_dims(df.drop("creative"), ["channel", "creative"]).count() == 2
+
+
+def test_rows_dealt_once_compare_like_digests_first(spark):
+    """Pieces, ranges of a column, crowded slots and equal digests: the same rows as a plain distinct."""
+    from mixlens.operators.clean import count_duplicates, drop_duplicates_dealt, drop_exact_duplicates, row_digest
+    rows = [(i % 7, None if i % 3 else "x", float(i % 2)) for i in range(60)] + [(99, "alone", 0.0), (None, None, None)] + [(5, "hot", 1.0)] * 50
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(5)
+    want = sorted(map(str, set(rows)))
+
+    def same(d):
+        return F.lit(1).cast("long"), F.lit(1).cast("long")
+
+    for digest in (row_digest, same):
+        for hot in (2, 40, 1000):
+            for by in (None, F.col("a")):
+                got = drop_duplicates_dealt(df, 3, by, digest, slots=64, hot=hot)
+                assert got.columns == df.columns and sorted(str(tuple(r)) for r in got.collect()) == want
+            assert sorted(str(tuple(r)) for r in drop_exact_duplicates(df, digest, 64, hot).collect()) == want
+            assert count_duplicates(df, digest, 64, hot).first()["duplicates"] == len(rows) - len(set(rows))
+    assert drop_duplicates_dealt(df.limit(0), 3).count() == 0
+
+
+def test_cleaning_counts_are_those_of_the_two_steps(spark):
+    from mixlens.operators.clean import cleaning_counts, count_duplicates
+    rows = [("2024-11-24", "A ", "S", "D", "X", "1", 1, Decimal("1")), ("11/24/2024", "A", "S", "D", "X", "1", 1, Decimal("1")),
+            ("2024-11-24", "A ", "S", "D", "X", "1", 1, Decimal("1")), (None, None, None, None, None, None, None, None),
+            (None, None, None, None, None, None, None, None), ("2024-11-23", "A", "S", "D", "X", "1", 1, Decimal("1")),
+            ("2024-11-24", "B", "S", "D", "X", "x", 1, Decimal("1"))]
+    raw = _raw(spark, rows)
+    for hot in (1, 3, 1000):
+        got = cleaning_counts(raw, 3, hot=hot).first()
+        assert (got["duplicates"], got["clean_rows"]) == (2, 3)
+    assert count_duplicates(raw).first()["duplicates"] == 2 and clean(raw).count() == 3 and clean(raw, pieces=2).count() == 3
+    assert tuple(cleaning_counts(raw.limit(0), 1).first()) == (0, 0)

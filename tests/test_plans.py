@@ -88,3 +88,12 @@ def test_source_join_carries_no_keys_it_is_done_with(spark):
     outer = plan.children().apply(0)
     left = outer.children().apply(0).output().mkString(" ")
     assert not any(k in left for k in ("orderkey", "custkey", "suppkey", "nationkey", "mktsegment", "orderstatus"))
+
+
+def test_row_fact_moves_whole_rows_once(spark):
+    """Duplicates are compared where rows are dealt for their year: no second exchange, no hash table before the first."""
+    from mixlens.operators.clean import clean as cleaned
+    raw = context(spark, SF).raw()
+    plan = _plan(cleaned(raw, pieces=3, by=F.year("week")))
+    few = plan[:plan.index("rangepartitioning(_by")]
+    assert few.count("Exchange") == 1 and "HashAggregate" in few                                 # the aggregates stand above it
